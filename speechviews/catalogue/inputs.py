@@ -14,6 +14,7 @@ from speechviews.operators import messages as M
 from speechviews.operators.prepare import grouped, text_uploads, valid_uploads, with_upload_key
 from speechviews.plans.batch_view import view_of
 from speechviews.schemas import GROUP, RECORDING, UPLOAD
+from speechviews.session import spread
 
 BUCKET = "recordings"
 
@@ -26,17 +27,27 @@ STOP_WORDS = [
 ]
 
 
+TABLES = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def stop_words(spark: SparkSession) -> DataFrame:
+def stop_word_table(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.explode(F.array(*[F.lit(w) for w in STOP_WORDS])).alias("word"))
 
 
 def sources(spark: SparkSession, folder: str) -> DataFrame:
     """Recordings with the extra columns the other inputs are made from."""
-    documents = table(spark, folder, "documents").select("doc_id", "text", "lang", "source")
+    documents = spread(table(spark, folder, "documents"), "doc_id").select("doc_id", "text", "lang", "source")
     events = table(spark, folder, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").alias("event_ts"),
         F.col("event_type").alias("kind"), "value", "props",
@@ -85,11 +96,13 @@ def grouped_keeping(df: DataFrame, extra: str) -> DataFrame:
 
 
 def labelled_view(spark: SparkSession, folder: str) -> DataFrame:
-    return view_of(labelled(spark, folder), stop_words(spark))
+    return view_of(labelled(spark, folder), STOP_WORDS)
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("review"))
+    documents = spread(table(spark, folder, "documents"), "doc_id").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("review")
+    )
     labels = table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("score"))
     return documents.join(labels, "id")
 

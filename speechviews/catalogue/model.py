@@ -71,10 +71,10 @@ def scored_recordings(spark, folder):
 
 @query()
 def batch_view_full(spark, folder):
-    return batch_view(I.recordings(spark, folder), I.stop_words(spark), trained_model(spark, folder))
+    return batch_view(I.recordings(spark, folder), STOP_WORDS, trained_model(spark, folder))
 
 
 @query()
 def batch_view_first_plus_one(spark, folder):
-    return batch_view(I.recordings(spark, folder), I.stop_words(spark), trained_model(spark, folder),
+    return batch_view(I.recordings(spark, folder), STOP_WORDS, trained_model(spark, folder),
                       score_mode="first_plus_one")

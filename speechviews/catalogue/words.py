@@ -20,9 +20,9 @@ def _grouped(spark, folder):
     return grouped(I.recordings(spark, folder))
 
 
-def _counts(spark, folder):
+def _counts(spark, folder, stop_words=None):
     pieces = W.words_of(_grouped(spark, folder), *GROUP)
-    return W.counts_without_stop_words(pieces, I.stop_words(spark), F.count("*").alias("cnt"))
+    return W.counts_without_stop_words(pieces, stop_words or I.STOP_WORDS, F.count("*").alias("cnt"))
 
 
 def _ranked(spark, folder, side):
@@ -34,7 +34,7 @@ def _ranked(spark, folder, side):
 def stop_words_scan(spark, folder):
     """The list written one word per line, read back, and how often each word is used."""
     path = scratch_path(spark, "stop-words")
-    I.stop_words(spark).write.text(path)
+    I.stop_word_table(spark).write.text(path)
     listed = stop_words_text(spark, path)
     used = W.words_of(_grouped(spark, folder)).groupBy("word").agg(F.count("*").alias("n"))
     return listed.join(used, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("uses"))
@@ -64,7 +64,7 @@ def group_word_counts(spark, folder):
 
 @query(with_ctes("SELECT * FROM kept_counts"))
 def stop_word_exclusion(spark, folder):
-    return _counts(spark, folder).select(*GROUP, "word", "cnt")
+    return _counts(spark, folder, I.stop_word_table(spark)).select(*GROUP, "word", "cnt")
 
 
 @query(with_ctes("""
@@ -85,7 +85,7 @@ def least_common_words(spark, folder):
     FROM the_view"""))
 def batch_view_words(spark, folder):
     """Flagship: recordings to ranked words and segment counts of every group, in one pass."""
-    return B.words_view(I.recordings(spark, folder), I.stop_words(spark))
+    return B.words_view(I.recordings(spark, folder), I.STOP_WORDS)
 
 
 @query(with_ctes("""

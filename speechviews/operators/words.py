@@ -13,6 +13,7 @@ from speechviews.schemas import GROUP
 from speechviews.session import broadcast_if_small
 
 WORDS_KEPT = 5
+LITERAL_WORDS = 1000
 
 
 def words_of(df: DataFrame, *keep: str) -> DataFrame:
@@ -27,28 +28,34 @@ def word_counts(grouped: DataFrame) -> DataFrame:
     return words_of(grouped, *GROUP).groupBy(*GROUP, "word").agg(F.count("*").alias("cnt"))
 
 
-def listable(stop_words: DataFrame) -> DataFrame:
-    """The stop words that can occur among counted words at all, once each."""
-    return stop_words.select("word").where(is_word(F.col("word"))).distinct()
+def _as_table(df: DataFrame, stop_words) -> DataFrame:
+    if not isinstance(stop_words, DataFrame):
+        stop_words = df.sparkSession.createDataFrame([(w,) for w in stop_words], "word string")
+    # Other words cannot occur among the counted ones, the empty line of a file least of all.
+    return stop_words.select("word").where(is_word(F.col("word")))
 
 
-def without_stop_words(df: DataFrame, stop_words: DataFrame) -> DataFrame:
-    """Rows whose word is not listed; the match is exact."""
-    listed, _ = broadcast_if_small(listable(stop_words))
-    return df.join(listed, "word", "left_anti")
+def without_stop_words(df: DataFrame, stop_words) -> tuple[DataFrame, DataFrame | None]:
+    """Rows whose word is not listed (exact match), and the list if it is still to be applied.
+
+    A short Python list becomes a set lookup, a table proven small a broadcast. A larger table
+    is given back: joining it pays only after counting.
+    """
+    if not isinstance(stop_words, DataFrame) and len(stop_words) <= LITERAL_WORDS:
+        return df.where(~F.col("word").isin(list(stop_words))) if stop_words else df, None
+    listed, small = broadcast_if_small(_as_table(df, stop_words))
+    return (df.join(listed, "word", "left_anti"), None) if small else (df, listed)
 
 
-def counts_without_stop_words(pieces: DataFrame, stop_words: DataFrame, *aggregates: Column) -> DataFrame:
-    """Aggregate pieces by group and word, stop words left out.
+def counts_without_stop_words(pieces: DataFrame, stop_words, *aggregates: Column) -> DataFrame:
+    """Aggregate pieces by group and word, stop words (a list or a table ``word``) left out.
 
-    A list proven small is broadcast and applied before counting, where it removes most rows.
-    A larger one is joined after counting: by then even the commonest word is one row per group.
+    Listed words are most of a text, so they go before counting if they can. A list too large
+    for that is joined afterwards, when even the commonest word is one row per group.
     """
-    listed, small = broadcast_if_small(listable(stop_words))
-    if small:
-        pieces = pieces.join(listed, "word", "left_anti")
-    counts = pieces.groupBy(*GROUP, "word").agg(*aggregates)
-    return counts if small else counts.join(listed, "word", "left_anti")
+    kept, listed = without_stop_words(pieces, stop_words)
+    counts = kept.groupBy(*GROUP, "word").agg(*aggregates)
+    return counts if listed is None else counts.join(listed, "word", "left_anti")
 
 
 def ranked(counts: DataFrame, n=WORDS_KEPT, by=GROUP) -> DataFrame:

@@ -35,7 +35,7 @@ def _pieces(scored: DataFrame) -> DataFrame:
     )
 
 
-def group_word_totals(scored: DataFrame, stop_words: DataFrame) -> DataFrame:
+def group_word_totals(scored: DataFrame, stop_words) -> DataFrame:
     """(group, word, cnt, positive); the empty word's row holds the totals of the group."""
     return counts_without_stop_words(
         _pieces(scored), stop_words,
@@ -43,7 +43,7 @@ def group_word_totals(scored: DataFrame, stop_words: DataFrame) -> DataFrame:
     )
 
 
-def view_of(scored: DataFrame, stop_words: DataFrame, words_kept=WORDS_KEPT) -> DataFrame:
+def view_of(scored: DataFrame, stop_words, words_kept=WORDS_KEPT) -> DataFrame:
     """The view from grouped recordings (raw ``text``) with a 0/1 ``prediction``."""
     totals = F.col("side") == "all"
     return (
@@ -60,13 +60,13 @@ def view_of(scored: DataFrame, stop_words: DataFrame, words_kept=WORDS_KEPT) ->
     )
 
 
-def words_view(recordings: DataFrame, stop_words: DataFrame, words_kept=WORDS_KEPT) -> DataFrame:
+def words_view(recordings: DataFrame, stop_words, words_kept=WORDS_KEPT) -> DataFrame:
     """The view without sentiment: no model is needed, the sum column is absent."""
     unscored = grouped(recordings).withColumn("prediction", F.lit(0))
     return view_of(unscored, stop_words, words_kept).drop("sentiment_score_sum")
 
 
-def batch_view(recordings: DataFrame, stop_words: DataFrame, model: PipelineModel,
+def batch_view(recordings: DataFrame, stop_words, model: PipelineModel,
                score_on="cleaned", score_mode="sum") -> DataFrame:
     """The view of all valid recordings.
 

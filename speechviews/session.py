@@ -59,3 +59,14 @@ def broadcast_if_small(df: DataFrame, max_rows=200_000, max_bytes=32 << 20):
     if rows <= max_rows and size <= max_bytes:
         return F.broadcast(df), True
     return df, False
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows hashed over all cores when the scan has too few pieces to keep them busy.
+
+    A small file of one row group would leave the whole job to one task. A large table has
+    many pieces per core and is returned as it is: it is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    pieces = df.select(key).rdd.getNumPartitions()
+    return df if pieces >= 2 * cores else df.repartition(cores, key)
