@@ -6,6 +6,7 @@ from speechviews.catalogue import inputs as I
 from speechviews.catalogue.inputs import STOP_WORDS, with_ctes
 from speechviews.catalogue.registry import query
 from speechviews.operators import features as X
+from speechviews.session import scratch_path
 
 I.CTES.update({
     "review_words": r"""
@@ -56,7 +57,11 @@ def idf_weights(spark, folder):
     SELECT t.id, t.word, CAST(t.tf AS INTEGER) AS tf, round(t.tf * w.idf, 9) AS tfidf
     FROM terms t JOIN weights w ON w.word = t.word"""))
 def tfidf_terms(spark, folder):
-    return X.tfidf_terms(_tokens(spark, folder)).withColumn("tfidf", F.round("tfidf", 9))
+    """Weights are computed once, written, and applied from the table."""
+    path, tokens = scratch_path(spark, "weights"), _tokens(spark, folder)
+    X.idf_weights(tokens).write.parquet(path)
+    weights = spark.read.schema("word string, documents bigint, total bigint, idf double").parquet(path)
+    return X.tfidf_terms(tokens, weights).withColumn("tfidf", F.round("tfidf", 9))
 
 
 @query(with_ctes("""

@@ -21,6 +21,19 @@ def row_key(*parts) -> Column:
     return F.concat(*[_col(p) for p in parts])
 
 
+def packed(*parts) -> Column:
+    """Non-null strings as one string from which they can be taken out again.
+
+    Counting and sorting by one short string costs about half of doing so by four.
+    """
+    return F.to_json(F.array(*[_col(p) for p in parts]))
+
+
+def unpacked(key: Column, names) -> list[Column]:
+    parts = F.from_json(key, "array<string>")
+    return [parts[i].alias(name) for i, name in enumerate(names)]
+
+
 def _since_epoch(unit: str, ts: Column) -> Column:
     # On zone-less timestamps, so that the session time zone does not matter.
     return F.timestamp_diff(unit, F.lit(_EPOCH).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))

@@ -1,11 +1,13 @@
 """Term statistics of reviews as tables: tokens, vocabulary, inverse document frequency."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from speechviews.functions.text import drop_listed, letter_words
+from speechviews.session import broadcast_if_small
 
 VOCABULARY_SIZE = 2 ** 17
 MIN_DOCUMENTS = 5
+SLICES = 32
 
 
 def review_tokens(reviews: DataFrame) -> DataFrame:
@@ -39,12 +41,23 @@ def term_frequencies(tokens: DataFrame) -> DataFrame:
 
 
 def vocabulary(tokens: DataFrame, min_documents=MIN_DOCUMENTS, size=VOCABULARY_SIZE) -> DataFrame:
-    """(word, documents, total): words of enough documents, the ``size`` most frequent of them."""
-    return (
+    """(word, documents, total): words of enough documents, the ``size`` most frequent of them.
+
+    The words are cut to ``size`` in each of several slices first, so that the task that takes
+    the final cut sees a bounded number of words, however many there are.
+    """
+    counts = (
         term_frequencies(tokens)
         .groupBy("word")
         .agg(F.count("*").alias("documents"), F.sum("tf").alias("total"))
         .where(F.col("documents") >= min_documents)
+    )
+    in_slice = Window.partitionBy("slice").orderBy(F.desc("total"), "word")
+    return (
+        counts.withColumn("slice", F.pmod(F.xxhash64("word"), F.lit(SLICES)))
+        .withColumn("place", F.row_number().over(in_slice))
+        .where(F.col("place") <= size)
+        .drop("slice", "place")
         .orderBy(F.desc("total"), "word")
         .limit(size)
     )
@@ -57,16 +70,14 @@ def idf_weights(tokens: DataFrame, **options) -> DataFrame:
     return vocabulary(tokens, **options).withColumn("idf", weight)
 
 
-def tfidf_terms(tokens: DataFrame, **options) -> DataFrame:
-    """(id, word, tf, tfidf) for the vocabulary's words.
+def tfidf_terms(tokens: DataFrame, weights: DataFrame) -> DataFrame:
+    """(id, word, tf, tfidf) for the words of ``weights``, best a written table of idf weights.
 
-    The vocabulary has a fixed greatest size, which is what makes it fit to be broadcast.
+    Weights proven small are broadcast; otherwise both sides are shuffled by word, where
+    adaptive execution splits the words that occur everywhere.
     """
-    size = options.get("size", VOCABULARY_SIZE)
-    weights = idf_weights(tokens, **options).select("word", "idf")
-    if size <= VOCABULARY_SIZE:
-        weights = F.broadcast(weights)
-    return term_frequencies(tokens).join(weights, "word").select(
+    listed, _ = broadcast_if_small(weights.select("word", "idf"))
+    return term_frequencies(tokens).join(listed, "word").select(
         "id", "word", "tf", (F.col("tf") * F.col("idf")).alias("tfidf")
     )
 

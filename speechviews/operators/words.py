@@ -47,14 +47,14 @@ def without_stop_words(df: DataFrame, stop_words) -> tuple[DataFrame, DataFrame
     return (df.join(listed, "word", "left_anti"), None) if small else (df, listed)
 
 
-def counts_without_stop_words(pieces: DataFrame, stop_words, *aggregates: Column) -> DataFrame:
+def counts_without_stop_words(pieces: DataFrame, stop_words, *aggregates: Column, by=GROUP) -> DataFrame:
     """Aggregate pieces by group and word, stop words (a list or a table ``word``) left out.
 
     Listed words are most of a text, so they go before counting if they can. A list too large
     for that is joined afterwards, when even the commonest word is one row per group.
     """
     kept, listed = without_stop_words(pieces, stop_words)
-    counts = kept.groupBy(*GROUP, "word").agg(*aggregates)
+    counts = kept.groupBy(*by, "word").agg(*aggregates)
     return counts if listed is None else counts.join(listed, "word", "left_anti")
 
 

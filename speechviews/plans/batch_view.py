@@ -9,7 +9,7 @@ the one large shuffle carries partial counts rather than texts.
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from speechviews.functions.keys import row_key
+from speechviews.functions.keys import packed, row_key, unpacked
 from speechviews.functions.text import clean_text, comma_list, is_word, normalise
 from speechviews.operators.groups import sentiment_first_plus_one
 from speechviews.operators.prepare import grouped
@@ -29,32 +29,41 @@ def _pieces(scored: DataFrame) -> DataFrame:
     tokens = F.split(F.concat(F.lit(" "), clean_text(F.col("text"))), " ")
     word, is_recording = F.col("word"), F.col("pos") == 0
     return (
-        scored.select(*GROUP, F.col("prediction").cast("long").alias("prediction"), F.posexplode(tokens).alias("pos", "word"))
+        scored.select(
+            packed(*GROUP).alias("group"),
+            F.col("prediction").cast("long").alias("prediction"),
+            F.posexplode(tokens).alias("pos", "word"),
+        )
         .where(is_recording | is_word(word))
-        .select(*GROUP, "word", F.when(is_recording, F.col("prediction")).otherwise(F.lit(0)).alias("positive"))
+        .select("group", "word", F.when(is_recording, F.col("prediction")).otherwise(F.lit(0)).alias("positive"))
     )
 
 
 def group_word_totals(scored: DataFrame, stop_words) -> DataFrame:
-    """(group, word, cnt, positive); the empty word's row holds the totals of the group."""
+    """(group, word, cnt, positive) with the group's columns packed into one; the empty word's
+    row holds the totals of the group."""
     return counts_without_stop_words(
         _pieces(scored), stop_words,
-        F.count("*").alias("cnt"), F.sum("positive").alias("positive"),
+        F.count("*").alias("cnt"), F.sum("positive").alias("positive"), by=["group"],
     )
 
 
 def view_of(scored: DataFrame, stop_words, words_kept=WORDS_KEPT) -> DataFrame:
-    """The view from grouped recordings (raw ``text``) with a 0/1 ``prediction``."""
+    """The view from grouped recordings (raw ``text``) with a 0/1 ``prediction``.
+
+    ``stop_words`` is a list, or a table ``word`` of any size.
+    """
     totals = F.col("side") == "all"
     return (
-        ranked(group_word_totals(scored, stop_words), words_kept)
-        .groupBy(*GROUP)
+        ranked(group_word_totals(scored, stop_words), words_kept, by=["group"])
+        .groupBy("group")
         .agg(
             comma_list(listed_words("most")).alias("most_common_words"),
             comma_list(listed_words("least")).alias("least_common_words"),
             F.sum(F.when(totals, F.col("positive"))).alias("sentiment_score_sum"),
             F.sum(F.when(totals, F.col("cnt"))).alias("sentiment_score_total"),
         )
+        .select("*", *unpacked(F.col("group"), GROUP))
         .withColumn("row_key", row_key(*GROUP))
         .select(*VIEW.names)
     )

@@ -90,18 +90,19 @@ def train(reviews: DataFrame, stop_words: list[str], fit_features_on="all", spli
     parts = split(reviews.select("id", "review", "score"))
     base = parts if fit_features_on == "all" else parts.where(F.col("part") == TRAINING)
     features_of = feature_model(base, stop_words)
-    # Whole rows are kept, serialised and spilling to disk; lost blocks are computed again.
+    # Kept in memory or on disk; blocks lost with an executor are computed again.
     features = features_of.transform(parts).select("part", "score", "tfidf").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_part = features.where(F.col("part") == TRAINING)
         points = grid_points()
         wanted = points + ([PLAIN, ELASTIC_NET] if singles else [])
 
+        @inheritable_thread_target(reviews.sparkSession)
         def fit(point):
             return regression(**point).fit(train_part)
 
         with ThreadPool(min(parallelism, len(wanted))) as pool:
-            models = pool.map(inheritable_thread_target(fit), wanted)
+            models = pool.map(fit, wanted)
         scores = accuracies(models, features.where(F.col("part") == VALIDATION))
         grid_scores = scores[: len(points)]
         best = best_index(grid_scores)

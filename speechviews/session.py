@@ -45,10 +45,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def broadcast_if_small(df: DataFrame, max_rows=200_000, max_bytes=32 << 20):
-    """``(broadcast(df), True)`` when the one-column string frame is proven small, else ``(df, False)``.
+    """``(broadcast(df), True)`` when the frame is proven small, else ``(df, False)``.
 
-    The proof reads at most ``max_rows + 1`` rows. Callers choose a shuffled plan for the
-    second case.
+    The first column is its text, whose bytes are added up; the others have a fixed width. The
+    proof looks at ``max_rows + 1`` rows at most. Callers have a shuffled plan for the second case.
     """
     column = df.columns[0]
     rows, size = (
