@@ -7,11 +7,11 @@ quarantine and validation operators have work to do; no row is left out for them
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from speechviews.functions import keys
 from speechviews.operators import messages as M
-from speechviews.operators.prepare import grouped, text_uploads, valid_uploads, with_upload_key
+from speechviews.operators.prepare import clean_uploads, grouped, text_uploads, valid_uploads, with_upload_key
 from speechviews.plans.batch_view import view_of
 from speechviews.schemas import GROUP, RECORDING, UPLOAD
 from speechviews.session import spread
@@ -108,7 +108,10 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def uploads(spark: SparkSession, folder: str) -> DataFrame:
-    """Form posts, some with an empty zone or text; audio when the event is a view."""
+    """Form posts, some with an empty zone or text; audio when the event is a view.
+
+    Next to the form fields stand the event time and the zone the recording is really from.
+    """
     kind = F.col("kind")
     return sources(spark, folder).select(
         F.col("id"), "dept_name",
@@ -118,7 +121,7 @@ def uploads(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_extract("props", r"\d+", 0).alias("duration"),
         F.when(kind == "signup", "").otherwise(F.col("text")).alias("text"),
         (kind == "view").alias("recording"),
-        "event_ts",
+        "event_ts", F.col("zone").alias("spoken_zone"),
     )
 
 
@@ -135,6 +138,14 @@ def listener_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def unpadded_key(zone="zone") -> Column:
+    """The key an old listener would give: day and month are not padded."""
+    return F.concat(
+        F.dayofmonth("event_ts").cast("string"), F.month("event_ts").cast("string"),
+        F.date_format("event_ts", "yyyyHHmm"), F.lit("00."), "dept_name", F.lit("."), zone, F.lit(".mp3"),
+    )
+
+
 def producers(spark: SparkSession, folder: str) -> list[DataFrame]:
     """What each producer sends: the web form its text uploads, the notifier every object that
     arrives, old listeners keys without padding, and web crawlers keys that are none."""
@@ -142,16 +153,27 @@ def producers(spark: SparkSession, folder: str) -> list[DataFrame]:
     web = text_uploads(sent).select(F.col("id").alias("key"), F.col("text").alias("body"))
     notifier = sent.select(F.concat("id", F.lit(".json")).alias("key"))
     transcribed = listener_files(spark, folder).select(F.concat("job_name", F.lit(".json")).alias("key"))
-    unpadded = sources(spark, folder).select(F.concat(
-        F.dayofmonth("event_ts").cast("string"), F.month("event_ts").cast("string"),
-        F.date_format("event_ts", "yyyyHHmm"), F.lit("00."), "dept_name", F.lit("."), "zone", F.lit(".mp3"),
-    ).alias("key"))
-    crawled = table(spark, folder, "pages").select(F.col("url").alias("key"))
-    return [web, notifier, transcribed, unpadded, crawled]
+    unpadded = sources(spark, folder).select(unpadded_key().alias("key"))
+    return [web, notifier, transcribed, unpadded, crawled(spark, folder)]
+
+
+def crawled(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "pages").select(F.col("url").alias("key"))
 
 
 def messages(spark: SparkSession, folder: str) -> DataFrame:
-    return M.union_producers(*producers(spark, folder))
+    """The messages of all producers, those about recordings from one pass over them."""
+    upload_key, no_body = F.col("id"), F.lit(None).cast("string")
+    listener_key = keys.listener_key(F.col("event_ts"), F.col("dept_name"), F.col("spoken_zone"))
+    keyed = with_upload_key(clean_uploads(uploads(spark, folder)), "event_ts")
+    sent = F.array(
+        F.struct(F.when(~F.col("recording"), upload_key).alias("key"), F.col("text").alias("body")),
+        F.struct(F.concat(upload_key, F.lit(".json")).alias("key"), no_body.alias("body")),
+        F.struct(F.concat(keys.job_name(listener_key), F.lit(".json")).alias("key"), no_body.alias("body")),
+        F.struct(unpadded_key("spoken_zone").alias("key"), no_body.alias("body")),
+    )
+    about_recordings = keyed.select(F.inline(sent)).where("key is not null")
+    return M.union_producers(about_recordings, crawled(spark, folder))
 
 
 # ---- the same in SQL -------------------------------------------------------------------------

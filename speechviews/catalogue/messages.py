@@ -40,7 +40,7 @@ def malformed_keys(spark, folder):
 
 @query(with_ctes("SELECT * FROM messages"))
 def messages_union(spark, folder):
-    return I.messages(spark, folder)
+    return M.union_producers(*I.producers(spark, folder))
 
 
 @query(with_ctes(r"""

@@ -5,7 +5,7 @@ from pyspark.sql import Column, functions as F
 from speechviews.functions.daytime import two_digits
 
 # Fixed values of the key format.
-KEY_START = r"^(\d{14})\.([^.]*)\.([^.]*)\."
+KEY_START = r"^[0-9]{14}\.[^.]+\.[^.]+\."
 WITH_AUDIO = "yesAudio"
 WITHOUT_AUDIO = "noAudio"
 
@@ -85,29 +85,38 @@ def listener_key(ts: Column, dept: Column, zone: Column) -> Column:
     return _dotted(stamp, dept, zone, epoch_seconds_text(ts), F.lit("mp3"))
 
 
+def is_well_formed(key: Column) -> Column:
+    return key.rlike(KEY_START)
+
+
 def key_time(key: Column) -> Column:
-    """Time stamp of a key (DDMMYYYYHHMMSS), null when the key is malformed."""
-    stamp = F.regexp_extract(key, KEY_START, 1)
+    """Time stamp of a well-formed key (DDMMYYYYHHMMSS), null when there is no such time."""
 
     def number(start, length):
-        return F.substring(stamp, start, length).try_cast("int")
+        return F.substring(key, start, length).try_cast("int")
 
     return F.try_make_timestamp_ntz(
         number(5, 4), number(3, 2), number(1, 2), number(9, 2), number(11, 2), number(13, 2)
     )
 
 
+def key_part(key: Column, number: int) -> Column:
+    """A dot-separated part, counted from 1; null when it is empty or absent."""
+    return F.nullif(F.split_part(key, F.lit("."), F.lit(number)), F.lit(""))
+
+
 def key_dept(key: Column) -> Column:
-    return F.nullif(F.regexp_extract(key, KEY_START, 2), F.lit(""))
+    return key_part(key, 2)
 
 
 def key_zone(key: Column) -> Column:
-    return F.nullif(F.regexp_extract(key, KEY_START, 3), F.lit(""))
+    return key_part(key, 3)
 
 
 def event_id(key: Column) -> Column:
     """The key without ``.json``: both messages of one upload share it."""
-    return F.regexp_replace(key, r"\.json$", "")
+    stem = F.substring(key, F.lit(1), F.length(key) - len(".json"))
+    return F.when(key.endswith(".json"), stem).otherwise(key)
 
 
 def job_name(key: Column) -> Column:

@@ -22,23 +22,18 @@ def has_body() -> Column:
     return F.coalesce(body.isNotNull() & (F.length(body) > 0), F.lit(False))
 
 
-def _keyed(messages: DataFrame) -> DataFrame:
+def _event_time() -> Column:
     key = F.col("key")
-    return messages.withColumns({
-        "event_id": keys.event_id(key),
-        "event_time": keys.key_time(key),
-        "dept_name": keys.key_dept(key),
-        "zone": keys.key_zone(key),
-    })
-
-
-def _is_parsed() -> Column:
-    return F.col("event_time").isNotNull() & F.col("dept_name").isNotNull() & F.col("zone").isNotNull()
+    return F.when(keys.is_well_formed(key), keys.key_time(key))
 
 
 def parse_keys(messages: DataFrame) -> DataFrame:
     """Messages with a well-formed key, with event id, event time and the four group columns."""
-    return _keyed(messages).where(_is_parsed()).withColumns({
+    key = F.col("key")
+    return messages.withColumn("event_time", _event_time()).where("event_time is not null").withColumns({
+        "event_id": keys.event_id(key),
+        "dept_name": keys.key_dept(key),
+        "zone": keys.key_zone(key),
         "time_of_day": time_bucket(F.hour("event_time")),
         "season": season_of(F.month("event_time")),
     })
@@ -46,7 +41,7 @@ def parse_keys(messages: DataFrame) -> DataFrame:
 
 def malformed(messages: DataFrame) -> DataFrame:
     """The other messages, as they came."""
-    return _keyed(messages).where(~_is_parsed()).select(*messages.columns)
+    return messages.where(_event_time().isNull())
 
 
 def union_producers(*producers: DataFrame) -> DataFrame:

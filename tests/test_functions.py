@@ -71,10 +71,11 @@ def test_key_parts(one):
 
 @pytest.mark.parametrize("key", [
     "1122020103000.cpd.zone1.1607.mp3", "nonsense", "", "09122020143000.cpd", "31022020143000.cpd.zone1.x",
-    "09132020143000.cpd.zone1.x", "09122020253000.cpd.zone1.x",
+    "09132020143000.cpd.zone1.x", "09122020253000.cpd.zone1.x", "09122020143000..zone1.x",
 ])
-def test_malformed_key_has_no_time(one, key):
-    assert one(keys.key_time(K), k=("string", key)) is None
+def test_malformed_key(one, key):
+    time = F.when(keys.is_well_formed(K), keys.key_time(K))
+    assert one(time, k=("string", key)) is None
 
 
 def test_upload_key(one):
