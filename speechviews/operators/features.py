@@ -26,14 +26,13 @@ def term_frequencies(tokens: DataFrame) -> DataFrame:
     word starts, and take the distance to the next start. Nothing is shuffled.
     """
     words, starts, start = F.col("sorted"), F.col("starts"), F.col("start")
-    positions = F.sequence(F.lit(0), F.size(words) - 1)
+    positions = F.transform(words, lambda _, i: i)
     is_start = lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1))
     following = F.coalesce(F.get(starts, F.col("p") + 1), F.size(words))
     # Exploding an array of one element gives the array a name that the optimiser keeps;
     # a plain column would be sorted anew at each of its uses.
     return (
-        tokens.where(F.size("words") > 0)
-        .select("id", F.explode(F.array(F.sort_array("words"))).alias("sorted"))
+        tokens.select("id", F.explode(F.array(F.sort_array("words"))).alias("sorted"))
         .select("id", "sorted", F.explode(F.array(F.filter(positions, is_start))).alias("starts"))
         .select("id", "sorted", "starts", F.posexplode("starts").alias("p", "start"))
         .select("id", F.get(words, start).alias("word"), (following - start).alias("tf"))
