@@ -133,7 +133,7 @@ def keyed_uploads(spark: SparkSession, folder: str) -> DataFrame:
 def listener_files(spark: SparkSession, folder: str) -> DataFrame:
     """Audio files captured by listeners, and the job name each would be transcribed under."""
     key = keys.listener_key(F.col("event_ts"), F.col("dept_name"), F.col("zone"))
-    return sources(spark, folder).select("id", "kind", key.alias("key")).withColumn(
+    return sources(spark, folder).select("id", "kind", "text", key.alias("key")).withColumn(
         "job_name", keys.job_name(F.col("key"))
     )
 
@@ -261,7 +261,7 @@ CTES = {
                dept_name, zone, date, time, duration, nullif(text, '') AS text, recording
         FROM uploads WHERE zone <> ''""",
     "listener_files": r"""
-        SELECT id, kind, strftime(event_ts, '%d%m%Y%H%M') || '00.' || dept_name || '.' || zone || '.'
+        SELECT id, kind, text, strftime(event_ts, '%d%m%Y%H%M') || '00.' || dept_name || '.' || zone || '.'
                || CAST(epoch_us(event_ts) // 1000000 AS VARCHAR) || '.'
                || lpad(CAST(epoch_us(event_ts) % 1000000 AS VARCHAR), 6, '0') AS job_name
         FROM sources""",

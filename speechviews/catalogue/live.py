@@ -8,8 +8,8 @@ from speechviews.catalogue.model import trained_model
 from speechviews.catalogue.registry import query
 from speechviews.operators import messages as M, prepare as P, serving as S
 from speechviews.session import scratch_path
-from speechviews.sinks.tables import write_messages, write_recordings, write_reports
-from speechviews.sources.streams import arrived_objects, file_messages
+from speechviews.sinks.tables import write_messages, write_recordings, write_reports, write_transcripts
+from speechviews.sources.streams import arrived_objects, arrived_transcripts, as_raw, file_messages
 from speechviews.sources.tables import recordings_orc
 from speechviews.streaming import live as L
 
@@ -63,6 +63,18 @@ def stream_quarantine(spark, folder):
     return spark.read.schema("key string, body string").json(rejected)
 
 
+@query(with_ctes("SELECT job_name || '.json' AS key, text AS body FROM listener_files"))
+def stream_transcripts(spark, folder):
+    """Transcription results that arrive as files, sent on as messages with bodies and decoded."""
+    landed, sent = scratch_path(spark, "transcripts"), scratch_path(spark, "sent")
+    write_transcripts(I.listener_files(spark, folder), landed)
+    L.finish(
+        as_raw(arrived_transcripts(spark, landed)).select("value").writeStream.format("text").option("path", sent)
+        .option("checkpointLocation", scratch_path(spark, "stream")).trigger(**L.ALL_AVAILABLE).start()
+    )
+    return M.decode(spark.read.text(sent)).select("key", "body")
+
+
 @query()
 def stream_scored_counts(spark, folder):
     return M.live_totals(_ledger(spark, folder, trained_model(spark, folder)))

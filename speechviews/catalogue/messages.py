@@ -8,6 +8,9 @@ from speechviews.catalogue.registry import query
 from speechviews.functions.formats import message_json
 from speechviews.operators import messages as M
 from speechviews.schemas import GROUP
+from speechviews.session import scratch_path
+from speechviews.sinks.tables import write_reports, write_transcripts
+from speechviews.sources.tables import transcripts_json, uploads_json
 
 
 def _encoded(spark, folder):
@@ -56,6 +59,22 @@ def live_counts(spark, folder):
     return M.live_counts(M.parse_keys(I.messages(spark, folder)))
 
 
+@query(with_ctes("""
+    SELECT k.event_id, k.key, CASE WHEN length(k.body) > 0 THEN k.body ELSE t.text END AS body
+    FROM keyed k LEFT JOIN (
+      SELECT event_id, max(text) AS text
+      FROM (SELECT id AS event_id, text FROM keyed_uploads UNION ALL SELECT job_name, text FROM listener_files) AS u
+      GROUP BY event_id) AS t ON t.event_id = k.event_id"""))
+def messages_with_bodies(spark, folder):
+    """Messages that only name an object get the text of that object: reports and transcription
+    results written as JSON and read in one go."""
+    reports, transcripts = scratch_path(spark, "reports"), scratch_path(spark, "transcripts")
+    write_reports(I.keyed_uploads(spark, folder), reports)
+    write_transcripts(I.listener_files(spark, folder), transcripts)
+    texts = M.object_texts(uploads_json(spark, reports), transcripts_json(spark, transcripts))
+    return M.with_bodies(I.messages(spark, folder), texts)
+
+
 # A long body stands for a positive prediction.
 @query(with_ctes("""
     SELECT dept_name, zone, time_of_day, season, count(*) FILTER (positive) AS sentiment_score_sum,

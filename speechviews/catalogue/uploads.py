@@ -9,7 +9,7 @@ from speechviews.functions import keys
 from speechviews.operators import messages as M, prepare as P
 from speechviews.schemas import UPLOAD
 from speechviews.session import scratch_path
-from speechviews.sinks.tables import write_reports
+from speechviews.sinks.tables import write_reports, write_transcripts
 from speechviews.sources.tables import transcripts_json, uploads_json
 
 
@@ -66,14 +66,12 @@ def upload_json_roundtrip(spark, folder):
     return uploads_json(spark, path).select(*UPLOAD.names)
 
 
-@query("SELECT text, count(*) AS n FROM documents GROUP BY text")
+@query(with_ctes("SELECT job_name, text FROM listener_files"))
 def transcript_text(spark, folder):
     """Texts wrapped as transcription results, written, read and taken out again."""
     path = scratch_path(spark, "transcripts")
-    texts = I.table(spark, folder, "documents").select("text")
-    wrapped = F.struct(F.array(F.struct(F.col("text").alias("transcript"))).alias("transcripts"))
-    texts.select(wrapped.alias("results")).write.json(path)
-    return transcripts_json(spark, path).groupBy("text").agg(F.count("*").alias("n"))
+    write_transcripts(I.listener_files(spark, folder), path)
+    return transcripts_json(spark, path)
 
 
 # Audio files of events other than views and clicks have been transcribed before.

@@ -81,6 +81,15 @@ def tfidf_terms(tokens: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
+def _parts(slot, weights):
+    return F.when(slot < weights[0], 0).when(slot < weights[0] + weights[1], 1).otherwise(2)
+
+
+def random_split(df: DataFrame, weights=(6, 3, 1), seed=0) -> DataFrame:
+    """``part`` 0, 1 or 2 at random. Which rows go where depends on how they are laid out."""
+    return df.withColumn("part", _parts(F.rand(seed) * sum(weights), weights))
+
+
 def hash_split(df: DataFrame, weights=(6, 3, 1), id_column="id") -> DataFrame:
     """``part`` 0, 1 or 2 in the given proportions, from a hash of the id alone.
 
@@ -89,7 +98,4 @@ def hash_split(df: DataFrame, weights=(6, 3, 1), id_column="id") -> DataFrame:
     """
     digest = F.substring(F.md5(F.col(id_column).cast("string")), 1, 8)
     slot = F.conv(digest, 16, 10).cast("long") % sum(weights)
-    return df.withColumn(
-        "part",
-        F.when(slot < weights[0], 0).when(slot < weights[0] + weights[1], 1).otherwise(2),
-    )
+    return df.withColumn("part", _parts(slot, weights))

@@ -93,6 +93,20 @@ def with_positive(scored: DataFrame) -> DataFrame:
     return scored.withColumn("positive", has_body() & (F.col("prediction") > 0))
 
 
+def object_texts(reports: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """(event_id, text) from upload reports and transcription results, one row per event."""
+    of_reports = reports.select(F.col("id").alias("event_id"), "text")
+    of_transcripts = transcripts.select(F.col("job_name").alias("event_id"), "text")
+    return of_reports.unionByName(of_transcripts).groupBy("event_id").agg(F.max("text").alias("text"))
+
+
+def with_bodies(messages: DataFrame, texts: DataFrame) -> DataFrame:
+    """Messages without body take the text of the object their key names, if there is one."""
+    keyed = messages.withColumn("event_id", keys.event_id(F.col("key")))
+    body = F.when(has_body(), F.col("body")).otherwise(F.col("text"))
+    return keyed.join(texts, "event_id", "left").select("event_id", "key", body.alias("body"))
+
+
 def storage_event_keys(raw: DataFrame) -> DataFrame:
     """Bucket and decoded object key of every record in storage events (JSON in ``value``)."""
     event = F.from_json("value", STORAGE_EVENT)

@@ -49,6 +49,7 @@ UPLOAD = T.StructType([
 ])
 
 TRANSCRIPT = T.StructType([
+    T.StructField("jobName", T.StringType()),
     T.StructField("results", T.StructType([
         T.StructField("transcripts", T.ArrayType(T.StructType([
             T.StructField("transcript", T.StringType()),

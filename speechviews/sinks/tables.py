@@ -44,6 +44,12 @@ def write_reports(uploads: DataFrame, path: str):
     uploads.select(*UPLOAD.names).write.mode("overwrite").json(path)
 
 
+def write_transcripts(transcripts: DataFrame, path: str):
+    """Texts with their job names in the shape of transcription results."""
+    results = F.struct(F.array(F.struct(F.col("text").alias("transcript"))).alias("transcripts"))
+    transcripts.select(F.col("job_name").alias("jobName"), results.alias("results")).write.mode("overwrite").json(path)
+
+
 def write_messages(messages: DataFrame, path: str):
     """Messages (key, body) as JSON lines."""
     messages.select(message_json(F.col("key"), F.col("body")).alias("value")).write.mode("overwrite").text(path)

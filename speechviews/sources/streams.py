@@ -2,7 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from speechviews.schemas import UPLOAD
+from speechviews.functions.formats import message_json
+from speechviews.schemas import TRANSCRIPT, UPLOAD
+from speechviews.sources.tables import transcript_columns
 
 
 def kafka_messages(spark: SparkSession, brokers: str, topic: str,
@@ -33,12 +35,36 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger=None) ->
     return reader.load(path).select("value", F.current_timestamp().alias("arrived_at"))
 
 
-def arrived_objects(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
-    """Messages for JSON reports that land in a folder: one per report, key without body."""
-    reader = spark.readStream.schema(UPLOAD).option("pathGlobFilter", "*.json")
+def _arrived_json(spark: SparkSession, path: str, schema, max_files_per_trigger) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(path).select(
+    return reader.json(path)
+
+
+def arrived_objects(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
+    """Messages for JSON reports that land in a folder: one per report, key and file name."""
+    return _arrived_json(spark, path, UPLOAD, max_files_per_trigger).select(
         F.concat(F.col("id"), F.lit(".json")).alias("key"),
         F.col("_metadata.file_name").alias("file_name"),
     )
+
+
+def arrived_reports(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
+    """The same with the text of each report as the message's body."""
+    return _arrived_json(spark, path, UPLOAD, max_files_per_trigger).select(
+        F.concat(F.col("id"), F.lit(".json")).alias("key"), F.col("text").alias("body")
+    )
+
+
+def arrived_transcripts(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
+    """Messages for transcription results that land in a folder, transcripts as bodies."""
+    found = transcript_columns(_arrived_json(spark, path, TRANSCRIPT, max_files_per_trigger))
+    return found.select(F.concat(F.col("job_name"), F.lit(".json")).alias("key"), F.col("text").alias("body"))
+
+
+def as_raw(messages: DataFrame) -> DataFrame:
+    """Key and body as the JSON that a topic would carry, with the arrival time."""
+    return messages.select(
+        message_json(F.col("key"), F.col("body")).alias("value"), F.current_timestamp().alias("arrived_at")
+    )

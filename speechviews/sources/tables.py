@@ -56,15 +56,20 @@ def uploads_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(with_corrupt_record(UPLOAD)).json(path)
 
 
-def transcripts_json(spark: SparkSession, path: str) -> DataFrame:
-    """Transcripts of transcription results, with the file each came from."""
-    raw = spark.read.schema(TRANSCRIPT).json(path)
+def transcript_columns(raw: DataFrame) -> DataFrame:
+    """Job name (the file's, if the result does not tell) and text of transcription results."""
+    file_stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.json$", "")
     return raw.select(
-        F.col("_metadata.file_name").alias("file_name"),
+        F.coalesce("jobName", file_stem).alias("job_name"),
         first_transcript(F.col("results")).alias("text"),
     )
 
 
+def transcripts_json(spark: SparkSession, path: str) -> DataFrame:
+    """Transcripts of all transcription results in a folder."""
+    return transcript_columns(spark.read.schema(TRANSCRIPT).json(path))
+
+
 def local_rows(spark: SparkSession, rows, schema) -> DataFrame:
     """A small lookup from Python rows."""
     return spark.createDataFrame(rows, schema)

@@ -79,11 +79,11 @@ def running_counts(raw: DataFrame, horizon="1 day") -> DataFrame:
     return once.groupBy(*GROUP).agg(F.count("*").alias("sentiment_score_total"))
 
 
-def start_running_counts(raw: DataFrame, path: str, checkpoint: str, trigger=MICRO_BATCH, **options) -> StreamingQuery:
-    """Write changed totals of every micro-batch to its own partition."""
+def start_running_counts(raw: DataFrame, path: str, checkpoint: str, trigger=MICRO_BATCH, files=4, **options) -> StreamingQuery:
+    """Write changed totals of every micro-batch to its own partition, in a few files."""
 
     def write(batch: DataFrame, batch_id: int):
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.repartition(files, *GROUP).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         running_counts(raw, **options).writeStream.outputMode("update").foreachBatch(write)

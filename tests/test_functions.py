@@ -127,4 +127,4 @@ def test_transcript_with_a_bracket(spark, tmp_path):
     from speechviews.sources.tables import transcripts_json
 
     (tmp_path / "t.json").write_text('{"results":{"transcripts":[{"transcript":"hi [x] there"}],"items":[1]}}\n')
-    assert transcripts_json(spark, str(tmp_path)).first().text == "hi [x] there"
+    assert tuple(transcripts_json(spark, str(tmp_path)).first()) == ("t", "hi [x] there")

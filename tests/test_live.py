@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from speechviews.operators import messages as M
-from speechviews.sources.streams import arrived_objects, file_messages, kafka_messages
+from speechviews.sources.streams import arrived_objects, arrived_reports, as_raw, file_messages, kafka_messages
 from speechviews.streaming import live as L
 
 KEY = "09122020143000.cpd.zone1.noAudio.1607"
@@ -105,6 +105,21 @@ def test_arrived_objects(spark, tmp_path):
     assert {(r.key, r.file_name) for r in spark.table("arrived").collect()} == {(KEY + ".json", "a.json"), (OTHER + ".json", "a.json")}
 
 
+def test_body_from_the_object(spark):
+    messages = M.decode(raw(spark, {"key": KEY + ".json"}, {"key": OTHER, "body": "own"}, {"key": MORNING}))
+    reports = spark.createDataFrame([(KEY, "report"), (OTHER, "not used")], "id string, text string")
+    transcripts = spark.createDataFrame([("other job", "x")], "job_name string, text string")
+    got = {r.event_id: r.body for r in M.with_bodies(messages, M.object_texts(reports, transcripts)).collect()}
+    assert got == {KEY: "report", OTHER: "own", MORNING: None}
+
+
+def test_arrived_reports_feed_the_ledger(spark, tmp_path):
+    land(tmp_path / "in", "a.json", {"id": KEY, "text": "x"}, {"id": OTHER, "text": "y"})
+    stream = as_raw(arrived_reports(spark, str(tmp_path / "in")))
+    L.finish(*L.start_ledger(stream, str(tmp_path / "ledger"), str(tmp_path / "cp"), trigger=L.ALL_AVAILABLE))
+    assert totals(L.ledger_events(spark, str(tmp_path / "ledger"))) == {"zone1": (0, 2)}
+
+
 def test_console_shows_rows(spark, tmp_path):
     land(tmp_path / "in", "1.txt", {"key": KEY})
     decoded = M.decode(file_messages(spark, str(tmp_path / "in"))).select("key", "body")

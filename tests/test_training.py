@@ -72,6 +72,14 @@ def test_split_ignores_the_layout(reviews):
     assert sum(sizes) == 300 and 150 < sizes[0] < 210 and 60 < sizes[1] < 120
 
 
+def test_random_split(reviews):
+    from functools import partial
+
+    parts = X.random_split(reviews, seed=0).groupBy("part").count().collect()
+    assert sum(p["count"] for p in parts) == 300 and {p.part for p in parts} == {0, 1, 2}
+    assert T.train(reviews, ["the"], split=partial(X.random_split, seed=1)).validation[0] == 1.0
+
+
 def test_features_from_the_training_part_only(reviews):
     assert T.train(reviews, ["the"], fit_features_on="train").test == 1.0
 
