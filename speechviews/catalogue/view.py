@@ -64,6 +64,16 @@ _PERCENT_TEXT = """
     END"""
 
 
+@query(with_ctes("""
+    SELECT * FROM the_view
+    WHERE dept_name = 'dept1' AND zone = 'en' AND time_of_day = 'morn' AND season = 'spring'"""))
+def view_group_lookup(spark, folder):
+    """One group of a written view."""
+    path = scratch_path(spark, "view")
+    write_view(I.labelled_view(spark, folder), path, version=1)
+    return S.lookup_group(view_table(spark, path), "dept1", "en", "morn", "spring")
+
+
 def _requests(spark, folder):
     """One request per event type, zone and hour of the day, for one department that exists and
     one that does not."""

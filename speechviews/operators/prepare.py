@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from speechviews.functions import daytime, text
 from speechviews.functions.formats import empty_to_null
 from speechviews.functions.keys import audio_flag, epoch_millis, upload_key
+from speechviews.session import broadcast_if_small
 
 REQUIRED = ["dept_name", "zone", "time_of_day", "date_of_event", "duration", "text"]
 REQUIRED_UPLOAD = ["dept_name", "zone", "date", "time", "duration"]
@@ -104,5 +105,13 @@ def with_audio_flag(uploads: DataFrame) -> DataFrame:
 
 
 def new_recordings(landed: DataFrame, source: DataFrame) -> DataFrame:
-    """Valid landed recordings whose id the source table does not hold."""
-    return valid(landed).join(source.select("id"), "id", "left_anti").select(*landed.columns)
+    """Valid landed recordings whose id the source table does not hold.
+
+    When the landed ids are proven few, the source is only searched for them where it lies;
+    otherwise its ids are shuffled to the landed ones.
+    """
+    fresh, held = valid(landed), source.select("id")
+    ids, few = broadcast_if_small(fresh.select("id"))
+    if few:
+        held = held.join(ids, "id", "left_semi")
+    return fresh.join(held, "id", "left_anti").select(*landed.columns)

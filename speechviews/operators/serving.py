@@ -1,5 +1,7 @@
 """Lookups in the view, upserts and the merge of batch and live counters."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from speechviews.functions.formats import percent, percent_text
@@ -18,6 +20,12 @@ def lookup(view: DataFrame, key: str) -> DataFrame:
     return view.where(F.col("row_key") == key)
 
 
+def lookup_group(view: DataFrame, dept: str, zone: str, time_of_day: str, season: str) -> DataFrame:
+    """The row of one group. On a written view this opens one partition only."""
+    wanted = zip(GROUP, (dept, zone, time_of_day, season))
+    return view.where(reduce(lambda a, b: a & b, [F.col(c) == v for c, v in wanted]))
+
+
 def displayed(view: DataFrame) -> DataFrame:
     """What is shown of a group: both word lists and the share of positive texts."""
     return with_percent(view).select(

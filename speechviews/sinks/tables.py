@@ -32,9 +32,14 @@ def write_view(view: DataFrame, path: str, version: int):
     """Write one version of a view, then announce it.
 
     Readers follow the announcements, so they see whole versions only, and a view may be
-    computed from the version it replaces.
+    computed from the version it replaces. Partitions are evened out while writing, and sorted
+    by key so that a lookup skips most of a file.
     """
-    view.select(*VIEW.names).write.mode("overwrite").parquet(f"{path}/data/version={version}")
+    slots = ["season", "time_of_day"]
+    (
+        view.select(*VIEW.names).hint("rebalance", *slots).sortWithinPartitions(*slots, "row_key")
+        .write.mode("overwrite").partitionBy(*slots).parquet(f"{path}/data/version={version}")
+    )
     commit = view.sparkSession.range(version, version + 1).select(F.col("id").alias("version"))
     commit.coalesce(1).write.mode("append").parquet(f"{path}/commits")
 

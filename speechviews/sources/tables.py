@@ -87,4 +87,4 @@ def view_table(spark: SparkSession, path: str, version: int | None = None) -> Da
     """One version of a view, the newest committed one unless told otherwise."""
     if version is None:
         version = view_versions(spark, path).agg(F.max("version")).first()[0]
-    return spark.read.schema(VIEW).parquet(f"{path}/data/version={version}")
+    return spark.read.schema(VIEW).parquet(f"{path}/data/version={version}").select(*VIEW.names)

@@ -16,6 +16,7 @@ from speechviews.schemas import GROUP
 
 MICRO_BATCH = {"processingTime": "2 seconds"}
 ALL_AVAILABLE = {"availableNow": True}
+SALTS = 8
 
 LEDGER = T.StructType([
     T.StructField("event_id", T.StringType()),
@@ -69,11 +70,15 @@ def running_counts(raw: DataFrame, horizon="1 day") -> DataFrame:
     Copies of an event are recognised while they arrive within ``horizon`` of each other. The
     watermark runs on arrival time, not on the time in the key: no message ever arrives late,
     so none is dropped, and a recording of last year still counts in its group.
+
+    Copies are dropped twice, first within ``SALTS`` slices of the input, so that an event with
+    very many copies does not send all of them to one task.
     """
     once = (
         M.parse_keys(M.decode(raw))
-        .select("event_id", *GROUP, "arrived_at")
+        .select("event_id", *GROUP, "arrived_at", F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
         .withWatermark("arrived_at", horizon)
+        .dropDuplicatesWithinWatermark(["event_id", "salt"])
         .dropDuplicatesWithinWatermark(["event_id"])
     )
     return once.groupBy(*GROUP).agg(F.count("*").alias("sentiment_score_total"))

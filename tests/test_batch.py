@@ -163,6 +163,17 @@ def test_view_versions(spark, tmp_path):
     write_view(S.upsert(first, _view_rows(spark, [(G1, "z", "y", 9, 9)])), path, 2)
     assert view_table(spark, path).first().most_common_words == "z"
     assert view_table(spark, path, version=1).first().most_common_words == "x"
+    row = S.lookup_group(view_table(spark, path), *G1)
+    assert row.first().sentiment_score_total == 9
+    assert "PartitionFilters: [isnotnull" in row._jdf.queryExecution().executedPlan().toString()
+
+
+def test_append_adds_new_ids_only(spark, recordings, monkeypatch):
+    source = recordings([("1", *A, "old")])
+    landed = recordings([("1", *A, "again"), ("2", *A, "new"), ("3", *A, None)])
+    assert [r.text for r in P.new_recordings(landed, source).collect()] == ["new"]
+    monkeypatch.setattr(P, "broadcast_if_small", lambda df: (df, False))
+    assert [r.text for r in P.new_recordings(landed, source).collect()] == ["new"]
 
 
 def test_uploads(spark):
