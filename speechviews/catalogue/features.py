@@ -28,14 +28,18 @@ def _tokens(spark, folder):
     return X.filtered_tokens(I.reviews(spark, folder), STOP_WORDS)
 
 
-@query(with_ctes("SELECT id, words FROM review_words"))
+def _joined(tokens):
+    return tokens.select("id", F.size("words").cast("long").alias("n_words"), F.array_join("words", " ").alias("words"))
+
+
+@query(with_ctes("SELECT id, len(words) AS n_words, array_to_string(words, ' ') AS words FROM review_words"))
 def review_tokens(spark, folder):
-    return X.review_tokens(I.reviews(spark, folder))
+    return _joined(X.review_tokens(I.reviews(spark, folder)))
 
 
-@query(with_ctes("SELECT id, words FROM review_kept"))
+@query(with_ctes("SELECT id, len(words) AS n_words, array_to_string(words, ' ') AS words FROM review_kept"))
 def review_tokens_filtered(spark, folder):
-    return _tokens(spark, folder)
+    return _joined(_tokens(spark, folder))
 
 
 @query(with_ctes("SELECT id, word, CAST(tf AS INTEGER) AS tf FROM terms"))

@@ -101,9 +101,14 @@ def normalised_text(spark, folder):
     return I.recordings(spark, folder).select("id", text.normalise(F.col("text")).alias("text"))
 
 
-@query(with_ctes("SELECT id, words FROM tokenised"))
+@query(with_ctes("""
+    SELECT id, len(words) AS n_words, words[1] AS first_word, words[len(words)] AS last_word FROM tokenised"""))
 def token_array(spark, folder):
-    return I.recordings(spark, folder).select("id", text.words(F.col("text")).alias("words"))
+    tokens = I.recordings(spark, folder).select("id", text.words(F.col("text")).alias("words"))
+    return tokens.select(
+        "id", F.size("words").cast("long").alias("n_words"),
+        F.get("words", F.lit(0)).alias("first_word"), F.get("words", F.size("words") - 1).alias("last_word"),
+    )
 
 
 @query(with_ctes("SELECT id, dept_name || zone || time_of_day || season AS row_key FROM grouped"))

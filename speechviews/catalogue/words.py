@@ -20,13 +20,8 @@ def _grouped(spark, folder):
     return grouped(I.recordings(spark, folder))
 
 
-def _counts(spark, folder, stop_words=None):
-    pieces = W.words_of(_grouped(spark, folder), *GROUP)
-    return W.counts_without_stop_words(pieces, stop_words or I.STOP_WORDS, F.count("*").alias("cnt"))
-
-
 def _ranked(spark, folder, side):
-    return W.ranked(_counts(spark, folder)).where(F.col("side") == side)
+    return W.word_ranking(_grouped(spark, folder), I.STOP_WORDS).where(F.col("side") == side)
 
 
 @query(with_ctes("""
@@ -42,14 +37,15 @@ def stop_words_scan(spark, folder):
 
 @query(with_ctes(f"""
     SELECT dept_name, zone, time_of_day, season, part, count(*) AS n_texts,
-           list(id ORDER BY id) AS ids, list(text ORDER BY id) AS texts
+           string_agg(id, ',' ORDER BY id) AS ids, string_agg(text, chr(30) ORDER BY id) AS texts
     FROM (
       SELECT *, CAST('0x' || substr(md5(id), 1, 8) AS BIGINT)
                 % CAST(ceil(count(*) OVER (PARTITION BY dept_name, zone, time_of_day, season) / {ROWS_PER_PART}.0) AS BIGINT) AS part
       FROM grouped) AS p
     GROUP BY ALL"""))
 def texts_per_group(spark, folder):
-    return G.texts_per_group(_grouped(spark, folder), ROWS_PER_PART)
+    parts = G.texts_per_group(_grouped(spark, folder), ROWS_PER_PART)
+    return parts.withColumns({"ids": F.array_join("ids", ","), "texts": F.array_join("texts", "\x1e")})
 
 
 @query(with_ctes("SELECT dept_name, zone, time_of_day, season, count(*) AS segments FROM grouped GROUP BY ALL"))
@@ -64,7 +60,9 @@ def group_word_counts(spark, folder):
 
 @query(with_ctes("SELECT * FROM kept_counts"))
 def stop_word_exclusion(spark, folder):
-    return _counts(spark, folder, I.stop_word_table(spark)).select(*GROUP, "word", "cnt")
+    pieces = W.words_of(_grouped(spark, folder), *GROUP)
+    counts = W.counts_without_stop_words(pieces, I.stop_word_table(spark), F.count("*").alias("cnt"))
+    return counts.select(*GROUP, "word", "cnt")
 
 
 @query(with_ctes("""
@@ -93,5 +91,5 @@ def batch_view_words(spark, folder):
            replace(least_common_words, ',', ', ') AS least_common_words
     FROM word_lists"""))
 def display_words(spark, folder):
-    lists = W.word_lists(_counts(spark, folder))
+    lists = W.word_lists(W.word_ranking(_grouped(spark, folder), I.STOP_WORDS))
     return lists.select(*GROUP, *[display_list(F.col(c)).alias(c) for c in ("most_common_words", "least_common_words")])

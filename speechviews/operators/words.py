@@ -8,6 +8,7 @@ holds a whole group.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from speechviews.functions.keys import packed, unpacked
 from speechviews.functions.text import clean_text, comma_list, is_word
 from speechviews.schemas import GROUP
 from speechviews.session import broadcast_if_small
@@ -85,9 +86,21 @@ def listed_words(side: str) -> Column:
     return F.transform(F.sort_array(entries, asc=side == "most"), lambda e: e.getField("word"))
 
 
-def word_lists(counts: DataFrame, n=WORDS_KEPT, by=GROUP) -> DataFrame:
+def word_ranking(grouped: DataFrame, stop_words, n=WORDS_KEPT) -> DataFrame:
+    """(group columns, side, rank, word, cnt): the ``n`` most and least common words of each group.
+
+    Until the few rows that stay are known, the group is one packed string.
+    """
+    pieces = words_of(grouped.select(packed(*GROUP).alias("group"), "text"), "group")
+    counts = counts_without_stop_words(pieces, stop_words, F.count("*").alias("cnt"), by=["group"])
+    return ranked(counts, n, by=["group"]).select(
+        *unpacked(F.col("group"), GROUP), "side", "rank", "word", "cnt"
+    )
+
+
+def word_lists(ranking: DataFrame, by=GROUP) -> DataFrame:
     """Both word lists of each group that has any word, as comma-separated text."""
-    return ranked(counts, n, by).groupBy(*by).agg(
+    return ranking.groupBy(*by).agg(
         comma_list(listed_words("most")).alias("most_common_words"),
         comma_list(listed_words("least")).alias("least_common_words"),
     )
