@@ -37,7 +37,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = local_session(cpus)
     reviews = I.reviews(spark, folder)
-    actions = {"model_training": lambda: train(reviews, I.STOP_WORDS)}
+    actions = {"model_training": lambda: train(reviews, I.STOP_WORDS, parallelism=9)}
     for name in HEADLINE:
         actions[name] = lambda name=name: QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
     trained_model(spark, folder)
