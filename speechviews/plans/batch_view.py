@@ -29,11 +29,9 @@ def _pieces(scored: DataFrame) -> DataFrame:
     tokens = F.split(F.concat(F.lit(" "), clean_text(F.col("text"))), " ")
     word, is_recording = F.col("word"), F.col("pos") == 0
     return (
-        scored.select(
-            packed(*GROUP).alias("group"),
-            F.col("prediction").cast("long").alias("prediction"),
-            F.posexplode(tokens).alias("pos", "word"),
-        )
+        # A step of its own, or the packing would be done for every word.
+        scored.select(packed(*GROUP).alias("group"), F.col("prediction").cast("long").alias("prediction"), "text")
+        .select("group", "prediction", F.posexplode(tokens).alias("pos", "word"))
         .where(is_recording | is_word(word))
         .select("group", "word", F.when(is_recording, F.col("prediction")).otherwise(F.lit(0)).alias("positive"))
     )
