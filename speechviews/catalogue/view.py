@@ -10,7 +10,7 @@ from speechviews.catalogue.inputs import with_ctes
 from speechviews.catalogue.registry import query
 from speechviews.functions.formats import counter_bytes, counter_value
 from speechviews.operators import groups as G, messages as M, serving as S
-from speechviews.schemas import GROUP, VIEW
+from speechviews.schemas import GROUP
 from speechviews.session import scratch_path
 from speechviews.sinks.tables import save_view_table, write_view
 from speechviews.sources.tables import view_table
@@ -35,11 +35,12 @@ def view_write_and_scan(spark, folder):
 
 @query(WHOLE_VIEW)
 def view_as_catalog_table(spark, folder):
-    name = "view_" + scratch_path(spark, "t").rsplit("-", 1)[1]
+    """A catalog table written, then replaced as a whole."""
+    path = scratch_path(spark, "view_table")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
     view = I.labelled_view(spark, folder)
-    spark.sql(f"CREATE TABLE {name} ({', '.join(f'{f.name} {f.dataType.simpleString()}' for f in VIEW)}) "
-              f"USING parquet LOCATION '{scratch_path(spark, name)}'")
-    save_view_table(view, name)
+    save_view_table(view.withColumn("row_key", F.lit("old")), name, path)
+    save_view_table(view, name, path)
     return spark.table(name)
 
 

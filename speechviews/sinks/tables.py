@@ -23,9 +23,12 @@ def write_recordings(recordings: DataFrame, path: str, mode="overwrite"):
     recordings.select(*[F.col(f.name).cast(f.dataType) for f in RECORDING]).write.mode(mode).orc(path)
 
 
-def save_view_table(view: DataFrame, name: str):
-    """Replace a catalog table by the view."""
-    view.select(*VIEW.names).write.mode("overwrite").saveAsTable(name)
+def save_view_table(view: DataFrame, name: str, path: str | None = None):
+    """Replace a catalog table by the view, in the warehouse or at ``path``."""
+    writer = view.select(*VIEW.names).write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(name)
 
 
 def write_view(view: DataFrame, path: str, version: int):
