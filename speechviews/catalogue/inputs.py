@@ -59,8 +59,8 @@ def sources(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("dept"), department.cast("string")).alias("dept_name"),
         F.col("lang").alias("zone"),
-        F.date_format("event_ts", "HH:mm:ss").alias("time_of_day"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_of_event"),
+        F.substring(F.col("event_ts").cast("string"), 12, 8).alias("time_of_day"),
+        F.substring(F.col("o_orderdate").cast("string"), 1, 10).alias("date_of_event"),
         F.col("value").alias("duration"),
         "text", "event_ts", "kind", "props",
     )
@@ -140,9 +140,10 @@ def listener_files(spark: SparkSession, folder: str) -> DataFrame:
 
 def unpadded_key(zone="zone") -> Column:
     """The key an old listener would give: day and month are not padded."""
+    written = F.col("event_ts").cast("string")
     return F.concat(
         F.dayofmonth("event_ts").cast("string"), F.month("event_ts").cast("string"),
-        F.date_format("event_ts", "yyyyHHmm"), F.lit("00."), "dept_name", F.lit("."), zone, F.lit(".mp3"),
+        F.substring(written, 1, 4), F.substring(written, 12, 2), F.substring(written, 15, 2), F.lit("00."), "dept_name", F.lit("."), zone, F.lit(".mp3"),
     )
 
 

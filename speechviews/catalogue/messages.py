@@ -32,7 +32,7 @@ def corrupt_messages(spark, folder):
 @query(with_ctes("""
     SELECT key, event_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS event_time, dept_name, zone, time_of_day, season FROM parsed"""))
 def parse_keys(spark, folder):
-    event_time = F.date_format("event_time", "yyyy-MM-dd HH:mm:ss").alias("event_time")
+    event_time = F.col("event_time").cast("string").alias("event_time")
     return M.parse_keys(I.messages(spark, folder)).select("key", "event_id", event_time, *GROUP)
 
 

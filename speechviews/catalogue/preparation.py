@@ -11,7 +11,7 @@ from speechviews.operators import prepare as P
 from speechviews.schemas import GROUP
 from speechviews.session import scratch_path
 from speechviews.sinks import tables as sinks
-from speechviews.sources import tables as tables
+from speechviews.sources import tables
 
 ALL_RECORDINGS = with_ctes("SELECT * FROM recordings")
 

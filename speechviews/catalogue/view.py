@@ -10,7 +10,6 @@ from speechviews.catalogue.inputs import with_ctes
 from speechviews.catalogue.registry import query
 from speechviews.functions.formats import counter_bytes, counter_value
 from speechviews.operators import groups as G, messages as M, serving as S
-from speechviews.schemas import GROUP
 from speechviews.session import scratch_path
 from speechviews.sinks.tables import save_view_table, write_view
 from speechviews.sources.tables import view_table

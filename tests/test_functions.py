@@ -128,3 +128,16 @@ def test_transcript_with_a_bracket(spark, tmp_path):
 
     (tmp_path / "t.json").write_text('{"results":{"transcripts":[{"transcript":"hi [x] there"}],"items":[1]}}\n')
     assert tuple(transcripts_json(spark, str(tmp_path)).first()) == ("t", "hi [x] there")
+
+
+def test_times_do_not_depend_on_the_session_zone(spark, one):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # This hour is skipped in New York.
+        assert one(F.hour(keys.key_time(K)), k=("string", "08032020023000.cpd.zone1.x")) == 2
+        ts = datetime.datetime(2020, 3, 8, 2, 30)
+        assert one(keys.epoch_millis(T), t=("timestamp_ntz", ts)) == 1583634600000
+        assert one(keys.listener_key(T, F.lit("d"), F.lit("z")), t=("timestamp_ntz", ts)).startswith("08032020023000.d.z.1583634600.")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
