@@ -9,8 +9,6 @@ KEY_START = r"^[0-9]{14}\.[^.]+\.[^.]+\."
 WITH_AUDIO = "yesAudio"
 WITHOUT_AUDIO = "noAudio"
 
-_EPOCH = "1970-01-01 00:00:00"
-
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -34,19 +32,23 @@ def unpacked(key: Column, names) -> list[Column]:
     return [parts[i].alias(name) for i, name in enumerate(names)]
 
 
-def _since_epoch(unit: str, ts: Column) -> Column:
-    # On zone-less timestamps, so that the session time zone does not matter.
-    return F.timestamp_diff(unit, F.lit(_EPOCH).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+def _epoch_micros(ts: Column) -> Column:
+    """Microseconds since the epoch of a zone-less timestamp, taken as UTC whatever the session's zone."""
+    days = F.datediff(ts.cast("timestamp_ntz").cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = days * 1440 + F.hour(ts) * 60 + F.minute(ts)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
 
 
 def epoch_millis(ts: Column) -> Column:
-    return _since_epoch("MILLISECOND", ts)
+    return F.floor(_epoch_micros(ts) / 1000).cast("long")
 
 
 def epoch_seconds_text(ts: Column) -> Column:
     """Seconds since the epoch with six decimals."""
-    fraction = F.pmod(_since_epoch("MICROSECOND", ts), F.lit(1_000_000)).cast("string")
-    return F.concat(_since_epoch("SECOND", ts).cast("string"), F.lit("."), F.lpad(fraction, 6, "0"))
+    micros = _epoch_micros(ts)
+    fraction = F.pmod(micros, F.lit(1_000_000))
+    seconds = ((micros - fraction) / 1_000_000).cast("long")
+    return F.concat(seconds.cast("string"), F.lit("."), F.lpad(fraction.cast("string"), 6, "0"))
 
 
 def _dotted(*parts: Column) -> Column:
