@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from speechviews.llm import histogram_shards, pivotal_mix, robust_rules, simhash
+from speechviews.llm import histogram_shards, pivotal_mix, robust_rules, simhash, templates
 from speechviews.llm.common import bare, documents, text_or_empty
 
 QUERIES, ORACLES = {}, {}
@@ -39,3 +39,8 @@ def op9_robust_rules(spark, folder):
     rows = robust_rules.judged(bare(documents(spark, folder), "doc_id", "text", "lang", "source"))
     counts = [F.col(f"rule_counts.{c}").alias(c) for c in robust_rules.COUNTS]
     return rows.select("doc_id", *counts, "base_failed", "kept", "distance2")
+
+
+@query
+def op10_template_decontamination(spark, folder):
+    return templates.flagged(bare(documents(spark, folder), "doc_id", "text"), spark.read.parquet(f"{folder}/benchmark.parquet"))
