@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from speechviews.llm import histogram_shards, pivotal_mix, robust_rules, simhash, templates
+from speechviews.llm import histogram_shards, license_digest, mil_quality, pii, pivotal_mix, robust_rules, simhash, templates
 from speechviews.llm.common import bare, documents, text_or_empty
 
 QUERIES, ORACLES = {}, {}
@@ -13,6 +13,17 @@ def query(function):
     return function
 
 
+@query
+def op1_pii_tagger(spark, folder):
+    rows = pii.found(bare(documents(spark, folder), "doc_id", "text"))
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op2_mil_quality(spark, folder):
+    return mil_quality.scored(bare(documents(spark, folder), "doc_id", "text"), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 @query
 def op3_histogram_shards(spark, folder):
     docs = bare(documents(spark, folder), "doc_id", "text").withColumn("text_crc32", F.crc32(text_or_empty()))
@@ -22,6 +33,14 @@ def op3_histogram_shards(spark, folder):
     )
 
 
+@query
+def op4_license_digests(spark, folder):
+    return license_digest.scanned(bare(documents(spark, folder), "doc_id", "text"))
+
+
+ORACLES["op4_license_digests"] = license_digest.ORACLE
+
+
 @query
 def op7_simhash_components(spark, folder):
     rows = simhash.near_duplicates(bare(documents(spark, folder), "doc_id", "text"), shingle=3, distance=3)
