@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from speechviews.llm import histogram_shards, license_digest, mil_quality, pii, pivotal_mix, robust_rules, simhash, suffix_dedup, templates
+from speechviews.llm import histogram_shards, license_digest, mil_quality, pii, pitman_yor, pivotal_mix, robust_rules, simhash, suffix_dedup, templates
 from speechviews.llm.common import bare, documents, text_or_empty
 
 QUERIES, ORACLES = {}, {}
@@ -46,6 +46,11 @@ def op5_suffix_trees(spark, folder):
     return suffix_dedup.without_repeats(bare(documents(spark, folder), "doc_id", "text")).drop("kept")
 
 
+@query
+def op6_pitman_yor(spark, folder):
+    return pitman_yor.scored(bare(documents(spark, folder), "doc_id", "text"))
+
+
 @query
 def op7_simhash_components(spark, folder):
     rows = simhash.near_duplicates(bare(documents(spark, folder), "doc_id", "text"), shingle=3, distance=3)
