@@ -38,6 +38,11 @@ def numbered(docs: DataFrame, order: str = "text_key") -> DataFrame:
     return keyed.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy(order)))
 
 
+def whole_row(docs: DataFrame):
+    """All columns as one struct ``whole``, so that no name of theirs can clash."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")
+
+
 def bare(docs: DataFrame, *names: str) -> DataFrame:
     """The named columns alone; a missing one is null. Other columns cannot clash with an operator's own."""
     kinds = {"doc_id": "bigint"}

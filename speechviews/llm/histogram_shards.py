@@ -16,7 +16,7 @@ import itertools
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from speechviews.llm.common import stored, text_or_empty
+from speechviews.llm.common import stored, text_or_empty, whole_row
 
 BITS = 10
 DEPTH = 60  # bits used of either hash
@@ -115,8 +115,8 @@ def shard_documents(docs: DataFrame, shards: int = 24, tolerance: float = TOLERA
     Only ids and hashes are stored for probing. The rows are exchanged once, by shard and slice; the slices of a shard
     are numbered side by side, so a shard is never in one task.
     """
-    columns = [c for c in docs.columns if c not in ("size", "shard", "slot", "key_text", "key_id", "slice", "start")]
-    placed = keyed(docs.select(*columns))
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("size", "shard", "slot")])
+    placed = keyed(docs.select("doc_id", "text", whole_row(docs))).select("whole", "size", "key_text", "key_id")
     keys = stored(placed.select("key_text", "key_id", "size"), "shard-keys")
     cuts = [_at_or_above(*s).cast("int") for s in splitters(keys, shards, tolerance)]
     shard = list(itertools.accumulate(cuts, lambda a, b: a + b))[-1] if cuts else F.lit(0)
@@ -127,5 +127,5 @@ def shard_documents(docs: DataFrame, shards: int = 24, tolerance: float = TOLERA
     nth = F.row_number().over(Window.partitionBy("shard", "slice").orderBy("key_text", "key_id"))
     ranked = placed.withColumns(marked).withColumn("nth_in_slice", nth)
     return ranked.join(starts, ["shard", "slice"]).withColumn("slot", F.col("start") + F.col("nth_in_slice") - 1).select(
-        *columns, "size", "shard", "slot"
+        "whole.*", "size", "shard", "slot"
     )

@@ -28,7 +28,7 @@ PATTERNS = {
 }
 TRIGGER = r"[0-9@]"
 WINDOW, STRIDE = 96, 48
-TRAIN_WINDOWS, STEPS, BATCH, HIDDEN, RATE = 4000, 320, 64, 16, 0.01
+TRAIN_WINDOWS, STEPS, BATCH, HIDDEN, RATE = 4000, 400, 64, 16, 0.03
 TAGS = 1 + 2 * len(KINDS)
 SCORE = 0.9  # least mean probability of a span's tags
 
@@ -48,8 +48,8 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def base_spans(text: str) -> list[tuple[int, int, str]]:
-    """``(kind's number, start, end)`` by start, then kind."""
+def base_spans(text: str, verified: bool = True) -> list[tuple[int, int, int]]:
+    """``(kind's number, start, end)`` by start, then kind; with card numbers that fail the check digit if not ``verified``."""
     out = []
     for k, kind in enumerate(KINDS):
         if kind == "email" and "@" not in text or kind == "phone" and "+" not in text:
@@ -59,7 +59,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
             digits = re.sub("[^0-9]", "", found)
             if kind == "ip" and any(int(p) > 255 for p in found.split(".")):
                 continue
-            if kind == "card" and not (14 <= len(digits) <= 19 and luhn(digits)):
+            if kind == "card" and not (14 <= len(digits) <= 19 and (luhn(digits) or not verified)):
                 continue
             if kind == "phone" and not 10 <= len(digits) <= 15:
                 continue
@@ -321,7 +321,7 @@ def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> list[tuple[
         for batch in batches:
             h, texts, spans = [], [], []
             for text in batch.column("text").to_pylist():
-                base = base_spans(text)
+                base = base_spans(text, verified=False)  # no tagger learns check digits; found cards are verified later
                 for s in windows_of(text):
                     inside = [(k, a - s, b - s) for k, a, b in base if s <= a and b <= s + WINDOW]
                     if sum(a < s + WINDOW and b > s for _, a, b in base) == len(inside):

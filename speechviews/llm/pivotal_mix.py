@@ -15,7 +15,7 @@ An empty table gives no rows.
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from speechviews.llm.common import WORD, numbered, stored, text_or_empty, unit_interval
+from speechviews.llm.common import WORD, numbered, stored, text_or_empty, unit_interval, whole_row
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -120,9 +120,7 @@ def copies(docs: DataFrame, weights=WEIGHTS, most=MOST) -> DataFrame:
 
 def mixed(docs: DataFrame, weights=WEIGHTS, most=MOST) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them; columns unchanged."""
-    names = docs.columns
-    whole = F.struct(*names).alias("whole")
-    rows = numbered(docs.select("doc_id", "text", "source", whole), "source").select(*ROW, "whole")
+    rows = numbered(docs.select("doc_id", "text", "source", whole_row(docs)), "source").select(*ROW, "whole")
     plan = copies(docs, weights, most).where("copies > 0").select(*[F.col(c).alias(f"{c}_") for c in ROW], "copies")
     same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in ROW]
     return rows.join(plan, same).select("whole", F.explode(F.expr("array_repeat(0, copies)"))).select("whole.*")

@@ -177,9 +177,14 @@ def distance():
 
 
 def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """``docs`` with ``rule_counts``, ``base_failed``, ``distance2`` and ``kept``; two passes over the texts, no text is shuffled."""
-    docs = docs.drop("base_failed", "distance2", "kept", "center", "inverse", "group", *X)
-    names = docs.columns
+    """``docs`` with ``rule_counts``, ``base_failed``, ``distance2`` and ``kept``, which replace columns of the same name.
+
+    Two passes over the texts; no text is shuffled.
+    """
+    own_names = ("lang", "source", "text")
+    names = [c for c in docs.columns if c.lower() not in ("rule_counts", "base_failed", "distance2", "kept")]
+    inner = {c: c if c in own_names else f"column_{k}" for k, c in enumerate(names)}
+    docs = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in inner.items()])
     counted = with_counts(docs.select("lang", "source", "text")).drop("text").withColumns(dict(zip(X, vector())))
     model = fit(stored(counted, "rules-stats"))
     whole, _ = broadcast_if_small(model.where("group = '*'").select("group", F.col("center").alias("c0"), F.col("inverse").alias("i0")))
@@ -191,10 +196,11 @@ def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     n, r = F.col("rule_counts.n_words"), F.col("rule_counts.n_repeat_words")
     rows = rows.withColumns({"base_failed": (n < MIN_WORDS) | (100 * r > 50 * n), "distance2": distance()})
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("distance2") <= cutoff)).select(
-        *names, "rule_counts", "base_failed", "distance2", "kept"
+        *[F.col(i).alias(c) for c, i in inner.items()], "rule_counts", "base_failed", "distance2", "kept"
     )
 
 
 def passing(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep; columns unchanged."""
-    return judged(docs).where("kept").select(*docs.columns)
+    names = [c if c in ("lang", "source", "text") else f"in_{k}" for k, c in enumerate(docs.columns)]
+    return judged(docs.toDF(*names)).where("kept").select(*names).toDF(*docs.columns)

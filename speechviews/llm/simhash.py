@@ -20,7 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from speechviews.llm.common import components, numbered, stored
+from speechviews.llm.common import components, numbered, stored, whole_row
 
 SEED = 42
 BITS = 64
@@ -200,7 +200,7 @@ def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFra
     rows = near_duplicates(docs, shingle, distance)
     key = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
     kept = rows.groupBy("root").agg(F.min(key).alias("k")).select(F.col("k.doc_id").alias("id_"), F.col("k.text_key").alias("key_"))
-    whole = docs.select("doc_id", "text", F.struct(*docs.columns).alias("whole"))
+    whole = docs.select("doc_id", "text", whole_row(docs))
     first = numbered(whole).where("nth = 1").select("doc_id", "text_key", "whole")
     same = F.col("doc_id").eqNullSafe(F.col("id_")) & F.col("text_key").eqNullSafe(F.col("key_"))
     return first.join(kept, same, "left_semi").select("whole.*")

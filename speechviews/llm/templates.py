@@ -14,7 +14,7 @@ table gives no rows, an empty benchmark no leaks. The benchmark is broadcast onl
 
 from pyspark.sql import DataFrame, functions as F
 
-from speechviews.llm.common import stored, text_or_empty
+from speechviews.llm.common import stored, text_or_empty, whole_row
 from speechviews.session import broadcast_if_small
 
 WINDOW = 8
@@ -120,6 +120,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage; columns unchanged."""
     found = stored(leaks(docs, benchmark).select("doc_id", "text_key"), "leaks")
     found, _ = broadcast_if_small(found.select(F.lit("").alias("none_"), F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")))
-    whole = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.struct(*docs.columns).alias("whole"))
+    whole = docs.select("doc_id", F.xxhash64("text").alias("text_key"), whole_row(docs))
     same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("text_key") == F.col("key_"))
     return whole.join(found, same, "left_anti").select("whole.*")
