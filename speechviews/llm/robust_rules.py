@@ -111,7 +111,7 @@ def fit(stats: DataFrame) -> DataFrame:
     own = stats.withColumn("group", F.explode(F.array(_group("lang", "source"), F.lit("*"))))
     long = own.select("group", F.posexplode(F.array(*X)).alias("k", "v"))
     middle = stored(_quantile(long, "v", 0.5, BIN).withColumnRenamed("v", "middle"), "rules-middle")
-    off = long.join(middle, ["group", "k"]).withColumn("v", F.abs(F.col("v") - F.col("middle")))
+    off = long.join(_small(middle), ["group", "k"]).withColumn("v", F.abs(F.col("v") - F.col("middle")))
     spread = _quantile(off, "v", 0.5, BIN).withColumnRenamed("v", "spread")
     start = middle.join(spread, ["group", "k"]).groupBy("group").agg(
         F.sort_array(F.collect_list(F.struct("k", "middle", "spread"))).alias("s")
@@ -134,15 +134,20 @@ def fit(stats: DataFrame) -> DataFrame:
     return model
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A table of few rows a group, broadcast when proven small: the rows of a large group then stay where they are."""
+    return broadcast_if_small(table)[0]
+
+
 def _inverse(scatter) -> list[float]:
     return np.linalg.inv(scatter + np.diag(FLOORS**2)).ravel().tolist()
 
 
 def _concentrated(own: DataFrame, model: DataFrame, kind: str) -> DataFrame:
     """One concentration step: moments of each group's central share under the present model."""
-    near = own.join(model.select("group", "center", "inverse"), "group").withColumn("d", F.log(distance() + 1e-6)).withColumn("k", F.lit(0))
-    limit = _quantile(near, "d", SHARE, BIN).select("group", F.col("d").alias("limit"))
-    central = near.join(limit, "group").where("d <= limit")
+    near = own.join(_small(model.select("group", "center", "inverse")), "group").withColumn("d", F.log(distance() + 1e-6)).withColumn("k", F.lit(0))
+    limit = stored(_quantile(near, "d", SHARE, BIN).select("group", F.col("d").alias("limit")), "rules-limit")
+    central = near.join(_small(limit), "group").where("d <= limit")
     sums = [F.count("*").alias("m"), *[F.sum(x).alias(x) for x in X]]
     sums += [F.sum(F.col(X[i]) * F.col(X[j])).alias(f"s{i}_{j}") for i in range(DIMS) for j in range(i, DIMS)]
     moments = central.groupBy("group").agg(*sums).join(model.select("group", "n"), "group")
