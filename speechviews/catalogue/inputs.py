@@ -14,7 +14,9 @@ from speechviews.operators import messages as M
 from speechviews.operators.prepare import clean_uploads, grouped, text_uploads, valid_uploads, with_upload_key
 from speechviews.plans.batch_view import view_of
 from speechviews.schemas import GROUP, RECORDING, UPLOAD
-from speechviews.session import spread
+from speechviews.session import scratch_path, spread
+from speechviews.sinks.tables import write_view
+from speechviews.sources.tables import view_table
 
 BUCKET = "recordings"
 
@@ -46,7 +48,10 @@ def stop_word_table(spark: SparkSession) -> DataFrame:
 
 
 def sources(spark: SparkSession, folder: str) -> DataFrame:
-    """Recordings with the extra columns the other inputs are made from."""
+    """Recordings with the extra columns the other inputs are made from.
+
+    A document without event or order has no time or date and ends in the quarantine.
+    """
     documents = spread(table(spark, folder, "documents"), "doc_id").select("doc_id", "text", "lang", "source")
     events = table(spark, folder, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").alias("event_ts"),
@@ -54,7 +59,7 @@ def sources(spark: SparkSession, folder: str) -> DataFrame:
     )
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
     department = F.substring("source", 4, 10).cast("int") % 3
-    return documents.join(events, "doc_id").join(orders, "doc_id").select(
+    return documents.join(events, "doc_id", "left").join(orders, "doc_id", "left").select(
         "doc_id",
         F.col("doc_id").cast("string").alias("id"),
         F.concat(F.lit("dept"), department.cast("string")).alias("dept_name"),
@@ -99,6 +104,13 @@ def labelled_view(spark: SparkSession, folder: str) -> DataFrame:
     return view_of(labelled(spark, folder), STOP_WORDS)
 
 
+def stored_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, written once and read back as a server would."""
+    path = scratch_path(spark, "view")
+    write_view(labelled_view(spark, folder), path, version=1)
+    return view_table(spark, path)
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     documents = spread(table(spark, folder, "documents"), "doc_id").select(
         F.col("doc_id").alias("id"), F.col("text").alias("review")
@@ -189,7 +201,7 @@ CTES = {
                d.lang AS zone, strftime(e.ts, '%H:%M:%S') AS time_of_day,
                strftime(o.o_orderdate, '%Y-%m-%d') AS date_of_event, e.value AS duration, d.text AS text,
                e.ts AS event_ts, e.event_type AS kind, e.props AS props
-        FROM documents d JOIN events e ON e.event_id = d.doc_id JOIN orders o ON o.o_orderkey = d.doc_id""",
+        FROM documents d LEFT JOIN events e ON e.event_id = d.doc_id LEFT JOIN orders o ON o.o_orderkey = d.doc_id""",
     "recordings": """
         SELECT id, dept_name, zone, time_of_day, date_of_event, duration, text FROM sources""",
     "dirty": """

@@ -4,14 +4,16 @@ from pyspark.sql import functions as F
 
 from speechviews.catalogue import inputs as I
 from speechviews.catalogue.inputs import with_ctes
-from speechviews.catalogue.model import trained_model
+from speechviews.catalogue.model import fixed_model, trained_model
 from speechviews.catalogue.registry import query
 from speechviews.operators import messages as M, prepare as P, serving as S
+from speechviews.schemas import RECORDING
 from speechviews.session import scratch_path
-from speechviews.sinks.tables import write_messages, write_recordings, write_reports, write_transcripts
+from speechviews.sinks.tables import write_csv, write_messages, write_recordings, write_reports, write_transcripts, write_view
 from speechviews.sources.streams import arrived_objects, arrived_transcripts, as_raw, file_messages
 from speechviews.sources.tables import recordings_orc
 from speechviews.streaming import live as L
+from speechviews.streaming.landing import start_append
 
 
 def _landed(spark, folder):
@@ -27,6 +29,31 @@ def _ledger(spark, folder, model=None):
     return L.ledger_events(spark, ledger)
 
 
+def _in_two_landings(spark, folder, step):
+    """Lands half of the messages, calls ``step(0, stream)``, lands the rest, and calls it again.
+
+    The halves go by a hash of the key, so copies of many events are in both.
+    """
+    path = scratch_path(spark, "landings")
+    half = F.pmod(F.xxhash64("key"), F.lit(2))
+    for n in range(2):
+        write_messages(I.messages(spark, folder).where(half == n), f"{path}/{n}")
+        step(n, file_messages(spark, f"{path}/*"))
+
+
+def _two_batches(spark, folder, between=lambda ledger: None):
+    """A ledger of two batches; ``between`` is called after the first."""
+    ledger, checkpoint = scratch_path(spark, "ledger"), scratch_path(spark, "stream")
+
+    def step(n, stream):
+        L.finish(*L.start_ledger(stream, ledger, checkpoint, trigger=L.ALL_AVAILABLE))
+        if n == 0:
+            between(ledger)
+
+    _in_two_landings(spark, folder, step)
+    return ledger
+
+
 @query(with_ctes("SELECT id || '.json' AS key FROM keyed_uploads"))
 def stream_arrivals(spark, folder):
     reports, out = scratch_path(spark, "reports"), scratch_path(spark, "arrivals")
@@ -52,6 +79,41 @@ def stream_running_counts(spark, folder):
     return L.latest_counts(spark, out)
 
 
+@query(with_ctes("SELECT * FROM live_counts"))
+def stream_late_events(spark, folder):
+    """Running counts of messages that arrive up to a year after others, copies included."""
+    out, checkpoint = scratch_path(spark, "running"), scratch_path(spark, "stream")
+
+    def step(n, stream):
+        late = stream.withColumn("arrived_at", F.col("arrived_at") - F.make_interval(years=F.lit(n)))
+        L.finish(L.start_running_counts(late, out, checkpoint, L.ALL_AVAILABLE))
+
+    _in_two_landings(spark, folder, step)
+    return L.latest_counts(spark, out)
+
+
+@query(with_ctes("SELECT * FROM live_counts"))
+def stream_counts_compacted(spark, folder):
+    """Running counts whose first batch was folded before the second arrived."""
+    out, checkpoint = scratch_path(spark, "running"), scratch_path(spark, "stream")
+
+    def step(n, stream):
+        L.finish(L.start_running_counts(stream, out, checkpoint, L.ALL_AVAILABLE))
+        if n == 0:
+            L.compact_counts(spark, out, 0)
+
+    _in_two_landings(spark, folder, step)
+    return L.latest_counts(spark, out)
+
+
+@query(with_ctes("SELECT * FROM live_counts"))
+def ledger_compacted(spark, folder):
+    """Totals of a ledger folded after each of its two batches."""
+    ledger = _two_batches(spark, folder, lambda ledger: L.compact_ledger(spark, ledger, L.last_batch(spark, ledger)))
+    L.compact_ledger(spark, ledger, L.last_batch(spark, ledger))
+    return M.live_totals(L.ledger_events(spark, ledger)).drop("sentiment_score_sum")
+
+
 @query(with_ctes("""
     SELECT key, body FROM keyed WHERE event_time IS NULL OR dept_name IS NULL OR zone IS NULL"""))
 def stream_quarantine(spark, folder):
@@ -75,8 +137,13 @@ def stream_transcripts(spark, folder):
     return M.decode(spark.read.text(sent)).select("key", "body")
 
 
-@query()
+@query(with_ctes("SELECT * FROM live_scored"))
 def stream_scored_counts(spark, folder):
+    return M.live_totals(_ledger(spark, folder, fixed_model()))
+
+
+def stream_counts_trained(spark, folder):
+    """Totals with the trained model's predictions, for the benchmark."""
     return M.live_totals(_ledger(spark, folder, trained_model(spark, folder)))
 
 
@@ -96,6 +163,32 @@ def merged_view_after_stream(spark, folder):
     return S.merge_counters(I.labelled_view(spark, folder), live)
 
 
+@query(with_ctes("""
+    SELECT coalesce(v.dept_name, l.dept_name) || coalesce(v.zone, l.zone)
+             || coalesce(v.time_of_day, l.time_of_day) || coalesce(v.season, l.season) AS row_key,
+           coalesce(v.dept_name, l.dept_name) AS dept_name, coalesce(v.zone, l.zone) AS zone,
+           coalesce(v.time_of_day, l.time_of_day) AS time_of_day, coalesce(v.season, l.season) AS season,
+           coalesce(most_common_words, '') AS most_common_words,
+           coalesce(least_common_words, '') AS least_common_words,
+           CAST(0 AS BIGINT) AS sentiment_score_sum, coalesce(l.sentiment_score_total, 0) AS sentiment_score_total
+    FROM the_view v FULL JOIN live_counts l
+      ON v.dept_name = l.dept_name AND v.zone = l.zone AND v.time_of_day = l.time_of_day AND v.season = l.season"""))
+def merged_view_after_cut(spark, folder):
+    """Words of the recordings and counters of all events, when the view holds the ledger's first
+    batch and the rest, with copies of events that it holds, is added live."""
+    view = scratch_path(spark, "view")
+    zero = F.lit(0).cast("long")
+
+    def build(ledger):
+        held = L.last_batch(spark, ledger)
+        words = I.labelled_view(spark, folder).withColumns({"sentiment_score_sum": zero, "sentiment_score_total": zero})
+        counted = S.merge_counters(words, M.live_totals(L.ledger_events(spark, ledger, up_to_batch=held)))
+        write_view(counted, view, version=1, held_batch=held)
+
+    ledger = _two_batches(spark, folder, build)
+    return L.current_view(spark, view, ledger)
+
+
 @query(with_ctes("SELECT * FROM recordings"))
 def append_new_recordings(spark, folder):
     """Recordings of one kind are in the source table already; a landing that holds all of them
@@ -106,3 +199,31 @@ def append_new_recordings(spark, folder):
     added = P.new_recordings(I.recordings(spark, folder), recordings_orc(spark, path))
     write_recordings(added, path, mode="append")
     return recordings_orc(spark, path)
+
+
+@query(with_ctes("SELECT * FROM recordings"))
+def append_from_landing(spark, folder):
+    """Three landings of CSV files, the last of which repeats the first, appended as they arrive."""
+    landing, table, checkpoint = (scratch_path(spark, n) for n in ("landing", "source", "stream"))
+    rows = I.recordings(spark, folder)
+    write_recordings(rows.limit(0), table)
+    half = F.pmod(F.xxhash64("id"), F.lit(2))
+    for n, part in enumerate((0, 1, 0)):
+        write_csv(rows.where(half == part), f"{landing}/{n}")
+        L.finish(start_append(spark, f"{landing}/*", table, f"{table}-archive", checkpoint))
+    return recordings_orc(spark, table)
+
+
+@query(with_ctes("""
+    SELECT CASE WHEN kind <> 'error' THEN id END AS id, dept_name, zone, time_of_day, date_of_event, duration, text FROM sources"""))
+def append_twice(spark, folder):
+    """A landing that repeats itself, some rows without id, appended two times."""
+    path = scratch_path(spark, "source")
+    landed = I.sources(spark, folder)
+    landed = landed.withColumn("id", F.when(F.col("kind") != "error", F.col("id")))
+    write_recordings(landed.where(F.col("kind") == "view"), path)
+    twice = landed.unionByName(landed).select(*RECORDING.names)
+    for _ in range(2):
+        added = P.new_recordings(twice, recordings_orc(spark, path))
+        write_recordings(added, path, mode="append")
+    return recordings_orc(spark, path)

@@ -35,6 +35,21 @@ def recordings_csv_roundtrip(spark, folder):
     return tables.recordings_csv(spark, path, multi_line=True)
 
 
+@query(with_ctes("""
+    SELECT id, text, CAST(1 AS BIGINT) AS lines FROM recordings WHERE NOT contains(text, chr(10))
+    UNION ALL
+    SELECT NULL, NULL, CAST(coalesce(sum(1 + length(text) - length(replace(text, chr(10), ''))), 0) AS BIGINT)
+    FROM recordings WHERE contains(text, chr(10))"""))
+def csv_quarantine(spark, folder):
+    """Read line by line: whole records, and the number of lines that were none."""
+    path = scratch_path(spark, "recordings-csv")
+    sinks.write_csv(I.recordings(spark, folder), path)
+    good = tables.recordings_csv(spark, path).select("id", "text", F.lit(1).cast("long").alias("lines"))
+    none = F.lit(None).cast("string")
+    bad = tables.rejected_csv(spark, path).agg(F.count("*").alias("lines"))
+    return good.unionByName(bad.select(none.alias("id"), none.alias("text"), "lines"))
+
+
 @query(with_ctes("""
     SELECT id, zone, duration FROM recordings"""))
 def recordings_projection(spark, folder):

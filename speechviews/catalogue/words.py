@@ -86,6 +86,16 @@ def batch_view_words(spark, folder):
     return B.words_view(I.recordings(spark, folder), I.STOP_WORDS)
 
 
+@query(with_ctes("SELECT * FROM the_view"))
+def batch_view_dirty_stop_words(spark, folder):
+    """A list with an empty line, a null and a short word gives the same view, as a list and as a table."""
+    dirty = [*I.STOP_WORDS, "", None, "a"]
+    rows = I.labelled(spark, folder)
+    table = spark.createDataFrame([(w,) for w in dirty], "word string")
+    as_list, as_table = B.view_of(rows, dirty), B.view_of(rows, table)
+    return as_list.intersectAll(as_table)
+
+
 @query(with_ctes("""
     SELECT dept_name, zone, time_of_day, season, replace(most_common_words, ',', ', ') AS most_common_words,
            replace(least_common_words, ',', ', ') AS least_common_words

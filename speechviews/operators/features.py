@@ -7,7 +7,6 @@ from speechviews.session import broadcast_if_small
 
 VOCABULARY_SIZE = 2 ** 17
 MIN_DOCUMENTS = 5
-SLICES = 32
 
 
 def review_tokens(reviews: DataFrame) -> DataFrame:
@@ -42,8 +41,9 @@ def term_frequencies(tokens: DataFrame) -> DataFrame:
 def vocabulary(tokens: DataFrame, min_documents=MIN_DOCUMENTS, size=VOCABULARY_SIZE) -> DataFrame:
     """(word, documents, total): words of enough documents, the ``size`` most frequent of them.
 
-    The words are cut to ``size`` in each of several slices first, so that the task that takes
-    the final cut sees a bounded number of words, however many there are.
+    How many words have each total tells the least total that can be among the first ``size``.
+    Only words with at least that total, and of those the first of each partition, go to the task
+    that puts them in order.
     """
     counts = (
         term_frequencies(tokens)
@@ -51,15 +51,10 @@ def vocabulary(tokens: DataFrame, min_documents=MIN_DOCUMENTS, size=VOCABULARY_S
         .agg(F.count("*").alias("documents"), F.sum("tf").alias("total"))
         .where(F.col("documents") >= min_documents)
     )
-    in_slice = Window.partitionBy("slice").orderBy(F.desc("total"), "word")
-    return (
-        counts.withColumn("slice", F.pmod(F.xxhash64("word"), F.lit(SLICES)))
-        .withColumn("place", F.row_number().over(in_slice))
-        .where(F.col("place") <= size)
-        .drop("slice", "place")
-        .orderBy(F.desc("total"), "word")
-        .limit(size)
-    )
+    above = F.sum("words").over(Window.orderBy(F.desc("total"))) - F.col("words")
+    totals = counts.groupBy("total").agg(F.count("*").alias("words")).withColumn("above", above)
+    least = totals.where(F.col("above") < size).agg(F.min("total")).scalar()
+    return counts.where(F.col("total") >= least).orderBy(F.desc("total"), "word").limit(size)
 
 
 def idf_weights(tokens: DataFrame, **options) -> DataFrame:

@@ -2,12 +2,11 @@
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from speechviews.functions import daytime, text
 from speechviews.functions.formats import empty_to_null
 from speechviews.functions.keys import audio_flag, epoch_millis, upload_key
-from speechviews.session import broadcast_if_small
 
 REQUIRED = ["dept_name", "zone", "time_of_day", "date_of_event", "duration", "text"]
 REQUIRED_UPLOAD = ["dept_name", "zone", "date", "time", "duration"]
@@ -113,13 +112,19 @@ def with_audio_flag(uploads: DataFrame) -> DataFrame:
 
 
 def new_recordings(landed: DataFrame, source: DataFrame) -> DataFrame:
-    """Valid landed recordings whose id the source table does not hold.
+    """Valid landed recordings that the source table does not hold, each once.
 
-    When the landed ids are proven few, the source is only searched for them where it lies;
-    otherwise its ids are shuffled to the landed ones.
+    A recording is known by its id, or by a digest of all its fields where it has none. Of
+    landed rows with one id the first by that digest is taken. Appending the result twice, or a
+    landing that repeats itself, changes nothing. Digests of the source are needed, and its texts
+    read, for rows without id only.
     """
-    fresh, held = valid(landed), source.select("id")
-    ids, few = broadcast_if_small(fresh.select("id"))
-    if few:
-        held = held.join(ids, "id", "left_semi")
-    return fresh.join(held, "id", "left_anti").select(*landed.columns)
+    content = F.sha2(F.to_json(F.struct(*landed.columns)), 256)
+    by_id = Window.partitionBy("id").orderBy(content)
+    fresh = valid(landed)
+    named = fresh.where("id is not null").withColumn("nth", F.row_number().over(by_id)).where("nth = 1").drop("nth")
+    named = named.join(source.where("id is not null").select("id"), "id", "left_anti")
+    unnamed = fresh.where("id is null").withColumn("digest", content).dropDuplicates(["digest"])
+    known = source.where("id is null").select(content.alias("digest"))
+    unnamed = unnamed.join(known, "digest", "left_anti")
+    return named.select(*landed.columns).unionByName(unnamed.select(*landed.columns))

@@ -14,7 +14,7 @@ from speechviews.schemas import GROUP
 from speechviews.session import broadcast_if_small
 
 WORDS_KEPT = 5
-LITERAL_WORDS = 1000
+LITERAL_WORDS = 1000  # up to here a set lookup, beyond a join; the result is the same
 
 
 def words_of(df: DataFrame, *keep: str) -> DataFrame:
@@ -32,18 +32,21 @@ def word_counts(grouped: DataFrame) -> DataFrame:
 def _as_table(df: DataFrame, stop_words) -> DataFrame:
     if not isinstance(stop_words, DataFrame):
         stop_words = df.sparkSession.createDataFrame([(w,) for w in stop_words], "word string")
-    # Other words cannot occur among the counted ones, the empty line of a file least of all.
+    # Other words cannot occur among the counted ones. The empty word, which an empty line of a
+    # file would give, stands for a recording and its totals: it is never a stop word.
     return stop_words.select("word").where(is_word(F.col("word")))
 
 
 def without_stop_words(df: DataFrame, stop_words) -> tuple[DataFrame, DataFrame | None]:
     """Rows whose word is not listed (exact match), and the list if it is still to be applied.
 
-    A short Python list becomes a set lookup, a table proven small a broadcast. A larger table
-    is given back: joining it pays only after counting.
+    Nulls and the empty word list nothing. A short Python list becomes a set lookup, a table
+    proven small a broadcast. A larger table is given back: joining it pays only after counting.
     """
-    if not isinstance(stop_words, DataFrame) and len(stop_words) <= LITERAL_WORDS:
-        return df.where(~F.col("word").isin(list(stop_words))) if stop_words else df, None
+    if not isinstance(stop_words, DataFrame):
+        stop_words = [w for w in stop_words if w]
+        if len(stop_words) <= LITERAL_WORDS:
+            return df.where(~F.col("word").isin(stop_words)) if stop_words else df, None
     listed, small = broadcast_if_small(_as_table(df, stop_words))
     return (df.join(listed, "word", "left_anti"), None) if small else (df, listed)
 

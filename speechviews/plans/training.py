@@ -28,16 +28,30 @@ ELASTIC_NET = {"elasticNetParam": 0.3}
 MAX_ITERATIONS = 10
 
 
-def feature_model(reviews: DataFrame, stop_words: list[str],
-                  vocabulary_size=VOCABULARY_SIZE, min_documents=MIN_DOCUMENTS) -> PipelineModel:
-    """Fit tokeniser, stop words, term counts and document frequencies on ``review``."""
-    counting = Pipeline(stages=[
+def token_stages(stop_words: list[str]) -> PipelineModel:
+    """Tokens of ``review`` without stop words; nothing to fit."""
+    return PipelineModel(stages=[
         RegexTokenizer(gaps=False, pattern=LETTERS, inputCol="review", outputCol="words"),
         StopWordsRemover(stopWords=stop_words, caseSensitive=False, inputCol="words", outputCol="filtered"),
-        CountVectorizer(inputCol="filtered", outputCol="tf", vocabSize=vocabulary_size,
-                        minDF=min_documents, minTF=1),
-    ]).fit(reviews)
-    return Pipeline(stages=[counting, IDF(inputCol="tf", outputCol="tfidf")]).fit(reviews)
+    ])
+
+
+def term_stages(tokens: DataFrame, vocabulary_size=VOCABULARY_SIZE, min_documents=MIN_DOCUMENTS) -> PipelineModel:
+    """Term counts and document frequencies fitted on tokens, which are read twice."""
+    return Pipeline(stages=[
+        CountVectorizer(inputCol="filtered", outputCol="tf", vocabSize=vocabulary_size, minDF=min_documents, minTF=1),
+        IDF(inputCol="tf", outputCol="tfidf"),
+    ]).fit(tokens)
+
+
+def feature_model(reviews: DataFrame, stop_words: list[str], **options) -> PipelineModel:
+    """Fit tokeniser, stop words, term counts and document frequencies on ``review``."""
+    splitting = token_stages(stop_words)
+    tokens = splitting.transform(reviews).select("filtered").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return PipelineModel(stages=[splitting, term_stages(tokens, **options)])
+    finally:
+        tokens.unpersist()
 
 
 def regression(**params) -> LogisticRegression:
@@ -81,17 +95,19 @@ class Training:
 
 
 def train(reviews: DataFrame, stop_words: list[str], fit_features_on="all", split=hash_split,
-          parallelism=3, singles=False) -> Training:
+          parallelism=9, singles=False) -> Training:
     """Fit the grid on the training part, choose on the validation part, report on the test part.
 
     ``fit_features_on`` is 'all' or 'train': which reviews give vocabulary and document
     frequencies. ``parallelism`` fits run at a time.
     """
-    parts = split(reviews.select("id", "review", "score"))
-    base = parts if fit_features_on == "all" else parts.where(F.col("part") == TRAINING)
-    features_of = feature_model(base, stop_words)
-    # Kept in memory or on disk; blocks lost with an executor are computed again.
-    features = features_of.transform(parts).select("part", "score", "tfidf").persist(StorageLevel.MEMORY_AND_DISK)
+    parts, splitting = split(reviews.select("id", "review", "score")), token_stages(stop_words)
+    # Texts are tokenised once. Both tables are kept in memory or on disk; blocks lost with an
+    # executor are computed again.
+    tokens = splitting.transform(parts).select("part", "score", "filtered").persist(StorageLevel.MEMORY_AND_DISK)
+    terms = term_stages(tokens if fit_features_on == "all" else tokens.where(F.col("part") == TRAINING))
+    features_of = PipelineModel(stages=[splitting, terms])
+    features = terms.transform(tokens).select("part", "score", "tfidf").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         train_part = features.where(F.col("part") == TRAINING)
         points = grid_points()
@@ -109,6 +125,7 @@ def train(reviews: DataFrame, stop_words: list[str], fit_features_on="all", spli
         test = accuracies([models[best]], features.where(F.col("part") == TEST))[0]
     finally:
         features.unpersist()
+        tokens.unpersist()
     return Training(
         model=PipelineModel(stages=[features_of, models[best]]),
         points=points, validation=grid_scores, best=best, test=test,

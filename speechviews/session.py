@@ -6,17 +6,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def local_session(cpus="*", partitions=8, **conf) -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+def local_session(cpus="*", partitions=8, memory="8g", checkpoint_dir=None, **conf) -> SparkSession:
+    """A session for tests and benchmarks on one machine, with its shared folder at ``checkpoint_dir``."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]").appName("speechviews")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

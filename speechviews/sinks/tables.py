@@ -7,8 +7,10 @@ from speechviews.functions.formats import message_json
 from speechviews.schemas import RECORDING, UPLOAD, VIEW
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file=100_000):
-    """CSV without header, in pieces that one task can read back."""
+def write_csv(df: DataFrame, path: str, bytes_per_file=64 << 20):
+    """CSV without header, in pieces of about ``bytes_per_file`` that one task can read back."""
+    line = F.octet_length(F.concat_ws(",", *[F.col(c).cast("string") for c in df.columns]))
+    rows_per_file = max(1, int(bytes_per_file / (df.agg(F.avg(line)).first()[0] or 1)))
     (
         df.write.mode("overwrite")
         .option("sep", ",").option("quote", '"').option("escape", '"')
@@ -31,8 +33,8 @@ def save_view_table(view: DataFrame, name: str, path: str | None = None):
     writer.saveAsTable(name)
 
 
-def write_view(view: DataFrame, path: str, version: int):
-    """Write one version of a view, then announce it.
+def write_view(view: DataFrame, path: str, version: int, held_batch: int | None = None):
+    """Write one version of a view, then announce it with the last ledger batch that it holds.
 
     Readers follow the announcements, so they see whole versions only, and a view may be
     computed from the version it replaces. Partitions are evened out while writing, and sorted
@@ -43,7 +45,8 @@ def write_view(view: DataFrame, path: str, version: int):
         view.select(*VIEW.names).hint("rebalance", *slots).sortWithinPartitions(*slots, "row_key")
         .write.mode("overwrite").partitionBy(*slots).parquet(f"{path}/data/version={version}")
     )
-    commit = view.sparkSession.range(version, version + 1).select(F.col("id").alias("version"))
+    held = F.lit(held_batch).cast("long").alias("held_batch")
+    commit = view.sparkSession.range(version, version + 1).select(F.col("id").alias("version"), held)
     commit.coalesce(1).write.mode("append").parquet(f"{path}/commits")
 
 

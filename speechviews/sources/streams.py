@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from speechviews.functions.formats import message_json
-from speechviews.schemas import TRANSCRIPT, UPLOAD
+from speechviews.schemas import CORRUPT, TRANSCRIPT, UPLOAD, with_corrupt_record
 from speechviews.sources.tables import transcript_columns
 
 
@@ -35,16 +35,25 @@ def file_messages(spark: SparkSession, path: str, max_files_per_trigger=None) ->
     return reader.load(path).select("value", F.current_timestamp().alias("arrived_at"))
 
 
-def _arrived_json(spark: SparkSession, path: str, schema, max_files_per_trigger) -> DataFrame:
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "*.json")
+def arrived_json(spark: SparkSession, path: str, schema, max_files_per_trigger=None) -> DataFrame:
+    """Records of JSON files that land in a folder; broken ones keep their text in ``_corrupt_record``.
+
+    ``sources.tables.rejected_json`` takes those to the quarantine; the streams of messages below
+    leave them out.
+    """
+    reader = spark.readStream.schema(with_corrupt_record(schema)).option("pathGlobFilter", "*.json")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(path)
 
 
+def _whole(records: DataFrame) -> DataFrame:
+    return records.where(F.col(CORRUPT).isNull())
+
+
 def arrived_objects(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
     """Messages for JSON reports that land in a folder: one per report, key and file name."""
-    return _arrived_json(spark, path, UPLOAD, max_files_per_trigger).select(
+    return _whole(arrived_json(spark, path, UPLOAD, max_files_per_trigger)).select(
         F.concat(F.col("id"), F.lit(".json")).alias("key"),
         F.col("_metadata.file_name").alias("file_name"),
     )
@@ -52,14 +61,14 @@ def arrived_objects(spark: SparkSession, path: str, max_files_per_trigger=None)
 
 def arrived_reports(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
     """The same with the text of each report as the message's body."""
-    return _arrived_json(spark, path, UPLOAD, max_files_per_trigger).select(
+    return _whole(arrived_json(spark, path, UPLOAD, max_files_per_trigger)).select(
         F.concat(F.col("id"), F.lit(".json")).alias("key"), F.col("text").alias("body")
     )
 
 
 def arrived_transcripts(spark: SparkSession, path: str, max_files_per_trigger=None) -> DataFrame:
     """Messages for transcription results that land in a folder, transcripts as bodies."""
-    found = transcript_columns(_arrived_json(spark, path, TRANSCRIPT, max_files_per_trigger))
+    found = transcript_columns(_whole(arrived_json(spark, path, TRANSCRIPT, max_files_per_trigger)))
     return found.select(F.concat(F.col("job_name"), F.lit(".json")).alias("key"), F.col("text").alias("body"))
 
 

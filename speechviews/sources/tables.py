@@ -4,24 +4,37 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from speechviews.functions.formats import first_transcript
-from speechviews.schemas import RECORDING, TRANSCRIPT, UPLOAD, VIEW, with_corrupt_record
+from speechviews.schemas import CORRUPT, RECORDING, TRANSCRIPT, UPLOAD, VIEW, with_corrupt_record
 
-MAX_STOP_WORDS = 100_000
+CSV = {"sep": ",", "quote": '"', "escape": '"'}
 
 
 def recordings_csv(spark: SparkSession, path: str, multi_line=False) -> DataFrame:
     """Recordings from a folder of CSV files without header.
 
-    One record per line by default, so that large files are split among tasks. Files whose
-    quoted texts hold newlines need ``multi_line``; each of those is read by one task, so
-    write them in pieces (see ``sinks.tables.write_csv``).
+    One record per line by default, so that large files are split among tasks. A line that is no
+    whole record, as each line of a quoted text with newlines, is left to ``rejected_csv``; no
+    text is ever shortened. Files with such texts need ``multi_line``; each of those is read by
+    one task, so write them in pieces (see ``sinks.tables.write_csv``).
     """
-    return (
-        spark.read.schema(RECORDING)
-        .option("sep", ",").option("quote", '"').option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    if multi_line:
+        return spark.read.schema(RECORDING).options(**CSV, multiLine=True).csv(path)
+    return _csv_lines(spark, path).where("whole").select("record.*").drop(CORRUPT)
+
+
+def rejected_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The lines that ``recordings_csv`` leaves out, as they are."""
+    return _csv_lines(spark, path).where("not whole").select(F.col("value").alias(CORRUPT))
+
+
+def _csv_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their record, and whether they are whole: all fields, and no open quote."""
+    lines = spark.read.option("lineSep", "\n").text(path)
+    schema = with_corrupt_record(RECORDING)
+    record = F.from_csv("value", schema.toDDL(), {**CSV, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    closed = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 0
+    fits = F.col("record").isNotNull() & F.col(f"record.{CORRUPT}").isNull()
+    return lines.withColumn("record", record).withColumn("whole", F.coalesce(closed & fits, F.lit(False)))
 
 
 def recordings_orc(spark: SparkSession, path: str) -> DataFrame:
@@ -43,11 +56,14 @@ def stop_words_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("word"))
 
 
-def stop_word_list(stop_words: DataFrame) -> list[str]:
-    """The words as a Python list, for the feature stage that keeps them as a parameter."""
-    rows = stop_words.select("word").take(MAX_STOP_WORDS + 1)
-    if len(rows) > MAX_STOP_WORDS:
-        raise ValueError(f"more than {MAX_STOP_WORDS} stop words: join against the table instead")
+def stop_word_list(stop_words: DataFrame, most=100_000) -> list[str]:
+    """The words as a Python list, for the feature stage that keeps them as a parameter.
+
+    More than ``most`` are refused: a table of that size is joined, not listed.
+    """
+    rows = stop_words.select("word").where("word <> ''").take(most + 1)
+    if len(rows) > most:
+        raise ValueError(f"more than {most} stop words: join against the table instead")
     return [r.word for r in rows]
 
 
@@ -66,8 +82,17 @@ def transcript_columns(raw: DataFrame) -> DataFrame:
 
 
 def transcripts_json(spark: SparkSession, path: str) -> DataFrame:
-    """Transcripts of all transcription results in a folder."""
-    return transcript_columns(spark.read.schema(TRANSCRIPT).json(path))
+    """Transcripts of all transcription results in a folder; broken ones are in ``rejected_json``."""
+    raw = spark.read.schema(with_corrupt_record(TRANSCRIPT)).json(path)
+    return transcript_columns(raw.where(F.col(CORRUPT).isNull()))
+
+
+def rejected_json(raw: DataFrame) -> DataFrame:
+    """Records of a JSON source, batch or stream, that could not be parsed, with their file.
+
+    All columns stay: Spark refuses to read the corrupt record alone.
+    """
+    return raw.where(F.col(CORRUPT).isNotNull()).select("*", F.col("_metadata.file_name").alias("file_name"))
 
 
 def local_rows(spark: SparkSession, rows, schema) -> DataFrame:
@@ -80,7 +105,14 @@ def sentiment_model(path: str) -> PipelineModel:
 
 
 def view_versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("version long").parquet(f"{path}/commits")
+    """Announced versions, each with the last ledger batch that it holds (null: none)."""
+    return spark.read.schema("version long, held_batch long").parquet(f"{path}/commits")
+
+
+def held_batch(spark: SparkSession, path: str) -> int | None:
+    """The last ledger batch that the newest version holds."""
+    newest = F.max_by(F.struct("held_batch"), "version").alias("newest")
+    return view_versions(spark, path).agg(newest).first().newest.held_batch
 
 
 def view_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

@@ -4,15 +4,24 @@ Ledger: every micro-batch writes its events, one row each, to a partition named
 A batch that runs again overwrites its own partition, and totals are taken over distinct
 events, so neither a retry nor a second message about the same upload counts twice, however
 far apart they arrive. A body that comes late still adds its positive.
+
+A view holds the ledger up to some batch. What it lacks is counted by event, not by row: an event
+with a message up to that batch is in the view, also if a copy arrives afterwards.
+
+Compaction folds the oldest batches into one row per event, so that readers open few files
+however long the stream has run.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from speechviews.functions.formats import message_json
 from speechviews.operators import messages as M
+from speechviews.operators.serving import merge_counters
 from speechviews.schemas import GROUP
+from speechviews.sources.tables import held_batch, view_table
 
 MICRO_BATCH = {"processingTime": "2 seconds"}
 ALL_AVAILABLE = {"availableNow": True}
@@ -24,6 +33,17 @@ LEDGER = T.StructType([
     T.StructField("positive", T.BooleanType()),
     T.StructField("batch_id", T.LongType()),
 ])
+FOLDED = T.StructType([
+    T.StructField("event_id", T.StringType()),
+    *[T.StructField(c, T.StringType()) for c in GROUP],
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("positive_batch", T.LongType()),
+])
+COUNTS = T.StructType([
+    *[T.StructField(c, T.StringType()) for c in GROUP],
+    T.StructField("sentiment_score_total", T.LongType()),
+    T.StructField("batch_id", T.LongType()),
+])
 
 
 def live_events(raw: DataFrame, model: PipelineModel | None = None) -> DataFrame:
@@ -44,7 +64,7 @@ def start_ledger(raw: DataFrame, ledger: str, checkpoint: str, quarantine: str |
     """Keep a ledger of events up to date; messages that cannot be parsed go to ``quarantine``."""
 
     def write(batch: DataFrame, batch_id: int):
-        M.events(batch).write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
+        M.events(batch).write.mode("overwrite").parquet(f"{ledger}/batches/batch_id={batch_id}")
 
     queries = [
         live_events(raw, model).writeStream.foreachBatch(write)
@@ -58,50 +78,128 @@ def start_ledger(raw: DataFrame, ledger: str, checkpoint: str, quarantine: str |
     return queries
 
 
-def ledger_events(spark: SparkSession, ledger: str, after_batch: int | None = None) -> DataFrame:
-    """The ledger, or only the batches the batch view does not hold yet."""
-    rows = spark.read.schema(LEDGER).parquet(ledger)
-    return rows if after_batch is None else rows.where(F.col("batch_id") > after_batch)
+def ledger_events(spark: SparkSession, ledger: str, up_to_batch: int | None = None) -> DataFrame:
+    """Events with the first batch that has one and the first that calls it positive (or null).
+
+    Reads the newest compaction and the batches after it. ``up_to_batch`` leaves later batches out.
+    """
+    folded, done = _compacted(spark, ledger)
+    rows = spark.read.schema(LEDGER).parquet(f"{ledger}/batches").where(F.col("batch_id") > done)
+    rows = rows.select("event_id", *GROUP, "batch_id", F.when(F.col("positive"), F.col("batch_id")).alias("positive_batch"))
+    if folded is not None:
+        rows = rows.unionByName(folded)
+    if up_to_batch is not None:
+        late = F.col("positive_batch") > up_to_batch
+        rows = rows.where(F.col("batch_id") <= up_to_batch).withColumn("positive_batch", F.when(~late, F.col("positive_batch")))
+    once = rows.groupBy("event_id", *GROUP).agg(F.min("batch_id").alias("batch_id"), F.min("positive_batch").alias("positive_batch"))
+    return once.withColumn("positive", F.col("positive_batch").isNotNull())
+
+
+def totals_after(events: DataFrame, held: int | None) -> DataFrame:
+    """Positive events and events per group that a view holding the batches up to ``held`` lacks.
+
+    A positive of an event that the view counts already is added alone. Without ``held`` the
+    view holds no event.
+    """
+    if held is None:
+        return M.live_totals(events)
+    new, newly_positive = F.col("batch_id") > held, F.col("positive_batch") > held
+    counts = events.groupBy(*GROUP).agg(
+        F.count_if(newly_positive).alias("sentiment_score_sum"), F.count_if(new).alias("sentiment_score_total")
+    )
+    return counts.where("sentiment_score_sum > 0 or sentiment_score_total > 0")
+
+
+def last_batch(spark: SparkSession, ledger: str) -> int | None:
+    """The newest batch of the ledger."""
+    return spark.read.schema(LEDGER).parquet(f"{ledger}/batches").agg(F.max("batch_id")).first()[0]
+
+
+def current_view(spark: SparkSession, view: str, ledger: str) -> DataFrame:
+    """The newest version of a stored view with all events added that it does not hold."""
+    held = held_batch(spark, view)
+    return merge_counters(view_table(spark, view), totals_after(ledger_events(spark, ledger), held))
+
 
+def compact_ledger(spark: SparkSession, ledger: str, up_to_batch: int):
+    """Fold the batches up to ``up_to_batch``, and what was folded before, into one row per event.
 
-def running_counts(raw: DataFrame, horizon="1 day") -> DataFrame:
+    The result is written whole, then announced. Folded batches are no longer read and may be
+    removed by whatever expires old folders.
+    """
+    events = ledger_events(spark, ledger, up_to_batch).drop("positive")
+    events.write.mode("overwrite").parquet(f"{ledger}/compacted/up_to={up_to_batch}")
+    done = spark.range(1).select(F.lit(up_to_batch).cast("long").alias("up_to"))
+    done.write.mode("append").parquet(f"{ledger}/compactions")
+
+
+def _compacted(spark: SparkSession, ledger: str) -> tuple[DataFrame | None, int]:
+    """The newest compaction and its last batch; none and -1 if there is no compaction."""
+    try:
+        done = spark.read.schema("up_to long").parquet(f"{ledger}/compactions").agg(F.max("up_to")).first()[0]
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None, -1
+    folded = spark.read.schema(FOLDED).parquet(f"{ledger}/compacted/up_to={done}")
+    return folded, done
+
+
+def running_counts(raw: DataFrame) -> DataFrame:
     """Events per group as a stateful stream, for update mode.
 
-    Copies of an event are recognised while they arrive within ``horizon`` of each other. The
-    watermark runs on arrival time, not on the time in the key: no message ever arrives late,
-    so none is dropped, and a recording of last year still counts in its group.
+    Every event counts once, however late it or a copy of it arrives: its id stays in the state,
+    which grows with the number of events. Sessions with many of them keep state in RocksDB
+    (``spark.sql.streaming.stateStore.providerClass``). Where that is too much, count the ledger.
 
     Copies are dropped twice, first within ``SALTS`` slices of the input, so that an event with
     very many copies does not send all of them to one task.
     """
     once = (
         M.parse_keys(M.decode(raw))
-        .select("event_id", *GROUP, "arrived_at", F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
-        .withWatermark("arrived_at", horizon)
-        .dropDuplicatesWithinWatermark(["event_id", "salt"])
-        .dropDuplicatesWithinWatermark(["event_id"])
+        .select("event_id", *GROUP, F.pmod(F.spark_partition_id(), F.lit(SALTS)).alias("salt"))
+        .dropDuplicates(["event_id", "salt"])
+        .dropDuplicates(["event_id"])
     )
     return once.groupBy(*GROUP).agg(F.count("*").alias("sentiment_score_total"))
 
 
-def start_running_counts(raw: DataFrame, path: str, checkpoint: str, trigger=MICRO_BATCH, files=4, **options) -> StreamingQuery:
+def start_running_counts(raw: DataFrame, path: str, checkpoint: str, trigger=MICRO_BATCH, files=4) -> StreamingQuery:
     """Write changed totals of every micro-batch to its own partition, in a few files."""
 
     def write(batch: DataFrame, batch_id: int):
-        batch.repartition(files, *GROUP).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.repartition(files, *GROUP).write.mode("overwrite").parquet(f"{path}/batches/batch_id={batch_id}")
 
     return (
-        running_counts(raw, **options).writeStream.outputMode("update").foreachBatch(write)
+        running_counts(raw).writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
 def latest_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The newest total of each group."""
+    """The newest total of each group, from the newest compaction and the batches after it."""
+    return _newest(spark, path).drop("batch_id")
+
+
+def compact_counts(spark: SparkSession, path: str, up_to_batch: int):
+    """Fold the batches up to ``up_to_batch`` into the newest total of each group."""
+    _newest(spark, path, up_to_batch).write.mode("overwrite").parquet(f"{path}/compacted/up_to={up_to_batch}")
+    done = spark.range(1).select(F.lit(up_to_batch).cast("long").alias("up_to"))
+    done.write.mode("append").parquet(f"{path}/compactions")
+
+
+def _newest(spark: SparkSession, path: str, up_to_batch: int | None = None) -> DataFrame:
+    rows = spark.read.schema(COUNTS).parquet(f"{path}/batches")
+    try:
+        done = spark.read.schema("up_to long").parquet(f"{path}/compactions").agg(F.max("up_to")).first()[0]
+        rows = rows.where(F.col("batch_id") > done).unionByName(spark.read.schema(COUNTS).parquet(f"{path}/compacted/up_to={done}"))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    if up_to_batch is not None:
+        rows = rows.where(F.col("batch_id") <= up_to_batch)
     newest = F.max(F.struct("batch_id", "sentiment_score_total")).alias("newest")
-    return spark.read.parquet(path).groupBy(*GROUP).agg(newest).select(
-        *GROUP, F.col("newest.sentiment_score_total").alias("sentiment_score_total")
-    )
+    return rows.groupBy(*GROUP).agg(newest).select(*GROUP, "newest.sentiment_score_total", "newest.batch_id")
 
 
 def start_console(df: DataFrame, rows=10, trigger=MICRO_BATCH) -> StreamingQuery:

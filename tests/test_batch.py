@@ -57,8 +57,9 @@ def test_counts_of_view(recordings):
 
 
 @pytest.mark.parametrize("as_table", [False, True])
-def test_stop_words_as_list_and_table(spark, recordings, as_table):
-    stop = spark.createDataFrame([(w,) for w in [*STOP, "", "xy"]], "word string") if as_table else STOP
+@pytest.mark.parametrize("listed", [STOP, [*STOP, "", None, "xy"], [*STOP, "", None, *(f"word{k}" for k in range(1200))]])
+def test_stop_words_as_list_and_table(spark, recordings, as_table, listed):
+    stop = spark.createDataFrame([(w,) for w in listed], "word string") if as_table else listed
     row = view(recordings, [("1", *A, "the cat and the hat The")], stop).first()
     assert row.most_common_words == "cat,hat"
     assert row.sentiment_score_total == 1
@@ -115,6 +116,37 @@ def test_hot_group_is_cut_into_parts(recordings):
     assert {(i, t) for p in hot for i, t in zip(p.ids, p.texts)} == {(str(i), f"text {i}") for i in range(200)}
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10485760"])
+def test_texts_are_shuffled_once_by_group_and_part(spark, recordings, threshold):
+    rows = [(str(i) if i % 3 else None, *A, f"text {i}") for i in range(200)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        parts = G.texts_per_group(P.grouped(recordings(rows)), rows_per_part=20)
+        found = parts.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(p.n_texts for p in found) == 200 and max(p.n_texts for p in found) < 60
+    plan = parts._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("part#" in line for line in shuffles) and "SortMergeJoin" not in plan
+
+
+def test_many_groups_are_joined_in_slices(recordings, monkeypatch):
+    rows = [(str(i), *A, f"text {i}") for i in range(200)]
+    few = G.texts_per_group(P.grouped(recordings(rows)), rows_per_part=20).collect()
+    monkeypatch.setattr(G, "broadcast_if_small", lambda df: (df, False))
+    assert sorted(map(tuple, G.texts_per_group(P.grouped(recordings(rows)), rows_per_part=20).collect())) == sorted(map(tuple, few))
+
+
+def test_first_plus_one_in_the_view_and_without_ids(recordings):
+    rows = [(None, *A, "one two"), ("b", *A, "three"), ("a", *A, "four")]
+    scored = P.grouped(recordings(rows)).withColumn("prediction", (F.col("id") == "a").cast("int"))
+    assert G.sentiment_first_plus_one(scored).first().sentiment_score_sum == 2
+    assert B.view_of(scored, STOP, score_mode="first_plus_one").first().sentiment_score_sum == 2
+    nameless = scored.withColumn("id", F.lit(None).cast("string")).withColumn("prediction", F.lit(1))
+    assert G.sentiment_first_plus_one(nameless).first().sentiment_score_sum == 2
+
+
 def test_first_plus_one(recordings):
     scored = P.grouped(recordings([("b", *A, "x"), ("a", *A, "y")])).withColumn("prediction", (F.col("id") == "a").cast("int"))
     assert G.sentiment_first_plus_one(scored).first().sentiment_score_sum == 2
@@ -168,12 +200,18 @@ def test_view_versions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull" in row._jdf.queryExecution().executedPlan().toString()
 
 
-def test_append_adds_new_ids_only(spark, recordings, monkeypatch):
+def test_append_adds_new_ids_only(recordings):
     source = recordings([("1", *A, "old")])
     landed = recordings([("1", *A, "again"), ("2", *A, "new"), ("3", *A, None)])
     assert [r.text for r in P.new_recordings(landed, source).collect()] == ["new"]
-    monkeypatch.setattr(P, "broadcast_if_small", lambda df: (df, False))
-    assert [r.text for r in P.new_recordings(landed, source).collect()] == ["new"]
+
+
+def test_appending_twice_changes_nothing(recordings):
+    rows = [("1", *A, "a"), ("1", *A, "b"), (None, *A, "no id"), (None, *A, "no id"), (None, *A, "other")]
+    source = recordings([("0", *A, "held"), (None, *A, "other")])
+    added = P.new_recordings(recordings(rows), source)
+    assert sorted(r.text for r in added.collect()) in (["a", "no id"], ["b", "no id"])
+    assert P.new_recordings(recordings(rows), source.unionByName(added)).count() == 0
 
 
 def test_uploads(spark):
@@ -197,6 +235,29 @@ def test_csv_lines_without_multi_line(spark, tmp_path, recordings):
         (i, d, z, t, day, 1.0, text) for i, d, z, t, day, text in rows)
 
 
+def test_torn_csv_lines_are_rejected_whole(spark, tmp_path, recordings):
+    from speechviews.sinks.tables import write_csv
+    from speechviews.sources.tables import recordings_csv, rejected_csv
+
+    path = str(tmp_path / "csv")
+    rows = [("1", *A, 'two\nlines "quoted"'), ("2", *A, "one, line"), ("3", *A, "a,b,c,d,e,1.0\nx")]
+    write_csv(recordings(rows), path)
+    assert [r.id for r in recordings_csv(spark, path).collect()] == ["2"]
+    assert rejected_csv(spark, path).count() == 4
+    assert {r.id: r.text for r in recordings_csv(spark, path, multi_line=True).collect()} == {r[0]: r[-1] for r in rows}
+
+
+def test_broken_transcripts_are_kept(spark, tmp_path):
+    from speechviews.schemas import TRANSCRIPT, with_corrupt_record
+    from speechviews.sources.tables import rejected_json, transcripts_json
+
+    (tmp_path / "a.json").write_text('{"jobName": "a", "results": {"transcripts": [{"transcript": "hi"}]}}\n')
+    (tmp_path / "b.json").write_text("{broken\n")
+    assert [(r.job_name, r.text) for r in transcripts_json(spark, str(tmp_path)).collect()] == [("a", "hi")]
+    raw = spark.read.schema(with_corrupt_record(TRANSCRIPT)).json(str(tmp_path))
+    assert [(r["_corrupt_record"], r.file_name) for r in rejected_json(raw).collect()] == [("{broken", "b.json")]
+
+
 def test_catalog_table(spark, recordings):
     from speechviews.sources.tables import recordings_table
 

@@ -73,6 +73,16 @@ def test_no_python_in_the_plan(spark, data, name):
         assert node not in plan
 
 
+def test_lookup_reads_one_partition_of_the_stored_view_and_no_text(spark, data):
+    plan = plan_of(QUERIES["view_group_lookup"](spark, data))
+    assert "PartitionFilters: [isnotnull" in plan and "documents.parquet" not in plan
+
+
+def test_first_plus_one_reads_texts_once(spark, data):
+    plan = plan_of(QUERIES["batch_view_first_plus_one"](spark, data))
+    assert sum("documents.parquet" in line for line in plan.splitlines() if "FileScan" in line) == 1
+
+
 def test_counting_segments_shuffles_no_text(spark, data):
     plan = plan_of(QUERIES["segment_counts"](spark, data))
     using_text = [line for line in plan.splitlines() if "text#" in line]

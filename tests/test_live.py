@@ -68,15 +68,56 @@ def test_ledger_over_several_batches_and_restarts(spark, tmp_path):
     ledger = start(spark, tmp_path)
     assert totals(ledger) == {"zone1": (0, 2), "zone2": (0, 1)}
     assert spark.read.json(str(tmp_path / "bad")).count() == 2
-    # Only what came after the first batch.
-    assert totals(L.ledger_events(spark, str(tmp_path / "ledger"), after_batch=0)) == {"zone1": (0, 2), "zone2": (0, 1)}
+    # A view that holds the first batch lacks the events that have no message in it.
+    lacking = {r.zone: r.sentiment_score_total for r in L.totals_after(ledger, 0).collect()}
+    assert lacking == {"zone1": 1, "zone2": 1}
     # A batch that runs again overwrites its own partition.
-    first = ledger.where("batch_id = 0").drop("batch_id").cache()
+    first = spark.read.schema(L.LEDGER).parquet(str(tmp_path / "ledger" / "batches")).where("batch_id = 0").drop("batch_id").cache()
     first.count()
-    first.write.mode("overwrite").parquet(str(tmp_path / "ledger" / "batch_id=0"))
+    first.write.mode("overwrite").parquet(str(tmp_path / "ledger" / "batches" / "batch_id=0"))
     assert totals(L.ledger_events(spark, str(tmp_path / "ledger"))) == {"zone1": (0, 2), "zone2": (0, 1)}
 
 
+def test_what_a_view_lacks_is_counted_by_event(spark, tmp_path):
+    def events(*rows):
+        return spark.createDataFrame(rows, "event_id string, dept_name string, zone string, time_of_day string, season string, batch_id long, positive_batch long")
+
+    group = ("cpd", "z", "morn", "fall")
+    found = events(("held", *group, 0, 0), ("held, later positive", *group, 0, 2), ("new", *group, 1, None), ("new and positive", *group, 2, 2))
+    row = L.totals_after(found, 0).first()
+    assert (row.sentiment_score_sum, row.sentiment_score_total) == (2, 2)
+    assert L.totals_after(found, 2).count() == 0
+    everything = L.totals_after(found.withColumn("positive", F.col("positive_batch").isNotNull()), None).first()
+    assert (everything.sentiment_score_sum, everything.sentiment_score_total) == (3, 4)
+
+
+def test_compaction_keeps_events_and_their_batches(spark, tmp_path):
+    land(tmp_path / "in", "1.txt", {"key": KEY}, {"key": OTHER})
+    start(spark, tmp_path)
+    land(tmp_path / "in", "2.txt", {"key": KEY + ".json"}, {"key": MORNING})
+    before = sorted(map(tuple, start(spark, tmp_path).collect()), key=repr)
+    ledger = str(tmp_path / "ledger")
+    for up_to in (0, 1):
+        L.compact_ledger(spark, ledger, up_to)
+        after = L.ledger_events(spark, ledger)
+        assert sorted(map(tuple, after.collect()), key=repr) == before
+        assert {r.zone: r.sentiment_score_total for r in L.totals_after(after, 0).collect()} == {"zone2": 1}
+    land(tmp_path / "in", "3.txt", {"key": "09121999143000.cpd.zone1.noAudio.1"})
+    assert totals(start(spark, tmp_path)) == {"zone1": (0, 3), "zone2": (0, 1)}
+
+
+def test_broken_reports_do_not_become_messages(spark, tmp_path):
+    from speechviews.schemas import UPLOAD
+    from speechviews.sources.streams import arrived_json
+    from speechviews.sources.tables import rejected_json
+
+    land(tmp_path / "in", "a.json", {"id": KEY, "text": "x"}, "{broken")
+    for name, frame in (("good", arrived_reports(spark, str(tmp_path / "in"))), ("bad", rejected_json(arrived_json(spark, str(tmp_path / "in"), UPLOAD)))):
+        L.finish(frame.writeStream.format("memory").queryName(name).trigger(availableNow=True).start(), timeout=60)
+    assert [(r.key, r.body) for r in spark.table("good").collect()] == [(KEY + ".json", "x")]
+    assert [r["_corrupt_record"] for r in spark.table("bad").collect()] == ["{broken"]
+
+
 def test_late_body_adds_its_positive_only(spark):
     def batch(*messages):
         parsed = M.parse_keys(M.decode(raw(spark, *messages)))
@@ -93,6 +134,7 @@ def test_running_counts_drop_copies_but_no_old_event(spark, tmp_path):
     land(tmp_path / "in", "2.txt", {"key": KEY}, {"key": "09121999143000.cpd.zone1.noAudio.1"}, {"key": MORNING})
     source = file_messages(spark, str(tmp_path / "in"), max_files_per_trigger=1)
     L.finish(L.start_running_counts(source, str(tmp_path / "out"), str(tmp_path / "cp"), L.ALL_AVAILABLE))
+    L.compact_counts(spark, str(tmp_path / "out"), 0)
     counts = {r.zone: r.sentiment_score_total for r in L.latest_counts(spark, str(tmp_path / "out")).collect()}
     assert counts == {"zone1": 3, "zone2": 1}
 
@@ -120,6 +162,21 @@ def test_arrived_reports_feed_the_ledger(spark, tmp_path):
     assert totals(L.ledger_events(spark, str(tmp_path / "ledger"))) == {"zone1": (0, 2)}
 
 
+def test_landed_files_are_appended_once_and_archived(spark, tmp_path, recordings):
+    from speechviews.sinks.tables import write_csv, write_recordings
+    from speechviews.sources.tables import recordings_orc
+    from speechviews.streaming.landing import start_append
+
+    group = ("cpd", "zone1", "14:30:00", "2020-12-09")
+    table, archive = str(tmp_path / "table"), tmp_path / "archive"
+    write_recordings(recordings([]), table)
+    for n, ids in enumerate(("ab", "bc", "d")):
+        write_csv(recordings([(i, *group, f"text\n{i}") for i in ids]).coalesce(1), str(tmp_path / f"in/{n}"))
+        L.finish(start_append(spark, str(tmp_path / "in/*"), table, str(archive), str(tmp_path / "cp")))
+    assert sorted((r.id, r.text) for r in recordings_orc(spark, table).collect()) == [(i, f"text\n{i}") for i in "abcd"]
+    assert any(archive.rglob("*.csv"))
+
+
 def test_console_shows_rows(spark, tmp_path):
     land(tmp_path / "in", "1.txt", {"key": KEY})
     decoded = M.decode(file_messages(spark, str(tmp_path / "in"))).select("key", "body")

@@ -44,7 +44,7 @@ def test_vocabulary_of_model_equals_the_table(spark, reviews):
     model = T.feature_model(reviews, ["the"])
     tokens = X.filtered_tokens(reviews, ["the"])
     rows = {r.word: r for r in X.idf_weights(tokens).collect()}
-    counter, idf = model.stages[0].stages[2], model.stages[1]
+    counter, idf = model.stages[1].stages
     assert set(counter.vocabulary) == set(rows) and "the" not in rows
     for word, weight in zip(counter.vocabulary, idf.idf.toArray()):
         assert weight == pytest.approx(rows[word].idf, abs=1e-12)
