@@ -29,6 +29,16 @@ def unit_interval(*columns):
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) / F.lit(float(1 << 53))
 
 
+def fit_sample(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
+    """At most ``limit`` rows to fit a model on, those of the smallest hashes of the keys.
+
+    Half as many again pass a threshold on the hash, set by the number of rows, before they are put in
+    order; so what is sent on does not grow with the data. ``rows`` should be a written table.
+    """
+    share = 1.5 * limit / max(rows.count(), 1)
+    return rows.where(unit_interval(*keys) < share).orderBy(F.xxhash64(*keys), *keys).limit(limit)
+
+
 def numbered(docs: DataFrame, order: str = "text_key") -> DataFrame:
     """``docs`` with ``text_key`` and ``nth``, which with ``doc_id`` name a row.
 

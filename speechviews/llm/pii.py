@@ -12,12 +12,13 @@ labelled spans gives base spans only.
 """
 
 import re
-from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from speechviews.llm.common import fit_sample, stored
+
 KINDS = ("email", "ip", "card", "phone")
 #: Base patterns (fixed values).
 PATTERNS = {
@@ -319,7 +320,7 @@ def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> list[tuple[
 
     def run(batches):
         for batch in batches:
-            h, texts, spans = [], [], []
+            texts, spans = [], []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text, verified=False)  # no tagger learns check digits; found cards are verified later
                 for s in windows_of(text):
@@ -327,11 +328,10 @@ def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> list[tuple[
                     if sum(a < s + WINDOW and b > s for _, a, b in base) == len(inside):
                         texts.append(text[s:s + WINDOW])
                         spans.append(" ".join(f"{k}:{a}:{b}" for k, a, b in inside))
-                        h.append(int.from_bytes(sha256(texts[-1].encode()).digest()[:7], "big"))
-            yield pa.record_batch([pa.array(h, pa.int64()), pa.array(texts, pa.string()), pa.array(spans, pa.string())], ["h", "window", "spans"])
+            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(spans, pa.string())], ["window", "spans"])
 
-    rows = docs.select("text").where(F.col("text").rlike(TRIGGER)).mapInArrow(run, "h long, window string, spans string")
-    rows = rows.groupBy("h", "window", "spans").count().orderBy("h", "window").limit(limit).collect()
+    rows = docs.select("text").where(F.col("text").rlike(TRIGGER)).mapInArrow(run, "window string, spans string")
+    rows = fit_sample(stored(rows.distinct(), "tagger-windows"), limit, "window", "spans").collect()
     return [(r.window, [tuple(map(int, s.split(":"))) for s in r.spans.split()]) for r in rows]
 
 
