@@ -136,7 +136,7 @@ def fit(stats: DataFrame) -> DataFrame:
 
 def _small(table: DataFrame) -> DataFrame:
     """A table of few rows a group, broadcast when proven small: the rows of a large group then stay where they are."""
-    return broadcast_if_small(table)[0]
+    return broadcast_if_small(table, max_rows=50_000)[0]
 
 
 def _inverse(scatter) -> list[float]:
@@ -192,12 +192,11 @@ def judged(docs: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
     docs = docs.select(*[F.col(f"`{c}`").alias(i) for c, i in inner.items()])
     counted = with_counts(docs.select("lang", "source", "text")).drop("text").withColumns(dict(zip(X, vector())))
     model = fit(stored(counted, "rules-stats"))
-    whole, _ = broadcast_if_small(model.where("group = '*'").select("group", F.col("center").alias("c0"), F.col("inverse").alias("i0")))
-    own, _ = broadcast_if_small(model.where(f"group <> '*' and n >= {SMALL}").select("group", "center", "inverse"))
+    whole = model.where("group = '*'").select("center", "inverse").first() or ([0.0] * DIMS, [0.0] * DIMS**2)  # no rows: never used
+    own = _small(model.where(f"group <> '*' and n >= {SMALL}").select("group", "center", "inverse"))
     rows = with_counts(docs).withColumns(dict(zip(X, vector()))).withColumn("group", _group("lang", "source"))
-    rows = rows.join(own, "group", "left").withColumn("all", F.lit("*"))
-    rows = rows.join(whole.withColumnRenamed("group", "all"), "all", "left")
-    rows = rows.withColumns({"center": F.coalesce("center", "c0"), "inverse": F.coalesce("inverse", "i0")})
+    rows = rows.join(own, "group", "left")
+    rows = rows.withColumns({name: F.coalesce(name, F.array(*map(F.lit, values))) for name, values in zip(("center", "inverse"), whole)})
     n, r = F.col("rule_counts.n_words"), F.col("rule_counts.n_repeat_words")
     rows = rows.withColumns({"base_failed": (n < MIN_WORDS) | (100 * r > 50 * n), "distance2": distance()})
     return rows.withColumn("kept", ~F.col("base_failed") & (F.col("distance2") <= cutoff)).select(
