@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from speechviews.llm.common import fit_sample, stored
+
 PASSAGE = 64
 TRAIN_DOCS, TRAIN_PASSAGES = 4000, 400
 EPOCHS, BATCH, RATE = 30, 128, 0.01
@@ -138,7 +140,7 @@ def held_out(doc_id="doc_id"):
 def training_bags(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> tuple[list[np.ndarray], list[int]]:
     """Features and labels of at most ``limit`` documents that are not held out."""
     clear = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("quality").alias("q2"))
-    chosen = clear.where("q = q2").where(~held_out()).select("doc_id", "q").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    chosen = fit_sample(stored(clear.where("q = q2").where(~held_out()).select("doc_id", "q"), "quality-labels"), limit, "doc_id")
 
     def run(batches):
         for batch in batches:
