@@ -36,7 +36,7 @@ def tokens(text):
     """The text's tokens separated by one blank; a slot is its mark, its type and its value."""
     t = F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")
     t = F.regexp_replace(t, r"(?<![^ ])[^\p{L}\p{N} ]+(?: |$)", "")
-    t = F.trim(F.translate(t, SLOT, ""))
+    t = F.trim(F.when(F.contains(t, F.lit(SLOT)), F.translate(t, SLOT, "")).otherwise(t))
     named = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", f"{SLOT}p$1")
     number = r"(?<![^ ])[^\p{L}\p{N} " + SLOT + r"]*(\p{N}[^\p{L} ]*)(?=[ ]|$)"
     slotted = F.regexp_replace(named, number, f"{SLOT}n$1")
