@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from speechviews.llm.common import fit_sample, stored
 
-PASSAGE = 64
+PASSAGE, BLOCK = 64, 512
 TRAIN_DOCS, TRAIN_PASSAGES = 4000, 400
 EPOCHS, BATCH, RATE = 30, 128, 0.01
 ENCODED, ATTENTION = 16, 8
@@ -40,19 +40,26 @@ _POWER = np.cumprod(np.full(64, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
 
 def passages(text: bytes) -> np.ndarray:
-    """One row of features for each passage."""
+    """One row of features for each passage; long texts are read in blocks of passages."""
     data = np.frombuffer(text, np.uint8)
     blank = _BLANK[data]
     starts = np.nonzero(~blank & np.concatenate([[True], blank[:-1]]))[0]
     if not len(starts):
         return np.zeros((1, FEATURES), np.float32)
+    step = PASSAGE * BLOCK
+    edges = [0, *starts[step::step], len(data)]
+    return np.concatenate([_features(data[a:b], blank[a:b], starts[k * step:(k + 1) * step] - a, data[b:b + 1])
+                           for k, (a, b) in enumerate(zip(edges, edges[1:]))])
+
+
+def _features(data, blank, starts, following) -> np.ndarray:
+    """Features of the passages in a piece of text that ``following``, a character or none, comes after."""
     n = -(-len(starts) // PASSAGE)
-    first = starts[::PASSAGE]
-    kind = _KIND[data]
+    kind = _KIND[np.concatenate([data, following])]
     pair = np.zeros(len(data), np.int64)
-    pair[:-1] = kind[:-1] * _KINDS + kind[1:]
+    pair[: len(kind) - 1] = kind[:-1] * _KINDS + kind[1:]
     own = np.zeros(len(data), np.int64)
-    own[first[1:]] = 1
+    own[starts[PASSAGE::PASSAGE]] = 1
     own = np.cumsum(own)
     counts = np.bincount(own * (_KINDS * _KINDS) + pair, minlength=n * _KINDS * _KINDS).reshape(n, -1)
     out = np.empty((n, FEATURES), np.float32)
@@ -64,7 +71,9 @@ def passages(text: bytes) -> np.ndarray:
     size = np.bincount(home, minlength=n)
     again = np.zeros(len(words), bool)
     again[1:] = (words[1:] == words[:-1]) & (home[1:] == home[:-1])
-    different = np.bincount(home[np.unique(words + home.astype(np.uint64) * _POWER[1], return_index=True)[1]], minlength=n)
+    mixed = (words ^ (words >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    in_passage = (mixed ^ (mixed >> np.uint64(32))) + home.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)
+    different = np.bincount(home[np.unique(in_passage, return_index=True)[1]], minlength=n)
     out[:, -2] = np.bincount(home, weights=again, minlength=n) / size
     out[:, -1] = 1 - different / size
     return out

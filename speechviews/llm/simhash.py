@@ -13,7 +13,7 @@ component unless all its rows have null ids. Repeated rows and ties get the same
 """
 
 import math
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ from speechviews.llm.common import components, numbered, stored, whole_row
 SEED = 42
 BITS = 64
 HEAVY = 4096
+BLOCK = 1 << 16  # shingles of a long text that are hashed at once
 
 
 def fingerprint(text: bytes, shingle: int) -> int:
@@ -32,11 +33,12 @@ def fingerprint(text: bytes, shingle: int) -> int:
     words = text.lower().split()
     if not words:
         return 0
-    rows = zip(*(words[i:] for i in range(shingle))) if len(words) >= shingle else [words]
-    join, digest = b" ".join, xxhash.xxh64_intdigest
-    hashes = np.array([digest(join(row), SEED) for row in rows], dtype=">u8")
-    set_ = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * set_ > len(hashes)).tobytes(), "big")
+    rows = zip(*(islice(words, i, None) for i in range(shingle))) if len(words) >= shingle else iter([words])
+    join, digest, n, set_ = b" ".join, xxhash.xxh64_intdigest, 0, np.zeros(BITS, np.int64)
+    while len(hashes := np.array([digest(join(row), SEED) for row in islice(rows, BLOCK)], dtype=">u8")):
+        set_ += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+        n += len(hashes)
+    return int.from_bytes(np.packbits(2 * set_ > n).tobytes(), "big")
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:

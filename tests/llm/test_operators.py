@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from speechviews.llm.common import components, fit_sample
 from speechviews.llm import (
     histogram_shards, license_digest, mil_quality, pii, pitman_yor, pivotal_mix, robust_rules, simhash, suffix_dedup, templates,
 )
@@ -143,9 +144,40 @@ def test_tagger_gradients_are_those_of_its_loss():
         assert abs((loss(up) - loss(down)) / 2e-5 - g[name][at]) < 1e-4, name
 
 
+# ------------------------------------------------------------- helpers
+
+
+def test_components_of_a_chain_a_hub_and_a_cycle(spark):
+    edges = [(k, k + 1) for k in range(1, 60)] + [(1000, 1000 - k) for k in range(1, 300)] + [(5000, 5001), (5001, 5002), (5002, 5000), (7, 7)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()}
+    expected = {k: 1 for k in range(1, 61)} | {k: 701 for k in range(701, 1001)} | {k: 5000 for k in (5000, 5001, 5002)}
+    assert got == expected
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_sample_to_fit_is_bounded_and_the_same_again(spark):
+    rows = spark.range(5000).repartition(7)
+    first = {r.id for r in fit_sample(rows, 300, "id").collect()}
+    assert 250 < len(first) <= 300
+    assert {r.id for r in fit_sample(rows.repartition(2), 300, "id").collect()} == first
+    assert fit_sample(rows.limit(20), 300, "id").count() == 20
+
+
 # ------------------------------------------------------------- quality
 
 
+def test_features_of_a_long_text_do_not_depend_on_blocks(monkeypatch):
+    text = (prose(3, 1500) + "\n\n" + "AB# " * 700 + "  ").encode()
+    whole = mil_quality.passages(text)
+    monkeypatch.setattr(mil_quality, "BLOCK", 2)
+    assert np.array_equal(mil_quality.passages(text), whole)
+    for k, row in enumerate(whole):
+        own = text.split()[64 * k:64 * (k + 1)]
+        assert abs(row[-1] - (1 - len(set(own)) / len(own))) < 1e-6
+    monkeypatch.setattr(simhash, "BLOCK", 10)
+    assert simhash.fingerprint(text, 3) == brute_fingerprint(text.decode())
+
+
 def test_scores_follow_the_labels_and_hold_out_rows(spark, docs, rows):
     junk = [(1000 + k, " ".join(f"{w}{'#$%&'[k % 4] * 3}" for w in prose(k, 80).split()), 0) for k in range(60)]
     good = [(2000 + k, prose(500 + k, 80), 1) for k in range(60)]
