@@ -46,6 +46,9 @@ def op5_suffix_trees(spark, folder):
     return suffix_dedup.without_repeats(bare(documents(spark, folder), "doc_id", "text")).drop("kept")
 
 
+ORACLES["op5_suffix_trees"] = suffix_dedup.ORACLE
+
+
 @query
 def op6_pitman_yor(spark, folder):
     return pitman_yor.scored(bare(documents(spark, folder), "doc_id", "text"))

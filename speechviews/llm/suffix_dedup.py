@@ -167,6 +167,20 @@ def documents_with_keys(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("doc_id", F.lit(LAST)).alias("doc"), sub.alias("sub"), "text")
 
 
+ORACLE = rf"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + {WINDOW - 1}], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - {WINDOW - 2})) AS i FROM texts WHERE len(words) >= {WINDOW}) AS s),
+repeated AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS nth FROM windows) AS r WHERE nth > 1),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM repeated) AS g GROUP BY doc_id)
+SELECT t.doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda word, p: NOT list_contains(coalesce(places, []), p)), ' ')) AS kept_sha256
+FROM texts t LEFT JOIN gone ON gone.doc_id = t.doc_id"""
+
+
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256, kept`` of every row; ``kept`` has the words that stay, joined by blanks."""
     rows = documents_with_keys(docs.select("doc_id", "text"))
