@@ -116,6 +116,55 @@ def flagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _oracle() -> str:
+    """The same in SQL, token by token."""
+    raw = r"""list_filter(regexp_extract_all(coalesce(replace(text, '@', ''), ''), '[^\x20\x09-\x0D]+'), lambda t: regexp_matches(t, '[\p{L}\p{N}]'))"""
+    return rf"""
+WITH raw AS (
+  SELECT doc_id AS id, false AS is_item, {raw} AS t FROM documents
+  UNION ALL SELECT item_id, true, {raw} FROM benchmark),
+named AS (
+  SELECT id, is_item, list_transform(t, lambda x, i:
+    CASE WHEN i > 1 AND regexp_matches(t[i - 1], '[\p{{Ll}}\p{{N}},]$') AND regexp_matches(x, '(?s)^\p{{Lu}}\p{{Ll}}+([^\p{{L}}\p{{N}}].*)?$')
+    THEN '@p' || x ELSE x END) AS t FROM raw),
+counted AS (
+  SELECT id, is_item, list_transform(t, lambda x:
+    CASE WHEN regexp_matches(x, '^[^\p{{L}}@]*$') THEN '@n' || regexp_replace(x, '^[^\p{{N}}]*', '') ELSE x END) AS t FROM named),
+typed AS (
+  SELECT id, is_item, list_transform(t, lambda x, i:
+    CASE WHEN i > 1 AND regexp_matches(t[i - 1], '(?s)^@n.{{1,40}}$') AND regexp_matches(x, '(?s)^(?i:{UNITS})([^\p{{L}}\p{{N}}].*)?$')
+    THEN '@u' || x ELSE x END) AS t FROM counted),
+tokens AS (
+  SELECT id, is_item, list_transform(t, lambda x: regexp_replace(lower(x), '[^\p{{L}}\p{{N}}@]+', '', 'g')) AS t FROM typed),
+item_windows AS (
+  SELECT id AS item_id, len(t) AS n, least({WINDOW}, len(t)) AS size, unnest(range(1, len(t) - least({WINDOW}, len(t)) + 2)) AS pos, t
+  FROM tokens WHERE is_item AND len(t) >= {SHORTEST}),
+items AS (
+  SELECT item_id, size, pos, least({NEEDED}, n - size + 1) AS needed, array_to_string(t[pos:pos + size - 1], ' ') AS w FROM item_windows),
+doc_windows AS (
+  SELECT id AS doc_id, size, unnest(range(1, len(t) - size + 2)) AS pos, t
+  FROM tokens, (SELECT DISTINCT size FROM items) AS s WHERE NOT is_item AND len(t) >= size),
+docs AS (SELECT doc_id, size, pos, array_to_string(t[pos:pos + size - 1], ' ') AS w FROM doc_windows),
+matched AS (
+  SELECT d.doc_id, i.item_id, d.pos - i.pos AS diagonal, d.pos, needed,
+    regexp_extract_all(i.w, '@[^ ]*') AS item_slots, regexp_extract_all(d.w, '@[^ ]*') AS doc_slots
+  FROM docs d JOIN items i ON i.size = d.size AND regexp_replace(i.w, '@(.)[^ ]*', '@\1', 'g') = regexp_replace(d.w, '@(.)[^ ]*', '@\1', 'g')
+  WHERE len(regexp_extract_all(i.w, '@[^ ]*')) <= {MOST_SLOTS}),
+pairs AS (SELECT DISTINCT doc_id, item_id, diagonal, unnest(item_slots) AS a, unnest(doc_slots) AS b FROM matched),
+twisted AS (
+  SELECT doc_id, item_id, diagonal FROM pairs GROUP BY ALL HAVING count(DISTINCT a) <> count(*) OR count(DISTINCT b) <> count(*)),
+passages AS (
+  SELECT doc_id, item_id, diagonal, count(DISTINCT pos) AS n FROM matched ANTI JOIN twisted USING (doc_id, item_id, diagonal)
+  GROUP BY ALL HAVING count(DISTINCT pos) >= min(needed)),
+leaks AS (SELECT doc_id, item_id, max(n) AS n FROM passages GROUP BY ALL)
+SELECT d.doc_id, count(item_id) > 0 AS leaked, CAST(count(item_id) AS INTEGER) AS n_items,
+  coalesce(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id), '') AS items, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_windows
+FROM documents d LEFT JOIN leaks l ON l.doc_id = d.doc_id GROUP BY d.doc_id""".replace("@", SLOT)
+
+
+ORACLE = _oracle()
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no passage; columns unchanged."""
     found = stored(leaks(docs, benchmark).select("doc_id", "text_key"), "leaks")

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -559,6 +560,17 @@ def test_templates_find_questions_with_other_values(spark):
     got = {r.doc_id: r["items"] for r in templates.flagged(df, benchmark).collect()}
     assert got[0] == got[None] == [1] and got[2] == [2]
     assert got[1] == got[3] == got[4] == got[5] == []
+    rows = df.where("doc_id is not null").unionByName(spark.createDataFrame([
+        (20, "It weighs 5 Kg and costs $1,200.50 for Anna O'Neil's 3rd McDonald visit, at 12:30 on 2020-01-02."), (21, "…  a. Paris, London (Berlin) 5km 5 km, 7 KM. x")],
+        "doc_id long, text string"))
+    more = benchmark.unionByName(spark.createDataFrame([(5, "it weighs 6 kg and costs 1,300.50 for Berta O'Neil's 3rd McDonald visit, at 13:30 on 2021-01-02")], "item_id long, text string"))
+    database = duckdb.connect()
+    for name, frame in (("documents", rows), ("benchmark", more)):
+        database.register(f"{name}_rows", frame.toPandas())
+        database.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}_rows")
+    expected = {r[0]: (r[3], r[4]) for r in database.execute(templates.ORACLE).fetchall()}
+    assert {r.doc_id: (",".join(map(str, r["items"])), r.n_windows) for r in templates.flagged(rows, more).collect()} == expected
+    assert expected[20][0] == "5"
     assert templates.without_leaks(df, benchmark).where("doc_id in (0, 2) or doc_id is null").count() == 0
     assert templates.without_leaks(df, benchmark.limit(0)).count() == len(texts) + 1
     assert templates.flagged(df.limit(0), benchmark).count() == 0
