@@ -109,6 +109,11 @@ def _at_or_above(bits: int, value: tuple):
     return (F.col("key_text") > value[0]) | ((F.col("key_text") == value[0]) & (_prefix(bits) >= value[1]))
 
 
+def write_shards(docs: DataFrame, path: str, shards: int = 24, tolerance: float = TOLERANCE):
+    """The documents in a folder of files for each shard; a shard's slices are written side by side."""
+    shard_documents(docs, shards, tolerance).write.partitionBy("shard").parquet(path)
+
+
 def shard_documents(docs: DataFrame, shards: int = 24, tolerance: float = TOLERANCE) -> DataFrame:
     """``docs`` with ``size``, ``shard`` (0 to ``shards - 1``, near equal bytes) and ``slot`` (gapless in each shard).
 

@@ -339,6 +339,34 @@ def joined(spans) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
+def _spans(texts: list[str], p: dict | None) -> list[tuple[list, list]]:
+    """Base spans and all spans of every text."""
+    base = [base_spans(t) if t else [] for t in texts]
+    more = tagged_spans(p, texts) if p else [[] for _ in texts]
+    return [(b, reconciled(t, b, m)) for t, b, m in zip(texts, base, more)]
+
+
+def redacted(docs: DataFrame, model: dict | None = None) -> DataFrame:
+    """``docs`` with every span of ``text`` replaced by its kind in angle brackets; all columns stay."""
+    p = model if model is not None else trained(training_windows(docs))
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            out = []
+            for text, (_, spans) in zip(texts, _spans([t or "" for t in texts], p)):
+                at, parts = 0, []
+                for k, s, e in spans:
+                    if s >= at:
+                        parts += [text[at:s], f"<{KINDS[k]}>"]
+                    at = max(at, e)
+                out.append("".join([*parts, text[at:]]) if spans else text)
+            place = batch.schema.get_field_index("text")
+            yield batch.set_column(place, batch.schema.field(place), pa.array(out, batch.schema.field(place).type))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def found(docs: DataFrame, model: dict | None = None) -> DataFrame:
     """``doc_id``, counts of base spans by kind, ``base`` and ``spans`` as ``kind:start:end`` lists, for every row.
 
@@ -348,10 +376,8 @@ def found(docs: DataFrame, model: dict | None = None) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            base = [base_spans(t) if t else [] for t in texts]
-            more = tagged_spans(p, texts) if p else [[] for _ in texts]
-            spans = [reconciled(*x) for x in zip(texts, base, more)]
+            spans = _spans([t or "" for t in batch.column("text").to_pylist()], p)
+            base, spans = [b for b, _ in spans], [s for _, s in spans]
             counts = [pa.array([sum(k == kind for k, _, _ in b) for b in base], pa.int64()) for kind in range(len(KINDS))]
             yield pa.record_batch(
                 [batch.column("doc_id"), *counts, pa.array(map(joined, base), pa.string()), pa.array(map(joined, spans), pa.string())],

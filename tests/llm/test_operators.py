@@ -109,6 +109,17 @@ def test_base_spans_are_those_of_the_patterns(spark):
         assert row.n_email == expected.count("email")
 
 
+def test_redaction_replaces_every_span_and_keeps_columns(spark):
+    df = spark.createDataFrame([(k, t, "x") for k, t in enumerate(PERSONAL)], "doc_id long, text string, kept string")
+    spans = {r.doc_id: r for r in pii.found(df).collect()}
+    for r in pii.redacted(df).collect():
+        assert r.kept == "x"
+        if not spans[r.doc_id].spans:
+            assert r.text == PERSONAL[r.doc_id]
+        else:
+            assert not brute_spans(r.text) and "<" in r.text
+
+
 def test_tagger_learns_to_read_spans():
     rng = np.random.default_rng(0)
 
@@ -236,6 +247,12 @@ def test_a_large_group_of_copies_is_split_between_shards(spark):
     assert len(sizes) == 6 and max(sizes) < 1.05 * min(sizes)
 
 
+def test_shards_are_written_as_folders(spark, docs, tmp_path):
+    histogram_shards.write_shards(docs, str(tmp_path / "shards"), 4)
+    assert sorted(p.name for p in (tmp_path / "shards").glob("shard=*")) == [f"shard={k}" for k in range(4)]
+    assert spark.read.parquet(str(tmp_path / "shards")).count() == docs.count()
+
+
 def test_no_rows_no_shards(empty):
     assert histogram_shards.shard_documents(empty, 5).count() == 0
 
