@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -9,7 +10,7 @@ sys.path.insert(0, ROOT)
 from speechviews.session import local_session  # noqa: E402
 
 DATA = "/root/testdata/sf0.001"
-SESSION = local_session(4, partitions=4)  # before test modules name columns
+SESSION = local_session(4, partitions=4, checkpoint_dir=tempfile.mkdtemp(prefix="speechviews-tests-"))  # before test modules name columns
 
 
 @pytest.fixture(scope="session")
