@@ -55,8 +55,8 @@ def whole_row(docs: DataFrame):
 
 def bare(docs: DataFrame, *names: str) -> DataFrame:
     """The named columns alone; a missing one is null. Other columns cannot clash with an operator's own."""
-    kinds = {"doc_id": "bigint"}
-    return docs.select(*[F.col(n) if n in docs.columns else F.lit(None).cast(kinds.get(n, "string")).alias(n) for n in names])
+    kinds = {n: "bigint" if n == "doc_id" else "string" for n in names}
+    return docs.select(*[(F.col(n) if n in docs.columns else F.lit(None)).cast(kinds[n]).alias(n) for n in names])
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ ROW = ("doc_id", "text_key", "nth")
 
 def sizes_of(docs: DataFrame) -> DataFrame:
     """One row per document without its text: id, source, size in words."""
-    cut = docs.select("doc_id", "source", F.xxhash64("text").alias("text_key"),
+    cut = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64("text").alias("text_key"),
                       F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"))
     return cut.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "text_key").orderBy("source")))
 

@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
             fps = np.array([fingerprint(t.as_py() or b"", shingle) for t in texts], dtype=np.uint64).view(np.int64)
             yield pa.record_batch([batch.column("doc_id"), batch.column("text_key"), pa.array(fps)], ["doc_id", "text_key", "fp"])
 
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
 
 
