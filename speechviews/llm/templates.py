@@ -7,6 +7,10 @@ passage; its slots must map one to one between item and document. So a question
 caught, and a passage whose slots contradict each other is not. A passage counts when it has ``NEEDED`` windows, or all that the
 item has.
 
+Windows of more than ``MOST_SLOTS`` slots are joined with their values, and as templates of longer windows, which reach to
+the ``WINDOW - MOST_SLOTS``-th literal token. They count for items that the other windows do not find; ``n_windows`` is then the
+number of both. A passage of templates alone needs ``NEEDED``, or all templates that the item has.
+
 Items of fewer than ``WINDOW`` tokens are one window of their own length; those under ``SHORTEST`` tokens are not
 searched. Null or empty texts match nothing; null ids and repeated rows are judged by their text. An empty
 table gives no rows, an empty benchmark no leaks. The benchmark is broadcast only when it is proven small.
@@ -58,50 +62,112 @@ def _slots(window):
     return F.regexp_extract_all(window, F.lit(rf"{SLOT}[^ ]*"), F.lit(0))
 
 
+def _dense(window):
+    return F.length(window) - F.length(F.translate(window, SLOT, "")) > MOST_SLOTS
+
+
+def key(window):
+    """What windows are joined on: the template, or the window itself where that is mostly slots."""
+    return F.when(F.contains(window, F.lit(SLOT)) & ~_dense(window), template(window)).otherwise(window)
+
+
+def _runs(tokens_):
+    """For each literal token: its position ``first``, the one ``before`` it, and the ``last`` that a window starting between them
+    needs; those alone that make windows longer than ``WINDOW``."""
+    marked = F.transform(F.split(tokens_, " "), lambda t, i: F.when(F.contains(t, F.lit(SLOT)), 0).otherwise(i + 1))
+    literal = F.array_remove(marked, 0)
+    starts = F.zip_with(F.concat(F.array(F.lit(0)), literal), literal, lambda a, b: F.struct(a.alias("before"), b.alias("first")))
+    ends = F.slice(literal, WINDOW - MOST_SLOTS, F.size(literal))
+    runs = F.zip_with(starts, ends, lambda s, e: F.struct(s["before"].alias("before"), s["first"].alias("first"), e.alias("last")))
+    return F.filter(runs, lambda r: r["last"] - r["before"] > WINDOW)
+
+
+def long_windows(texts: DataFrame, column: str, longest=None) -> DataFrame:
+    """``pos, window`` beside the other columns of ``texts``: windows of more than ``WINDOW`` tokens, ``longest`` at most."""
+    others = [c for c in texts.columns if c != column]
+    runs = texts.select(*others, F.split(column, " ").alias("all_"), F.explode(_runs(F.col(column))).alias("run"))
+    begin = F.col("run.before") if longest is None else F.greatest("run.before", F.col("run.last") - longest)
+    runs = runs.withColumn("begin", begin).withColumn("end", F.least(F.col("run.first"), F.col("run.last") - WINDOW)).where("begin < end")
+    runs = runs.select(*others, "begin", "end", F.slice("all_", F.col("begin") + 1, F.col("run.last") - F.col("begin")).alias("part"))
+    found = runs.select(*others, "begin", "part", F.explode(F.sequence("begin", F.col("end") - 1)).alias("pos"))
+    window = F.array_join(F.slice("part", F.col("pos") - F.col("begin") + 1, F.size("part")), " ")
+    return found.select(*others, "pos", window.alias("window"))
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_window, template, item_id, item_pos, length, needed`` of all items of at least ``SHORTEST`` tokens."""
+    """``item_window, key, item_id, item_pos, length, needed, needed_templates`` of all items of at least ``SHORTEST`` tokens.
+
+    ``length`` is 0 for the longer windows.
+    """
     items = benchmark.select("item_id", tokens(text_or_empty()).alias("item_tokens"))
     items = items.withColumn("n", F.when(F.col("item_tokens") == "", 0).otherwise(F.size(F.split("item_tokens", " "))))
-    parts = []
+    out = None
     for length in range(SHORTEST, WINDOW + 1):
         fits = F.col("n") >= WINDOW if length == WINDOW else F.col("n") == length
-        found = items.where(fits).select("item_id", "n", F.posexplode(windows(F.col("item_tokens"), length)).alias("item_pos", "item_window"))
-        parts.append(found.select("item_window", template(F.col("item_window")).alias("template"), "item_id", "item_pos",
-                                  F.lit(length).alias("length"), F.least(F.lit(NEEDED), F.col("n") - length + 1).alias("needed")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.where(F.size(_slots(F.col("item_window"))) <= MOST_SLOTS)
+        found = items.where(fits).withColumn("own", windows(F.col("item_tokens"), length))
+        starts = F.aggregate(_runs(F.col("item_tokens")), F.lit(0), lambda n, r: n + F.least(r["first"], r["last"] - WINDOW) - r["before"])
+        templates = F.size(F.filter("own", lambda w: ~_dense(w))) + starts
+        found = found.select("item_id", "item_tokens", "own", F.least(F.lit(NEEDED), F.col("n") - length + 1).alias("needed"),
+                             F.least(F.lit(NEEDED), templates).alias("needed_templates"))
+        parts = [found.drop("item_tokens").select(F.posexplode("own").alias("item_pos", "item_window"), "*").withColumn("length", F.lit(length))]
+        if length == WINDOW:
+            longer = long_windows(found.drop("own"), "item_tokens")
+            parts.append(longer.withColumnsRenamed({"pos": "item_pos", "window": "item_window"}).withColumn("length", F.lit(0)))
+        for part in parts:
+            joined = F.when(F.col("length") == 0, template(F.col("item_window"))).otherwise(key(F.col("item_window")))
+            part = part.select("item_window", joined.alias("key"), "item_id", "item_pos", "length", "needed", "needed_templates")
+            out = part if out is None else out.unionByName(part)
+    return out
 
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, text_key, item_id, diagonal, n_windows`` of consistent passages that are long enough."""
+    """``doc_id, text_key, item_id, diagonal, n_windows, plain`` of consistent passages that are long enough.
+
+    ``plain`` passages are long enough without windows of more than ``MOST_SLOTS`` slots.
+    """
     grams = stored(benchmark_windows(benchmark), "benchmark-windows")
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), tokens(text_or_empty()).alias("doc_tokens"))
     matched = None
-    for length in sorted(r[0] for r in grams.select("length").distinct().collect()):
-        own, _ = broadcast_if_small(grams.where(F.col("length") == length).drop("length").withColumn("h", F.xxhash64("template")), max_bytes=8 << 20)
-        found = texts.select("doc_id", "text_key", F.posexplode(windows(F.col("doc_tokens"), length)).alias("pos", "doc_window"))
-        found = found.withColumn("doc_template", template(F.col("doc_window")))
-        found = found.join(own, (F.xxhash64("doc_template") == F.col("h")) & (F.col("doc_template") == F.col("template")))
-        found = found.select("doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "needed", "pos",
-                             _slots(F.col("item_window")).alias("item_slots"), _slots(F.col("doc_window")).alias("doc_slots"))
+    for length, longest in sorted(map(tuple, grams.groupBy("length").agg(F.max(F.size(F.split("item_window", " ")))).collect())):
+        own, _ = broadcast_if_small(grams.where(F.col("length") == length).withColumn("h", F.xxhash64("key")), max_bytes=8 << 20)
+        if length:
+            found = texts.select("doc_id", "text_key", F.posexplode(windows(F.col("doc_tokens"), length)).alias("pos", "doc_window"))
+            found = found.withColumn("doc_key", key(F.col("doc_window")))
+        else:
+            found = long_windows(texts, "doc_tokens", longest).withColumnRenamed("window", "doc_window")
+            found = found.withColumn("doc_key", template(F.col("doc_window")))
+        found = found.join(own, (F.xxhash64("doc_key") == F.col("h")) & (F.col("doc_key") == F.col("key")))
+        slots = _slots(F.col("item_window"))
+        found = found.select("doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "needed", "needed_templates",
+                             "pos", ((F.col("length") > 0) & (F.size(slots) <= MOST_SLOTS)).alias("plain"),
+                             ((F.col("length") == 0) | (F.size(slots) <= MOST_SLOTS)).alias("templated"),
+                             F.arrays_zip(slots.alias("item_slots"), _slots(F.col("doc_window")).alias("doc_slots")).alias("pairs"))
         matched = found if matched is None else matched.unionByName(found)
     if matched is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, diagonal int, n_windows long")
+        return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, diagonal int, n_windows int, plain boolean")
     passage = ["doc_id", "text_key", "item_id", "diagonal"]
-    pairs = F.arrays_zip("item_slots", "doc_slots")
+    plain, templated = F.col("plain"), F.col("templated")
     whole = matched.groupBy(*passage).agg(
-        F.countDistinct("pos").alias("n_windows"), F.min("needed").alias("needed"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+        F.size(F.collect_set(F.when(plain, F.col("pos")))).alias("n_plain"), F.size(F.collect_set(F.when(templated, F.col("pos")))).alias("n_templates"),
+        F.size(F.collect_set("pos")).alias("n_all"), F.min("needed").alias("needed"), F.min("needed_templates").alias("needed_templates"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(plain, F.col("pairs"))))).alias("plain_pairs"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-    kinds = F.size("pairs")
-    one_to_one = (F.size(F.array_distinct("pairs.item_slots")) == kinds) & (F.size(F.array_distinct("pairs.doc_slots")) == kinds)
-    return whole.where((F.col("n_windows") >= F.col("needed")) & one_to_one).select(*passage, "n_windows")
+
+    def one_to_one(pairs):
+        return (F.size(F.array_distinct(f"{pairs}.item_slots")) == F.size(pairs)) & (F.size(F.array_distinct(f"{pairs}.doc_slots")) == F.size(pairs))
+
+    templates = (F.col("needed_templates") > 0) & (F.col("n_templates") >= F.col("needed_templates"))
+    whole = whole.select(*passage, "n_plain", "n_all", ((F.col("n_plain") >= F.col("needed")) & one_to_one("plain_pairs")).alias("plain"),
+                         (((F.col("n_all") >= F.col("needed")) | templates) & one_to_one("pairs")).alias("counts"))
+    return whole.where("plain or counts").select(*passage, F.when(plain, F.col("n_plain")).otherwise(F.col("n_all")).alias("n_windows"), "plain")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_key, items, n_windows`` of the texts that hold a passage."""
-    found = passages(docs, benchmark).groupBy("doc_id", "text_key", "item_id").agg(F.max("n_windows").alias("n_windows"))
+    found = passages(docs, benchmark).groupBy("doc_id", "text_key", "item_id").agg(
+        F.coalesce(F.max(F.when(F.col("plain"), F.col("n_windows"))), F.max("n_windows")).alias("n_windows")
+    )
     return found.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.sum("n_windows").alias("n_windows"))
 
 

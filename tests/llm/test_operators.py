@@ -593,6 +593,20 @@ def test_templates_find_questions_with_other_values(spark):
     assert templates.flagged(df.limit(0), benchmark).count() == 0
 
 
+def test_items_dense_in_numbers_are_found(spark):
+    mean, total = "What is the mean of 3, 5, 7, 9, 11, 13 and 15?", "Find the sum of 12, 17, 23, 31, 45 and 58."
+    numbers = "3 1 4 1 5 9 2 6 5 3 5 8"
+    benchmark = spark.createDataFrame([(1, mean), (2, total), (3, numbers), (4, "2 4 6 8 10")], "item_id long, text string")
+    texts = [
+        "Now: " + mean + " Think.", "So find the sum of 2, 7, 3, 1, 5 and 8. Then", "What is the mean of 4, 6, 8, 10, 12, 14 and 16?", "0 " + numbers, "7 " * 40,
+        "What is the mean of 4, 4, 8, 10, 12, 14 and 16?", "Find the sum of 2, 7, 3, 1, 5, 9 and 8.", "see 2 4 6 8 10 12",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r["items"], r.n_windows) for r in templates.flagged(df, benchmark).collect()}
+    assert [got[k][0] for k in range(8)] == [[1], [2], [1], [3], [], [], [], [4]]
+    assert got[2][1] == 3 and got[3][1] == 5
+
+
 def test_leaks_are_those_of_plain_windows_where_there_are_no_slots(spark, docs, rows):
     benchmark = spark.createDataFrame([(k, " ".join(words(rows[3 * k][1])[5 + k:20 + k][i].decode() for i in range(15))) for k in range(8)], "item_id long, text string")
     items = {r.item_id: r.text.replace(".", "").split() for r in benchmark.collect()}
