@@ -2,8 +2,8 @@
 
 The patterns give the base spans. The tagger is trained in numpy on windows whose labelled spans are base spans, some of
 them rewritten (other separators, no plus sign, a spaced or spelled-out at sign) so that it also learns spans
-which the patterns miss. It reads overlapping windows; a window is decoded if it holds a digit or an at sign, without
-which no span can be. Spans of all windows of a text are reconciled globally: those cut by a window's edge go, the others
+which the patterns miss. It reads overlapping windows; a window is decoded if it holds a digit, an at sign, or
+"at" in brackets or blanks before a dotted name, without which no span can be. Spans of all windows of a text are reconciled globally: those cut by a window's edge go, the others
 are taken by their score, highest first, unless they overlap a base span or one taken before.
 
 ``TRAIN_WINDOWS`` bounds the windows that are fitted on; they are those of the smallest hashes. Nulls: a null text is empty.
@@ -27,7 +27,9 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
-TRIGGER = r"[0-9@]"
+BASE_TRIGGER = r"[0-9@]"
+#: What a span of the tagger holds: a digit, an at sign, or one spelled out before a dotted name.
+TRIGGER = BASE_TRIGGER + r"|(?<![A-Za-z])[Aa][Tt](?=[\x20\x09-\x0D()\[\]{}<>_-]+[A-Za-z0-9][A-Za-z0-9-]*\.[A-Za-z0-9])"
 WINDOW, STRIDE = 96, 48
 TRAIN_WINDOWS, STEPS, BATCH, HIDDEN, RATE = 4000, 400, 64, 16, 0.03
 TAGS = 1 + 2 * len(KINDS)
@@ -68,11 +70,11 @@ def base_spans(text: str, verified: bool = True) -> list[tuple[int, int, int]]:
     return [(k, start, end) for start, k, end in sorted(out)]
 
 
-def windows_of(text: str) -> list[int]:
-    """Starts of the windows that hold a digit or an at sign."""
+def windows_of(text: str, trigger: str = TRIGGER) -> list[int]:
+    """Starts of the windows that hold a trigger."""
     starts = set()
     last = max(0, -(-(len(text) - WINDOW) // STRIDE)) * STRIDE
-    for m in re.finditer(TRIGGER, text):
+    for m in re.finditer(trigger, text):
         at = m.start() // STRIDE * STRIDE
         starts.update(s for s in (at - STRIDE, at) if 0 <= s <= last)
         if at > last:
@@ -268,7 +270,7 @@ def _plausible(kind: str, found: str) -> bool:
     """What any span of a kind must hold."""
     digits = sum(c.isdigit() for c in found)
     if kind == "email":
-        return ("@" in found or "at" in found) and "." in found
+        return ("@" in found or "at" in found.lower()) and "." in found
     if kind == "ip":
         parts = re.findall("[0-9]+", found)
         return len(parts) == 4 and all(int(p) <= 255 for p in parts)
@@ -323,14 +325,14 @@ def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> list[tuple[
             texts, spans = [], []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text, verified=False)  # no tagger learns check digits; found cards are verified later
-                for s in windows_of(text):
+                for s in windows_of(text, BASE_TRIGGER):  # a spelled-out address has no base span and is no example of none
                     inside = [(k, a - s, b - s) for k, a, b in base if s <= a and b <= s + WINDOW]
                     if sum(a < s + WINDOW and b > s for _, a, b in base) == len(inside):
                         texts.append(text[s:s + WINDOW])
                         spans.append(" ".join(f"{k}:{a}:{b}" for k, a, b in inside))
             yield pa.record_batch([pa.array(texts, pa.string()), pa.array(spans, pa.string())], ["window", "spans"])
 
-    rows = docs.select("text").where(F.col("text").rlike(TRIGGER)).mapInArrow(run, "window string, spans string")
+    rows = docs.select("text").where(F.col("text").rlike(BASE_TRIGGER)).mapInArrow(run, "window string, spans string")
     rows = fit_sample(stored(rows.distinct(), "tagger-windows"), limit, "window", "spans").collect()
     return [(r.window, [tuple(map(int, s.split(":"))) for s in r.spans.split()]) for r in rows]
 

@@ -134,6 +134,26 @@ def test_tagger_learns_to_read_spans():
     assert hits >= 36
 
 
+def test_spelled_out_addresses_without_digits_are_found(spark):
+    rng = np.random.default_rng(4)
+    name = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 5))
+    fill = lambda: " ".join(PROSE[i] for i in rng.integers(0, len(PROSE), 6))[:28]
+    texts = [f"{fill()} {name()}.{name()}@{name()}.example.org {fill()}" for _ in range(400)]
+    asked = {}
+    for k in range(20):
+        spelled = f"{name()}.{name()} (at) {name()}.example.org"
+        before = fill() + " "
+        texts.append(f"{before}{spelled} {fill()}")
+        asked[len(texts) - 1] = f"email:{len(before)}:{len(before) + len(spelled)}"
+    texts += ["we met at home. Then we left", "look at kate.miller and that.thing", "nobody is at the (at) sign"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.base, r.spans) for r in pii.found(df).collect()}
+    assert all(got[k][0] == "" for k in asked)
+    assert sum(got[k][1] == span for k, span in asked.items()) >= 16
+    assert got[420] == got[422] == ("", "")
+    assert pii.windows_of("JANE [AT] MAIL.EXAMPLE.ORG") == pii.windows_of("jane at mail.org") == [0] and pii.windows_of("that mail.org, at home") == []
+
+
 def test_tagger_gradients_are_those_of_its_loss():
     rng = np.random.default_rng(3)
     p = pii.initial(rng)
