@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from speechviews.llm import histogram_shards, license_digest, mil_quality, pii, pitman_yor, pivotal_mix, robust_rules, simhash, suffix_dedup, templates
+from speechviews.llm import (
+    divergence, histogram_shards, license_digest, merkle, mil_quality, pii, pitman_yor, pivotal_mix, robust_rules, simhash, suffix_dedup, templates, url_rules,
+)
 from speechviews.llm.common import bare, documents, text_or_empty
 
 QUERIES, ORACLES = {}, {}
@@ -80,3 +82,28 @@ def op10_template_decontamination(spark, folder):
 
 
 ORACLES["op10_template_decontamination"] = templates.ORACLE
+
+
+@query
+def op11_merkle_manifest(spark, folder):
+    return merkle.audited(documents(spark, folder))
+
+
+ORACLES["op11_merkle_manifest"] = merkle.ORACLE
+
+
+@query
+def op12_url_rules(spark, folder):
+    pages = bare(spark.read.parquet(f"{folder}/pages.parquet"), "page_id", "url").withColumn("page_id", F.col("page_id").cast("long"))
+    return url_rules.judged(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op12_url_rules"] = url_rules.ORACLE
+
+
+@query
+def op13_source_divergence(spark, folder):
+    return divergence.audited(documents(spark, folder))
+
+
+ORACLES["op13_source_divergence"] = divergence.ORACLE
