@@ -1,7 +1,7 @@
 """Source divergence audit: how far each source's terms are from those of the other sources, and of the whole, of its language.
 
 Texts are cut into terms and counted in batches, so only partial counts are shuffled. Kept terms get a number inside a chunk of
-their language's vocabulary, and a group's counts become sorted arrays of (number, count), one per chunk. Every unordered pair
+their language's vocabulary, and a group's counts become sorted arrays of (number, share), one per chunk. Every unordered pair
 of groups co-groups its two arrays of a chunk: a galloping search finds the terms of both, each term is priced in both
 directions, and terms that neither has are a multiplication at the end. An array holds a chunk's terms at most, however large
 its group, and the prices of chunks add up.
@@ -29,7 +29,8 @@ PARTS = 1_000_000_000
 TERMS_SHOWN = 200
 
 PIECE = 1 << 20  # bytes of a text cut at a time
-HELD = 200_000  # counts a task holds before it sends them on
+DOCUMENT = 1 << 48
+HELD = 400_000  # counts a task holds before it sends them on
 CHUNK = 16_384  # terms of a language in an array, about
 
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -47,29 +48,29 @@ def _pieces(text: bytes):
 
 def _counted(batches):
     names = [f.split()[0] for f in COUNTS.split(", ")]
-    held, size = {}, 0
+    held, size = {}, 0  # by group: occurrences by term, and the documents on top of them as multiples of DOCUMENT
 
     def sent():
         rows = {n: [] for n in names}
-        for (lang, source), (n, docs) in held.items():
+        for (lang, source), n in held.items():
             rows["lang"] += [lang] * (len(n) + 1)
             rows["source"] += [source] * (len(n) + 1)
             rows["term"] += [t.decode() for t in n] + [None]
-            rows["n"] += [*n.values(), 0]
-            rows["docs"] += [*(docs[t] for t in n), 0]
+            rows["n"] += [*(k % DOCUMENT for k in n.values()), 0]
+            rows["docs"] += [*(k // DOCUMENT for k in n.values()), 0]
         kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(rows[n], k) for n, k in zip(names, kinds)], names=names)
 
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
         for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts):
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            before = len(n)
+            n = held.setdefault((lang, source), {})
+            before, get = len(n), n.get
             own = Counter()
             for piece in _pieces(text.as_py() or b""):
                 own.update(TERM.findall(piece.lower()))
-            n.update(own)
-            docs.update(own.keys())
+            for term, count in own.items():
+                n[term] = get(term, 0) + count + DOCUMENT
             size += len(n) - before
             if size >= HELD:
                 yield sent()
@@ -96,15 +97,6 @@ def _gap(p, q):
     return F.call_function("div", (p - q) * (p - q), q)
 
 
-def _shares(count, total, kinds):
-    """``_share`` for arrays."""
-    whole, rest, share = total + kinds, count + 1, 0
-    for _ in range(3):
-        share = share * 1000 + rest * 1000 // whole
-        rest = rest * 1000 % whole
-    return share + 1
-
-
 def _gaps(p, q):
     return (p - q) ** 2 // q
 
@@ -136,11 +128,9 @@ def _priced(left: pa.Table, right: pa.Table) -> pa.Table:
     sides = []
     for side in (left, right):
         empty = np.zeros(0, np.int64)
-        sides.append(tuple(side[c].combine_chunks().values.to_numpy().astype(np.int64) if side.num_rows else empty for c in ("ids", "ns")))
-    (ids_a, n_a), (ids_b, n_b) = sides
-    zero = np.zeros(1, np.int64)
-    none_a, none_b = (_shares(zero, key[t], key["kinds"]) for t in ("total_a", "total_b"))
-    p_a, p_b = _shares(n_a, key["total_a"], key["kinds"]), _shares(n_b, key["total_b"], key["kinds"])
+        sides.append(tuple(side[c].combine_chunks().values.to_numpy().astype(np.int64) if side.num_rows else empty for c in ("ids", "shares")))
+    (ids_a, p_a), (ids_b, p_b) = sides
+    none_a, none_b = np.int64(key["none_a"]), np.int64(key["none_b"])
     swap = len(ids_a) > len(ids_b)
     short, long = (ids_b, ids_a) if swap else (ids_a, ids_b)
     at = galloped(short, long)
@@ -189,27 +179,27 @@ def _terms(kept: DataFrame, groups: DataFrame, shown: int) -> DataFrame:
 
 
 def _pairs(kept: DataFrame, groups: DataFrame) -> DataFrame:
-    a = groups.select("lang", F.col("source").alias("a"), F.col("total").alias("total_a"), "kinds")
-    b = groups.select("lang", F.col("source").alias("b"), F.col("total").alias("total_b"))
+    shared = groups.withColumn("none", F.when(F.col("kinds") > 0, _share(F.lit(0), F.col("total"), F.col("kinds"))).otherwise(F.lit(1)))
+    a = shared.select("lang", F.col("source").alias("a"), F.col("none").alias("none_a"), "kinds")
+    b = shared.select("lang", F.col("source").alias("b"), F.col("none").alias("none_b"))
     pairs = stored(a.join(b, "lang").where("a < b"), "group-pairs")
-    entries = F.sort_array(F.collect_list(F.struct("id", "n")))
-    arrays = kept.groupBy("lang", "source", "chunk").agg(entries.alias("e"))
-    arrays = stored(arrays.select("lang", "source", "chunk", F.col("e.id").alias("ids"), F.col("e.n").alias("ns")), "term-arrays")
+    sizes, _ = broadcast_if_small(groups.withColumn("key", F.concat("lang", "source")).select("key", *groups.columns))
+    share = _share(F.col("n"), F.col("total"), F.col("kinds")).cast("int")  # at most PARTS + 1
+    entries = kept.join(sizes.drop("key"), ["lang", "source"]).select("lang", "source", "chunk", F.struct("id", share.alias("share")).alias("e"))
+    arrays = entries.groupBy("lang", "source", "chunk").agg(F.sort_array(F.collect_list("e")).alias("e"))
+    arrays = stored(arrays.select("lang", "source", "chunk", F.col("e.id").alias("ids"), F.col("e.share").alias("shares")), "term-arrays")
     small, _ = broadcast_if_small(pairs.withColumn("key", F.concat("lang", "a", "b")).select("key", *pairs.columns))
-    small = small.drop("key")
     tasks = ["lang", "a", "b", "chunk"]
-    columns = [*tasks, "total_a", "total_b", "kinds", "ids", "ns"]
+    columns = [*tasks, "none_a", "none_b", "ids", "shares"]
     left = arrays.withColumnRenamed("source", "a").join(small, ["lang", "a"]).select(columns)
     right = arrays.withColumnRenamed("source", "b").join(small, ["lang", "b"]).select(*[F.col(c).alias(c) for c in columns])
     priced = left.groupBy(tasks).cogroup(right.groupBy(tasks)).applyInArrow(_priced, "lang string, a string, b string, terms long, forth long, back long")
-    sums = priced.groupBy("lang", "a", "b").agg(*[F.sum(c).alias(c) for c in ("terms", "forth", "back")])
+    sums = stored(priced.groupBy("lang", "a", "b").agg(*[F.sum(c).alias(c) for c in ("terms", "forth", "back")]), "pair-sums")
     rows = pairs.join(sums, ["lang", "a", "b"], "left").na.fill(0)
-    none_a, none_b = (_share(F.lit(0), F.col(t), F.col("kinds")) for t in ("total_a", "total_b"))
-    absent = F.col("kinds") - F.col("terms")
-    value = lambda own, p, q: F.when(F.col("kinds") > 0, F.col(own) + absent * _gap(p, q)).otherwise(F.lit(0))
-    forth = rows.select("lang", F.col("a").alias("source"), F.col("b").alias("item"), value("forth", none_a, none_b).alias("value"))
-    back = rows.select("lang", F.col("b").alias("source"), F.col("a").alias("item"), value("back", none_b, none_a).alias("value"))
-    return _ranked(stored(forth.unionByName(back), "pair-values"), "pair")
+    absent, none_a, none_b = F.col("kinds") - F.col("terms"), F.col("none_a"), F.col("none_b")
+    forth = rows.select("lang", F.col("a").alias("source"), F.col("b").alias("item"), (F.col("forth") + absent * _gap(none_a, none_b)).alias("value"))
+    back = rows.select("lang", F.col("b").alias("source"), F.col("a").alias("item"), (F.col("back") + absent * _gap(none_b, none_a)).alias("value"))
+    return _ranked(forth.unionByName(back), "pair")
 
 
 #: The same in DuckDB, every group with every kept term.
