@@ -124,7 +124,7 @@ def galloped(short: np.ndarray, long: np.ndarray) -> np.ndarray:
 
 def _priced(left: pa.Table, right: pa.Table) -> pa.Table:
     """One pair and chunk: both directions of the terms that either has, and how many these are."""
-    key = (left if left.num_rows else right).slice(0, 1).to_pylist()[0]
+    key = (left if left.num_rows else right).select(["lang", "a", "b", "none_a", "none_b"]).to_pylist()[0]
     sides = []
     for side in (left, right):
         empty = np.zeros(0, np.int64)
