@@ -29,8 +29,9 @@ PARTS = 1_000_000_000
 TERMS_SHOWN = 200
 
 PIECE = 1 << 20  # bytes of a text cut at a time
-DOCUMENT = 1 << 48
 HELD = 400_000  # counts a task holds before it sends them on
+DOCUMENT = 1 << 40  # a document with a term, on top of its occurrences
+SEEN = 1 << 22  # documents, and times 64 kB of text, counted before that, so that the two stay apart in 63 bits
 CHUNK = 16_384  # terms of a language in an array, about
 
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -48,33 +49,32 @@ def _pieces(text: bytes):
 
 def _counted(batches):
     names = [f.split()[0] for f in COUNTS.split(", ")]
-    held, size = {}, 0  # by group: occurrences by term, and the documents on top of them as multiples of DOCUMENT
+    held, size, seen = {}, 0, 0  # by group: occurrences by term, and the documents on top of them as multiples of DOCUMENT
 
     def sent():
-        rows = {n: [] for n in names}
-        for (lang, source), n in held.items():
-            rows["lang"] += [lang] * (len(n) + 1)
-            rows["source"] += [source] * (len(n) + 1)
-            rows["term"] += [t.decode() for t in n] + [None]
-            rows["n"] += [*(k % DOCUMENT for k in n.values()), 0]
-            rows["docs"] += [*(k // DOCUMENT for k in n.values()), 0]
-        kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(rows[n], k) for n, k in zip(names, kinds)], names=names)
+        sizes = [len(n) for n in held.values()]
+        groups = np.repeat(np.arange(len(held)), sizes)
+        groups = pa.array(np.concatenate([groups, np.arange(len(held))]))  # and a row of no term for each
+        terms = pa.array([t for n in held.values() for t in n] + [None] * len(held), pa.binary()).cast(pa.string())
+        packed = np.array([k for n in held.values() for k in n.values()] + [0] * len(held), np.int64)
+        langs, sources = (pa.array([g[k] for g in held], pa.string()).take(groups) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([langs, sources, terms, pa.array(packed % DOCUMENT), pa.array(packed // DOCUMENT)], names=names)
 
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
-        for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts):
+        for lang, source, value in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts):
+            text = value.as_py() or b""
             n = held.setdefault((lang, source), {})
             before, get = len(n), n.get
             own = Counter()
-            for piece in _pieces(text.as_py() or b""):
+            for piece in _pieces(text):
                 own.update(TERM.findall(piece.lower()))
             for term, count in own.items():
                 n[term] = get(term, 0) + count + DOCUMENT
-            size += len(n) - before
-            if size >= HELD:
+            size, seen = size + len(n) - before, seen + 1 + (len(text) >> 16)
+            if size >= HELD or seen >= SEEN:
                 yield sent()
-                held, size = {}, 0
+                held, size, seen = {}, 0, 0
     yield sent()
 
 
