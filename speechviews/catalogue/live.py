@@ -9,6 +9,7 @@ from speechviews.catalogue.registry import query
 from speechviews.operators import messages as M, prepare as P, serving as S
 from speechviews.schemas import RECORDING
 from speechviews.session import scratch_path
+from speechviews.sinks import manifest as mf
 from speechviews.sinks.tables import write_csv, write_messages, write_recordings, write_reports, write_transcripts, write_view
 from speechviews.sources.streams import arrived_objects, arrived_transcripts, as_raw, file_messages
 from speechviews.sources.tables import recordings_orc
@@ -106,6 +107,31 @@ def stream_counts_compacted(spark, folder):
     return L.latest_counts(spark, out)
 
 
+@query(with_ctes("SELECT * FROM live_counts"))
+def stream_bounded_counts(spark, folder):
+    """Counts whose state forgets events after a day, with what came later taken from the ledger.
+
+    The second landing repeats the times of the first, so most of what it brings is late.
+    """
+    ledger, out, checkpoint = (scratch_path(spark, n) for n in ("ledger", "bounded", "stream"))
+
+    def step(n, stream):
+        L.finish(*L.start_ledger(stream, ledger, checkpoint, trigger=L.ALL_AVAILABLE))
+        L.finish(L.start_bounded_counts(spark, ledger, out, f"{checkpoint}/counts", L.ALL_AVAILABLE))
+
+    _in_two_landings(spark, folder, step)
+    return L.exact_counts(spark, out, ledger)
+
+
+@query(with_ctes("SELECT * FROM live_counts"))
+def ledger_expired(spark, folder):
+    """Totals when the folders of the folded batches are gone."""
+    ledger = _two_batches(spark, folder, lambda ledger: L.compact_ledger(spark, ledger, L.last_batch(spark, ledger)))
+    L.compact_ledger(spark, ledger, L.last_batch(spark, ledger))
+    mf.expire(spark, ledger, versions=1)
+    return M.live_totals(L.ledger_events(spark, ledger)).drop("sentiment_score_sum")
+
+
 @query(with_ctes("SELECT * FROM live_counts"))
 def ledger_compacted(spark, folder):
     """Totals of a ledger folded after each of its two batches."""

@@ -9,10 +9,17 @@ A view holds the ledger up to some batch. What it lacks is counted by event, not
 with a message up to that batch is in the view, also if a copy arrives afterwards.
 
 Compaction folds the oldest batches into one row per event, so that readers open few files
-however long the stream has run.
+however long the stream has run. What is live stands in a manifest, which readers open instead of
+listing folders.
+
+Bounded counts keep no event for ever. The ledger marks what comes more than a delay behind the
+newest event of the batches before it as late. A second stream counts the others; its watermark is never ahead
+of that mark, so it drops none of them, and ends the state of events that can only come late. Late
+events are looked up in the ledger and counted exactly.
 """
 
-from pyspark.errors import AnalysisException
+from contextlib import contextmanager
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -21,8 +28,12 @@ from speechviews.functions.formats import message_json
 from speechviews.operators import messages as M
 from speechviews.operators.serving import merge_counters
 from speechviews.schemas import GROUP
+from speechviews.session import broadcast_if_small
+from speechviews.sinks import manifest as mf
 from speechviews.sources.tables import held_batch, view_table
 
+DELAY_HOURS = 24
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 MICRO_BATCH = {"processingTime": "2 seconds"}
 ALL_AVAILABLE = {"availableNow": True}
 SALTS = 8
@@ -31,6 +42,8 @@ LEDGER = T.StructType([
     T.StructField("event_id", T.StringType()),
     *[T.StructField(c, T.StringType()) for c in GROUP],
     T.StructField("positive", T.BooleanType()),
+    T.StructField("event_time", T.TimestampType()),
+    T.StructField("late", T.BooleanType()),
     T.StructField("batch_id", T.LongType()),
 ])
 FOLDED = T.StructType([
@@ -38,6 +51,7 @@ FOLDED = T.StructType([
     *[T.StructField(c, T.StringType()) for c in GROUP],
     T.StructField("batch_id", T.LongType()),
     T.StructField("positive_batch", T.LongType()),
+    T.StructField("on_time", T.BooleanType()),
 ])
 COUNTS = T.StructType([
     *[T.StructField(c, T.StringType()) for c in GROUP],
@@ -60,11 +74,21 @@ def live_events(raw: DataFrame, model: PipelineModel | None = None) -> DataFrame
 
 
 def start_ledger(raw: DataFrame, ledger: str, checkpoint: str, quarantine: str | None = None,
-                 model: PipelineModel | None = None, trigger=MICRO_BATCH) -> list[StreamingQuery]:
-    """Keep a ledger of events up to date; messages that cannot be parsed go to ``quarantine``."""
+                 model: PipelineModel | None = None, trigger=MICRO_BATCH, delay_hours=DELAY_HOURS) -> list[StreamingQuery]:
+    """Keep a ledger of events up to date; messages that cannot be parsed go to ``quarantine``.
+
+    An event is late if it is ``delay_hours`` or more older than the newest of the batches before.
+    """
 
     def write(batch: DataFrame, batch_id: int):
-        M.events(batch).write.mode("overwrite").parquet(f"{ledger}/batches/batch_id={batch_id}")
+        spark = batch.sparkSession
+        newest = mf.read(spark, ledger)["facts"].get("newest")
+        late = F.lit(False) if newest is None else F.unix_micros("event_time") <= newest - delay_hours * 3_600_000_000
+        timed = batch.withColumn("event_time", F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01', event_time)")))
+        rows = timed.groupBy("event_id", *GROUP).agg(F.max("positive").alias("positive"), F.min("event_time").alias("event_time"))
+        landed = mf.land(rows.withColumn("late", late), ledger, f"batches/batch_id={batch_id}")
+        own = spark.read.schema(LEDGER).parquet(landed).agg(F.max(F.unix_micros("event_time"))).first()[0]
+        mf.add_batch(spark, ledger, batch_id, newest=max((t for t in (newest, own) if t is not None), default=None))
 
     queries = [
         live_events(raw, model).writeStream.foreachBatch(write)
@@ -83,18 +107,26 @@ def ledger_events(spark: SparkSession, ledger: str, up_to_batch: int | None = No
 
     Reads the newest compaction and the batches after it. ``up_to_batch`` leaves later batches out.
     """
-    folded, done = _compacted(spark, ledger)
-    rows = spark.read.schema(LEDGER).parquet(f"{ledger}/batches").where(F.col("batch_id") > done)
-    rows = rows.select("event_id", *GROUP, "batch_id", F.when(F.col("positive"), F.col("batch_id")).alias("positive_batch"))
-    if folded is not None:
-        rows = rows.unionByName(folded)
+    rows = _ledger_rows(spark, ledger)
     if up_to_batch is not None:
         late = F.col("positive_batch") > up_to_batch
         rows = rows.where(F.col("batch_id") <= up_to_batch).withColumn("positive_batch", F.when(~late, F.col("positive_batch")))
-    once = rows.groupBy("event_id", *GROUP).agg(F.min("batch_id").alias("batch_id"), F.min("positive_batch").alias("positive_batch"))
+    once = rows.groupBy("event_id", *GROUP).agg(
+        F.min("batch_id").alias("batch_id"), F.min("positive_batch").alias("positive_batch"), F.max("on_time").alias("on_time")
+    )
     return once.withColumn("positive", F.col("positive_batch").isNotNull())
 
 
+def _ledger_rows(spark: SparkSession, ledger: str) -> DataFrame:
+    """Rows of the folded and the live batches, of an event as many as there are batches with it."""
+    found = mf.read(spark, ledger)
+    rows = mf.batches(spark, ledger, found, LEDGER).select(
+        "event_id", *GROUP, "batch_id", F.when(F.col("positive"), F.col("batch_id")).alias("positive_batch"), (~F.col("late")).alias("on_time")
+    )
+    folded = mf.folded(spark, ledger, found, FOLDED)
+    return rows if folded is None else rows.unionByName(folded)
+
+
 def totals_after(events: DataFrame, held: int | None) -> DataFrame:
     """Positive events and events per group that a view holding the batches up to ``held`` lacks.
 
@@ -112,7 +144,7 @@ def totals_after(events: DataFrame, held: int | None) -> DataFrame:
 
 def last_batch(spark: SparkSession, ledger: str) -> int | None:
     """The newest batch of the ledger."""
-    return spark.read.schema(LEDGER).parquet(f"{ledger}/batches").agg(F.max("batch_id")).first()[0]
+    return mf.newest_batch(mf.read(spark, ledger))
 
 
 def current_view(spark: SparkSession, view: str, ledger: str) -> DataFrame:
@@ -124,25 +156,10 @@ def current_view(spark: SparkSession, view: str, ledger: str) -> DataFrame:
 def compact_ledger(spark: SparkSession, ledger: str, up_to_batch: int):
     """Fold the batches up to ``up_to_batch``, and what was folded before, into one row per event.
 
-    The result is written whole, then announced. Folded batches are no longer read and may be
-    removed by whatever expires old folders.
+    The result is written whole, then takes the place of the batches in the manifest. ``manifest.expire``
+    removes what no manifest names any more.
     """
-    events = ledger_events(spark, ledger, up_to_batch).drop("positive")
-    events.write.mode("overwrite").parquet(f"{ledger}/compacted/up_to={up_to_batch}")
-    done = spark.range(1).select(F.lit(up_to_batch).cast("long").alias("up_to"))
-    done.write.mode("append").parquet(f"{ledger}/compactions")
-
-
-def _compacted(spark: SparkSession, ledger: str) -> tuple[DataFrame | None, int]:
-    """The newest compaction and its last batch; none and -1 if there is no compaction."""
-    try:
-        done = spark.read.schema("up_to long").parquet(f"{ledger}/compactions").agg(F.max("up_to")).first()[0]
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None, -1
-    folded = spark.read.schema(FOLDED).parquet(f"{ledger}/compacted/up_to={done}")
-    return folded, done
+    mf.fold(ledger_events(spark, ledger, up_to_batch).drop("positive"), ledger, up_to_batch)
 
 
 def running_counts(raw: DataFrame) -> DataFrame:
@@ -167,13 +184,63 @@ def running_counts(raw: DataFrame) -> DataFrame:
 def start_running_counts(raw: DataFrame, path: str, checkpoint: str, trigger=MICRO_BATCH, files=4) -> StreamingQuery:
     """Write changed totals of every micro-batch to its own partition, in a few files."""
 
+    return _write_counts(running_counts(raw), path, checkpoint, trigger, files)
+
+
+def _write_counts(counts: DataFrame, path: str, checkpoint: str, trigger, files: int) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int):
-        batch.repartition(files, *GROUP).write.mode("overwrite").parquet(f"{path}/batches/batch_id={batch_id}")
+        mf.land(batch.repartition(files, *GROUP), path, f"batches/batch_id={batch_id}")
+        mf.add_batch(batch.sparkSession, path, batch_id)
+
+    return counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
-    return (
-        running_counts(raw).writeStream.outputMode("update").foreachBatch(write)
-        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+
+def bounded_counts(spark: SparkSession, ledger: str, delay_hours=DELAY_HOURS) -> DataFrame:
+    """Events of the ledger that came in time, per group, as a stream for update mode.
+
+    ``delay_hours`` is that of the ledger. The state holds the events of that long and the groups,
+    however long the stream runs. Each of the ledger's batches must be read whole before the
+    next: files are not taken in portions.
+    """
+    events = spark.readStream.schema(LEDGER).parquet(f"{ledger}/batches").where("NOT late")
+    once = events.withWatermark("event_time", f"{delay_hours} hours").dropDuplicates(["event_id", "event_time"])
+    return once.groupBy(*GROUP).agg(F.count("*").alias("sentiment_score_total"))
+
+
+def start_bounded_counts(spark: SparkSession, ledger: str, path: str, checkpoint: str, trigger=MICRO_BATCH, files=4, delay_hours=DELAY_HOURS) -> StreamingQuery:
+    """``bounded_counts`` with the state in RocksDB; ``exact_counts`` reads the result."""
+    with _setting(spark, *STATE_STORE):
+        return _write_counts(bounded_counts(spark, ledger, delay_hours), path, checkpoint, trigger, files)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    """A session setting for queries that start inside; running ones keep theirs."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def late_events(spark: SparkSession, ledger: str) -> DataFrame:
+    """Events none of whose messages came in time: the side output that bounded counts lack.
+
+    Few events are late, so their ids pick the rows to compare with; the ledger is not shuffled for it.
+    """
+    rows = _ledger_rows(spark, ledger)
+    late = rows.where("NOT on_time").select("event_id", *GROUP).distinct()
+    ids, _ = broadcast_if_small(late.select("event_id"))
+    known = rows.where("on_time").join(ids, "event_id", "left_semi").select("event_id").distinct()
+    return late.join(known, "event_id", "left_anti")
+
+
+def exact_counts(spark: SparkSession, path: str, ledger: str) -> DataFrame:
+    """Bounded counts and the late events on top of them: every event once."""
+    late = late_events(spark, ledger).groupBy(*GROUP).agg(F.count("*").alias("sentiment_score_total"))
+    both = latest_counts(spark, path).unionByName(late)
+    return both.groupBy(*GROUP).agg(F.sum("sentiment_score_total").alias("sentiment_score_total"))
 
 
 def latest_counts(spark: SparkSession, path: str) -> DataFrame:
@@ -183,19 +250,13 @@ def latest_counts(spark: SparkSession, path: str) -> DataFrame:
 
 def compact_counts(spark: SparkSession, path: str, up_to_batch: int):
     """Fold the batches up to ``up_to_batch`` into the newest total of each group."""
-    _newest(spark, path, up_to_batch).write.mode("overwrite").parquet(f"{path}/compacted/up_to={up_to_batch}")
-    done = spark.range(1).select(F.lit(up_to_batch).cast("long").alias("up_to"))
-    done.write.mode("append").parquet(f"{path}/compactions")
+    mf.fold(_newest(spark, path, up_to_batch), path, up_to_batch)
 
 
 def _newest(spark: SparkSession, path: str, up_to_batch: int | None = None) -> DataFrame:
-    rows = spark.read.schema(COUNTS).parquet(f"{path}/batches")
-    try:
-        done = spark.read.schema("up_to long").parquet(f"{path}/compactions").agg(F.max("up_to")).first()[0]
-        rows = rows.where(F.col("batch_id") > done).unionByName(spark.read.schema(COUNTS).parquet(f"{path}/compacted/up_to={done}"))
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
+    found = mf.read(spark, path)
+    rows, folded = mf.batches(spark, path, found, COUNTS), mf.folded(spark, path, found, COUNTS)
+    rows = rows if folded is None else rows.unionByName(folded)
     if up_to_batch is not None:
         rows = rows.where(F.col("batch_id") <= up_to_batch)
     newest = F.max(F.struct("batch_id", "sentiment_score_total")).alias("newest")
