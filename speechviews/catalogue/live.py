@@ -168,8 +168,9 @@ def stream_scored_counts(spark, folder):
     return M.live_totals(_ledger(spark, folder, fixed_model()))
 
 
+@query()
 def stream_counts_trained(spark, folder):
-    """Totals with the trained model's predictions, for the benchmark."""
+    """Totals with the trained model's predictions."""
     return M.live_totals(_ledger(spark, folder, trained_model(spark, folder)))
 
 

@@ -136,8 +136,9 @@ def batch_view_first_plus_one(spark, folder):
     return batch_view(I.recordings(spark, folder), STOP_WORDS, fixed_model(), score_mode="first_plus_one")
 
 
+@query()
 def batch_view_trained(spark, folder):
-    """The view with the trained model's predictions, for the benchmark."""
+    """The view with the trained model's predictions."""
     return batch_view(I.recordings(spark, folder), STOP_WORDS, trained_model(spark, folder))
 
 

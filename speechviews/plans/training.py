@@ -1,14 +1,13 @@
 """The sentiment model: TF-IDF features and logistic regression, chosen by grid search.
 
-Features are computed once and kept; every fit and the one pass that evaluates all models
-read them. The split depends on the id alone, so partitions that have to be recomputed after
+Features are computed once and kept; all models are fitted together, a pass over the features serving each of
+them, and evaluated in one more. The split depends on the id alone, so partitions that have to be recomputed after
 an executor is lost hold the same rows as before.
 """
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, CountVectorizer, RegexTokenizer, StopWordsRemover
@@ -17,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from speechviews.functions.text import LETTERS
 from speechviews.operators.features import MIN_DOCUMENTS, VOCABULARY_SIZE, hash_split
+from speechviews.plans.joint_fit import fit_together
 
 TRAINING, VALIDATION, TEST = 0, 1, 2
 
@@ -95,11 +95,11 @@ class Training:
 
 
 def train(reviews: DataFrame, stop_words: list[str], fit_features_on="all", split=hash_split,
-          parallelism=9, singles=False) -> Training:
+          singles=False) -> Training:
     """Fit the grid on the training part, choose on the validation part, report on the test part.
 
     ``fit_features_on`` is 'all' or 'train': which reviews give vocabulary and document
-    frequencies. ``parallelism`` fits run at a time.
+    frequencies.
     """
     parts, splitting = split(reviews.select("id", "review", "score")), token_stages(stop_words)
     # Texts are tokenised once. Both tables are kept in memory or on disk; blocks lost with an
@@ -112,13 +112,7 @@ def train(reviews: DataFrame, stop_words: list[str], fit_features_on="all", spli
         train_part = features.where(F.col("part") == TRAINING)
         points = grid_points()
         wanted = points + ([PLAIN, ELASTIC_NET] if singles else [])
-
-        @inheritable_thread_target(reviews.sparkSession)
-        def fit(point):
-            return regression(**point).fit(train_part)
-
-        with ThreadPool(min(parallelism, len(wanted))) as pool:
-            models = pool.map(fit, wanted)
+        models = fit_together(train_part, wanted, MAX_ITERATIONS)
         scores = accuracies(models, features.where(F.col("part") == VALIDATION))
         grid_scores = scores[: len(points)]
         best = best_index(grid_scores)
