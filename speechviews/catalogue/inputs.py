@@ -6,6 +6,7 @@ quarantine and validation operators have work to do; no row is left out for them
 """
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,6 +16,7 @@ from speechviews.operators.prepare import clean_uploads, grouped, text_uploads,
 from speechviews.plans.batch_view import view_of
 from speechviews.schemas import GROUP, RECORDING, UPLOAD
 from speechviews.session import scratch_path, spread
+from speechviews.sinks.manifest import file_state
 from speechviews.sinks.tables import write_view
 from speechviews.sources.tables import view_table
 
@@ -105,10 +107,19 @@ def labelled_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored_view(spark: SparkSession, folder: str) -> DataFrame:
-    """The same, written once and read back as a server would."""
+    """The same, written once for a state of the tables and read back as a server would."""
+    return view_table(spark, _written_view(spark, folder, tables_state(spark, folder, "documents", "events", "orders", "labels")))
+
+
+def tables_state(spark: SparkSession, folder: str, *names: str) -> tuple:
+    return file_state(spark, [f for name in names for f in table(spark, folder, name).inputFiles()])
+
+
+@lru_cache(maxsize=4)
+def _written_view(spark, folder, state):
     path = scratch_path(spark, "view")
     write_view(labelled_view(spark, folder), path, version=1)
-    return view_table(spark, path)
+    return path
 
 
 def reviews(spark: SparkSession, folder: str) -> DataFrame:

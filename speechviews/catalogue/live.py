@@ -14,7 +14,7 @@ from speechviews.sinks.tables import write_csv, write_messages, write_recordings
 from speechviews.sources.streams import arrived_objects, arrived_transcripts, as_raw, file_messages
 from speechviews.sources.tables import recordings_orc
 from speechviews.streaming import live as L
-from speechviews.streaming.landing import start_append
+from speechviews.streaming.landing import rejected_landings, start_append
 
 
 def _landed(spark, folder):
@@ -241,6 +241,24 @@ def append_from_landing(spark, folder):
     return recordings_orc(spark, table)
 
 
+@query(with_ctes("""
+    SELECT id, dept_name, zone, time_of_day, date_of_event, duration, text, CASE
+      WHEN dept_name IS NULL OR zone IS NULL OR time_of_day IS NULL OR date_of_event IS NULL
+        OR duration IS NULL OR text IS NULL THEN 'missing field'
+      WHEN TRY_CAST(left(time_of_day, 2) AS INTEGER) IS NULL THEN 'bad time'
+      WHEN TRY_CAST(right(left(date_of_event, 7), 2) AS INTEGER) IS NULL THEN 'bad date' ELSE 'appended' END AS problem
+    FROM dirty"""))
+def append_quarantine(spark, folder):
+    """A landing with faults: what was appended, and what was kept aside with its problem."""
+    landing, table, checkpoint, rejected = (scratch_path(spark, n) for n in ("landing", "source", "stream", "rejected"))
+    rows = I.dirty_recordings(spark, folder)
+    write_recordings(rows.limit(0), table)
+    write_csv(rows, f"{landing}/0")
+    L.finish(start_append(spark, f"{landing}/*", table, f"{table}-archive", checkpoint, quarantine=rejected))
+    bad = rejected_landings(spark, rejected).select(*RECORDING.names, "problem")
+    return recordings_orc(spark, table).withColumn("problem", F.lit("appended")).unionByName(bad)
+
+
 @query(with_ctes("""
     SELECT CASE WHEN kind <> 'error' THEN id END AS id, dept_name, zone, time_of_day, date_of_event, duration, text FROM sources"""))
 def append_twice(spark, folder):

@@ -24,12 +24,11 @@ from speechviews.sources.tables import sentiment_model
 
 def _trained(spark, folder):
     """One training per session and state of the tables, and where its best model was saved."""
-    files = sorted(f for name in ("documents", "labels") for f in I.table(spark, folder, name).inputFiles())
-    return _trained_on(spark, folder, tuple(files))
+    return _trained_on(spark, folder, I.tables_state(spark, folder, "documents", "labels"))
 
 
 @lru_cache(maxsize=4)
-def _trained_on(spark, folder, files):
+def _trained_on(spark, folder, state):
     training = train(I.reviews(spark, folder), STOP_WORDS, singles=True)
     path = scratch_path(spark, "model")
     save_model(training.model, path)

@@ -11,7 +11,7 @@ from speechviews.catalogue.registry import query
 from speechviews.functions.formats import counter_bytes, counter_value
 from speechviews.operators import groups as G, messages as M, serving as S
 from speechviews.session import scratch_path
-from speechviews.sinks.tables import save_view_table, write_view
+from speechviews.sinks.tables import save_view_table, upsert_view, write_view
 from speechviews.sources.tables import view_table
 
 WHOLE_VIEW = with_ctes("SELECT * FROM the_view")
@@ -164,6 +164,20 @@ def view_upsert(spark, folder):
     return S.upsert(old, new)
 
 
+@query(with_ctes("""
+    SELECT row_key, dept_name, zone, time_of_day, season, most_common_words, least_common_words,
+           CASE WHEN time_of_day = 'morn' THEN sentiment_score_sum + 1 ELSE sentiment_score_sum END AS sentiment_score_sum,
+           sentiment_score_total
+    FROM the_view"""))
+def view_upsert_written(spark, folder):
+    """A written view whose mornings are replaced in place; the other partitions stay as they were written."""
+    path = scratch_path(spark, "view")
+    view = I.stored_view(spark, folder)
+    write_view(view, path, version=1)
+    upsert_view(view.where("time_of_day = 'morn'").withColumn("sentiment_score_sum", F.col("sentiment_score_sum") + 1), path)
+    return view_table(spark, path)
+
+
 @query(with_ctes("""
     SELECT coalesce(v.dept_name, l.dept_name) || coalesce(v.zone, l.zone)
              || coalesce(v.time_of_day, l.time_of_day) || coalesce(v.season, l.season) AS row_key,

@@ -21,7 +21,7 @@ def _grouped(spark, folder):
 
 
 def _ranked(spark, folder, side):
-    return W.word_ranking(_grouped(spark, folder), I.STOP_WORDS).where(F.col("side") == side)
+    return W.word_ranking(_grouped(spark, folder), I.STOP_WORDS, sides=(side,))
 
 
 @query(with_ctes("""

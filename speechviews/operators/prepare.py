@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from speechviews.functions import daytime, text
 from speechviews.functions.formats import empty_to_null
 from speechviews.functions.keys import audio_flag, epoch_millis, upload_key
+from speechviews.session import broadcast_if_small
 
 REQUIRED = ["dept_name", "zone", "time_of_day", "date_of_event", "duration", "text"]
 REQUIRED_UPLOAD = ["dept_name", "zone", "date", "time", "duration"]
@@ -111,6 +112,15 @@ def with_audio_flag(uploads: DataFrame) -> DataFrame:
     return uploads.withColumn("audio_flag", audio_flag(F.col("recording")))
 
 
+def _among(history: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The keys of a long history that are wanted at all: what a few new rows have to be compared with.
+
+    New keys proven few are broadcast, so the history is read and not shuffled.
+    """
+    few, _ = broadcast_if_small(wanted.select(key))
+    return history.select(key).join(few, key, "left_semi").distinct()
+
+
 def new_recordings(landed: DataFrame, source: DataFrame) -> DataFrame:
     """Valid landed recordings that the source table does not hold, each once.
 
@@ -123,8 +133,9 @@ def new_recordings(landed: DataFrame, source: DataFrame) -> DataFrame:
     by_id = Window.partitionBy("id").orderBy(content)
     fresh = valid(landed)
     named = fresh.where("id is not null").withColumn("nth", F.row_number().over(by_id)).where("nth = 1").drop("nth")
-    named = named.join(source.where("id is not null").select("id"), "id", "left_anti")
+    held = _among(source.where("id is not null").select("id"), named, "id")
+    named = named.join(held, "id", "left_anti")
     unnamed = fresh.where("id is null").withColumn("digest", content).dropDuplicates(["digest"])
-    known = source.where("id is null").select(content.alias("digest"))
+    known = _among(source.where("id is null").select(content.alias("digest")), unnamed, "digest")
     unnamed = unnamed.join(known, "digest", "left_anti")
     return named.select(*landed.columns).unionByName(unnamed.select(*landed.columns))

@@ -62,25 +62,25 @@ def counts_without_stop_words(pieces: DataFrame, stop_words, *aggregates: Column
     return counts if listed is None else counts.join(listed, "word", "left_anti")
 
 
-def ranked(counts: DataFrame, n=WORDS_KEPT, by=GROUP) -> DataFrame:
+def ranked(counts: DataFrame, n=WORDS_KEPT, by=GROUP, sides=("most", "least")) -> DataFrame:
     """The first ``n`` words of each group by (count descending, word), side 'most', and the last
     ``n`` of the same order, side 'least', where rank 1 is the very last word.
 
-    Both sides are ranked in one window over (group, side), so the counts are read once. A row
+    The sides asked for are ranked in one window over (group, side), so the counts are read once. A row
     with the empty word is not a word but carries totals of its group; it passes as side 'all'.
     """
     word, side = F.col("word"), F.col("side")
-    sides = F.when(word == "", F.array(F.lit("all"))).otherwise(F.array(F.lit("most"), F.lit("least")))
+    asked = F.when(word == "", F.array(F.lit("all"))).otherwise(F.array(*[F.lit(s) for s in sides]))
+    if len(sides) == 1:
+        rows = counts.withColumn("side", F.when(word == "", "all").otherwise(sides[0]))
+    else:
+        rows = counts.withColumn("side", F.explode(asked))
     order = Window.partitionBy(*by, "side").orderBy(
         F.when(side == "most", -F.col("cnt")).otherwise(F.col("cnt")),
         F.when(side == "most", word),
         F.when(side == "least", word).desc(),
     )
-    return (
-        counts.withColumn("side", F.explode(sides))
-        .withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= n)
-    )
+    return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n)
 
 
 def listed_words(side: str) -> Column:
@@ -89,14 +89,14 @@ def listed_words(side: str) -> Column:
     return F.transform(F.sort_array(entries, asc=side == "most"), lambda e: e.getField("word"))
 
 
-def word_ranking(grouped: DataFrame, stop_words, n=WORDS_KEPT) -> DataFrame:
+def word_ranking(grouped: DataFrame, stop_words, n=WORDS_KEPT, sides=("most", "least")) -> DataFrame:
     """(group columns, side, rank, word, cnt): the ``n`` most and least common words of each group.
 
     Until the few rows that stay are known, the group is one packed string.
     """
     pieces = words_of(grouped.select(packed(*GROUP).alias("group"), "text"), "group")
     counts = counts_without_stop_words(pieces, stop_words, F.count("*").alias("cnt"), by=["group"])
-    return ranked(counts, n, by=["group"]).select(
+    return ranked(counts, n, by=["group"], sides=sides).select(
         *unpacked(F.col("group"), GROUP), "side", "rank", "word", "cnt"
     )
 

@@ -45,6 +45,16 @@ def _rename(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def file_state(spark: SparkSession, files: list[str]) -> tuple:
+    """Names, sizes and times of files: differs when one of them was written anew."""
+    found = []
+    for name in sorted(files):
+        system, path = _files(spark, name)
+        status = system.getFileStatus(path)
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(found)
+
+
 def _delete(spark: SparkSession, path: str):
     system, of = _files(spark, path)
     system.delete(of, True)

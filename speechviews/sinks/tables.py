@@ -1,10 +1,13 @@
 """Batch writers."""
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from speechviews.functions.formats import message_json
+from speechviews.operators.serving import upsert
 from speechviews.schemas import RECORDING, UPLOAD, VIEW
+from speechviews.sources.tables import COMMIT, SLOT, newest_version, view_slots, view_table
 
 
 def write_csv(df: DataFrame, path: str, bytes_per_file=64 << 20):
@@ -38,16 +41,45 @@ def write_view(view: DataFrame, path: str, version: int, held_batch: int | None
 
     Readers follow the announcements, so they see whole versions only, and a view may be
     computed from the version it replaces. Partitions are evened out while writing, and sorted
-    by key so that a lookup skips most of a file.
+    by key so that a lookup skips most of a file; a bloom filter on the key spares a lookup by key
+    alone the row groups of all files but one.
     """
-    slots = ["season", "time_of_day"]
+    _write_slots(view, path, version)
+    _announce(view.sparkSession, path, version, held_batch, None)
+
+
+def upsert_view(changes: DataFrame, path: str, held_batch: int | None = None) -> int:
+    """Rows of ``changes`` replace those of the same groups in the newest version; the new version's number.
+
+    Only the partitions (season and time of day) with a changed group are written anew; for the others the
+    announcement names the version that wrote them. Writing is done by one job at a time.
+    """
+    spark = changes.sparkSession
+    newest = newest_version(spark, path)
+    version = newest.version + 1
+    changes = changes.select(*VIEW.names).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        touched = changes.select(*SLOT).distinct().collect()
+        old = view_table(spark, path).join(F.broadcast(changes.select(*SLOT).distinct()), SLOT, "left_semi")  # a few slots, see SLOT
+        _write_slots(upsert(old, changes), path, version)
+    finally:
+        changes.unpersist()
+    slots = {f"{r.season}/{r.time_of_day}": version for r in touched}
+    _announce(spark, path, version, held_batch, {**view_slots(spark, path, newest), **slots})
+    return version
+
+
+def _write_slots(view: DataFrame, path: str, version: int):
     (
-        view.select(*VIEW.names).hint("rebalance", *slots).sortWithinPartitions(*slots, "row_key")
-        .write.mode("overwrite").partitionBy(*slots).parquet(f"{path}/data/version={version}")
+        view.select(*VIEW.names).hint("rebalance", *SLOT).sortWithinPartitions(*SLOT, "row_key")
+        .write.mode("overwrite").partitionBy(*SLOT)
+        .option("parquet.bloom.filter.enabled#row_key", True).option("parquet.bloom.filter.adaptive.enabled", True)
+        .parquet(f"{path}/data/version={version}")
     )
-    held = F.lit(held_batch).cast("long").alias("held_batch")
-    commit = view.sparkSession.range(version, version + 1).select(F.col("id").alias("version"), held)
-    commit.coalesce(1).write.mode("append").parquet(f"{path}/commits")
+
+
+def _announce(spark: SparkSession, path: str, version: int, held_batch: int | None, slots: dict[str, int] | None):
+    spark.createDataFrame([(version, held_batch, slots)], COMMIT).coalesce(1).write.mode("append").parquet(f"{path}/commits")
 
 
 def write_reports(uploads: DataFrame, path: str):

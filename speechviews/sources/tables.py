@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from speechviews.functions.formats import first_transcript
 from speechviews.schemas import CORRUPT, RECORDING, TRANSCRIPT, UPLOAD, VIEW, with_corrupt_record
 
+#: A view's partitions; seasons and times of day are a few fixed words.
+SLOT = ["season", "time_of_day"]
+COMMIT = "version long, held_batch long, slots map<string,long>"
 CSV = {"sep": ",", "quote": '"', "escape": '"'}
 
 
@@ -106,17 +109,39 @@ def sentiment_model(path: str) -> PipelineModel:
 
 def view_versions(spark: SparkSession, path: str) -> DataFrame:
     """Announced versions, each with the last ledger batch that it holds (null: none)."""
-    return spark.read.schema("version long, held_batch long").parquet(f"{path}/commits")
+    return spark.read.schema(COMMIT).parquet(f"{path}/commits")
+
+
+def newest_version(spark: SparkSession, path: str):
+    """``version``, ``held_batch`` and ``slots`` of the newest version."""
+    newest = F.max_by(F.struct("version", "held_batch", "slots"), "version").alias("newest")
+    return view_versions(spark, path).agg(newest).first().newest
+
+
+def view_slots(spark: SparkSession, path: str, announced) -> dict[str, int]:
+    """Which version wrote each partition of an announced one."""
+    if announced.slots is not None:
+        return announced.slots
+    rows = _version(spark, path, announced.version).select(*SLOT).distinct().collect()
+    return {f"{r.season}/{r.time_of_day}": announced.version for r in rows}
+
+
+def _version(spark: SparkSession, path: str, version: int) -> DataFrame:
+    return spark.read.schema(VIEW).parquet(f"{path}/data/version={version}")
 
 
 def held_batch(spark: SparkSession, path: str) -> int | None:
     """The last ledger batch that the newest version holds."""
-    newest = F.max_by(F.struct("held_batch"), "version").alias("newest")
-    return view_versions(spark, path).agg(newest).first().newest.held_batch
+    return newest_version(spark, path).held_batch
 
 
 def view_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of a view, the newest committed one unless told otherwise."""
-    if version is None:
-        version = view_versions(spark, path).agg(F.max("version")).first()[0]
-    return spark.read.schema(VIEW).parquet(f"{path}/data/version={version}").select(*VIEW.names)
+    announced = newest_version(spark, path) if version is None else view_versions(spark, path).where(F.col("version") == version).first()
+    if announced is None or announced.slots is None:
+        return _version(spark, path, version if announced is None else announced.version).select(*VIEW.names)
+    folders = []
+    for slot, written in sorted(announced.slots.items()):
+        season, time_of_day = slot.split("/")
+        folders.append(f"{path}/data/version={written}/season={season}/time_of_day={time_of_day}")
+    return spark.read.schema(VIEW).option("basePath", f"{path}/data").parquet(*folders).select(*VIEW.names)

@@ -11,6 +11,12 @@ from speechviews.sinks import manifest as mf
 from speechviews.sources.streams import file_messages
 from speechviews.streaming import live as L
 
+from speechviews.operators import serving as S
+from speechviews.schemas import VIEW
+from speechviews.sinks.tables import upsert_view, write_csv, write_recordings, write_view
+from speechviews.sources.tables import held_batch, recordings_orc, view_table
+from speechviews.streaming.landing import landing_counts, rejected_landings, start_append
+
 from test_live import land
 
 
@@ -98,3 +104,61 @@ def test_state_stays_flat_over_two_days_and_late_events_count_once(spark, tmp_pa
     L.compact_counts(spark, out, 3)
     again = L.exact_counts(spark, out, ledger).agg(F.sum("sentiment_score_total")).first()[0]
     assert again == len(sent)
+
+
+def view_rows(spark, *groups, total=1):
+    return spark.createDataFrame([(f"cpd{z}{t}{s}", "cpd", z, t, s, "a,b", "c", 1, total) for z, t, s in groups], VIEW)
+
+
+def test_an_upsert_writes_the_partitions_that_change(spark, tmp_path):
+    path = str(tmp_path / "view")
+    groups = [(z, t, s) for z in "xyz" for t in ("morn", "night") for s in ("fall", "winter")]
+    write_view(view_rows(spark, *groups), path, version=1, held_batch=3)
+    assert upsert_view(view_rows(spark, ("y", "morn", "fall"), total=9), path, held_batch=4) == 2
+    assert upsert_view(view_rows(spark, ("new", "eve", "fall"), total=5), path) == 3
+    assert upsert_view(view_rows(spark), path, held_batch=5) == 4
+    written = sorted(str(p.relative_to(tmp_path / "view" / "data")) for p in (tmp_path / "view" / "data").glob("version=[23]/*/*"))
+    assert written == ["version=2/season=fall/time_of_day=morn", "version=3/season=fall/time_of_day=eve"]
+    expected = {g: 1 for g in groups} | {("y", "morn", "fall"): 9, ("new", "eve", "fall"): 5}
+    found = view_table(spark, path).collect()
+    assert {(r.zone, r.time_of_day, r.season): r.sentiment_score_total for r in found} == expected and len(found) == 13
+    assert view_table(spark, path).columns == VIEW.names and held_batch(spark, path) == 5
+    assert {r.sentiment_score_total for r in view_table(spark, path, version=1).collect()} == {1}
+    assert view_table(spark, path, version=2).count() == 12
+    files = S.lookup_group(view_table(spark, path), "cpd", "y", "morn", "fall").inputFiles()
+    assert any("version=2" in f for f in files)
+
+
+def scanned(df):
+    """Rows that the scan of a plan gave."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().size() or node.nodeName() == "AdaptiveSparkPlan":
+        node = node.executedPlan() if node.nodeName() == "AdaptiveSparkPlan" else node.children().apply(0)
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_by_key_skips_files_without_the_key(spark, tmp_path):
+    path = str(tmp_path / "view")
+    groups = [(f"zone{n:04d}", t, s) for n in range(400) for t in ("morn", "night") for s in ("fall", "winter")]
+    write_view(view_rows(spark, *groups), path, version=1)
+    view = view_table(spark, path)
+    assert scanned(view) == 1600
+    assert scanned(S.lookup(view, "cpdzone0200nightfall")) <= 400  # one file of four, though the key is in the range of all
+    assert S.lookup(view, "cpdzone0200nightfall").count() == 1
+    assert scanned(S.lookup(view, "cpdzone0200nowhere")) == 0
+
+
+def test_landed_rows_are_appended_or_kept_with_their_problem(spark, tmp_path, recordings):
+    table, archive, kept = str(tmp_path / "table"), str(tmp_path / "archive"), str(tmp_path / "rejected")
+    good, late = ("cpd", "zone1", "14:30:00", "2020-12-09"), ("cpd", "zone1", "xx", "2020-12-09")
+    write_recordings(recordings([("held", *good, "t")]), table)
+    write_csv(recordings([("a", *good, "x"), ("a", *good, "x"), ("held", *good, "t"), ("b", *late, "y"), ("c", *good, None)]).coalesce(1), str(tmp_path / "in/0"))
+    (tmp_path / "in/1").mkdir()
+    (tmp_path / "in/1/torn.csv").write_text("d,cpd,zone1,14:30:00,2020-12-09,not a number,text\ne,cpd,zone1,14:30:00,2020-12-09,1.0,fine\n")
+    for _ in range(2):
+        L.finish(start_append(spark, str(tmp_path / "in/*"), table, archive, str(tmp_path / "cp"), quarantine=kept))
+    assert sorted(r.id for r in recordings_orc(spark, table).collect()) == ["a", "e", "held"]
+    assert sorted((r.id, r.problem) for r in rejected_landings(spark, kept).collect()) == [("b", "bad time"), ("c", "missing field"), ("d", "broken line")]
+    (counts,) = landing_counts(spark, kept).collect()
+    assert (counts.read, counts.rejected, counts.appended) == (7, 3, 2)
