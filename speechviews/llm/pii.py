@@ -11,7 +11,9 @@ Null ids and repeated rows are rows like others. Empty texts have no spans; an e
 labelled spans gives base spans only.
 """
 
+import itertools
 import re
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -27,9 +29,17 @@ PATTERNS = {
     "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
     "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
 }
+#: The same for long runs: an address is looked for from its at sign, and no run of digits is entered twice.
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
+SCANS = {
+    "ip": re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"),
+    "card": re.compile(r"[0-9](?:[\x20-]?[0-9])++"),
+    "phone": PATTERNS["phone"],
+}
 BASE_TRIGGER = r"[0-9@]"
 #: What a span of the tagger holds: a digit, an at sign, or one spelled out before a dotted name.
-TRIGGER = BASE_TRIGGER + r"|(?<![A-Za-z])[Aa][Tt](?=[\x20\x09-\x0D()\[\]{}<>_-]+[A-Za-z0-9][A-Za-z0-9-]*\.[A-Za-z0-9])"
+TRIGGER = BASE_TRIGGER + r"|(?<![A-Za-z])[Aa][Tt](?=[\x20\x09-\x0D()\[\]{}<>_-]+[A-Za-z0-9][A-Za-z0-9-]{0,62}\.[A-Za-z0-9])"
 WINDOW, STRIDE = 96, 48
 TRAIN_WINDOWS, STEPS, BATCH, HIDDEN, RATE = 4000, 400, 64, 16, 0.03
 TAGS = 1 + 2 * len(KINDS)
@@ -51,16 +61,34 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Where ``PATTERNS["email"]`` matches: each at sign with what may stand before it, not before the last match's end."""
+    out, behind, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > behind and text[start - 1] in LOCAL:
+            start -= 1
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        behind = domain.end() if domain else at + 1
+        if domain:
+            out.append((start, behind))
+        at = text.find("@", behind)
+    return out
+
+
 def base_spans(text: str, verified: bool = True) -> list[tuple[int, int, int]]:
     """``(kind's number, start, end)`` by start, then kind; with card numbers that fail the check digit if not ``verified``."""
     out = []
     for k, kind in enumerate(KINDS):
-        if kind == "email" and "@" not in text or kind == "phone" and "+" not in text:
+        if kind == "email":
+            out += [(start, k, end) for start, end in emails(text)]
+            continue
+        if kind == "phone" and "+" not in text:
             continue
-        for m in PATTERNS[kind].finditer(text):
+        for m in SCANS[kind].finditer(text):
             found = m.group()
             digits = re.sub("[^0-9]", "", found)
-            if kind == "ip" and any(int(p) > 255 for p in found.split(".")):
+            if kind == "ip" and any(len(p.lstrip("0")) > 3 or int(p.lstrip("0") or 0) > 255 for p in found.split(".")):
                 continue
             if kind == "card" and not (14 <= len(digits) <= 19 and (luhn(digits) or not verified)):
                 continue
@@ -303,13 +331,15 @@ def tagged_spans(p: dict, texts: list[str], block: int = 2048) -> list[list]:
 
 def reconciled(text: str, base: list, found: list) -> list:
     """Base spans and those of the tagger that fit beside them, by start, then kind."""
-    taken = [(s, e) for _, s, e in base]
+    taken = bytearray(len(text))
+    for _, s, e in base:
+        taken[s:e] = b"\1" * (e - s)
     out = list(base)
     for score, k, s, e in sorted(found, key=lambda x: (-x[0], x[2], x[1], x[3])):
         if score < SCORE or not re.search(TRIGGER, text[s:e]) or not _plausible(KINDS[k], text[s:e]):
             continue
-        if all(e <= a or b <= s for a, b in taken):
-            taken.append((s, e))
+        if taken.find(1, s, e) < 0:
+            taken[s:e] = b"\1" * (e - s)
             out.append((k, s, e))
     return sorted(out, key=lambda x: (x[1], x[0], x[2]))
 
@@ -325,9 +355,11 @@ def training_windows(docs: DataFrame, limit: int = TRAIN_WINDOWS) -> list[tuple[
             texts, spans = [], []
             for text in batch.column("text").to_pylist():
                 base = base_spans(text, verified=False)  # no tagger learns check digits; found cards are verified later
+                begins, reach = [a for _, a, _ in base], list(itertools.accumulate((b for _, _, b in base), max))
                 for s in windows_of(text, BASE_TRIGGER):  # a spelled-out address has no base span and is no example of none
-                    inside = [(k, a - s, b - s) for k, a, b in base if s <= a and b <= s + WINDOW]
-                    if sum(a < s + WINDOW and b > s for _, a, b in base) == len(inside):
+                    near = [span for span in base[bisect_right(reach, s):bisect_left(begins, s + WINDOW)] if span[2] > s]
+                    inside = [(k, a - s, b - s) for k, a, b in near if s <= a and b <= s + WINDOW]
+                    if len(near) == len(inside):
                         texts.append(text[s:s + WINDOW])
                         spans.append(" ".join(f"{k}:{a}:{b}" for k, a, b in inside))
             yield pa.record_batch([pa.array(texts, pa.string()), pa.array(spans, pa.string())], ["window", "spans"])
