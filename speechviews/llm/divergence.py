@@ -81,7 +81,9 @@ def _counted(batches):
 def counts(docs: DataFrame) -> DataFrame:
     """Written counts by (``lang``, ``source``, ``term``): occurrences ``n`` and ``docs``; every group also has a row of a null term."""
     rows = bare(docs, "text", "lang", "source").na.fill("")
-    return stored(rows.mapInArrow(_counted, COUNTS).groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "terms")
+    key = ["lang", "source", "term"]
+    partial = rows.mapInArrow(_counted, COUNTS).repartition(*key)  # added up in the tasks already: once more before the exchange would only cost
+    return stored(partial.groupBy(key).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "terms")
 
 
 def _share(count, total, kinds):
