@@ -2,12 +2,14 @@
 
 ``batches/batch_id=n`` holds a batch, ``compacted/…`` what was folded from the oldest ones. A folder is written elsewhere and
 renamed, so it is there whole or not at all. A manifest is one small JSON file a version: the live batches, the folded
-folder, the last batch in it, and facts of the writer. The next version appears by a rename that fails if another writer
-was first, who is then read again; so every version is a whole one, and none is lost. On stores whose renames copy, keep
+folder, the last batch in it, and facts of the writer. The next version appears by a rename (on a local disk a link) that
+fails if another writer was first, who is then read again; so every version is a whole one, and none is lost. On stores whose renames copy, keep
 manifests where they do not.
 """
 
 import json
+import os
+import pathlib
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -85,18 +87,36 @@ def swap(spark: SparkSession, table: str, change) -> dict:
         if changed is None:
             return old
         new = {**old, **changed, "version": old["version"] + 1}
-        written = f"{table}/manifest/.{uuid.uuid4().hex}"
-        system, path = _files(spark, written)
-        stream = system.create(path, False)
-        try:
-            stream.write(json.dumps(new).encode())
-        finally:
-            stream.close()
-        if _rename(spark, written, f"{table}/manifest/{new['version']:012d}.json"):
+        if _publish(spark, table, f"{new['version']:012d}.json", json.dumps(new).encode()):
             if new["version"] >= KEPT_VERSIONS:
                 _delete(spark, f"{table}/manifest/{new['version'] - KEPT_VERSIONS:012d}.json")
             return new
+
+
+def _publish(spark: SparkSession, table: str, name: str, content: bytes) -> bool:
+    """Whether the file has appeared, whole; not if it exists. On local disks, whose renames replace, by a link, which does not."""
+    written = f"{table}/manifest/.{uuid.uuid4().hex}"
+    system, path = _files(spark, written)
+    system.mkdirs(path.getParent())
+    if path.toUri().getScheme() == "file":
+        local = pathlib.Path(path.toUri().getPath())
+        local.write_bytes(content)
+        try:
+            os.link(local, local.with_name(name))
+        except FileExistsError:
+            return False
+        finally:
+            local.unlink()
+        return True
+    stream = system.create(path, False)
+    try:
+        stream.write(content)
+    finally:
+        stream.close()
+    done = _rename(spark, written, f"{table}/manifest/{name}")
+    if not done:
         _delete(spark, written)
+    return done
 
 
 def land(rows: DataFrame, table: str, folder: str) -> str:
