@@ -47,6 +47,12 @@ def _rename(spark: SparkSession, source: str, target: str) -> bool:
     return True
 
 
+def ensure(spark: SparkSession, path: str):
+    """Makes a folder that a stream is to watch before anything has landed in it."""
+    system, folder = _files(spark, path)
+    system.mkdirs(folder)
+
+
 def file_state(spark: SparkSession, files: list[str]) -> tuple:
     """Names, sizes and times of files: differs when one of them was written anew."""
     found = []

@@ -21,8 +21,8 @@ def start_append(spark: SparkSession, landing: str, table: str, archive: str, ch
 
     Files of finished batches are moved to ``archive`` while later ones run. A batch that runs
     again adds nothing, as its rows are held already. Rows that cannot be appended go to ``quarantine`` with
-    their problem, a batch at a time and once, next to the numbers of rows read, rejected and appended, all taken
-    while the rows go by.
+    their problem, a batch at a time and once, next to the numbers of rows read, rejected and appended, taken
+    while the rows go by; of a batch that had to run again, those of the run that finished it.
     """
 
     def append(batch: DataFrame, batch_id: int):

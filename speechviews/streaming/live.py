@@ -202,6 +202,7 @@ def bounded_counts(spark: SparkSession, ledger: str, delay_hours=DELAY_HOURS) ->
     however long the stream runs. Each of the ledger's batches must be read whole before the
     next: files are not taken in portions.
     """
+    mf.ensure(spark, f"{ledger}/batches")
     events = spark.readStream.schema(LEDGER).parquet(f"{ledger}/batches").where("NOT late")
     once = events.withWatermark("event_time", f"{delay_hours} hours").dropDuplicates(["event_id", "event_time"])
     return once.groupBy(*GROUP).agg(F.count("*").alias("sentiment_score_total"))

@@ -106,6 +106,15 @@ def test_state_stays_flat_over_two_days_and_late_events_count_once(spark, tmp_pa
     assert again == len(sent)
 
 
+def test_counting_may_start_before_the_first_batch(spark, tmp_path):
+    ledger, out, cp = (str(tmp_path / n) for n in ("ledger", "out", "cp"))
+    for expected in (0, 2):
+        L.finish(L.start_bounded_counts(spark, ledger, out, f"{cp}/counts", L.ALL_AVAILABLE))
+        assert sum(r.sentiment_score_total for r in L.exact_counts(spark, out, ledger).collect()) == expected
+        land(tmp_path / "in", "0.txt", {"key": key(1, 1, 1)}, {"key": key(1, 2, 2)})
+        L.finish(*L.start_ledger(file_messages(spark, str(tmp_path / "in")), ledger, cp, trigger=L.ALL_AVAILABLE))
+
+
 def view_rows(spark, *groups, total=1):
     return spark.createDataFrame([(f"cpd{z}{t}{s}", "cpd", z, t, s, "a,b", "c", 1, total) for z, t, s in groups], VIEW)
 
