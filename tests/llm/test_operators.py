@@ -584,6 +584,54 @@ def test_scatter_ignores_a_fifth_of_outliers(spark):
         assert np.abs(np.array(r.center) - 5).max() < 0.4
 
 
+STATS = "lang string, source string, " + ", ".join(f"{n} double" for n in robust_rules.X)
+
+
+def least_determinant(x, starts=60):
+    """Least log determinant of concentration steps from random starts, over exact subsets."""
+    rng, best = np.random.default_rng(1), np.inf
+    keep, floors = int(np.ceil(robust_rules.SHARE * len(x))), np.diag(robust_rules.FLOORS**2)
+    for _ in range(starts):
+        rows = rng.choice(len(x), 2 * robust_rules.DIMS, replace=False)
+        last = np.inf
+        while True:
+            center = x[rows].mean(axis=0)
+            scatter = robust_rules.CONSISTENCY * np.cov(x[rows].T, bias=True) + floors
+            now = np.linalg.slogdet(scatter)[1] if len(rows) == keep else np.inf
+            if now >= last - 1e-6 and len(rows) == keep:
+                break
+            last, off = now, x - center
+            rows = np.argsort(np.einsum("ij,jk,ik->i", off, np.linalg.inv(scatter), off))[:keep]
+        best = min(best, last)
+    return best
+
+
+def test_determinant_is_the_least_of_many_random_starts(spark):
+    rng = np.random.default_rng(4)
+    groups = {}
+    for k, n in enumerate((12, 60, 700)):
+        mix = rng.normal(0, 1, (robust_rules.DIMS, robust_rules.DIMS))
+        x = rng.normal(0, 1, (n, robust_rules.DIMS)) @ mix
+        x[:n // 6] = rng.normal(0, 0.2, (n // 6, robust_rules.DIMS)) + 6  # a tight cluster of outliers
+        groups[f"s{k}"] = x
+    stats = spark.createDataFrame([("en", s, *map(float, r)) for s, x in groups.items() for r in x], STATS)
+    got = {r.group: r for r in robust_rules.fit(stats).collect()}
+    assert len(got) == 4
+    for s, x in groups.items():
+        r = got['{"lang":"en","source":"%s"}' % s]
+        assert r.n == len(x)
+        assert r.logdet <= least_determinant(x) + 0.25
+
+
+def test_small_sources_have_norms_of_their_own(spark):
+    tables = lambda k: " ".join(f"|{(k * 7 + j) % 97}|#{j}" for j in range(80))
+    rows = [(k, prose(k, 80 + k % 50), "en", "books") for k in range(400)]
+    rows += [(1000 + k, tables(k), "en", "tables") for k in range(40)] + [(2000, tables(5), "en", "books")]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.kept for r in robust_rules.judged(docs).collect()}
+    assert all(kept[k] for k in (*range(400), *range(1000, 1040))) and not kept[2000]
+
+
 # ------------------------------------------------------------- decontamination
 
 
