@@ -12,7 +12,7 @@ from speechviews.session import scratch_path
 from speechviews.sinks import manifest as mf
 from speechviews.sinks.tables import write_csv, write_messages, write_recordings, write_reports, write_transcripts, write_view
 from speechviews.sources.streams import arrived_objects, arrived_transcripts, as_raw, file_messages
-from speechviews.sources.tables import recordings_orc
+from speechviews.sources.tables import recordings_orc, view_table
 from speechviews.streaming import live as L
 from speechviews.streaming.landing import rejected_landings, start_append
 
@@ -190,7 +190,7 @@ def merged_view_after_stream(spark, folder):
     return S.merge_counters(I.labelled_view(spark, folder), live)
 
 
-@query(with_ctes("""
+_VIEW_AND_EVENTS = with_ctes("""
     SELECT coalesce(v.dept_name, l.dept_name) || coalesce(v.zone, l.zone)
              || coalesce(v.time_of_day, l.time_of_day) || coalesce(v.season, l.season) AS row_key,
            coalesce(v.dept_name, l.dept_name) AS dept_name, coalesce(v.zone, l.zone) AS zone,
@@ -199,11 +199,11 @@ def merged_view_after_stream(spark, folder):
            coalesce(least_common_words, '') AS least_common_words,
            CAST(0 AS BIGINT) AS sentiment_score_sum, coalesce(l.sentiment_score_total, 0) AS sentiment_score_total
     FROM the_view v FULL JOIN live_counts l
-      ON v.dept_name = l.dept_name AND v.zone = l.zone AND v.time_of_day = l.time_of_day AND v.season = l.season"""))
-def merged_view_after_cut(spark, folder):
-    """Words of the recordings and counters of all events, when the view holds the ledger's first
-    batch and the rest, with copies of events that it holds, is added live."""
-    view = scratch_path(spark, "view")
+      ON v.dept_name = l.dept_name AND v.zone = l.zone AND v.time_of_day = l.time_of_day AND v.season = l.season""")
+
+
+def _counted_view(spark, folder, view):
+    """Called between the batches of a ledger: writes a view that holds the first of them."""
     zero = F.lit(0).cast("long")
 
     def build(ledger):
@@ -212,10 +212,32 @@ def merged_view_after_cut(spark, folder):
         counted = S.merge_counters(words, M.live_totals(L.ledger_events(spark, ledger, up_to_batch=held)))
         write_view(counted, view, version=1, held_batch=held)
 
-    ledger = _two_batches(spark, folder, build)
+    return build
+
+
+@query(_VIEW_AND_EVENTS)
+def merged_view_after_cut(spark, folder):
+    """Words of the recordings and counters of all events, when the view holds the ledger's first
+    batch and the rest, with copies of events that it holds, is added live."""
+    view = scratch_path(spark, "view")
+    ledger = _two_batches(spark, folder, _counted_view(spark, folder, view))
     return L.current_view(spark, view, ledger)
 
 
+@query(_VIEW_AND_EVENTS)
+def maintained_view_after_cut(spark, folder):
+    """The same from a stored view that the second batch advances, read without the ledger."""
+    view, ledger, checkpoint = scratch_path(spark, "view"), scratch_path(spark, "ledger"), scratch_path(spark, "stream")
+
+    def step(n, stream):
+        L.finish(*L.start_ledger(stream, ledger, checkpoint, trigger=L.ALL_AVAILABLE, view=view if n else None))
+        if n == 0:
+            _counted_view(spark, folder, view)(ledger)
+
+    _in_two_landings(spark, folder, step)
+    return view_table(spark, view)
+
+
 @query(with_ctes("SELECT * FROM recordings"))
 def append_new_recordings(spark, folder):
     """Recordings of one kind are in the source table already; a landing that holds all of them

@@ -30,7 +30,8 @@ from speechviews.operators.serving import merge_counters
 from speechviews.schemas import GROUP
 from speechviews.session import broadcast_if_small
 from speechviews.sinks import manifest as mf
-from speechviews.sources.tables import held_batch, view_table
+from speechviews.sinks.tables import upsert_view
+from speechviews.sources.tables import held_batch, newest_version, view_table
 
 DELAY_HOURS = 24
 STATE_STORE = ("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -74,10 +75,12 @@ def live_events(raw: DataFrame, model: PipelineModel | None = None) -> DataFrame
 
 
 def start_ledger(raw: DataFrame, ledger: str, checkpoint: str, quarantine: str | None = None,
-                 model: PipelineModel | None = None, trigger=MICRO_BATCH, delay_hours=DELAY_HOURS) -> list[StreamingQuery]:
+                 model: PipelineModel | None = None, trigger=MICRO_BATCH, delay_hours=DELAY_HOURS,
+                 view: str | None = None, view_every=1) -> list[StreamingQuery]:
     """Keep a ledger of events up to date; messages that cannot be parsed go to ``quarantine``.
 
     An event is late if it is ``delay_hours`` or more older than the newest of the batches before.
+    A stored ``view`` is advanced after every ``view_every`` batches; it must have no other writer meanwhile.
     """
 
     def write(batch: DataFrame, batch_id: int):
@@ -89,6 +92,8 @@ def start_ledger(raw: DataFrame, ledger: str, checkpoint: str, quarantine: str |
         landed = mf.land(rows.withColumn("late", late), ledger, f"batches/batch_id={batch_id}")
         own = spark.read.schema(LEDGER).parquet(landed).agg(F.max(F.unix_micros("event_time"))).first()[0]
         mf.add_batch(spark, ledger, batch_id, newest=max((t for t in (newest, own) if t is not None), default=None))
+        if view is not None and (batch_id + 1) % view_every == 0:
+            advance_view(spark, view, ledger)
 
     queries = [
         live_events(raw, model).writeStream.foreachBatch(write)
@@ -107,10 +112,18 @@ def ledger_events(spark: SparkSession, ledger: str, up_to_batch: int | None = No
 
     Reads the newest compaction and the batches after it. ``up_to_batch`` leaves later batches out.
     """
+    return _once(_rows_up_to(spark, ledger, up_to_batch))
+
+
+def _rows_up_to(spark: SparkSession, ledger: str, up_to_batch: int | None) -> DataFrame:
     rows = _ledger_rows(spark, ledger)
-    if up_to_batch is not None:
-        late = F.col("positive_batch") > up_to_batch
-        rows = rows.where(F.col("batch_id") <= up_to_batch).withColumn("positive_batch", F.when(~late, F.col("positive_batch")))
+    if up_to_batch is None:
+        return rows
+    late = F.col("positive_batch") > up_to_batch
+    return rows.where(F.col("batch_id") <= up_to_batch).withColumn("positive_batch", F.when(~late, F.col("positive_batch")))
+
+
+def _once(rows: DataFrame) -> DataFrame:
     once = rows.groupBy("event_id", *GROUP).agg(
         F.min("batch_id").alias("batch_id"), F.min("positive_batch").alias("positive_batch"), F.max("on_time").alias("on_time")
     )
@@ -153,6 +166,43 @@ def current_view(spark: SparkSession, view: str, ledger: str) -> DataFrame:
     return merge_counters(view_table(spark, view), totals_after(ledger_events(spark, ledger), held))
 
 
+def events_after(spark: SparkSession, ledger: str, held: int | None, up_to_batch: int | None = None) -> DataFrame:
+    """The events of ``ledger_events`` that a view holding the batches up to ``held`` may lack, whole.
+
+    Those are the events with a row or a positive after ``held``. Their ids pick their older rows; where they
+    are proven few they are broadcast, so that the ledger's history is read and not shuffled.
+    """
+    rows = _rows_up_to(spark, ledger, up_to_batch)
+    if held is None:
+        return _once(rows)
+    after = (F.col("batch_id") > held) | F.coalesce(F.col("positive_batch") > held, F.lit(False))
+    fresh = rows.where(after)
+    ids, _ = broadcast_if_small(fresh.select("event_id").distinct())
+    return _once(fresh.unionByName(rows.where(~after).join(ids, "event_id", "left_semi")))
+
+
+def advance_view(spark: SparkSession, view: str, ledger: str, up_to_batch: int | None = None) -> int:
+    """Add the events that a stored view lacks to it; the number of its newest version.
+
+    Only groups with such events are merged, and only their partitions are written anew. A version is announced
+    together with the last batch that it holds, so a call that is repeated after a failure adds nothing twice. If no
+    group changes, no version is written. ``current_view`` gives the same rows before and after.
+    """
+    newest = newest_version(spark, view)
+    last = last_batch(spark, ledger)
+    last = last if up_to_batch is None or last is None else min(last, up_to_batch)
+    if last is None or (newest.held_batch is not None and last <= newest.held_batch):
+        return newest.version
+    counts = totals_after(events_after(spark, ledger, newest.held_batch, last), newest.held_batch).persist()
+    try:
+        if counts.isEmpty():
+            return newest.version
+        groups, _ = broadcast_if_small(counts.select(*GROUP))
+        return upsert_view(merge_counters(view_table(spark, view).join(groups, GROUP, "left_semi"), counts), view, held_batch=last)
+    finally:
+        counts.unpersist()
+
+
 def compact_ledger(spark: SparkSession, ledger: str, up_to_batch: int):
     """Fold the batches up to ``up_to_batch``, and what was folded before, into one row per event.
 

@@ -6,7 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from speechviews.operators import messages as M
+from speechviews.schemas import VIEW
+from speechviews.sinks import manifest as mf
+from speechviews.sinks.tables import write_view
 from speechviews.sources.streams import arrived_objects, arrived_reports, as_raw, file_messages, kafka_messages
+from speechviews.sources.tables import view_table
 from speechviews.streaming import live as L
 
 KEY = "09122020143000.cpd.zone1.noAudio.1607"
@@ -91,6 +95,40 @@ def test_what_a_view_lacks_is_counted_by_event(spark, tmp_path):
     assert (everything.sentiment_score_sum, everything.sentiment_score_total) == (3, 4)
 
 
+def test_a_maintained_view_equals_the_merged_one(spark, tmp_path):
+    view, ledger = str(tmp_path / "view"), str(tmp_path / "ledger")
+    known = [(KEY[:14], "cpd", "zone1", "aftrn", "fall", "a", "b", 0, 0), ("k", "x", "zone9", "night", "winter", "c", "d", 4, 7)]
+    write_view(spark.createDataFrame(known, VIEW), view, version=1)
+    rows = lambda df: sorted(map(tuple, df.drop("row_key").collect()))
+    batches = [({"key": KEY},), ({"key": KEY}, {"key": OTHER}), ({"key": KEY},), ({"key": MORNING}, {"key": KEY})]
+    versions = []
+    for n, values in enumerate(batches):
+        land(tmp_path / "in", f"{n}.json", *values)
+        start(spark, tmp_path)
+        expected = rows(L.current_view(spark, view, ledger))
+        if n == 2:
+            L.compact_ledger(spark, ledger, 1)
+        versions.append(L.advance_view(spark, view, ledger))
+        assert L.advance_view(spark, view, ledger) == versions[-1]
+        assert rows(view_table(spark, view)) == rows(L.current_view(spark, view, ledger)) == expected
+    assert versions == [2, 3, 3, 4]  # the third batch has copies alone
+    found = {r.zone: (r.sentiment_score_sum, r.sentiment_score_total) for r in view_table(spark, view).collect()}
+    assert found == {"zone1": (0, 2), "zone2": (0, 1), "zone9": (4, 7)}
+
+
+def test_a_positive_that_comes_later_is_added_to_a_maintained_view(spark, tmp_path):
+    view, ledger = str(tmp_path / "view"), str(tmp_path / "ledger")
+    write_view(spark.createDataFrame([], VIEW), view, version=1)
+    event = ("cpd", "zone1", "aftrn", "fall")
+    for batch, rows in enumerate(([("e", False), ("f", True)], [("e", True), ("f", True)])):
+        table = spark.createDataFrame([(i, *event, p, None, False) for i, p in rows], ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in L.LEDGER[:-1]))
+        mf.land(table, ledger, f"batches/batch_id={batch}")
+        mf.add_batch(spark, ledger, batch)
+        L.advance_view(spark, view, ledger)
+        r = view_table(spark, view).first()
+        assert (r.sentiment_score_sum, r.sentiment_score_total) == (1 + batch, 2)
+
+
 def test_compaction_keeps_events_and_their_batches(spark, tmp_path):
     land(tmp_path / "in", "1.txt", {"key": KEY}, {"key": OTHER})
     start(spark, tmp_path)
