@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -280,6 +281,30 @@ def test_no_rows_no_shards(empty):
 # ------------------------------------------------------------- licences
 
 
+def test_whole_licence_files(spark):
+    body = {n: t for n, t in license_digest.KNOWN if len(t) > 200}
+    wrapped = lambda t: "\n\n".join(textwrap.fill(p, 70) for p in t.split("\n\n"))
+    files = {
+        "MIT": "The MIT License (MIT)\n\nCopyright (c) 2020 Foo\n\n", "ISC": "ISC License\n\nCopyright (c) Foo Inc.\n\n",
+        "BSD-2-Clause": "BSD 2-Clause License\n\nCopyright (c) 2019, Foo\nAll rights reserved.\n\n",
+        "BSD-3-Clause": "Copyright 2019 Foo. All rights reserved.\n\n", "Zlib": "zlib License\n\n© Foo\n\n", "Unlicense": "", "0BSD": "Copyright by Foo\n\n",
+    }
+    assert set(files) == set(body)
+    rows = [(k, head + wrapped(body[n]) + "\n", n) for k, (n, head) in enumerate(files.items())]
+    rows += [(50, "MIT License\n\n" + wrapped(body["MIT"]).replace("free of charge", "for a fee"), None), (51, "MIT License\n", None), (52, "license\n" * 50, None)]
+    rows += [(53, prose(3, 150_000) + "\nLicensed under the MIT License.\n" + "x" * 1_000_000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, license string").withColumn("digest", F.lit("d")).withColumn("unit", F.lit("u"))
+    got = {r.doc_id: r for r in license_digest.scanned(df).collect()}
+    assert {k: r.text_license for k, r in got.items()} == {k: n for k, _, n in rows}
+    assert got[53].line_licenses == "MIT" and got[53].n_license_lines == 1
+    database = duckdb.connect()
+    database.register("rows", df.select("doc_id", "text").toPandas())
+    database.execute("CREATE TABLE documents AS SELECT * FROM rows")
+    assert sorted(map(tuple, got.values())) == sorted(database.execute(license_digest.ORACLE).fetchall())
+    twice = spark.createDataFrame([("A", "One text."), ("B", "one TEXT")], "license string, text string")
+    assert license_digest.scanned(df.limit(1).withColumn("text", F.lit("One text")), known=twice).first().text_license == "A|B"
+
+
 def test_licences_by_digest(spark):
     mit = next(t for n, t in license_digest.KNOWN if n == "MIT" and len(t) > 200)
     texts = [
