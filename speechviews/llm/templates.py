@@ -1,19 +1,21 @@
 """Benchmark decontamination by template canonicalisation; DataFrame functions only.
 
-A text becomes tokens without case and punctuation in which numbers, units after a number, and names (capitalised inside
-a sentence) are typed slots. All windows of ``WINDOW`` tokens are hash-joined, slots without their values, with the
-windows of the benchmark. Windows on one diagonal (same distance between the positions in document and item) form a
-passage; its slots must map one to one between item and document. So a question with other numbers or names is
-caught, and a passage whose slots contradict each other is not. A passage counts when it has ``NEEDED`` windows, or all that the
+A text becomes tokens without case and punctuation. Numbers (digits or words), units after a number, and capitalised words
+are typed slots: names inside a sentence always, words that open one in a second template only, as they may be names
+or not. All windows of ``WINDOW`` tokens are hash-joined with those of the benchmark in three forms: literally, as a template with
+names inside sentences, and as one with all capitalised words. Tokens are hashed once; strings are compared for
+windows whose hashes meet. Windows on one diagonal (same distance between the positions in document and item) form a
+passage, in which every slot value of the item must stand for one value of the document. So a question with other numbers or
+names is caught, in any letter case if it is a copy, and a passage whose slots contradict each other is not. A passage counts
+when it has ``NEEDED`` windows, or all that the item has.
+
+Templates of more than ``MOST_SLOTS`` slots say too little and are not joined; in their place go longer windows, which reach
+to the ``WINDOW - MOST_SLOTS``-th literal token. A passage of templates alone needs ``NEEDED``, or all templates that the
 item has.
 
-Windows of more than ``MOST_SLOTS`` slots are joined with their values, and as templates of longer windows, which reach to
-the ``WINDOW - MOST_SLOTS``-th literal token. They count for items that the other windows do not find; ``n_windows`` is then the
-number of both. A passage of templates alone needs ``NEEDED``, or all templates that the item has.
-
-Items of fewer than ``WINDOW`` tokens are one window of their own length; those under ``SHORTEST`` tokens are not
-searched. Null or empty texts match nothing; null ids and repeated rows are judged by their text. An empty
-table gives no rows, an empty benchmark no leaks. The benchmark is broadcast only when it is proven small.
+Items of fewer than ``WINDOW`` tokens are one window of their own length; those under ``SHORTEST`` tokens are found in
+documents that have no other tokens. Null or empty texts match nothing; null ids and repeated rows are judged by their
+text. An empty table gives no rows, an empty benchmark no leaks. The benchmark is broadcast only when it is proven small.
 """
 
 from pyspark.sql import DataFrame, functions as F
@@ -25,7 +27,8 @@ WINDOW = 8
 NEEDED = 3
 MOST_SLOTS = 4
 SHORTEST = 4
-SLOT = "\ue000"  # a private-use character
+NAME, OPENING, NUMBER, UNIT = "\ue000", "\ue001", "\ue002", "\ue003"  # private-use characters
+MARKS = NAME + OPENING + NUMBER + UNIT
 #: Units recognised after a number (fixed values).
 UNITS = (
     "mm|cm|m|km|in|ft|yd|mi|inch|inches|foot|feet|yard|yards|mile|miles|meter|meters|metre|metres|kilometer|kilometers|"
@@ -34,140 +37,165 @@ UNITS = (
     "s|sec|min|h|hr|hrs|second|seconds|minute|minutes|hour|hours|day|days|week|weeks|month|months|year|years|"
     "percent|degrees|dollars|cents|euros|usd|eur|kmh|mph|kwh|w|kw|v|hz|kb|mb|gb|tb"
 )
+#: Numbers written as words (fixed values); "one" is a pronoun too often.
+NUMBER_WORDS = (
+    "zero|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|thirteen|fourteen|fifteen|sixteen|seventeen|eighteen|nineteen|"
+    "twenty|thirty|forty|fifty|sixty|seventy|eighty|ninety|hundred|thousand|million|billion"
+)
+FORMS = ("literal", "named", "opened")
 
 
-def tokens(text):
-    """The text's tokens separated by one blank; a slot is its mark, its type and its value."""
+def marked(text):
+    """The text's tokens separated by one blank; a slot is its type's mark and its value."""
+    first, ends = rf"(?<![^ ])[^\p{{L}}\p{{N}} {MARKS}]*", r"(?![\p{L}\p{N}])"
     t = F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")
     t = F.regexp_replace(t, r"(?<![^ ])[^\p{L}\p{N} ]+(?: |$)", "")
-    t = F.trim(F.when(F.contains(t, F.lit(SLOT)), F.translate(t, SLOT, "")).otherwise(t))
-    named = F.regexp_replace(t, r"(?<=[\p{Ll}\p{N},] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", f"{SLOT}p$1")
-    number = r"(?<![^ ])[^\p{L}\p{N} " + SLOT + r"]*(\p{N}[^\p{L} ]*)(?=[ ]|$)"
-    slotted = F.regexp_replace(named, number, f"{SLOT}n$1")
-    slotted = F.regexp_replace(slotted, rf"(?<={SLOT}n[^ ]{{1,40}} )((?i:{UNITS}))(?![\p{{L}}\p{{N}}])", f"{SLOT}u$1")
-    slotted = F.when(t.rlike(r"\p{N}"), slotted).otherwise(named)
-    return F.trim(F.regexp_replace(F.lower(slotted), rf"[^\p{{L}}\p{{N}}{SLOT} ]+", ""))
+    t = F.trim(F.when(t.rlike(f"[{MARKS}]"), F.translate(t, MARKS, "")).otherwise(t))
+    t = F.regexp_replace(t, rf"{first}(\p{{N}}[^\p{{L}} ]*)(?=[ ]|$)", f"{NUMBER}$1")
+    t = F.regexp_replace(t, rf"{first}((?i:{NUMBER_WORDS}))(?=[^\p{{L}}\p{{N}} ]*(?:[ ]|$))", f"{NUMBER}$1")
+    t = F.regexp_replace(t, rf"({NUMBER}[^ ]+ )((?i:{UNITS})){ends}", f"$1{UNIT}$2")
+    t = F.regexp_replace(t, rf"{first}(\p{{Lu}}\p{{Ll}}+){ends}", f"{OPENING}$1")
+    t = F.regexp_replace(t, rf"(?<=[\p{{Ll}}\p{{N}},] ){OPENING}", NAME)
+    return F.trim(F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{N}}{MARKS} ]+", ""))
 
 
-def windows(tokens_, length: int):
-    """All runs of ``length`` tokens, as strings."""
-    return F.regexp_extract_all(tokens_, F.lit(rf"(?=((?:[^ ]+ ){{{length - 1}}}[^ ]+))[^ ]+ ?"), F.lit(1))
+def forms(texts: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and ``w``: the tokens literally, as templates with names, and with all capitalised words; no empty texts.
 
+    Exploding an array of one element gives a value a name that the optimiser keeps, so it is computed once.
+    """
+    found = texts.select(*columns, F.explode(F.array(marked(text_or_empty()))).alias("t")).where("t <> ''")
+    template = F.regexp_replace("t", rf"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")
+    named = F.translate(template, OPENING, "")
+    opened = F.regexp_replace(template, rf"{OPENING}[^ ]*", NAME)
+    split = [F.split(x, " ").alias(n) for x, n in zip((F.translate("t", MARKS, ""), named, opened), FORMS)]
+    return found.select(*columns, F.explode(F.array(F.struct(*split))).alias("w"))
 
-def template(window):
-    return F.when(F.contains(window, F.lit(SLOT)), F.regexp_replace(window, rf"{SLOT}(.)[^ ]*", rf"{SLOT}$1")).otherwise(window)
 
+def _is_slot(token):
+    return token.isin(NAME, NUMBER, UNIT)
 
-def _slots(window):
-    return F.regexp_extract_all(window, F.lit(rf"{SLOT}[^ ]*"), F.lit(0))
 
+def _slots(tokens):
+    return F.size(F.filter(tokens, _is_slot))
 
-def _dense(window):
-    return F.length(window) - F.length(F.translate(window, SLOT, "")) > MOST_SLOTS
 
+def _hashes(tokens):
+    return F.transform(tokens, lambda t: F.xxhash64(t))
 
-def key(window):
-    """What windows are joined on: the template, or the window itself where that is mostly slots."""
-    return F.when(F.contains(window, F.lit(SLOT)) & ~_dense(window), template(window)).otherwise(window)
 
+def _part(tokens, pos, length):
+    return F.slice(tokens, pos + 1, length)
 
-def _runs(tokens_):
-    """For each literal token: its position ``first``, the one ``before`` it, and the ``last`` that a window starting between them
-    needs; those alone that make windows longer than ``WINDOW``."""
-    marked = F.transform(F.split(tokens_, " "), lambda t, i: F.when(F.contains(t, F.lit(SLOT)), 0).otherwise(i + 1))
-    literal = F.array_remove(marked, 0)
-    starts = F.zip_with(F.concat(F.array(F.lit(0)), literal), literal, lambda a, b: F.struct(a.alias("before"), b.alias("first")))
-    ends = F.slice(literal, WINDOW - MOST_SLOTS, F.size(literal))
-    runs = F.zip_with(starts, ends, lambda s, e: F.struct(s["before"].alias("before"), s["first"].alias("first"), e.alias("last")))
-    return F.filter(runs, lambda r: r["last"] - r["before"] > WINDOW)
 
+def long_windows(texts: DataFrame, longest=None) -> DataFrame:
+    """``pos, length`` beside the columns of ``texts``: windows of more than ``WINDOW`` tokens, ``longest`` at most.
 
-def long_windows(texts: DataFrame, column: str, longest=None) -> DataFrame:
-    """``pos, window`` beside the other columns of ``texts``: windows of more than ``WINDOW`` tokens, ``longest`` at most."""
-    others = [c for c in texts.columns if c != column]
-    runs = texts.select(*others, F.split(column, " ").alias("all_"), F.explode(_runs(F.col(column))).alias("run"))
+    For each literal token, ``begin`` to ``end`` are the starts of windows whose last token is some literal tokens on.
+    """
+    columns = texts.columns
+    literal = F.array_remove(F.transform("w.named", lambda t, i: F.when(_is_slot(t), 0).otherwise(i + 1)), 0)
+    found = texts.select(*columns, F.explode(F.array(literal)).alias("at"))
+    starts = F.zip_with(F.concat(F.array(F.lit(0)), F.col("at")), F.col("at"), lambda a, b: F.struct(a.alias("before"), b.alias("first")))
+    ends = F.slice("at", WINDOW - MOST_SLOTS, F.size("at"))
+    runs = F.zip_with(starts, ends, lambda s, e: F.struct(s["before"].alias("before"), s["first"].alias("first"), e.alias("last")))
+    found = found.select(*columns, F.explode(F.filter(runs, lambda r: r["last"] - r["before"] > WINDOW)).alias("run"))
     begin = F.col("run.before") if longest is None else F.greatest("run.before", F.col("run.last") - longest)
-    runs = runs.withColumn("begin", begin).withColumn("end", F.least(F.col("run.first"), F.col("run.last") - WINDOW)).where("begin < end")
-    runs = runs.select(*others, "begin", "end", F.slice("all_", F.col("begin") + 1, F.col("run.last") - F.col("begin")).alias("part"))
-    found = runs.select(*others, "begin", "part", F.explode(F.sequence("begin", F.col("end") - 1)).alias("pos"))
-    window = F.array_join(F.slice("part", F.col("pos") - F.col("begin") + 1, F.size("part")), " ")
-    return found.select(*others, "pos", window.alias("window"))
+    found = found.withColumn("begin", begin).withColumn("end", F.least(F.col("run.first"), F.col("run.last") - WINDOW)).where("begin < end")
+    return found.select(*columns, F.col("run.last").alias("last"), F.explode(F.sequence("begin", F.col("end") - 1)).alias("pos")).select(
+        *columns, "pos", (F.col("last") - F.col("pos")).alias("length"))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``item_window, key, item_id, item_pos, length, needed, needed_templates`` of all items of at least ``SHORTEST`` tokens.
+    """``key, h, item_id, item_pos, length, is_long, is_template, slots, needed, needed_templates``, a row for each form of each window.
 
-    ``length`` is 0 for the longer windows.
+    ``slots`` holds the places and values of a window's slots.
     """
-    items = benchmark.select("item_id", tokens(text_or_empty()).alias("item_tokens"))
-    items = items.withColumn("n", F.when(F.col("item_tokens") == "", 0).otherwise(F.size(F.split("item_tokens", " "))))
-    out = None
-    for length in range(SHORTEST, WINDOW + 1):
-        fits = F.col("n") >= WINDOW if length == WINDOW else F.col("n") == length
-        found = items.where(fits).withColumn("own", windows(F.col("item_tokens"), length))
-        starts = F.aggregate(_runs(F.col("item_tokens")), F.lit(0), lambda n, r: n + F.least(r["first"], r["last"] - WINDOW) - r["before"])
-        templates = F.size(F.filter("own", lambda w: ~_dense(w))) + starts
-        found = found.select("item_id", "item_tokens", "own", F.least(F.lit(NEEDED), F.col("n") - length + 1).alias("needed"),
-                             F.least(F.lit(NEEDED), templates).alias("needed_templates"))
-        parts = [found.drop("item_tokens").select(F.posexplode("own").alias("item_pos", "item_window"), "*").withColumn("length", F.lit(length))]
-        if length == WINDOW:
-            longer = long_windows(found.drop("own"), "item_tokens")
-            parts.append(longer.withColumnsRenamed({"pos": "item_pos", "window": "item_window"}).withColumn("length", F.lit(0)))
-        for part in parts:
-            joined = F.when(F.col("length") == 0, template(F.col("item_window"))).otherwise(key(F.col("item_window")))
-            part = part.select("item_window", joined.alias("key"), "item_id", "item_pos", "length", "needed", "needed_templates")
-            out = part if out is None else out.unionByName(part)
-    return out
+    items = stored(forms(benchmark, "item_id").distinct(), "benchmark-tokens").withColumn("n", F.size("w.literal"))
+    size = F.least(F.lit(WINDOW), F.col("n"))
+    short = items.select("item_id", "w", F.explode(F.sequence(F.lit(0), F.col("n") - size)).alias("pos"), size.alias("length"), F.lit(False).alias("is_long"))
+    longer = long_windows(items.select("item_id", "w")).withColumn("is_long", F.lit(True))
+    every = short.unionByName(longer).withColumn("item_key", F.xxhash64("w"))
+    for form in FORMS:
+        every = every.withColumn(form, _part(F.col(f"w.{form}"), F.col("pos"), F.col("length")))
+    few = {form: _slots(F.col(form)) <= MOST_SLOTS for form in FORMS[1:]}
+    is_template = F.col("is_long") | few["named"]
+    every = every.withColumn("is_template", is_template)
+    counts = every.groupBy("item_id", "item_key").agg(F.sum((~F.col("is_long")).cast("long")).alias("n_windows"), F.sum(F.col("is_template").cast("long")).alias("n_templates"))
+    keys = F.when(F.col("is_long"), F.array("named")).otherwise(F.array_distinct(F.array_compact(F.array(
+        F.col("literal"), *[F.when(few[form], F.col(form)) for form in FORMS[1:]]))))
+    places = F.filter(F.transform("opened", lambda t, i: F.when(_is_slot(t), F.struct(i.alias("at"), F.get("literal", i).alias("value")))), lambda s: s.isNotNull())
+    every = every.select("item_id", "item_key", F.col("pos").alias("item_pos"), "length", "is_long", "is_template", places.alias("slots"), F.explode(keys).alias("tokens"))
+    needed = [F.least(F.lit(NEEDED), n).alias(a) for n, a in (("n_windows", "needed"), ("n_templates", "needed_templates"))]
+    counts = counts.select(F.col("item_id").alias("id_"), F.col("item_key").alias("key_"), *needed)
+    every = every.join(counts, F.col("item_id").eqNullSafe(F.col("id_")) & (F.col("item_key") == F.col("key_"))).drop("id_", "key_", "item_key")
+    h = F.xxhash64("length", _hashes("tokens"))
+    return every.select(F.array_join("tokens", " ").alias("key"), h.alias("h"), *[c for c in every.columns if c != "tokens"])
+
+
+def _short_hits(texts: DataFrame, lengths: list, own: DataFrame, small: bool) -> DataFrame:
+    """Windows of the texts that meet those of items; hashes are of tokens' hashes, so no window is a string before."""
+    ids = ["doc_id", "text_key", "w"]
+    hashes = F.struct(*[_hashes(f"w.{form}").alias(form) for form in FORMS])
+    found = texts.select(*ids, F.explode(F.array(hashes)).alias("hashes"))
+    found = found.select(*ids, "hashes", F.size("hashes.literal").alias("n"), F.explode(F.sequence(F.lit(0), F.size("hashes.literal") - 1)).alias("pos"))
+    for length in lengths:
+        fits = F.col("pos") + length <= F.col("n") if length >= SHORTEST else F.col("n") == length
+        for k, form in enumerate(FORMS):
+            window = [F.get(f"hashes.{form}", F.col("pos") + i) for i in range(length)]  # hashed like an array of them
+            found = found.withColumn(f"h{length}_{k}", F.when(fits, F.xxhash64(F.lit(length), *window)))
+    columns = []
+    for length in lengths:
+        h = [F.col(f"h{length}_{k}") for k in range(len(FORMS))]
+        columns += [h[0], F.when(h[1] != h[0], h[1]), F.when((h[2] != h[1]) & (h[2] != h[0]), h[2])]
+    found = found.select(*ids, "pos", F.posexplode(F.array(*columns)).alias("which", "doc_h")).where("doc_h is not null")
+    size = F.element_at(F.array(*map(F.lit, lengths)), F.floor(F.col("which") / len(FORMS)).cast("int") + 1)
+    form = F.col("which") % len(FORMS)
+    tokens = F.when(form == 0, F.col("w.literal")).when(form == 1, F.col("w.named")).otherwise(F.col("w.opened"))
+
+    def cut(rows):
+        return rows.select("doc_id", "text_key", "pos", "doc_h", F.array_join(_part(tokens, F.col("pos"), size), " ").alias("doc_key"),
+                           _part(F.col("w.literal"), F.col("pos"), size).alias("doc_tokens"), *[c for c in own.columns if c in rows.columns])
+
+    own = own.where("not is_long")
+    same = F.col("doc_h") == F.col("h")  # strings are cut from hits alone, or from all before a shuffle
+    return cut(found.join(own, same)) if small else cut(found).join(own, same)
 
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, text_key, item_id, diagonal, n_windows, plain`` of consistent passages that are long enough.
-
-    ``plain`` passages are long enough without windows of more than ``MOST_SLOTS`` slots.
-    """
+    """``doc_id, text_key, item_id, diagonal, n_windows`` of consistent passages that are long enough."""
     grams = stored(benchmark_windows(benchmark), "benchmark-windows")
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), tokens(text_or_empty()).alias("doc_tokens"))
-    matched = None
-    for length, longest in sorted(map(tuple, grams.groupBy("length").agg(F.max(F.size(F.split("item_window", " ")))).collect())):
-        own, _ = broadcast_if_small(grams.where(F.col("length") == length).withColumn("h", F.xxhash64("key")), max_bytes=8 << 20)
-        if length:
-            found = texts.select("doc_id", "text_key", F.posexplode(windows(F.col("doc_tokens"), length)).alias("pos", "doc_window"))
-            found = found.withColumn("doc_key", key(F.col("doc_window")))
-        else:
-            found = long_windows(texts, "doc_tokens", longest).withColumnRenamed("window", "doc_window")
-            found = found.withColumn("doc_key", template(F.col("doc_window")))
-        found = found.join(own, (F.xxhash64("doc_key") == F.col("h")) & (F.col("doc_key") == F.col("key")))
-        slots = _slots(F.col("item_window"))
-        found = found.select("doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "needed", "needed_templates",
-                             "pos", ((F.col("length") > 0) & (F.size(slots) <= MOST_SLOTS)).alias("plain"),
-                             ((F.col("length") == 0) | (F.size(slots) <= MOST_SLOTS)).alias("templated"),
-                             F.arrays_zip(slots.alias("item_slots"), _slots(F.col("doc_window")).alias("doc_slots")).alias("pairs"))
-        matched = found if matched is None else matched.unionByName(found)
-    if matched is None:
-        return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, diagonal int, n_windows int, plain boolean")
-    passage = ["doc_id", "text_key", "item_id", "diagonal"]
-    plain, templated = F.col("plain"), F.col("templated")
-    whole = matched.groupBy(*passage).agg(
-        F.size(F.collect_set(F.when(plain, F.col("pos")))).alias("n_plain"), F.size(F.collect_set(F.when(templated, F.col("pos")))).alias("n_templates"),
-        F.size(F.collect_set("pos")).alias("n_all"), F.min("needed").alias("needed"), F.min("needed_templates").alias("needed_templates"),
-        F.array_distinct(F.flatten(F.collect_set(F.when(plain, F.col("pairs"))))).alias("plain_pairs"),
+    sizes = grams.groupBy("is_long").agg(F.sort_array(F.collect_set("length")).alias("lengths")).collect()
+    sizes = {r.is_long: r.lengths for r in sizes}
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, diagonal int, n_windows int")
+    own, small = broadcast_if_small(grams, max_rows=100_000, max_bytes=8 << 20)
+    texts = forms(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), "doc_id", "text_key")
+    hits = _short_hits(texts, sizes[False], own, small)
+    if True in sizes:
+        found = long_windows(texts, sizes[True][-1])
+        tokens = _part(F.col("w.named"), F.col("pos"), F.col("length"))
+        found = found.select("doc_id", "text_key", "pos", F.array_join(tokens, " ").alias("doc_key"),
+                             _part(F.col("w.literal"), F.col("pos"), F.col("length")).alias("doc_tokens"),
+                             F.xxhash64("length", _hashes(tokens)).alias("doc_h"))
+        hits = hits.unionByName(found.join(own.where("is_long"), F.col("doc_h") == F.col("h")))
+    pairs = F.transform("slots", lambda s: F.struct(s["value"].alias("ours"), F.get("doc_tokens", s["at"]).alias("theirs")))
+    hits = hits.where("doc_key = key").withColumn("pairs", pairs)
+    passage = ["doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")]
+    whole = hits.groupBy(*passage).agg(
+        F.size(F.collect_set("pos")).alias("n_windows"), F.size(F.collect_set(F.when(F.col("is_template"), F.col("pos")))).alias("n_templates"),
+        F.min("needed").alias("needed"), F.min("needed_templates").alias("needed_templates"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-
-    def one_to_one(pairs):
-        return (F.size(F.array_distinct(f"{pairs}.item_slots")) == F.size(pairs)) & (F.size(F.array_distinct(f"{pairs}.doc_slots")) == F.size(pairs))
-
     templates = (F.col("needed_templates") > 0) & (F.col("n_templates") >= F.col("needed_templates"))
-    whole = whole.select(*passage, "n_plain", "n_all", ((F.col("n_plain") >= F.col("needed")) & one_to_one("plain_pairs")).alias("plain"),
-                         (((F.col("n_all") >= F.col("needed")) | templates) & one_to_one("pairs")).alias("counts"))
-    return whole.where("plain or counts").select(*passage, F.when(plain, F.col("n_plain")).otherwise(F.col("n_all")).alias("n_windows"), "plain")
+    enough = (F.col("n_windows") >= F.col("needed")) | templates
+    consistent = F.size(F.array_distinct("pairs.ours")) == F.size("pairs")
+    return whole.where(enough & consistent).select("doc_id", "text_key", "item_id", "diagonal", "n_windows")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, text_key, items, n_windows`` of the texts that hold a passage."""
-    found = passages(docs, benchmark).groupBy("doc_id", "text_key", "item_id").agg(
-        F.coalesce(F.max(F.when(F.col("plain"), F.col("n_windows"))), F.max("n_windows")).alias("n_windows")
-    )
+    found = passages(docs, benchmark).groupBy("doc_id", "text_key", "item_id").agg(F.max("n_windows").alias("n_windows"))
     return found.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.sum("n_windows").alias("n_windows"))
 
 
@@ -184,48 +212,86 @@ def flagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _oracle() -> str:
     """The same in SQL, token by token."""
-    raw = r"""list_filter(regexp_extract_all(coalesce(replace(text, '@', ''), ''), '[^\x20\x09-\x0D]+'), lambda t: regexp_matches(t, '[\p{L}\p{N}]'))"""
+    raw = rf"""list_filter(regexp_extract_all(coalesce(translate(text, '{MARKS}', ''), ''), '[^\x20\x09-\x0D]+'), lambda t: regexp_matches(t, '[\p{{L}}\p{{N}}]'))"""
+    slots = f"('{NAME}', '{NUMBER}', '{UNIT}')"
     return rf"""
 WITH raw AS (
   SELECT doc_id AS id, false AS is_item, {raw} AS t FROM documents
   UNION ALL SELECT item_id, true, {raw} FROM benchmark),
-named AS (
-  SELECT id, is_item, list_transform(t, lambda x, i:
-    CASE WHEN i > 1 AND regexp_matches(t[i - 1], '[\p{{Ll}}\p{{N}},]$') AND regexp_matches(x, '(?s)^\p{{Lu}}\p{{Ll}}+([^\p{{L}}\p{{N}}].*)?$')
-    THEN '@p' || x ELSE x END) AS t FROM raw),
 counted AS (
   SELECT id, is_item, list_transform(t, lambda x:
-    CASE WHEN regexp_matches(x, '^[^\p{{L}}@]*$') THEN '@n' || regexp_replace(x, '^[^\p{{N}}]*', '') ELSE x END) AS t FROM named),
+    CASE WHEN regexp_matches(x, '^[^\p{{L}}]*$') OR regexp_matches(x, '(?s)^[^\p{{L}}\p{{N}}]*(?i:{NUMBER_WORDS})[^\p{{L}}\p{{N}}]*$')
+    THEN '{NUMBER}' || regexp_replace(x, '^[^\p{{L}}\p{{N}}]*', '') ELSE x END) AS t FROM raw),
+measured AS (
+  SELECT id, is_item, list_transform(t, lambda x, i:
+    CASE WHEN i > 1 AND t[i - 1][1] = '{NUMBER}' AND regexp_matches(x, '(?s)^(?i:{UNITS})([^\p{{L}}\p{{N}}].*)?$')
+    THEN '{UNIT}' || x ELSE x END) AS t FROM counted),
 typed AS (
   SELECT id, is_item, list_transform(t, lambda x, i:
-    CASE WHEN i > 1 AND regexp_matches(t[i - 1], '(?s)^@n.{{1,40}}$') AND regexp_matches(x, '(?s)^(?i:{UNITS})([^\p{{L}}\p{{N}}].*)?$')
-    THEN '@u' || x ELSE x END) AS t FROM counted),
-tokens AS (
-  SELECT id, is_item, list_transform(t, lambda x: regexp_replace(lower(x), '[^\p{{L}}\p{{N}}@]+', '', 'g')) AS t FROM typed),
-item_windows AS (
-  SELECT id AS item_id, len(t) AS n, least({WINDOW}, len(t)) AS size, unnest(range(1, len(t) - least({WINDOW}, len(t)) + 2)) AS pos, t
-  FROM tokens WHERE is_item AND len(t) >= {SHORTEST}),
-items AS (
-  SELECT item_id, size, pos, least({NEEDED}, n - size + 1) AS needed, array_to_string(t[pos:pos + size - 1], ' ') AS w FROM item_windows),
+    CASE WHEN x[1] IN {slots} OR NOT regexp_matches(x, '(?s)^[^\p{{L}}\p{{N}}]*\p{{Lu}}\p{{Ll}}+([^\p{{L}}\p{{N}}].*)?$') THEN x
+    WHEN i > 1 AND regexp_matches(t[i - 1], '[\p{{Ll}}\p{{N}},]$') THEN '{NAME}' || x ELSE '{OPENING}' || x END) AS t FROM measured),
+clean AS (SELECT id, is_item, list_transform(t, lambda x: regexp_replace(lower(x), '[^\p{{L}}\p{{N}}{MARKS}]+', '', 'g')) AS t FROM typed),
+forms AS (
+  SELECT id, is_item, len(t) AS n, list_transform(t, lambda x: translate(x, '{MARKS}', '')) AS literal,
+    list_transform(t, lambda x: CASE WHEN x[1] IN {slots} THEN x[1] ELSE translate(x, '{OPENING}', '') END) AS named,
+    list_transform(t, lambda x: CASE WHEN x[1] IN {slots} THEN x[1] WHEN x[1] = '{OPENING}' THEN '{NAME}' ELSE x END) AS opened
+  FROM clean WHERE len(t) > 0),
+items AS (SELECT DISTINCT ON (id, literal, named, opened) *, least({WINDOW}, n) AS size FROM forms WHERE is_item),
+numbered AS (SELECT row_number() OVER () AS item, * FROM items),
+short AS (SELECT *, unnest(range(0, n - size + 1)) AS pos, size AS length, false AS is_long FROM numbered),
+reach AS (
+  SELECT *, list_filter(list_filter(range(1, n + 1), lambda k: named[k] NOT IN {slots}), lambda k: k > pos)[{WINDOW - MOST_SLOTS}] - pos AS length
+  FROM (SELECT *, unnest(range(0, n)) AS pos FROM numbered)),
+windows AS (
+  SELECT item, id, pos, length, is_long, literal, named, opened FROM short
+  UNION ALL SELECT item, id, pos, length, true, literal, named, opened FROM reach WHERE length > {WINDOW}),
+cut AS (
+  SELECT item, id AS item_id, pos, length, is_long, literal[pos + 1:pos + length] AS literal, named[pos + 1:pos + length] AS named,
+    opened[pos + 1:pos + length] AS opened FROM windows),
+weighed AS (
+  SELECT *, len(list_filter(named, lambda x: x IN {slots})) <= {MOST_SLOTS} AS few_named,
+    len(list_filter(opened, lambda x: x IN {slots})) <= {MOST_SLOTS} AS few_opened FROM cut),
+needs AS (
+  SELECT item, least({NEEDED}, count(*) FILTER (NOT is_long)) AS needed, least({NEEDED}, count(*) FILTER (is_long OR few_named)) AS needed_templates
+  FROM weighed GROUP BY item),
+item_keys AS (
+  SELECT item_id, pos, length, is_long, is_long OR few_named AS is_template, literal, opened, needed, needed_templates, unnest(
+    CASE WHEN is_long THEN [array_to_string(named, ' ')] ELSE list_distinct([array_to_string(literal, ' '),
+      CASE WHEN few_named THEN array_to_string(named, ' ') END, CASE WHEN few_opened THEN array_to_string(opened, ' ') END]) END) AS key
+  FROM weighed JOIN needs USING (item)),
+longest AS (SELECT coalesce(max(length) FILTER (is_long), 0) AS longest FROM item_keys),
+doc_short AS (
+  SELECT id AS doc_id, n, unnest(range(0, n - size + 1)) AS pos, size AS length, false AS is_long, literal, named, opened
+  FROM forms, (SELECT DISTINCT length AS size FROM item_keys WHERE NOT is_long) AS s
+  WHERE NOT is_item AND n >= size AND (size >= {SHORTEST} OR n = size)),
+doc_reach AS (
+  SELECT *, list_filter(lits, lambda k: k > pos)[{WINDOW - MOST_SLOTS}] - pos AS length FROM (
+    SELECT id AS doc_id, n, literal, named, opened, longest, list_filter(range(1, n + 1), lambda k: named[k] NOT IN {slots}) AS lits,
+      unnest(range(0, CASE WHEN longest > 0 THEN n ELSE 0 END)) AS pos FROM forms, longest WHERE NOT is_item)),
 doc_windows AS (
-  SELECT id AS doc_id, size, unnest(range(1, len(t) - size + 2)) AS pos, t
-  FROM tokens, (SELECT DISTINCT size FROM items) AS s WHERE NOT is_item AND len(t) >= size),
-docs AS (SELECT doc_id, size, pos, array_to_string(t[pos:pos + size - 1], ' ') AS w FROM doc_windows),
+  SELECT doc_id, pos, length, is_long, literal, named, opened FROM doc_short
+  UNION ALL SELECT doc_id, pos, length, true, literal, named, opened FROM doc_reach WHERE length > {WINDOW} AND length <= longest),
+doc_keys AS (
+  SELECT doc_id, pos, length, is_long, literal[pos + 1:pos + length] AS theirs, unnest(
+    CASE WHEN is_long THEN [array_to_string(named[pos + 1:pos + length], ' ')] ELSE list_distinct([array_to_string(literal[pos + 1:pos + length], ' '),
+      array_to_string(named[pos + 1:pos + length], ' '), array_to_string(opened[pos + 1:pos + length], ' ')]) END) AS key
+  FROM doc_windows),
 matched AS (
-  SELECT d.doc_id, i.item_id, d.pos - i.pos AS diagonal, d.pos, needed,
-    regexp_extract_all(i.w, '@[^ ]*') AS item_slots, regexp_extract_all(d.w, '@[^ ]*') AS doc_slots
-  FROM docs d JOIN items i ON i.size = d.size AND regexp_replace(i.w, '@(.)[^ ]*', '@\1', 'g') = regexp_replace(d.w, '@(.)[^ ]*', '@\1', 'g')
-  WHERE len(regexp_extract_all(i.w, '@[^ ]*')) <= {MOST_SLOTS}),
-pairs AS (SELECT DISTINCT doc_id, item_id, diagonal, unnest(item_slots) AS a, unnest(doc_slots) AS b FROM matched),
+  SELECT d.doc_id, i.item_id, d.pos - i.pos AS diagonal, d.pos, d.length, i.is_template, i.needed, i.needed_templates, i.literal, i.opened, d.theirs
+  FROM doc_keys AS d JOIN item_keys AS i ON d.key = i.key AND d.length = i.length AND d.is_long = i.is_long),
+places AS (
+  SELECT doc_id, item_id, diagonal, literal[k] AS a, theirs[k] AS b
+  FROM (SELECT *, unnest(range(1, length + 1)) AS k FROM matched) WHERE opened[k] IN {slots}),
 twisted AS (
-  SELECT doc_id, item_id, diagonal FROM pairs GROUP BY ALL HAVING count(DISTINCT a) <> count(*) OR count(DISTINCT b) <> count(*)),
+  SELECT DISTINCT doc_id, item_id, diagonal FROM (SELECT doc_id, item_id, diagonal, a FROM places GROUP BY ALL HAVING count(DISTINCT b) > 1)),
 passages AS (
   SELECT doc_id, item_id, diagonal, count(DISTINCT pos) AS n FROM matched ANTI JOIN twisted USING (doc_id, item_id, diagonal)
-  GROUP BY ALL HAVING count(DISTINCT pos) >= min(needed)),
+  GROUP BY ALL HAVING count(DISTINCT pos) >= min(needed)
+    OR (min(needed_templates) > 0 AND count(DISTINCT pos) FILTER (is_template) >= min(needed_templates))),
 leaks AS (SELECT doc_id, item_id, max(n) AS n FROM passages GROUP BY ALL)
-SELECT d.doc_id, count(item_id) > 0 AS leaked, CAST(count(item_id) AS INTEGER) AS n_items,
-  coalesce(string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY item_id), '') AS items, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_windows
-FROM documents d LEFT JOIN leaks l ON l.doc_id = d.doc_id GROUP BY d.doc_id""".replace("@", SLOT)
+SELECT d.doc_id, count(l.item_id) > 0 AS leaked, CAST(count(l.item_id) AS INTEGER) AS n_items,
+  coalesce(string_agg(CAST(l.item_id AS VARCHAR), ',' ORDER BY l.item_id), '') AS items, CAST(coalesce(sum(l.n), 0) AS BIGINT) AS n_windows
+FROM documents d LEFT JOIN leaks l ON l.doc_id = d.doc_id GROUP BY d.doc_id"""
 
 
 ORACLE = _oracle()

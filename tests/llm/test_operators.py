@@ -663,13 +663,13 @@ def test_small_sources_have_norms_of_their_own(spark):
 def test_templates_find_questions_with_other_values(spark):
     item = "A train leaves Paris at 5 pm and Alice Smith travels 120 km in 3 hours, how fast is it?"
     other = "Intro here. A train leaves Rome at 7 pm and Bobby Jones travels 90 miles in 4 hours, how fast is it? end"
-    twisted = other.replace("Rome", "Jones")  # one value for two
-    texts = [other, twisted, "so WHAT *is* two plus two!! then", "a train leaves paris", None, "", item.upper()]
+    even = other.replace("Rome", "Jones")  # two names of the item are one here
+    texts = [other, even, "so WHAT *is* two plus two!! then", "a train leaves paris", None, "", item.upper()]
     benchmark = spark.createDataFrame([(1, item), (2, "what is two plus two"), (3, None), (4, "too short")], "item_id long, text string")
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(None, item)], "doc_id long, text string")
     got = {r.doc_id: r["items"] for r in templates.flagged(df, benchmark).collect()}
-    assert got[0] == got[None] == [1] and got[2] == [2]
-    assert got[1] == got[3] == got[4] == got[5] == []
+    assert got[0] == got[1] == got[6] == got[None] == [1] and got[2] == [2]
+    assert got[3] == got[4] == got[5] == []
     rows = df.where("doc_id is not null").unionByName(spark.createDataFrame([
         (20, "It weighs 5 Kg and costs $1,200.50 for Anna O'Neil's 3rd McDonald visit, at 12:30 on 2020-01-02."), (21, "…  a. Paris, London (Berlin) 5km 5 km, 7 KM. x")],
         "doc_id long, text string"))
@@ -696,10 +696,64 @@ def test_items_dense_in_numbers_are_found(spark):
     ]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: (r["items"], r.n_windows) for r in templates.flagged(df, benchmark).collect()}
-    assert [got[k][0] for k in range(8)] == [[1], [2], [1], [3], [], [], [], [4]]
+    assert [got[k][0] for k in range(8)] == [[1], [2], [1], [3], [], [1], [], [4]]
     assert got[2][1] == 3 and got[3][1] == 5
 
 
+def in_sql(documents, benchmark):
+    """``items, n_windows`` by document, as the SQL has it."""
+    database = duckdb.connect()
+    for name, frame in (("documents", documents), ("benchmark", benchmark)):
+        database.register(f"{name}_rows", frame.toPandas())
+        database.execute(f"CREATE TABLE {name} AS SELECT * FROM {name}_rows")
+    return {r[0]: (r[3], r[4]) for r in database.execute(templates.ORACLE).fetchall()}
+
+
+def test_names_numbers_and_short_items_wherever_they_stand(spark):
+    apples = "Tom has 5 apples. Ben has 7 pears. Who has more fruit now?"
+    miles = "How long does a car need for sixty miles if it drives twenty miles in two hours?"
+    twice = "If Anna gives 3 coins to Paul and Anna keeps 2 coins herself, what is left?"
+    items = [(1, apples), (2, miles), (3, twice), (3, twice), (4, "Name it"), (5, "3 5 8 9 7 2 4 6 1"), (6, None), (7, "say it")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [
+        ("Ann has 8 apples. Sue has 9 pears. Who has more fruit now?", [1]), ("so TOM HAS 5 APPLES. BEN HAS 7 PEARS. WHO HAS MORE FRUIT NOW?", [1]),
+        ("How long does a car need for ninety miles if it drives 40 miles in three hours?", [2]),
+        ("if Mary gives 4 coins to John and Mary keeps 4 coins herself, what is left?", [3]),
+        ("if Mary gives 4 coins to John and Kate keeps 2 coins herself, what is left?", []),  # one name is two here
+        ("NAME it!", [4]), ("name it all", []), ("say *it*", [7]), ("3 5 8 9 7 2 4 6 1", [5]), ("1 2 3 4 5 6 7 8 9", []),
+        ("\ue000 \ue001x two \ue002", []), (None, []), ("", []), (("word " * 30_000) + apples + " x" * 1_000_000, [1]),
+    ]
+    rows = [(k, t, "a", "b", 1) for k, (t, _) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, w string, item_id string, n long")
+    got = {r.doc_id: r for r in templates.flagged(df, benchmark).collect()}
+    assert [got[k]["items"] for k in range(len(texts))] == [x for _, x in texts]
+    short = df.where(F.length("text") < 1000).unionByName(df.where("text is null"))
+    expected = in_sql(short, benchmark)
+    assert {k: (",".join(map(str, got[k]["items"])), got[k].n_windows) for k in expected} == expected
+    assert templates.without_leaks(df, benchmark).columns == df.columns
+
+
+def test_templates_equal_the_sql_on_random_questions(spark):
+    rng = np.random.default_rng(5)
+    kinds = [["the", "is", "to", "and"], ["Ann", "Bob", "Eve"], ["3", "4", "two", "Five", "12,5"], ["km", "Hours", "(Rome)", "O'Neil", "so."]]
+
+    def text(n):
+        return " ".join(kinds[k][rng.integers(len(kinds[k]))] for k in rng.choice(4, n, p=[0.5, 0.15, 0.25, 0.1]))
+
+    items = [text(int(rng.integers(1, 16))) for _ in range(40)]
+    documents = [text(int(rng.integers(1, 120))) + " " + items[k % 40].lower() + " " + text(9) + " " + items[(7 * k) % 40].replace("Ann", "Joe") for k in range(120)]
+    df = spark.createDataFrame(list(enumerate(documents)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    expected = in_sql(df, benchmark)
+    got = {r.doc_id: (",".join(map(str, r["items"])), r.n_windows) for r in templates.flagged(df, benchmark).collect()}
+    assert got == expected and sum(n for _, n in expected.values()) > 500
+    shuffled = {}
+    with pytest.MonkeyPatch.context() as patch:  # a benchmark that is not proven small
+        patch.setattr(templates, "broadcast_if_small", lambda frame, **_: (frame, False))
+        shuffled = {r.doc_id: (",".join(map(str, r["items"])), r.n_windows) for r in templates.flagged(df, benchmark).collect()}
+    assert shuffled == got
+
+
 def test_leaks_are_those_of_plain_windows_where_there_are_no_slots(spark, docs, rows):
     benchmark = spark.createDataFrame([(k, " ".join(words(rows[3 * k][1])[5 + k:20 + k][i].decode() for i in range(15))) for k in range(8)], "item_id long, text string")
     items = {r.item_id: r.text.replace(".", "").split() for r in benchmark.collect()}
