@@ -46,17 +46,20 @@ FORMS = ("literal", "named", "opened")
 
 
 def marked(text):
-    """The text's tokens separated by one blank; a slot is its type's mark and its value."""
-    first, ends = rf"(?<![^ ])[^\p{{L}}\p{{N}} {MARKS}]*", r"(?![\p{L}\p{N}])"
-    t = F.regexp_replace(text, r"[\x20\x09-\x0D]+", " ")
-    t = F.regexp_replace(t, r"(?<![^ ])[^\p{L}\p{N} ]+(?: |$)", "")
-    t = F.trim(F.when(t.rlike(f"[{MARKS}]"), F.translate(t, MARKS, "")).otherwise(t))
-    t = F.regexp_replace(t, rf"{first}(\p{{N}}[^\p{{L}} ]*)(?=[ ]|$)", f"{NUMBER}$1")
-    t = F.regexp_replace(t, rf"{first}((?i:{NUMBER_WORDS}))(?=[^\p{{L}}\p{{N}} ]*(?:[ ]|$))", f"{NUMBER}$1")
+    """The text's tokens separated by one blank; a slot is its type's mark and its value.
+
+    Patterns start with the blank before a token, which is found without trying them at every character.
+    """
+    first, ends = rf" [^\p{{L}}\p{{N}} {MARKS}]*", r"(?![\p{L}\p{N}])"
+    t = F.regexp_replace(F.concat(F.lit(" "), text), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
+    t = F.regexp_replace(t, r" [^\p{L}\p{N} ]+(?= |$)", "")
+    t = F.when(t.rlike(f"[{MARKS}]"), F.translate(t, MARKS, "")).otherwise(t)
+    t = F.regexp_replace(t, rf"{first}(\p{{N}}[^\p{{L}} ]*)(?=[ ]|$)", f" {NUMBER}$1")
+    t = F.regexp_replace(t, rf"{first}((?i:{NUMBER_WORDS}))(?=[^\p{{L}}\p{{N}} ]*(?:[ ]|$))", f" {NUMBER}$1")
     t = F.regexp_replace(t, rf"({NUMBER}[^ ]+ )((?i:{UNITS})){ends}", f"$1{UNIT}$2")
-    t = F.regexp_replace(t, rf"{first}(\p{{Lu}}\p{{Ll}}+){ends}", f"{OPENING}$1")
-    t = F.regexp_replace(t, rf"(?<=[\p{{Ll}}\p{{N}},] ){OPENING}", NAME)
-    return F.trim(F.regexp_replace(F.lower(t), rf"[^\p{{L}}\p{{N}}{MARKS} ]+", ""))
+    t = F.regexp_replace(t, rf"{first}(\p{{Lu}}\p{{Ll}}+){ends}", f" {OPENING}$1")
+    t = F.regexp_replace(t, rf"([\p{{Ll}}\p{{N}},]) {OPENING}", f"$1 {NAME}")
+    return F.trim(F.regexp_replace(F.lower(t), rf"[^a-z0-9\p{{L}}\p{{N}}{MARKS} ]+", ""))
 
 
 def forms(texts: DataFrame, *columns: str) -> DataFrame:
@@ -66,9 +69,9 @@ def forms(texts: DataFrame, *columns: str) -> DataFrame:
     """
     found = texts.select(*columns, F.explode(F.array(marked(text_or_empty()))).alias("t")).where("t <> ''")
     template = F.regexp_replace("t", rf"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")
-    named = F.translate(template, OPENING, "")
+    named = F.replace(template, F.lit(OPENING), F.lit(""))
     opened = F.regexp_replace(template, rf"{OPENING}[^ ]*", NAME)
-    split = [F.split(x, " ").alias(n) for x, n in zip((F.translate("t", MARKS, ""), named, opened), FORMS)]
+    split = [F.split(x, " ").alias(n) for x, n in zip((F.regexp_replace("t", f"[{MARKS}]", ""), named, opened), FORMS)]
     return found.select(*columns, F.explode(F.array(F.struct(*split))).alias("w"))
 
 
@@ -134,28 +137,33 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def _short_hits(texts: DataFrame, lengths: list, own: DataFrame, small: bool) -> DataFrame:
-    """Windows of the texts that meet those of items; hashes are of tokens' hashes, so no window is a string before."""
-    ids = ["doc_id", "text_key", "w"]
-    hashes = F.struct(*[_hashes(f"w.{form}").alias(form) for form in FORMS])
-    found = texts.select(*ids, F.explode(F.array(hashes)).alias("hashes"))
-    found = found.select(*ids, "hashes", F.size("hashes.literal").alias("n"), F.explode(F.sequence(F.lit(0), F.size("hashes.literal") - 1)).alias("pos"))
-    for length in lengths:
-        fits = F.col("pos") + length <= F.col("n") if length >= SHORTEST else F.col("n") == length
-        for k, form in enumerate(FORMS):
-            window = [F.get(f"hashes.{form}", F.col("pos") + i) for i in range(length)]  # hashed like an array of them
-            found = found.withColumn(f"h{length}_{k}", F.when(fits, F.xxhash64(F.lit(length), *window)))
-    columns = []
-    for length in lengths:
-        h = [F.col(f"h{length}_{k}") for k in range(len(FORMS))]
-        columns += [h[0], F.when(h[1] != h[0], h[1]), F.when((h[2] != h[1]) & (h[2] != h[0]), h[2])]
-    found = found.select(*ids, "pos", F.posexplode(F.array(*columns)).alias("which", "doc_h")).where("doc_h is not null")
-    size = F.element_at(F.array(*map(F.lit, lengths)), F.floor(F.col("which") / len(FORMS)).cast("int") + 1)
-    form = F.col("which") % len(FORMS)
-    tokens = F.when(form == 0, F.col("w.literal")).when(form == 1, F.col("w.named")).otherwise(F.col("w.opened"))
+    """Windows of the texts that meet those of items; hashes are of tokens' hashes, so no window is a string before.
+
+    A form is left out where it equals the one before. Hashes of a window are few expressions: the stage stays compiled.
+    """
+    ids = ["doc_id", "text_key"]
+    literal, named, opened = (F.col(f"w.{form}") for form in FORMS)
+    tokens = F.array_compact(F.array(literal, F.when(named != literal, named), F.when(opened != named, opened)))
+    found = texts.select(*ids, literal.alias("literal"), F.explode(tokens).alias("tokens"))
+    found = found.select(*ids, "literal", "tokens", F.explode(F.array(_hashes("tokens"))).alias("hashes"))
+    found = found.select(*ids, "literal", "tokens", "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1)).alias("pos"))
+
+    def hash_of(length):
+        n, end = F.size("hashes"), F.col("pos") + length
+        fits = end <= n if length >= SHORTEST else F.lit(length) == n
+        return F.when(fits, F.xxhash64(F.lit(length), *[F.get("hashes", F.col("pos") + i) for i in range(length)]))  # like an array of them
+
+    if len(lengths) == 1:
+        found = found.withColumns({"size": F.lit(lengths[0]), "doc_h": hash_of(lengths[0])})
+    else:
+        sized = F.explode(F.array(*[F.struct(F.lit(n).alias("size"), hash_of(n).alias("doc_h")) for n in lengths])).alias("sized")
+        found = found.select(*ids, "literal", "tokens", "pos", sized).select(*ids, "literal", "tokens", "pos", "sized.*")
+    found = found.where("doc_h is not null")
 
     def cut(rows):
-        return rows.select("doc_id", "text_key", "pos", "doc_h", F.array_join(_part(tokens, F.col("pos"), size), " ").alias("doc_key"),
-                           _part(F.col("w.literal"), F.col("pos"), size).alias("doc_tokens"), *[c for c in own.columns if c in rows.columns])
+        window = [_part(F.col(c), F.col("pos"), F.col("size")) for c in ("tokens", "literal")]
+        return rows.select(*ids, "pos", "doc_h", F.array_join(window[0], " ").alias("doc_key"), window[1].alias("doc_tokens"),
+                           *[c for c in own.columns if c in rows.columns])
 
     own = own.where("not is_long")
     same = F.col("doc_h") == F.col("h")  # strings are cut from hits alone, or from all before a shuffle
@@ -260,22 +268,24 @@ item_keys AS (
       CASE WHEN few_named THEN array_to_string(named, ' ') END, CASE WHEN few_opened THEN array_to_string(opened, ' ') END]) END) AS key
   FROM weighed JOIN needs USING (item)),
 longest AS (SELECT coalesce(max(length) FILTER (is_long), 0) AS longest FROM item_keys),
+doc_tokens AS (
+  SELECT id AS doc_id, n, unnest(range(0, n)) AS pos, unnest(literal) AS literal, unnest(named) AS named, unnest(opened) AS opened FROM forms WHERE NOT is_item),
+following AS (
+  SELECT doc_id, n, pos, list(literal) OVER ahead AS literal, list(named) OVER ahead AS named, list(opened) OVER ahead AS opened FROM doc_tokens
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {WINDOW - 1} FOLLOWING)),
 doc_short AS (
-  SELECT id AS doc_id, n, unnest(range(0, n - size + 1)) AS pos, size AS length, false AS is_long, literal, named, opened
-  FROM forms, (SELECT DISTINCT length AS size FROM item_keys WHERE NOT is_long) AS s
-  WHERE NOT is_item AND n >= size AND (size >= {SHORTEST} OR n = size)),
+  SELECT doc_id, pos, size AS length, false AS is_long, literal[1:size] AS literal, named[1:size] AS named, opened[1:size] AS opened
+  FROM following, (SELECT DISTINCT length AS size FROM item_keys WHERE NOT is_long) AS s
+  WHERE pos + size <= n AND (size >= {SHORTEST} OR n = size)),
 doc_reach AS (
   SELECT *, list_filter(lits, lambda k: k > pos)[{WINDOW - MOST_SLOTS}] - pos AS length FROM (
-    SELECT id AS doc_id, n, literal, named, opened, longest, list_filter(range(1, n + 1), lambda k: named[k] NOT IN {slots}) AS lits,
-      unnest(range(0, CASE WHEN longest > 0 THEN n ELSE 0 END)) AS pos FROM forms, longest WHERE NOT is_item)),
-doc_windows AS (
-  SELECT doc_id, pos, length, is_long, literal, named, opened FROM doc_short
-  UNION ALL SELECT doc_id, pos, length, true, literal, named, opened FROM doc_reach WHERE length > {WINDOW} AND length <= longest),
+    SELECT id AS doc_id, literal, named, longest, list_filter(range(1, n + 1), lambda k: named[k] NOT IN {slots}) AS lits,
+      unnest(range(0, n)) AS pos FROM forms, longest WHERE NOT is_item AND longest > 0)),
 doc_keys AS (
-  SELECT doc_id, pos, length, is_long, literal[pos + 1:pos + length] AS theirs, unnest(
-    CASE WHEN is_long THEN [array_to_string(named[pos + 1:pos + length], ' ')] ELSE list_distinct([array_to_string(literal[pos + 1:pos + length], ' '),
-      array_to_string(named[pos + 1:pos + length], ' '), array_to_string(opened[pos + 1:pos + length], ' ')]) END) AS key
-  FROM doc_windows),
+  SELECT doc_id, pos, length, is_long, literal AS theirs,
+    unnest(list_distinct([array_to_string(literal, ' '), array_to_string(named, ' '), array_to_string(opened, ' ')])) AS key FROM doc_short
+  UNION ALL SELECT doc_id, pos, length, true, literal[pos + 1:pos + length], array_to_string(named[pos + 1:pos + length], ' ')
+  FROM doc_reach WHERE length > {WINDOW} AND length <= longest),
 matched AS (
   SELECT d.doc_id, i.item_id, d.pos - i.pos AS diagonal, d.pos, d.length, i.is_template, i.needed, i.needed_templates, i.literal, i.opened, d.theirs
   FROM doc_keys AS d JOIN item_keys AS i ON d.key = i.key AND d.length = i.length AND d.is_long = i.is_long),
