@@ -2,8 +2,8 @@
 
 Every model has its own quasi-Newton steps (limited memory; where its penalty has an absolute part, orthant-wise) and its own
 step length, but all ask for loss and gradient at once, so the number of passes is that of the slowest model instead of the
-sum. A task adds up the gradients of its rows for all models side by side; partial sums are added in a tree before they
-reach the driver, whose memory depends on the number of features and models alone.
+sum. A task adds up the gradients of its rows for all models side by side; partial sums are added in a tree, at last by
+ranges of features, so that a pass sends the driver one number per feature and model, whatever the number of tasks.
 """
 
 import math
@@ -18,7 +18,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
 
 MEMORY = 6  # steps a model remembers
-FAN_IN = 16  # partial sums that are added by one task, or by the driver
+FAN_IN = 16  # partial sums that are added by one task
 COLUMNS = 8192  # features of a partial sum's row
 ENTRIES = 200_000  # entries of the feature vectors worked on at a time
 TOLERANCE = 1e-6
@@ -149,9 +149,9 @@ def losses_and_gradients(rows: DataFrame, trials: np.ndarray, tasks: int) -> tup
         while tasks > FAN_IN:
             tasks = -(-tasks // FAN_IN)
             sums = sums.repartition(tasks, F.pmod("lane", F.lit(tasks))).mapInArrow(_added, schema)
-        total = {}
-        for r in sums.toArrow().to_pylist():
-            total[r["part"]] = total.get(r["part"], 0) + np.frombuffer(r["sums"])
+        ranges = -(-(len(trials) + 2) // COLUMNS)
+        sums = sums.repartition(min(ranges, FAN_IN), (F.col("part") / COLUMNS).cast("long")).mapInArrow(_added, schema)
+        total = {r["part"]: np.frombuffer(r["sums"]) for r in sums.toArrow().to_pylist()}
     finally:
         weights.destroy()
     table = np.concatenate([total[p] for p in sorted(total)]).reshape(-1, trials.shape[1])

@@ -55,6 +55,15 @@ def test_a_pass_adds_up_in_any_number_of_tasks(spark, train, rows, monkeypatch):
         assert losses == pytest.approx(expected[0]) and gradients == pytest.approx(expected[1])
 
 
+def test_a_pass_sends_the_driver_each_sum_once(train, monkeypatch):
+    monkeypatch.setattr(J, "COLUMNS", 3)
+    sent, real = [], type(train).toArrow
+    monkeypatch.setattr(type(train), "toArrow", lambda df: sent.append(real(df)) or sent[-1])
+    row = [F.col("score").alias("label"), F.sequence(F.lit(0), F.lit(6)).alias("indices"), F.array(*[F.lit(1.0)] * 7).alias("values")]
+    J.losses_and_gradients(train.repartition(12).select(*row), np.zeros((8, 2)), 12)
+    assert sorted(sent[0]["part"].to_pylist()) == [0, 3, 6, 9]
+
+
 def test_passes_are_those_of_one_model(train, monkeypatch):
     passes, real = [], J.losses_and_gradients
     monkeypatch.setattr(J, "losses_and_gradients", lambda rows, trials, tasks: passes.append(trials.shape[1]) or real(rows, trials, tasks))
