@@ -285,9 +285,11 @@ def append_quarantine(spark, folder):
     SELECT CASE WHEN kind <> 'error' THEN id END AS id, dept_name, zone, time_of_day, date_of_event, duration, text FROM sources"""))
 def append_twice(spark, folder):
     """A landing that repeats itself, some rows without id, appended two times."""
-    path = scratch_path(spark, "source")
+    path, landing = (scratch_path(spark, n) for n in ("source", "landing"))
     landed = I.sources(spark, folder)
-    landed = landed.withColumn("id", F.when(F.col("kind") != "error", F.col("id")))
+    landed = landed.select(F.when(F.col("kind") != "error", F.col("id")).alias("id"), *RECORDING.names[1:], "kind")
+    landed.write.parquet(landing)  # read several times
+    landed = spark.read.schema(landed.schema).parquet(landing)
     write_recordings(landed.where(F.col("kind") == "view"), path)
     twice = landed.unionByName(landed).select(*RECORDING.names)
     for _ in range(2):

@@ -121,6 +121,17 @@ def _among(history: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
     return history.select(key).join(few, key, "left_semi").distinct()
 
 
+def _not_among(landed: DataFrame, history: DataFrame, key: str) -> DataFrame:
+    """The rows whose key the history does not hold.
+
+    Keys alone are compared first: when few are new, rows that are held go before anything wide is shuffled.
+    """
+    wanted = landed.select(key).distinct()
+    new = wanted.join(_among(history, wanted, key), key, "left_anti")
+    few, _ = broadcast_if_small(new)
+    return landed.join(few, key, "left_semi")
+
+
 def new_recordings(landed: DataFrame, source: DataFrame) -> DataFrame:
     """Valid landed recordings that the source table does not hold, each once.
 
@@ -132,10 +143,8 @@ def new_recordings(landed: DataFrame, source: DataFrame) -> DataFrame:
     content = F.sha2(F.to_json(F.struct(*landed.columns)), 256)
     by_id = Window.partitionBy("id").orderBy(content)
     fresh = valid(landed)
-    named = fresh.where("id is not null").withColumn("nth", F.row_number().over(by_id)).where("nth = 1").drop("nth")
-    held = _among(source.where("id is not null").select("id"), named, "id")
-    named = named.join(held, "id", "left_anti")
-    unnamed = fresh.where("id is null").withColumn("digest", content).dropDuplicates(["digest"])
-    known = _among(source.where("id is null").select(content.alias("digest")), unnamed, "digest")
-    unnamed = unnamed.join(known, "digest", "left_anti")
+    named = _not_among(fresh.where("id is not null"), source.where("id is not null").select("id"), "id")
+    named = named.withColumn("nth", F.row_number().over(by_id)).where("nth = 1")
+    digests = source.where("id is null").select(content.alias("digest"))
+    unnamed = _not_among(fresh.where("id is null").withColumn("digest", content), digests, "digest").dropDuplicates(["digest"])
     return named.select(*landed.columns).unionByName(unnamed.select(*landed.columns))

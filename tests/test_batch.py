@@ -214,6 +214,15 @@ def test_appending_twice_changes_nothing(recordings):
     assert P.new_recordings(recordings(rows), source.unionByName(added)).count() == 0
 
 
+def test_rows_held_already_go_before_texts_are_shuffled(recordings):
+    source = recordings([("1", *A, "old"), (None, *A, "old")])
+    landed = recordings([("1", *A, "again"), ("1", *A, "again"), (None, *A, "old"), (None, *A, "old")])
+    added = P.new_recordings(landed, source)
+    plan = added._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("row_number") < plan.index("Join Left")  # the join is below the window
+    assert added.count() == 0
+
+
 def test_uploads(spark):
     uploads = spark.createDataFrame(
         [("cpd", "z", "2020-12-09", "14:30", "3", "", False), ("", "z", "2020-12-09", "14:30", "3", "t", False),
