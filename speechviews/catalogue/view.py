@@ -3,6 +3,9 @@
 The quality label stands for the model's prediction, which makes every number checkable.
 """
 
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from speechviews.catalogue import inputs as I
@@ -14,6 +17,16 @@ from speechviews.session import scratch_path
 from speechviews.sinks.tables import save_view_table, upsert_view, write_view
 from speechviews.sources.tables import view_table
 
+@contextmanager
+def kept(view):
+    """The view in memory or on disk while it is written more than once: its recordings are counted in one pass."""
+    view = view.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield view
+    finally:
+        view.unpersist()
+
+
 WHOLE_VIEW = with_ctes("SELECT * FROM the_view")
 
 
@@ -26,9 +39,9 @@ def batch_view_labelled(spark, folder):
 def view_write_and_scan(spark, folder):
     """Two versions written, the newest committed one read."""
     path = scratch_path(spark, "view")
-    view = I.labelled_view(spark, folder)
-    write_view(view.withColumn("most_common_words", F.lit("")), path, version=1)
-    write_view(view, path, version=2)
+    with kept(I.labelled_view(spark, folder)) as view:
+        write_view(view.withColumn("most_common_words", F.lit("")), path, version=1)
+        write_view(view, path, version=2)
     return view_table(spark, path)
 
 
@@ -37,9 +50,9 @@ def view_as_catalog_table(spark, folder):
     """A catalog table written, then replaced as a whole."""
     path = scratch_path(spark, "view_table")
     name = "speech_view"  # one name, so that calls leave one table behind
-    view = I.labelled_view(spark, folder)
-    save_view_table(view.withColumn("row_key", F.lit("old")), name, path)
-    save_view_table(view, name, path)
+    with kept(I.labelled_view(spark, folder)) as view:
+        save_view_table(view.withColumn("row_key", F.lit("old")), name, path)
+        save_view_table(view, name, path)
     return spark.table(name)
 
 

@@ -87,3 +87,18 @@ def test_counting_segments_shuffles_no_text(spark, data):
     plan = plan_of(QUERIES["segment_counts"](spark, data))
     using_text = [line for line in plan.splitlines() if "text#" in line]
     assert using_text and all("FileScan" in line or "Filter" in line for line in using_text)
+
+
+def test_a_view_written_twice_is_counted_once(spark, data, monkeypatch):
+    from speechviews.catalogue import view
+
+    for query, writer in ((view.view_as_catalog_table, "save_view_table"), (view.view_write_and_scan, "write_view")):
+        plans, real = [], getattr(view, writer)
+
+        def write(df, *args, real=real, plans=plans, **more):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            real(df, *args, **more)
+
+        monkeypatch.setattr(view, writer, write)
+        query(spark, data)
+        assert len(plans) == 2 and all("InMemoryTableScan" in p for p in plans)
