@@ -27,8 +27,9 @@ WINDOW = 8
 NEEDED = 3
 MOST_SLOTS = 4
 SHORTEST = 4
-NAME, OPENING, NUMBER, UNIT = "\ue000", "\ue001", "\ue002", "\ue003"  # private-use characters
+NAME, OPENING, NUMBER, UNIT = "\x01", "\x02", "\x03", "\x04"  # so that marked texts are ASCII or Latin-1 where texts are
 MARKS = NAME + OPENING + NUMBER + UNIT
+PRIVATE = "\ue000\ue001\ue002\ue003"  # marks while a text that has the others itself is worked on, and in SQL; dropped from texts
 #: Units recognised after a number (fixed values).
 UNITS = (
     "mm|cm|m|km|in|ft|yd|mi|inch|inches|foot|feet|yard|yards|mile|miles|meter|meters|metre|metres|kilometer|kilometers|"
@@ -45,21 +46,34 @@ NUMBER_WORDS = (
 FORMS = ("literal", "named", "opened")
 
 
+def _by_first_letter(words):
+    """The alternatives grouped by their first letter, so that most tokens fail at once."""
+    rest = {}
+    for word in words.split("|"):
+        rest.setdefault(word[0], []).append(word[1:])
+    return f"(?=[{''.join(rest)}])(?:{'|'.join(f'{first}(?:{'|'.join(ends)})' for first, ends in rest.items())})"
+
+
+def _marked(text, marks):
+    name, opening, number, unit = marks
+    first, ends = rf" [^\p{{L}}\p{{N}} {marks}]*", r"(?![\p{L}\p{N}])"
+    t = F.regexp_replace(F.concat(F.lit(" "), text), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
+    t = F.regexp_replace(t, r" [^\p{L}\p{N} ]+(?= |$)", "")
+    t = F.when(t.rlike(f"[{PRIVATE}]"), F.translate(t, PRIVATE, "")).otherwise(t)
+    t = F.regexp_replace(t, rf"{first}(\p{{N}}[^\p{{L}} ]*)(?=[ ]|$)", f" {number}$1")
+    t = F.regexp_replace(t, rf"{first}((?i:{_by_first_letter(NUMBER_WORDS)}))(?=[^\p{{L}}\p{{N}} ]*(?:[ ]|$))", f" {number}$1")
+    t = F.regexp_replace(t, rf"({number}[^ ]+ )((?i:{UNITS})){ends}", f"$1{unit}$2")
+    t = F.regexp_replace(t, rf"{first}(\p{{Lu}}\p{{Ll}}+){ends}", f" {opening}$1")
+    t = F.regexp_replace(t, rf"([\p{{Ll}}\p{{N}},]) {opening}", f"$1 {name}")
+    return F.trim(F.regexp_replace(F.lower(t), rf"[^a-z0-9\p{{L}}\p{{N}}{marks} ]+", ""))
+
+
 def marked(text):
     """The text's tokens separated by one blank; a slot is its type's mark and its value.
 
     Patterns start with the blank before a token, which is found without trying them at every character.
     """
-    first, ends = rf" [^\p{{L}}\p{{N}} {MARKS}]*", r"(?![\p{L}\p{N}])"
-    t = F.regexp_replace(F.concat(F.lit(" "), text), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
-    t = F.regexp_replace(t, r" [^\p{L}\p{N} ]+(?= |$)", "")
-    t = F.when(t.rlike(f"[{MARKS}]"), F.translate(t, MARKS, "")).otherwise(t)
-    t = F.regexp_replace(t, rf"{first}(\p{{N}}[^\p{{L}} ]*)(?=[ ]|$)", f" {NUMBER}$1")
-    t = F.regexp_replace(t, rf"{first}((?i:{NUMBER_WORDS}))(?=[^\p{{L}}\p{{N}} ]*(?:[ ]|$))", f" {NUMBER}$1")
-    t = F.regexp_replace(t, rf"({NUMBER}[^ ]+ )((?i:{UNITS})){ends}", f"$1{UNIT}$2")
-    t = F.regexp_replace(t, rf"{first}(\p{{Lu}}\p{{Ll}}+){ends}", f" {OPENING}$1")
-    t = F.regexp_replace(t, rf"([\p{{Ll}}\p{{N}},]) {OPENING}", f"$1 {NAME}")
-    return F.trim(F.regexp_replace(F.lower(t), rf"[^a-z0-9\p{{L}}\p{{N}}{MARKS} ]+", ""))
+    return F.when(text.rlike(f"[{MARKS}]"), F.translate(_marked(text, PRIVATE), PRIVATE, MARKS)).otherwise(_marked(text, MARKS))
 
 
 def forms(texts: DataFrame, *columns: str) -> DataFrame:
@@ -220,6 +234,8 @@ def flagged(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _oracle() -> str:
     """The same in SQL, token by token."""
+    MARKS = PRIVATE
+    NAME, OPENING, NUMBER, UNIT = MARKS
     raw = rf"""list_filter(regexp_extract_all(coalesce(translate(text, '{MARKS}', ''), ''), '[^\x20\x09-\x0D]+'), lambda t: regexp_matches(t, '[\p{{L}}\p{{N}}]'))"""
     slots = f"('{NAME}', '{NUMBER}', '{UNIT}')"
     return rf"""

@@ -709,6 +709,15 @@ def in_sql(documents, benchmark):
     return {r[0]: (r[3], r[4]) for r in database.execute(templates.ORACLE).fetchall()}
 
 
+def test_marks_leave_ascii_texts_ascii_and_marks_in_texts_count_as_punctuation(spark):
+    apples = "Tom has 5 apples. Ben has 7 pears. Who has more fruit now?"
+    texts = [apples, "Ann has 8 \x01 apples. S\x02ue has 9\x03 pears.\x04 Who has more fruit now?", "Tom\ue000 has 5 app\x01les. B\x04en has \x037 pears. Who has more fruit now?"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, apples)], "item_id long, text string")
+    assert df.select(templates.marked(F.col("text")).alias("t")).first().t.isascii()
+    assert {r.doc_id: (",".join(map(str, r["items"])), r.n_windows) for r in templates.flagged(df, benchmark).collect()} == in_sql(df, benchmark)
+
+
 def test_names_numbers_and_short_items_wherever_they_stand(spark):
     apples = "Tom has 5 apples. Ben has 7 pears. Who has more fruit now?"
     miles = "How long does a car need for sixty miles if it drives twenty miles in two hours?"
