@@ -3,8 +3,8 @@
 A text becomes tokens without case and punctuation. Numbers (digits or words), units after a number, and capitalised words
 are typed slots: names inside a sentence always, words that open one in a second template only, as they may be names
 or not. All windows of ``WINDOW`` tokens are hash-joined with those of the benchmark in three forms: literally, as a template with
-names inside sentences, and as one with all capitalised words. Tokens are hashed once; strings are compared for
-windows whose hashes meet. Windows on one diagonal (same distance between the positions in document and item) form a
+names inside sentences, and as one with all capitalised words. Windows are hashed; strings are compared for
+those whose hashes meet. Windows on one diagonal (same distance between the positions in document and item) form a
 passage, in which every slot value of the item must stand for one value of the document. So a question with other numbers or
 names is caught, in any letter case if it is a copy, and a passage whose slots contradict each other is not. A passage counts
 when it has ``NEEDED`` windows, or all that the item has.
@@ -18,6 +18,8 @@ documents that have no other tokens. Null or empty texts match nothing; null ids
 text. An empty table gives no rows, an empty benchmark no leaks. The benchmark is broadcast only when it is proven small.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from speechviews.llm.common import stored, text_or_empty, whole_row
@@ -54,18 +56,29 @@ def _by_first_letter(words):
     return f"(?=[{''.join(rest)}])(?:{'|'.join(f'{first}(?:{'|'.join(ends)})' for first, ends in rest.items())})"
 
 
+def _has(text, characters):
+    """Whether a text holds one of the characters; bytes are searched, no pattern is run."""
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(c)) for c in characters])
+
+
+def _replaced(text, characters, by=""):
+    return reduce(lambda t, c: F.replace(t, F.lit(c), F.lit(by)), characters, text)
+
+
 def _marked(text, marks):
+    """Each step stands once in the next one: a step that is named twice is computed twice."""
     name, opening, number, unit = marks
     first, ends = rf" [^\p{{L}}\p{{N}} {marks}]*", r"(?![\p{L}\p{N}])"
-    t = F.regexp_replace(F.concat(F.lit(" "), text), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
-    t = F.regexp_replace(t, r" [^\p{L}\p{N} ]+(?= |$)", "")
-    t = F.when(t.rlike(f"[{PRIVATE}]"), F.translate(t, PRIVATE, "")).otherwise(t)
-    t = F.regexp_replace(t, rf"{first}(\p{{N}}[^\p{{L}} ]*)(?=[ ]|$)", f" {number}$1")
-    t = F.regexp_replace(t, rf"{first}((?i:{_by_first_letter(NUMBER_WORDS)}))(?=[^\p{{L}}\p{{N}} ]*(?:[ ]|$))", f" {number}$1")
+    t = F.regexp_replace(_replaced(F.concat(F.lit(" "), text), "\t\n\x0b\f\r", " "), " {2,}", " ")
+    t = _replaced(F.regexp_replace(t, r" [^\p{L}\p{N} ]+(?= |$)", ""), PRIVATE)
+    digits, words = r"\p{N}[^\p{L} ]*(?=[ ]|$)", rf"(?i:{_by_first_letter(NUMBER_WORDS)})(?=[^\p{{L}}\p{{N}} ]*(?:[ ]|$))"
+    t = F.regexp_replace(t, f"{first}({digits}|{words})", f" {number}$1")
     t = F.regexp_replace(t, rf"({number}[^ ]+ )((?i:{UNITS})){ends}", f"$1{unit}$2")
     t = F.regexp_replace(t, rf"{first}(\p{{Lu}}\p{{Ll}}+){ends}", f" {opening}$1")
-    t = F.regexp_replace(t, rf"([\p{{Ll}}\p{{N}},]) {opening}", f"$1 {name}")
-    return F.trim(F.regexp_replace(F.lower(t), rf"[^a-z0-9\p{{L}}\p{{N}}{marks} ]+", ""))
+    t = F.lower(F.regexp_replace(t, rf" {opening}(?<=[\p{{Ll}}\p{{N}},] {opening})", f" {name}"))
+    ascii_marks = "".join(rf"\x{ord(c):02x}" for c in map(chr, range(128)) if not c.isalnum() and c not in f"{marks} ")
+    t = F.regexp_replace(t, f"[{ascii_marks}]+", "")  # single characters are looked up in a table
+    return F.trim(F.regexp_replace(t, rf"[^\x00-\x7f\p{{L}}\p{{N}}{marks}]+", ""))
 
 
 def marked(text):
@@ -73,22 +86,28 @@ def marked(text):
 
     Patterns start with the blank before a token, which is found without trying them at every character.
     """
-    return F.when(text.rlike(f"[{MARKS}]"), F.translate(_marked(text, PRIVATE), PRIVATE, MARKS)).otherwise(_marked(text, MARKS))
+    return F.when(_has(text, MARKS), F.translate(_marked(text, PRIVATE), PRIVATE, MARKS)).otherwise(_marked(text, MARKS))
 
 
 def forms(texts: DataFrame, *columns: str) -> DataFrame:
     """``columns`` and ``w``: the tokens literally, as templates with names, and with all capitalised words; no empty texts.
 
-    Exploding an array of one element gives a value a name that the optimiser keeps, so it is computed once.
+    A form that equals the literal tokens is null in ``w``. Exploding an array of one element gives a value a name that the
+    optimiser keeps, so it is computed once.
     """
     found = texts.select(*columns, F.explode(F.array(marked(text_or_empty()))).alias("t")).where("t <> ''")
-    template = F.regexp_replace("t", rf"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")
-    named = F.replace(template, F.lit(OPENING), F.lit(""))
-    opened = F.regexp_replace(template, rf"{OPENING}[^ ]*", NAME)
-    split = [F.split(x, " ").alias(n) for x, n in zip((F.regexp_replace("t", f"[{MARKS}]", ""), named, opened), FORMS)]
+    slots, without = _has(F.col("t"), NAME + NUMBER + UNIT), lambda t: F.replace(t, F.lit(OPENING), F.lit(""))
+    template = F.when(slots, F.regexp_replace("t", rf"([{NAME}{NUMBER}{UNIT}])[^ ]*", "$1")).otherwise(F.col("t"))
+    literal = F.when(slots, F.regexp_replace("t", f"[{MARKS}]", "")).otherwise(without(F.col("t")))
+    split = [F.split(literal, " ").alias("literal"), F.when(slots, F.split(without(template), " ")).alias("named"),
+             F.when(slots | _has(F.col("t"), OPENING), F.split(F.regexp_replace(template, rf"{OPENING}[^ ]*", NAME), " ")).alias("opened")]
     return found.select(*columns, F.explode(F.array(F.struct(*split))).alias("w"))
 
 
+def _form(name):
+    return F.coalesce(f"w.{name}", "w.literal")
+
+
 def _is_slot(token):
     return token.isin(NAME, NUMBER, UNIT)
 
@@ -111,7 +130,7 @@ def long_windows(texts: DataFrame, longest=None) -> DataFrame:
     For each literal token, ``begin`` to ``end`` are the starts of windows whose last token is some literal tokens on.
     """
     columns = texts.columns
-    literal = F.array_remove(F.transform("w.named", lambda t, i: F.when(_is_slot(t), 0).otherwise(i + 1)), 0)
+    literal = F.array_remove(F.transform(_form("named"), lambda t, i: F.when(_is_slot(t), 0).otherwise(i + 1)), 0)
     found = texts.select(*columns, F.explode(F.array(literal)).alias("at"))
     starts = F.zip_with(F.concat(F.array(F.lit(0)), F.col("at")), F.col("at"), lambda a, b: F.struct(a.alias("before"), b.alias("first")))
     ends = F.slice("at", WINDOW - MOST_SLOTS, F.size("at"))
@@ -134,7 +153,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     longer = long_windows(items.select("item_id", "w")).withColumn("is_long", F.lit(True))
     every = short.unionByName(longer).withColumn("item_key", F.xxhash64("w"))
     for form in FORMS:
-        every = every.withColumn(form, _part(F.col(f"w.{form}"), F.col("pos"), F.col("length")))
+        every = every.withColumn(form, _part(_form(form), F.col("pos"), F.col("length")))
     few = {form: _slots(F.col(form)) <= MOST_SLOTS for form in FORMS[1:]}
     is_template = F.col("is_long") | few["named"]
     every = every.withColumn("is_template", is_template)
@@ -150,38 +169,46 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     return every.select(F.array_join("tokens", " ").alias("key"), h.alias("h"), *[c for c in every.columns if c != "tokens"])
 
 
-def _short_hits(texts: DataFrame, lengths: list, own: DataFrame, small: bool) -> DataFrame:
-    """Windows of the texts that meet those of items; hashes are of tokens' hashes, so no window is a string before.
+def _met(found: DataFrame, own: DataFrame, small: bool) -> DataFrame:
+    """Windows of the texts beside those of items with their hash; strings are cut from these alone, or from all before a shuffle."""
+    ids = ["doc_id", "text_key"]
 
-    A form is left out where it equals the one before. Hashes of a window are few expressions: the stage stays compiled.
+    def cut(rows):
+        # An exploded value: as a plain one, its comparison would become a key of the join, and a string be made of every window.
+        window = [_part(F.col(c), F.col("pos"), F.col("size")) for c in ("tokens", "literal")]
+        return rows.select(*ids, "pos", "doc_h", F.explode(F.array(F.array_join(window[0], " "))).alias("doc_key"), window[1].alias("doc_tokens"),
+                           *[c for c in own.columns if c in rows.columns])
+
+    same = F.col("doc_h") == F.col("h")
+    return cut(found.join(own, same)) if small else cut(found).join(own, same)
+
+
+def _short_windows(texts: DataFrame, lengths: list) -> DataFrame:
+    """Windows of the texts by their lengths; hashes are of tokens' hashes, so no window is a string.
+
+    A form is left out where it equals the one before. Hashes of a window are few expressions, each evaluated once: the stage stays compiled.
     """
     ids = ["doc_id", "text_key"]
     literal, named, opened = (F.col(f"w.{form}") for form in FORMS)
-    tokens = F.array_compact(F.array(literal, F.when(named != literal, named), F.when(opened != named, opened)))
+    tokens = F.array_compact(F.array(literal, named, F.when(named.isNull() | (opened != named), opened)))
     found = texts.select(*ids, literal.alias("literal"), F.explode(tokens).alias("tokens"))
     found = found.select(*ids, "literal", "tokens", F.explode(F.array(_hashes("tokens"))).alias("hashes"))
-    found = found.select(*ids, "literal", "tokens", "hashes", F.explode(F.sequence(F.lit(0), F.size("hashes") - 1)).alias("pos"))
 
-    def hash_of(length):
-        n, end = F.size("hashes"), F.col("pos") + length
-        fits = end <= n if length >= SHORTEST else F.lit(length) == n
-        return F.when(fits, F.xxhash64(F.lit(length), *[F.get("hashes", F.col("pos") + i) for i in range(length)]))  # like an array of them
+    def windows(length):
+        n = F.size("hashes")
+        rows = found.where(n >= length if length >= SHORTEST else n == length)
+        rows = rows.select(*ids, "literal", "tokens", "hashes", F.explode(F.sequence(F.lit(0), n - length)).alias("pos"))
+        h = F.xxhash64(F.lit(length), *[F.get("hashes", F.col("pos") + i) for i in range(length)])  # like an array of them
+        return rows.select(*ids, "literal", "tokens", "pos", F.lit(length).alias("size"), h.alias("doc_h"))
 
-    if len(lengths) == 1:
-        found = found.withColumns({"size": F.lit(lengths[0]), "doc_h": hash_of(lengths[0])})
-    else:
-        sized = F.explode(F.array(*[F.struct(F.lit(n).alias("size"), hash_of(n).alias("doc_h")) for n in lengths])).alias("sized")
-        found = found.select(*ids, "literal", "tokens", "pos", sized).select(*ids, "literal", "tokens", "pos", "sized.*")
-    found = found.where("doc_h is not null")
+    def sized():
+        n = F.size("hashes")
+        rows = found.select(*ids, "literal", "tokens", "hashes", F.explode(F.array(*map(F.lit, lengths))).alias("size"))
+        rows = rows.where((n >= F.col("size")) & ((F.col("size") >= SHORTEST) | (n == F.col("size"))))
+        rows = rows.select(*ids, "literal", "tokens", "hashes", "size", F.explode(F.sequence(F.lit(0), n - F.col("size"))).alias("pos"))
+        return rows.select(*ids, "literal", "tokens", "pos", "size", F.xxhash64("size", F.slice("hashes", F.col("pos") + 1, F.col("size"))).alias("doc_h"))
 
-    def cut(rows):
-        window = [_part(F.col(c), F.col("pos"), F.col("size")) for c in ("tokens", "literal")]
-        return rows.select(*ids, "pos", "doc_h", F.array_join(window[0], " ").alias("doc_key"), window[1].alias("doc_tokens"),
-                           *[c for c in own.columns if c in rows.columns])
-
-    own = own.where("not is_long")
-    same = F.col("doc_h") == F.col("h")  # strings are cut from hits alone, or from all before a shuffle
-    return cut(found.join(own, same)) if small else cut(found).join(own, same)
+    return windows(lengths[0]) if len(lengths) == 1 else sized()
 
 
 def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -193,14 +220,12 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return docs.sparkSession.createDataFrame([], "doc_id long, text_key long, item_id long, diagonal int, n_windows int")
     own, small = broadcast_if_small(grams, max_rows=100_000, max_bytes=8 << 20)
     texts = forms(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), "doc_id", "text_key")
-    hits = _short_hits(texts, sizes[False], own, small)
+    hits = _met(_short_windows(texts, sizes[False]), own.where("not is_long"), small)
     if True in sizes:
         found = long_windows(texts, sizes[True][-1])
-        tokens = _part(F.col("w.named"), F.col("pos"), F.col("length"))
-        found = found.select("doc_id", "text_key", "pos", F.array_join(tokens, " ").alias("doc_key"),
-                             _part(F.col("w.literal"), F.col("pos"), F.col("length")).alias("doc_tokens"),
-                             F.xxhash64("length", _hashes(tokens)).alias("doc_h"))
-        hits = hits.unionByName(found.join(own.where("is_long"), F.col("doc_h") == F.col("h")))
+        found = found.select("doc_id", "text_key", "pos", F.col("length").alias("size"), F.col("w.literal").alias("literal"), _form("named").alias("tokens"))
+        found = found.withColumn("doc_h", F.xxhash64("size", _hashes(_part(F.col("tokens"), F.col("pos"), F.col("size")))))
+        hits = hits.unionByName(_met(found, own.where("is_long"), small))
     pairs = F.transform("slots", lambda s: F.struct(s["value"].alias("ours"), F.get("doc_tokens", s["at"]).alias("theirs")))
     hits = hits.where("doc_key = key").withColumn("pairs", pairs)
     passage = ["doc_id", "text_key", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")]

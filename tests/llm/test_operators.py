@@ -718,6 +718,25 @@ def test_marks_leave_ascii_texts_ascii_and_marks_in_texts_count_as_punctuation(s
     assert {r.doc_id: (",".join(map(str, r["items"])), r.n_windows) for r in templates.flagged(df, benchmark).collect()} == in_sql(df, benchmark)
 
 
+def test_windows_are_joined_by_their_hash_alone(spark):
+    """A string of every window as a second key of the join took most of the time."""
+    item = "A train leaves Paris at 5 pm and Alice Smith travels 120 km in 3 hours, how fast is it?"
+    df = spark.createDataFrame([(1, "Intro. " + item), (2, "nothing of it")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = templates.passages(df, benchmark)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = re.findall(r"BroadcastHashJoin \[(.*?)\], \[(.*?)\], Inner", plan)
+    assert joins and all(re.fullmatch(r"doc_h#\d+L", a) and re.fullmatch(r"h#\d+L", b) for a, b in joins)
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(1, 1)}
+
+
+def test_tokens_of_ascii_and_other_texts(spark):
+    texts = ["", "  a\t\tb \n\r\x0b\x0c c  ", "-- x -- y!", "Él vio 5 Kg, y Óscar - no; ¡Sí!", "a\x00b c\x7fd e\u2014f \u00bd g", "so Rome, Paris. Berlin (seven) MILES two.five"]
+    expected = ["", "a b c", "x y", "\x02él vio \x035 \x04kg y \x01óscar no \x02sí", "ab cd ef \x03½ g", "so \x01rome \x01paris \x02berlin \x03seven \x04miles twofive"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string")
+    assert [r.t for r in df.orderBy("k").select(templates.marked(F.col("text")).alias("t")).collect()] == expected
+
+
 def test_names_numbers_and_short_items_wherever_they_stand(spark):
     apples = "Tom has 5 apples. Ben has 7 pears. Who has more fruit now?"
     miles = "How long does a car need for sixty miles if it drives twenty miles in two hours?"
