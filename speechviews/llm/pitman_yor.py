@@ -1,23 +1,33 @@
 """Language-model scoring by a hierarchical Pitman-Yor model over words.
 
-Words follow contexts: the previous word falls into one of ``CONTEXTS`` bins, and every bin is a restaurant. All context
+Words follow contexts: every previous word, and the start of a text, is a restaurant of its own. All context
 restaurants share one parent restaurant of words without context, whose base is uniform over the ``V`` training words and one
 unknown. A word's customers in a context are its counts there; each of its tables is a customer of the parent. Gibbs
 sweeps seat the customers of a word in a restaurant anew (Chinese restaurant process), given all others, and then
-those in the parent. Scores average the predictive probabilities of the sweeps after ``BURN``.
+those in the parent. Scores take tables and parent averaged over the sweeps after ``BURN``.
 
-Words are dealt by hash into groups of about ``GROUP_TOKENS`` tokens, so all counts and tables of a word are in one group;
-the groups know of each other only the totals of customers and tables of each restaurant, ``CONTEXTS`` numbers a
-sweep. Seats are not stored: a group repeats earlier sweeps from their totals and seeds. A chunk of documents asks
-each group once for all its tokens there. Words with more than ``HOT`` of all tokens would make one group large: their counts are
-summed by word and context with partial aggregation, and their few restaurants (at most ``2 / HOT`` words) are known to
-every task, which scores them itself. Groups that are still large are asked in several parts.
+Words are dealt by hash into groups of about ``GROUP_TOKENS`` tokens, so all counts and tables of a word are in one group.
+A context's tables lie in many groups: after each sweep the groups send what they added to the group of the context as a
+word, which adds up and replies (``exchanged``). Seats are not stored: a group repeats earlier sweeps from the replies and seeds.
+Only dishes with two customers or more can have more than one table, so only those take part in the sweeps.
+
+Words with more than ``HOT`` of all tokens (at most ``2 / HOT`` words), the end and the start would make one group large. Their totals are known
+to all, and so are the dishes of a frequent word in a frequent context. Its dishes in another context are in that
+context's group, as followers of a word there.
+
+A chunk of documents asks each group once for all its tokens there. With ``A`` for strength and discounts of a context and ``n`` for its
+customers, a word of probability ``p`` in the parent that keeps ``own`` customers has ``(own + A p) / (strength + n)``, so
+its logarithm is a part of the entry, ``own / A + p``, which is in the word's group, and a part of the context,
+``A / (strength + n)``, which is added where the context is asked for as a word: scoring needs no further shuffle.
+Groups that are still large are asked in several parts.
+
+Contexts are told apart by 48 bits of the 64 of a word's hash.
 
 Nulls: a null text is empty and has the end token alone; a null id is scored, not held out and not learned from.
 Repeated rows are rows like others. Without training tokens every score is 0. An empty table gives no rows.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -28,32 +38,44 @@ from pyspark.sql import DataFrame, functions as F
 
 from speechviews.llm.common import stored
 
-CONTEXTS = 4096
 HOT = 1 / 2048
+CONTEXTS = 4098  # places for contexts known to all: 2 / HOT frequent words, the end, the start
 GROUP_TOKENS = 2_000_000
 CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 60_000
 SWEEPS, BURN = 5, 2
 STRENGTH = 1.0
 ALPHA = 0.1
-HOT_GROUP, HOT_WORDS = 1 << 40, 32
+# Codes of an entry: a frequent context, from CONTEXTS on a frequent word that follows, from COLD on another context.
+COLD = 1 << 16
+NONE = COLD - 1
+DRIVER = -1  # in place of a group: sums for the driver
 _END = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))  # no word holds a newline
-_START = np.uint64(xxhash.xxh3_64_intdigest(b"\n\n"))
+
+
+def context_of(h: np.ndarray) -> np.ndarray:
+    """Code of a word as a context; larger hashes have larger codes."""
+    return np.maximum(h >> np.uint64(16), np.uint64(COLD))
 
 
 class Tokens:
-    """Tokens of several texts in one row: hash, context and text of each; the last one of a text is its end."""
+    """Tokens of several texts in one row: hash, context and text of each; the last one of a text is its end.
 
-    def __init__(self, texts: list[bytes]):
+    ``often`` marks frequent words, ``place`` is their number, ``next`` the number of the token that follows, or ``NONE``.
+    """
+
+    def __init__(self, texts: list[bytes], hot=np.zeros(0, np.uint64)):
         digest, end = xxhash.xxh3_64_intdigest, int(_END)
         words = [t.lower().split() for t in texts]
         self.sizes = np.array([len(w) + 1 for w in words], np.int64)
         hashes = (h for w in words for h in (*map(digest, w), end))
         self.h = np.fromiter(hashes, np.uint64, int(self.sizes.sum()))
         self.text = np.repeat(np.arange(len(texts)), self.sizes)
-        before = np.empty_like(self.h)
-        before[1:] = self.h[:-1]
-        before[np.concatenate([[0], np.cumsum(self.sizes)[:-1]]).astype(int)] = _START
-        self.context = ((before * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(52)).astype(np.uint16)
+        self.place, self.often = _known(hot, self.h)
+        self.context = np.empty_like(self.h)
+        self.context[1:] = np.where(self.often, self.place.astype(np.uint64), context_of(self.h))[:-1]
+        self.context[(np.cumsum(self.sizes) - self.sizes)[:len(texts)]] = len(hot)
+        self.next = np.full(len(self.h), NONE, np.uint16)
+        self.next[:-1] = np.where(self.often, self.place, NONE)[1:]
 
 
 def _chunks(batches):
@@ -86,17 +108,39 @@ def _known(sorted_words: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, sorted_words[at] == h
 
 
+def _packed(codes: np.ndarray) -> bytes:
+    """Codes in two bytes below ``COLD``, in six above."""
+    small = codes < COLD
+    large = np.ascontiguousarray(codes[~small]).view(np.uint8).reshape(-1, 8)[:, :6]
+    return len(codes).to_bytes(8, "little") + np.packbits(small).tobytes() + codes[small].astype(np.uint16).tobytes() + large.tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    at = 8 + (n + 7) // 8
+    small = np.unpackbits(np.frombuffer(data[8:at], np.uint8), count=n).astype(bool)
+    end = at + 2 * int(small.sum())
+    codes = np.empty(n, np.uint64)
+    codes[small] = np.frombuffer(data[at:end], np.uint16)
+    large = np.zeros(((len(data) - end) // 6, 8), np.uint8)
+    large[:, :6] = np.frombuffer(data[end:], np.uint8).reshape(-1, 6)
+    codes[~small] = large.view(np.uint64).ravel()
+    return codes
+
+
 # ---------------------------------------------------------------- model of one group of words
 
 
 @dataclass
 class Totals:
-    """What a sweep leaves for the next: tables and customers of every context restaurant and of their parent."""
+    """What a sweep leaves for the next and all groups know: tables and customers of every frequent context's restaurant
+    and of the parent, and the frequent words' probabilities in the parent."""
 
     tables: np.ndarray
     customers: np.ndarray
     root_tables: float
     root_customers: float
+    words: np.ndarray = field(default_factory=lambda: np.zeros(0))
 
 
 @dataclass
@@ -110,20 +154,34 @@ class Shape:
 
 
 class Dishes:
-    """Counts of a group's words by context; words ascend, contexts ascend within a word."""
+    """Counts of a group's words by context, and by frequent word that follows; words ascend, codes ascend within a word."""
 
     def __init__(self, words, sizes, context, n):
-        self.words, self.sizes, self.context, self.n = words, sizes, context.astype(np.uint16, copy=False), n.astype(np.uint32, copy=False)
+        self.words, self.sizes, self.context, self.n = words, sizes, context.astype(np.uint64, copy=False), n.astype(np.uint32, copy=False)
 
     @property
     def home(self):
         """Each entry's word."""
         return np.repeat(np.arange(len(self.words), dtype=np.int32), self.sizes)
 
+    @property
+    def follows(self):
+        """Whether an entry is a frequent word that follows the entry's word."""
+        return (self.context >= CONTEXTS) & (self.context < COLD)
+
+    def sites(self):
+        """Code of each entry's context."""
+        return np.where(self.follows, np.repeat(context_of(self.words), self.sizes), self.context)
+
+    def many(self):
+        """Entries of two customers or more, those of most customers first."""
+        many = np.nonzero(self.n > 1)[0].astype(np.int32)
+        return many[np.argsort(-self.n[many].astype(np.int64), kind="stable")]
+
     @classmethod
     def of(cls, row):
-        kinds = (("words", np.uint64), ("sizes", np.uint32), ("contexts", np.uint16), ("counts", np.uint32))
-        return cls(*(np.frombuffer(row[name], kind) for name, kind in kinds))
+        kinds = (("words", np.uint64), ("sizes", np.uint32))
+        return cls(*(np.frombuffer(row[name], kind) for name, kind in kinds), _unpacked(row["contexts"]), np.frombuffer(row["counts"], np.uint32))
 
     @classmethod
     def merged(cls, parts):
@@ -146,27 +204,63 @@ class Dishes:
 
     def columns(self) -> list[bytes]:
         return [self.words.astype(np.uint64).tobytes(), self.sizes.astype(np.uint32).tobytes(),
-                self.context.astype(np.uint16).tobytes(), self.n.astype(np.uint32).tobytes()]
-
-    def sweeps(self, shape: Shape, totals: list[Totals], seed: int):
-        """After each sweep: tables by entry, parent's customers and tables by word, probability of words in the parent."""
-        home = self.home
-        tables = np.ones(len(self.n), np.uint32)
-        customers = self.sizes.astype(np.int64)
-        root_tables = np.ones(len(self.words), np.int64)
-        many = np.nonzero(self.n > 1)[0].astype(np.int32)
-        many = many[np.argsort(-self.n[many].astype(np.int64), kind="stable")]
-        many_n, place, word = self.n[many].astype(np.int64), self.context[many], home[many]
+                _packed(self.context), self.n.astype(np.uint32).tobytes()]
+
+    def sweeps(self, shape: Shape, totals: list[Totals], seed: int, cold=()):
+        """After each sweep: tables by entry, parent's customers and tables by word. For ``cold`` see ``Seats``."""
+        many, tables = self.many(), np.ones(len(self.n), np.uint32)
+        for now, customers, root_tables in Seats.among(self).sweeps(shape, totals, seed, cold):
+            tables[many] = now
+            yield tables, customers, root_tables
+
+
+class Seats:
+    """What the sweeps need of a group: dishes of two customers or more, most customers first, and each word's number of contexts.
+
+    ``word`` counts on from the group's words to the frequent ones. ``slot`` is the place of a frequent
+    context, or ``CONTEXTS`` and the place in ``contexts``, which ascend.
+    """
+
+    FIELDS = (("sizes", np.uint32), ("n", np.uint32), ("word", np.uint32), ("slot", np.uint32))
+
+    def __init__(self, sizes, n, word, slot, contexts):
+        self.sizes, self.n, self.word, self.slot, self.contexts = sizes, n, word, slot, contexts
+
+    @classmethod
+    def among(cls, dishes: Dishes):
+        many, home, follows = dishes.many(), dishes.home, dishes.follows
+        sizes = np.bincount(home[~follows], minlength=len(dishes.words))
+        word = np.where(follows[many], dishes.context[many].astype(np.int64) + len(sizes) - CONTEXTS, home[many])
+        site = dishes.sites()[many]
+        contexts = np.unique(site[site >= COLD])
+        slot = np.where(site < COLD, site, np.uint64(CONTEXTS) + np.searchsorted(contexts, site).astype(np.uint64))
+        return cls(sizes, dishes.n[many], word, slot.astype(np.int64), contexts)
+
+    @classmethod
+    def of(cls, row):
+        sizes, n, word, slot = (np.frombuffer(row[name], kind) for name, kind in cls.FIELDS)
+        return cls(sizes, n, word.astype(np.int64), slot.astype(np.int64), _unpacked(row["contexts"]))
+
+    def columns(self) -> list[bytes]:
+        return [*(getattr(self, name).astype(kind).tobytes() for name, kind in self.FIELDS), _packed(self.contexts)]
+
+    def added(self, tables) -> np.ndarray:
+        """Tables beyond the first of each dish, by slot."""
+        return np.bincount(self.slot, weights=tables - 1.0, minlength=CONTEXTS + len(self.contexts)).astype(np.int64)
+
+    def sweeps(self, shape: Shape, totals: list[Totals], seed: int, cold=()):
+        """After each sweep: tables by dish, parent's customers and tables by word. ``cold`` has the tables of ``contexts`` before each."""
+        sizes, many_n = self.sizes.astype(np.int64), self.n.astype(np.int64)
+        customers, root_tables = sizes, np.ones(len(sizes), np.int64)
+        tables, own = np.ones(len(many_n), np.int64), self.word < len(sizes)
         base = 1 / (shape.words + 1)
         for sweep, last in enumerate(totals):
             rng = np.random.default_rng([seed & 0xFFFFFFFF, seed >> 32, sweep])
-            p0 = root_probability(shape, last, customers, root_tables)
-            mine = tables[many].astype(np.int64)
-            new = seated(many_n, last.tables[place] - mine, p0[word], shape.discount, rng)
-            tables[many] = new
-            customers = customers + np.bincount(word, weights=new - mine, minlength=len(self.words)).astype(np.int64)
-            order = np.argsort(-customers, kind="stable")
-            root_tables[order] = seated(customers[order], last.root_tables - root_tables[order], np.full(len(order), base), shape.root_discount, rng)
+            p0 = np.concatenate([root_probability(shape, last, customers, root_tables), last.words])
+            others = np.concatenate([last.tables, cold[sweep]]) if len(cold) else last.tables
+            tables = seated(many_n, others[self.slot] - tables, p0[self.word], shape.discount, rng)
+            customers = sizes + np.bincount(self.word[own], weights=tables[own] - 1, minlength=len(sizes)).astype(np.int64)
+            root_tables = root_seated(shape, last, customers, root_tables, base, rng)
             yield tables, customers, root_tables
 
 
@@ -177,6 +271,14 @@ def root_probability(shape: Shape, t: Totals, customers, tables):
     return (customers - shape.root_discount * tables + rest) / (STRENGTH + t.root_customers)
 
 
+def root_seated(shape: Shape, last: Totals, customers, tables, base, rng):
+    """Tables of words in the parent restaurant, seated anew."""
+    order = np.argsort(-customers, kind="stable")
+    new = np.empty_like(tables)
+    new[order] = seated(customers[order], last.root_tables - tables[order], np.full(len(order), base), shape.root_discount, rng)
+    return new
+
+
 def seated(customers, other_tables, p, discount, rng) -> np.ndarray:
     """Tables after seating ``customers`` (descending, at least one) of each dish one after another.
 
@@ -200,56 +302,131 @@ def seated(customers, other_tables, p, discount, rng) -> np.ndarray:
 
 
 class Scorer:
-    """Log probabilities under a group's restaurants, averaged over the kept sweeps.
+    """Log probabilities under a group's restaurants, with tables and parent averaged over the kept sweeps.
 
-    ``own`` is what an entry's customers keep after their tables' discounts, averaged; ``parent``
-    has the words' probabilities in the parent restaurant after each kept sweep.
+    ``ratio`` is what an entry's customers keep after their tables' discounts, over the mass that its context gives
+    to the parent. ``cold`` and ``mean`` are the tables of other contexts before each sweep and after the kept ones, the
+    latter of all contexts in ``asked_of(dishes)``.
     """
 
-    FIELDS = (("words", np.uint64), ("count", np.float64), ("key", np.int64), ("own", np.float32), ("parent", np.float64))
-
-    def __init__(self, shape: Shape, totals: list[Totals], words, count, key, own, parent):
-        self.shape, self.totals = shape, totals[BURN + 1:]
-        self.words, self.count, self.key, self.own = words, count, key, own
-        self.parent = parent.reshape(len(self.totals), len(words))
-
-    @classmethod
-    def of(cls, dishes: Dishes, shape: Shape, totals: list[Totals], seed: int):
-        tables, parent = np.zeros(len(dishes.n), np.float32), []
-        for sweep, (now, customers, root_tables) in enumerate(dishes.sweeps(shape, totals[:-1], seed)):
+    def __init__(self, dishes: Dishes, shape: Shape, totals: list[Totals], seed: int, cold=(), mean=np.zeros(0)):
+        kept = totals[BURN + 1:]
+        tables, parent = np.zeros(len(dishes.n)), np.zeros(len(dishes.words))
+        for sweep, (now, customers, root_tables) in enumerate(dishes.sweeps(shape, totals[:-1], seed, cold)):
             if sweep >= BURN:
                 tables += now
-                parent.append(root_probability(shape, totals[sweep + 1], customers, root_tables))
-        home = dishes.home
-        count = np.bincount(home, weights=dishes.n, minlength=len(dishes.words))
-        own = (dishes.n - np.float64(shape.discount) / len(parent) * tables).astype(np.float32)
-        return cls(shape, totals, dishes.words, count, home.astype(np.int64) * CONTEXTS + dishes.context, own, np.concatenate(parent))
+                parent += root_probability(shape, totals[sweep + 1], customers, root_tables)
+        self.shape, self.words, self.parent = shape, dishes.words, parent / len(kept)
+        self.none = sum(root_probability(shape, t, 0, 0) for t in kept) / len(kept)
+        self.frequent = sum(t.words for t in kept) / len(kept)
+        mass = STRENGTH + shape.discount * sum(t.tables for t in kept) / len(kept)
+        self.given = np.log10(mass / (STRENGTH + totals[-1].customers))
+        known, site, follows = asked_of(dishes), dishes.sites(), dishes.follows
+        others = STRENGTH + shape.discount * mean
+        at = np.where(site < COLD, site, np.uint64(len(mass)) + np.searchsorted(known, site).astype(np.uint64)).astype(np.int64)
+        ratio = (dishes.n - shape.discount / len(kept) * tables) / np.concatenate([mass, others])[at]
+        key = self.key_of(np.repeat(dishes.words, dishes.sizes), dishes.context)
+        order = np.argsort(key, kind="stable")
+        self.key, self.ratio = key[order], ratio[order]
+        self.count = np.bincount(dishes.home, weights=np.where(follows, 0, dishes.n), minlength=len(dishes.words))
+        self.after = np.zeros(len(dishes.words))
+        if len(mean):
+            mine, same = np.unique(context_of(dishes.words), return_inverse=True)
+            customers = np.bincount(same, weights=self.count)
+            self.after = np.log10(others[np.searchsorted(known, mine)] / (STRENGTH + customers))[same]
 
     @classmethod
-    def joined(cls, shape: Shape, totals: list[Totals], rows: list[tuple]):
-        """One scorer from the fields of several, whose words ascend from one to the next."""
-        parts = [cls(shape, totals, *(np.frombuffer(b, kind) for b, (_, kind) in zip(row, cls.FIELDS))) for row in rows]
-        parts.sort(key=lambda s: s.words[0])
-        before = np.cumsum([0, *(len(s.words) for s in parts)])
-        key = [s.key + n * CONTEXTS for s, n in zip(parts, before)]
-        one = lambda name: np.concatenate([getattr(s, name) for s in parts])
-        parent = np.concatenate([s.parent for s in parts], axis=1)
-        return cls(shape, totals, one("words"), one("count"), np.concatenate(key), one("own"), parent)
-
-    def score(self, h, context):
-        """``(base, score, known)`` of tokens."""
+    def of(cls, dishes: Dishes, shape: Shape, totals: list[Totals], seed: int, cold=(), mean=np.zeros(0)):
+        return cls(dishes, shape, totals, seed, cold, mean)
+
+    @staticmethod
+    def key_of(h, code):
+        return h + code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+    def seen(self, h, code):
+        """``ratio`` of the entries asked for, 0 for those not there."""
+        entry, there = _known(self.key, self.key_of(h, code))
+        return np.where(there, self.ratio[entry], 0.0) if len(self.key) else np.zeros(len(h))
+
+    def score(self, h, context, following=None):
+        """``(base, score, known)`` of tokens.
+
+        The score lacks the part of a context that is not frequent, and has with ``following`` the part of the token as a context and
+        the score of the frequent word that follows it.
+        """
         shape = self.shape
         word, known = _known(self.words, h)
-        count = np.where(known, self.count[word], 0.0) if len(self.words) else np.zeros(len(h))
-        base = np.log10((count + ALPHA) / (shape.tokens + ALPHA * (shape.words + 1)))
-        context = context.astype(np.int64)
-        entry, seen = _known(self.key, np.where(known, word * CONTEXTS + context, -1))
-        total = np.where(seen, self.own[entry], 0.0) if len(self.key) else np.zeros(len(h))
-        for p0, t in zip(self.parent, self.totals):
-            none = (STRENGTH + shape.root_discount * t.root_tables) / (shape.words + 1) / (STRENGTH + t.root_customers)
-            parent = np.where(known, p0[word], none) if len(self.words) else np.full(len(h), none)
-            total += (STRENGTH + shape.discount * t.tables[context]) * parent / len(self.totals)
-        return base, np.log10(total / (STRENGTH + self.totals[-1].customers[context])), known
+        of_word = lambda values, none: np.where(known, values[word], none) if len(self.words) else np.full(len(h), none)
+        base = np.log10((of_word(self.count, 0.0) + ALPHA) / (shape.tokens + ALPHA * (shape.words + 1)))
+        score = np.log10(self.seen(h, context) + of_word(self.parent, self.none))
+        often = context < COLD
+        score[often] += self.given[context[often].astype(np.int64)]
+        if following is not None:
+            score += of_word(self.after, 0.0)
+            at = following != NONE
+            follower = following[at].astype(np.int64)
+            score[at] += np.log10(self.seen(h[at], follower + CONTEXTS) + self.frequent[follower])
+        return base, score, known
+
+
+def asked_of(dishes: Dishes) -> np.ndarray:
+    """All contexts of a group that are not frequent, its words among them."""
+    return np.unique(np.concatenate([dishes.context[dishes.context >= COLD], context_of(dishes.words)]))
+
+
+class Frequent:
+    """The frequent words and their dishes in frequent contexts; the driver seats them, all tasks score with them.
+
+    ``types`` and ``count`` are the words' contexts and tokens, those in other contexts included.
+    """
+
+    def __init__(self, words, dishes: tuple, types, count):
+        self.words, self.types, self.count = words, types, count
+        context, word, n = dishes
+        order = np.argsort(-n, kind="stable")
+        self.context, self.word, self.n = context[order], word[order], n[order]
+        self.tables = np.ones(len(n), np.int64)
+        self.root_tables = (types > 0).astype(np.int64)
+        self.kept = np.zeros(len(n))
+
+    def in_parent(self, shape: Shape, t: Totals, customers) -> np.ndarray:
+        return np.where(customers > 0, root_probability(shape, t, customers, self.root_tables), root_probability(shape, t, 0, 0))
+
+    def swept(self, shape: Shape, start: Totals, last: Totals, sweep: int, added: np.ndarray) -> Totals:
+        """Totals after a sweep. ``added``: tables that groups added by frequent context and frequent word, their parent's customers and tables."""
+        rng = np.random.default_rng([0, 1 << 31, sweep])
+        self.tables = seated(self.n, last.tables[self.context] - self.tables, last.words[self.word], shape.discount, rng)
+        if sweep >= BURN:
+            self.kept += self.tables
+        more = lambda of, size: np.bincount(of, weights=self.tables - 1.0, minlength=size).astype(np.int64)
+        tables = start.tables + added[:CONTEXTS] + more(self.context, CONTEXTS)
+        customers = self.types + added[CONTEXTS:-2] + more(self.word, len(self.words))
+        there = customers > 0
+        self.root_tables[there] = root_seated(shape, last, customers[there], self.root_tables[there], 1 / (shape.words + 1), rng)
+        now = Totals(tables, start.customers, float(added[-1] + self.root_tables.sum()), float(added[-2] + customers.sum()))
+        now.words = self.in_parent(shape, now, customers)
+        return now
+
+    def scorer(self, shape: Shape, totals: list[Totals]):
+        """``(place, context)`` of frequent words to ``(base, score, known)``; the score is 0 where the context is not frequent."""
+        kept, count = totals[BURN + 1:], self.count
+        parent = sum(t.words for t in kept) / len(kept)
+        mass = STRENGTH + shape.discount * sum(t.tables for t in kept) / len(kept)
+        given = STRENGTH + totals[-1].customers
+        key = self.word * CONTEXTS + self.context
+        order = np.argsort(key)
+        key, own = key[order], (self.n - shape.discount / len(kept) * self.kept)[order]
+
+        def score(place, context):
+            base = np.log10((count[place] + ALPHA) / (shape.tokens + ALPHA * (shape.words + 1)))
+            found, often = np.zeros(len(place)), context < COLD
+            place_, context_ = place[often], context[often].astype(np.int64)
+            entry, seen = _known(key, place_ * CONTEXTS + context_)
+            keeps = np.where(seen, own[entry], 0.0) if len(key) else np.zeros(len(place_))
+            found[often] = np.log10((keeps + mass[context_] * parent[place_]) / given[context_])
+            return base, found, count[place] > 0
+
+        return score
 
 
 def sorted_by(h, context):
@@ -263,11 +440,20 @@ def sorted_by(h, context):
 _DISH = "group long, tokens long, words binary, sizes binary, contexts binary, counts binary"
 
 
+_SEATS = "group long, sizes binary, n binary, word binary, slot binary, contexts binary"
+_SENT = "home long, group long, contexts binary, added binary, wanted boolean"
+_REPLY = "group long, home long, tables binary"
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "boolean": pa.bool_(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+
+
+def _table(schema: str, rows: list[tuple]):
+    """Rows as an Arrow table with the columns of a Spark schema."""
+    names, kinds = zip(*(x.split() for x in schema.split(", ")))
+    return pa.table({name: pa.array([r[k] for r in rows], _KINDS[kind]) for k, (name, kind) in enumerate(zip(names, kinds))})
+
+
 def _dish_table(group, dishes):
-    rows = [(group, int(dishes.n.sum()), *dishes.columns())]
-    names = [x.split()[0] for x in _DISH.split(", ")]
-    kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-    return pa.table({n: pa.array([r[k] for r in rows], kind) for k, (n, kind) in enumerate(zip(names, kinds))})
+    return _table(_DISH, [(group, int(dishes.n.sum()), *dishes.columns())])
 
 
 def _rows(table):
@@ -278,7 +464,7 @@ def _rows(table):
 
 
 def frequent_words(rows: DataFrame) -> tuple[int, np.ndarray]:
-    """Number of training tokens, and the hashes of words with more than ``HOT`` of them (some with half as many)."""
+    """Number of training tokens, and the hashes of words with more than ``HOT`` of them (some with half as many) and of the end."""
 
     def run(batches):
         for _, _, train, texts in _chunks(batches):
@@ -290,39 +476,35 @@ def frequent_words(rows: DataFrame) -> tuple[int, np.ndarray]:
     sums = rows.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     total = sums.where("h is null").agg(F.sum("n")).first()[0] or 0
     found = sums.where("h is not null").where(F.col("n") > HOT / 2 * total).select("h").collect()
-    return total, np.sort(np.array([r.h for r in found], np.int64).view(np.uint64))
+    return total, np.unique(np.append(np.array([r.h for r in found], np.int64).view(np.uint64), _END))
 
 
-def _hot_dishes(rows: DataFrame, hot: np.ndarray) -> DataFrame:
-    """Restaurants of the frequent words, a row for each ``HOT_WORDS`` of them."""
+def _hot_dishes(rows: DataFrame, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Context, word and count of the frequent words' dishes in frequent contexts."""
 
     def run(batches):
-        total = np.zeros(len(hot) * CONTEXTS, np.int64)
+        total = np.zeros(len(hot) * (len(hot) + 1), np.int64)
         for _, _, train, texts in _chunks(batches):
-            t = Tokens([x for x, use in zip(texts, train) if use])
-            at, known = _known(hot, t.h)
-            total += np.bincount(at[known] * CONTEXTS + t.context[known], minlength=len(total))
+            t = Tokens([x for x, use in zip(texts, train) if use], hot)
+            both = t.often & (t.context < COLD)
+            total += np.bincount(t.context[both].astype(np.int64) * len(hot) + t.place[both], minlength=len(total))
         key = np.nonzero(total)[0]
         yield pa.record_batch([pa.array(key), pa.array(total[key])], ["key", "n"])
 
-    def gather(table):
-        table = table.sort_by("key")
-        key = table.column("key").to_numpy()
-        return _dish_table(table.column("group")[0].as_py(), Dishes.counted(hot[key // CONTEXTS], key % CONTEXTS, table.column("n").to_numpy()))
-
-    counts = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    group = F.lit(HOT_GROUP) + F.floor(F.col("key") / (HOT_WORDS * CONTEXTS))
-    return counts.withColumn("group", group).groupBy("group").applyInArrow(gather, _DISH)
+    counts = rows.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow().sort_by("key")
+    key, n = (counts.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
+    return key // len(hot), key % len(hot), n
 
 
 def _other_dishes(rows: DataFrame, hot: np.ndarray, groups: int, parts: int) -> DataFrame:
-    """Restaurants of all other words, one row a group."""
+    """Restaurants of all other words, and the frequent words that follow them, one row a group."""
 
     def run(batches):
         for first, _, train, texts in _chunks(batches):
-            t = Tokens([x for x, use in zip(texts, train) if use])
-            cold = ~_known(hot, t.h)[1]
-            h, context = t.h[cold], t.context[cold]
+            t = Tokens([x for x, use in zip(texts, train) if use], hot)
+            leads = ~t.often & (t.next != NONE)
+            h = np.concatenate([t.h[~t.often], t.h[leads]])
+            context = np.concatenate([t.context[~t.often], t.next[leads].astype(np.uint64) + np.uint64(CONTEXTS)])
             order = sorted_by(h, context)
             d = Dishes.counted(h[order], context[order], np.ones(len(order), np.uint32))
             cut = np.append(np.searchsorted(group_of(d.words, groups), np.arange(groups)), len(d.words))
@@ -342,56 +524,135 @@ def _other_dishes(rows: DataFrame, hot: np.ndarray, groups: int, parts: int) ->
     return sent.groupBy("group").applyInArrow(merge, _DISH)
 
 
-def _shape(dishes: DataFrame) -> tuple[Shape, Totals]:
+def _shape(dishes: DataFrame, hot: np.ndarray, pairs: tuple) -> tuple[Shape, Totals, Frequent]:
     """Sizes, discounts (from how many counts are one and two) and the totals of the first seating: one table a dish."""
+    size = CONTEXTS + len(hot)
+
+    def facts_of(n, contexts_of_word):
+        return [len(contexts_of_word), len(n), *(int((x == k).sum()) for x in (n, contexts_of_word) for k in (1, 2)), int(n.sum())]
 
     def run(batches):
         for batch in batches:
             for row in _rows(pa.Table.from_batches([batch])):
                 d = Dishes.of(row)
-                per_word = d.sizes
-                facts = [len(d.words), len(d.n), int((d.n == 1).sum()), int((d.n == 2).sum()), int((per_word == 1).sum()), int((per_word == 2).sum())]
-                types, n = np.bincount(d.context, minlength=CONTEXTS), np.bincount(d.context, weights=d.n, minlength=CONTEXTS)
-                key = np.concatenate([np.arange(CONTEXTS), -1 - np.arange(len(facts))])
-                a = np.concatenate([types, facts]).astype(np.int64)
-                b = np.concatenate([n, np.zeros(len(facts))]).astype(np.int64)
+                facts = facts_of(d.n, np.bincount(d.home[~d.follows], minlength=len(d.words)))
+                shared = d.context < COLD
+                place = d.context[shared].astype(np.int64)
+                types, n = np.bincount(place, minlength=size), np.bincount(place, weights=d.n[shared], minlength=size)
+                key = np.concatenate([np.nonzero(types)[0], -1 - np.arange(len(facts))])
+                a = np.concatenate([types[types > 0], facts]).astype(np.int64)
+                b = np.concatenate([n[types > 0], np.zeros(len(facts))]).astype(np.int64)
                 yield pa.record_batch([pa.array(key), pa.array(a), pa.array(b)], ["key", "a", "b"])
 
-    tables, customers, facts = np.zeros(CONTEXTS), np.zeros(CONTEXTS), np.zeros(6)
+    context, word, n = pairs
+    both = np.concatenate([context, CONTEXTS + word])
+    types, count = np.bincount(both, minlength=size), np.bincount(both, weights=np.concatenate([n, n]), minlength=size)
+    facts = np.zeros(7)
     for r in dishes.mapInArrow(run, "key long, a long, b long").groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect():
         if r.key < 0:
             facts[-1 - r.key] = r.a
         else:
-            tables[r.key], customers[r.key] = r.a, r.b
-    words, types, once, twice, root_once, root_twice = facts
+            types[r.key] += r.a
+            count[r.key] += r.b
+    frequent = Frequent(hot, pairs, types[CONTEXTS:], count[CONTEXTS:])
+    facts += facts_of(n, frequent.types[frequent.types > 0])
+    words, entries, once, twice, root_once, root_twice, tokens = facts
     discount = lambda one, two: float(np.clip(one / max(one + 2 * two, 1), 0.1, 0.95))
-    shape = Shape(int(customers.sum()), int(words), discount(once, twice), discount(root_once, root_twice))
-    return shape, Totals(tables, customers, float(words), float(types))
+    shape = Shape(int(tokens), int(words), discount(once, twice), discount(root_once, root_twice))
+    start = Totals(types[:CONTEXTS], count[:CONTEXTS], float(words), float(entries))
+    start.words = frequent.in_parent(shape, start, frequent.types)
+    return shape, start, frequent
 
 
-def sampled(dishes: DataFrame, sweeps: int = SWEEPS) -> tuple[Shape, list[Totals]]:
-    """Totals before the first and after every Gibbs sweep."""
-    shape, start = _shape(dishes)
-    totals = [start]
-    for _ in range(sweeps):
+def _letters(group: int, groups: int, contexts: np.ndarray, added: np.ndarray, wanted: bool) -> list[tuple]:
+    """What a group sends to the groups of contexts."""
+    cut = np.append(np.searchsorted(group_of(contexts << np.uint64(16), groups), np.arange(groups)), len(contexts))
+    return [(int(g), group, _packed(contexts[cut[g]:cut[g + 1]]), added[cut[g]:cut[g + 1]].astype(np.uint32).tobytes(), wanted)
+            for g in np.nonzero(np.diff(cut))[0]]
 
-        def run(batches, totals=tuple(totals)):
-            for batch in batches:
-                for row in _rows(pa.Table.from_batches([batch])):
-                    d = Dishes.of(row)
-                    for tables, customers, root_tables in d.sweeps(shape, list(totals), row["group"]):
-                        pass
-                    value = np.concatenate([np.bincount(d.context, weights=tables, minlength=CONTEXTS), [customers.sum(), root_tables.sum()]])
-                    yield pa.record_batch([pa.array(np.arange(CONTEXTS + 2)), pa.array(value.astype(np.int64))], ["key", "n"])
 
-        value = np.zeros(CONTEXTS + 2)
-        for r in dishes.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).collect():
-            value[r.key] = r.n
-        totals.append(Totals(value[:CONTEXTS], start.customers, value[-1], value[-2]))
-    return shape, totals
+def exchanged(sent: DataFrame) -> DataFrame:
+    """Sums over all senders by context, sent back to those who want them in the order of their contexts."""
 
+    def add_up(table):
+        rows = list(_rows(table))
+        if rows[0]["home"] == DRIVER:
+            return _table(_REPLY, [(DRIVER, DRIVER, sum(np.frombuffer(r["added"], np.int64) for r in rows).tobytes())])
+        contexts = [_unpacked(r["contexts"]) for r in rows]
+        known = np.unique(np.concatenate(contexts))
+        total = np.zeros(len(known), np.int64)
+        for r, c in zip(rows, contexts):
+            total[np.searchsorted(known, c)] += np.frombuffer(r["added"], np.uint32)
+        return _table(_REPLY, [(r["group"], r["home"], total[np.searchsorted(known, c)].astype(np.uint32).tobytes())
+                               for r, c in zip(rows, contexts) if r["wanted"]])
+
+    return sent.groupBy("home").applyInArrow(add_up, _REPLY)
+
+
+def _replies(rows, sweeps: int) -> list[np.ndarray]:
+    """A group's replies, by sweep, as tables of its contexts: first those of one table a dish, then what was added to them."""
+    found = [[] for _ in range(sweeps)]
+    for r in sorted(rows, key=lambda r: r["home"]):
+        found[r["sweep"]].append(np.frombuffer(r["tables"], np.uint32).astype(np.int64))
+    first, *added = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in found)
+    return [first, *(first + x for x in added)]
+
+
+def sampled(dishes: DataFrame, hot: np.ndarray, pairs: tuple, groups: int) -> tuple[Shape, list[Totals], Frequent, DataFrame]:
+    """Totals before the first and after every Gibbs sweep, and the groups' replies (``sweep``; that of ``SWEEPS`` has the sums over the kept
+    sweeps for all contexts of ``asked_of``)."""
+    shape, start, frequent = _shape(dishes, hot, pairs)
+    kept = SWEEPS - BURN
+
+    def settle(batches):
+        for batch in batches:
+            for row in _rows(pa.Table.from_batches([batch])):
+                yield from _table(_SEATS, [(row["group"], *Seats.among(Dishes.of(row)).columns())]).to_batches()
 
-_ASKED = ("group long, part long, chunk long, words binary, sizes binary, texts binary, contexts binary, at binary, known binary, base binary, score binary, "
+    def first(batches, times=1, all_wanted=False):
+        for batch in batches:
+            for row in _rows(pa.Table.from_batches([batch])):
+                d = Dishes.of(row)
+                site = d.sites()
+                contexts = asked_of(d)
+                types = np.bincount(np.searchsorted(contexts, site[site >= COLD]), minlength=len(contexts))
+                out = _letters(row["group"], groups, contexts, times * types, all_wanted)
+                if not all_wanted:
+                    wanted = Seats.among(d).contexts
+                    out += _letters(row["group"], groups, wanted, np.zeros(len(wanted)), True)
+                yield from _table(_SENT, out).to_batches()
+
+    seats = stored(dishes.mapInArrow(settle, _SEATS), "seats")
+    replies = stored(exchanged(dishes.mapInArrow(first, _SENT)), "replies").withColumn("sweep", F.lit(0))
+    totals = [start]
+    for sweep in range(SWEEPS):
+        last = sweep == SWEEPS - 1
+
+        def run(seat, given):
+            row = next(_rows(seat))
+            s = Seats.of(row)
+            kept_tables = 0
+            for k, (tables, customers, root_tables) in enumerate(s.sweeps(shape, totals, row["group"], _replies(_rows(given), len(totals)))):
+                if k >= BURN:
+                    kept_tables = kept_tables + tables - 1
+            added, frequent_word = s.added(tables), s.word >= len(s.sizes)
+            words = np.bincount(s.word[frequent_word] - len(s.sizes), weights=tables[frequent_word] - 1, minlength=len(hot))
+            sums = np.concatenate([added[:CONTEXTS], words, [customers.sum(), root_tables.sum()]]).astype(np.int64)
+            out = _letters(row["group"], groups, s.contexts, s.added(kept_tables + 1 if last else tables)[CONTEXTS:], not last)
+            return _table(_SENT, [*out, (DRIVER, row["group"], None, sums.tobytes(), False)])
+
+        sent = seats.groupBy("group").cogroup(replies.groupBy("group")).applyInArrow(run, _SENT)
+        if last:
+            sent = sent.unionByName(dishes.mapInArrow(lambda b: first(b, kept, True), _SENT))
+        got = stored(exchanged(sent), "replies")
+        added = got.where(F.col("group") == DRIVER).first()
+        added = np.frombuffer(added.tables, np.int64) if added else np.zeros(CONTEXTS + len(hot) + 2, np.int64)
+        totals.append(frequent.swept(shape, start, totals[-1], sweep, added))
+        replies = replies.unionByName(got.where(F.col("group") != DRIVER).withColumn("sweep", F.lit(sweep + 1)))
+    return shape, totals, frequent, replies
+
+
+_ASKED = ("group long, part long, chunk long, words binary, starts binary, texts binary, contexts binary, following binary, at binary, known binary, base binary, score binary, "
           "ids array<long>, held_out array<boolean>, n array<long>")
 _ANSWERED = "chunk long, at binary, known binary, base binary, score binary, ids array<long>, held_out array<boolean>, n array<long>"
 
@@ -411,60 +672,52 @@ def scored(docs: DataFrame) -> DataFrame:
     tokens, hot = frequent_words(learn)
     groups = max(1, -(-tokens // GROUP_TOKENS))
     parts = max(1, int(tokens * HOT / GROUP_TOKENS))
-    dishes = _other_dishes(learn, hot, groups, parts)
-    if len(hot):
-        dishes = dishes.unionByName(_hot_dishes(learn, hot))
-    dishes = stored(dishes, "restaurants")
-    shape, totals = sampled(dishes)
-    large = {r.group: r.k for r in dishes.select("group", F.ceil(F.col("tokens") / (2 * GROUP_TOKENS)).alias("k")).where(f"k > 1 and group < {HOT_GROUP}").collect()}
-    nothing = Dishes(*(np.zeros(0, k) for k in (np.uint64, np.int64, np.uint16, np.uint32)))
-
-    def known_to_all(batches):
-        for batch in batches:
-            for r in _rows(pa.Table.from_batches([batch])):
-                s = Scorer.of(Dishes.of(r), shape, totals, r["group"])
-                yield pa.record_batch([pa.array([getattr(s, n).tobytes()], pa.binary()) for n, _ in Scorer.FIELDS], [n for n, _ in Scorer.FIELDS])
-
-    fields = ", ".join(f"{n} binary" for n, _ in Scorer.FIELDS)
-    frequent = [tuple(r) for r in dishes.where(F.col("group") >= HOT_GROUP).mapInArrow(known_to_all, fields).collect()]
+    dishes = stored(_other_dishes(learn, hot, groups, parts), "restaurants")
+    shape, totals, frequent, replies = sampled(dishes, hot, _hot_dishes(learn, hot), groups)
+    large = {r.group: r.k for r in dishes.select("group", F.ceil(F.col("tokens") / (2 * GROUP_TOKENS)).alias("k")).where("k > 1").collect()}
+    nothing = Dishes(*(np.zeros(0, k) for k in (np.uint64, np.int64, np.uint64, np.uint32)))
+    score_frequent = frequent.scorer(shape, totals)
 
     def ask(batches):
-        own = Scorer.joined(shape, totals, frequent) if frequent else Scorer.of(nothing, shape, totals, 0)
-        kinds = [pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * 8, pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
         task = TaskContext.get().partitionId() << 40
         for first, ids, held_out, texts in _chunks(batches):
-            t = Tokens(texts)
-            mine = _known(hot, t.h)[1]
-            base, score, known = own.score(t.h[mine], t.context[mine])
+            t = Tokens(texts, hot)
+            mine = t.often
+            base, score, known = score_frequent(t.place[mine], t.context[mine])
             chunk = task + first
             part = first // CHUNK_DOCS + TaskContext.get().partitionId()
-            out = [(-1 - part, 0, chunk, None, None, None, None, *_sums(t.text[mine], base, score, known),
-                    ids.to_pylist(), held_out.tolist(), t.sizes.tolist())]
-            h, text, context = t.h[~mine], t.text[~mine], t.context[~mine]
+            out = [(-1 - part, 0, chunk, *[None] * 5, *_sums(t.text[mine], base, score, known), ids.to_pylist(), held_out.tolist(), t.sizes.tolist())]
+            # A frequent word's own part as a context is in its followers' scores.
+            h, text, context, following = t.h[~mine], t.text[~mine], t.context[~mine], t.next[~mine]
             order = np.argsort(h, kind="stable")
-            h, text, context = h[order], text[order].astype(np.uint16), context[order]
+            h, text, context, following = h[order], text[order].astype(np.uint16), context[order], following[order]
+            new = np.ones(len(h), bool)
+            new[1:] = h[1:] != h[:-1]
             cut = np.append(np.searchsorted(group_of(h, groups), np.arange(groups)), len(h))
             for g in np.nonzero(np.diff(cut))[0]:
                 a, b = cut[g], cut[g + 1]
-                words, sizes = np.unique(h[a:b], return_counts=True)
-                out.append((int(g), part % large.get(int(g), 1), chunk, words.tobytes(), sizes.astype(np.uint32).tobytes(),
-                            text[a:b].tobytes(), context[a:b].tobytes(), *[None] * 7))
-            yield pa.record_batch([pa.array([r[k] for r in out], kind) for k, kind in enumerate(kinds)], [x.split()[0] for x in _ASKED.split(", ")])
-
-    def answer(asked, dish):
-        found = [Dishes.of(r) for r in _rows(dish)]
-        out, scorer = [], None
+                out.append((int(g), part % large.get(int(g), 1), chunk, h[a:b][new[a:b]].tobytes(), np.packbits(new[a:b]).tobytes(), text[a:b].tobytes(),
+                            _packed(context[a:b]), following[a:b].tobytes(), *[None] * 7))
+            yield from _table(_ASKED, out).to_batches()
+
+    def answer(asked, known):
+        scorer, rows, out = None, list(_rows(known)), []
         names = ["chunk", "at", "known", "base", "score", "ids", "held_out", "n"]
         for r in _rows(asked):
             if r["group"] < 0:  # what the chunk has scored itself
                 out.append(tuple(r[n] for n in names))
                 continue
-            scorer = scorer or Scorer.of(found[0] if found else nothing, shape, totals, r["group"])
-            h = np.repeat(np.frombuffer(r["words"], np.uint64), np.frombuffer(r["sizes"], np.uint32))
-            text, context = np.frombuffer(r["texts"], np.uint16).astype(np.int64), np.frombuffer(r["contexts"], np.uint16)
-            out.append((r["chunk"], *_sums(text, *scorer.score(h, context)), None, None, None))
-        kinds = [pa.int64(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64())]
-        return pa.table({n: pa.array([r[k] for r in out], kind) for k, (n, kind) in enumerate(zip(names, kinds))})
+            if scorer is None:
+                found = [Dishes.of(x) for x in rows if x["sweep"] is None]
+                given = [x for x in rows if x["sweep"] is not None]
+                cold = _replies([x for x in given if x["sweep"] < SWEEPS], SWEEPS)
+                mean = _replies([{**x, "sweep": 0} for x in given if x["sweep"] == SWEEPS], 1)[0] / (SWEEPS - BURN)
+                scorer = Scorer.of(found[0] if found else nothing, shape, totals, r["group"], cold, mean)
+            text = np.frombuffer(r["texts"], np.uint16).astype(np.int64)
+            starts = np.unpackbits(np.frombuffer(r["starts"], np.uint8), count=len(text))
+            h = np.frombuffer(r["words"], np.uint64)[np.cumsum(starts) - 1]
+            out.append((r["chunk"], *_sums(text, *scorer.score(h, _unpacked(r["contexts"]), np.frombuffer(r["following"], np.uint16))), None, None, None))
+        return _table(_ANSWERED, out)
 
     def add_up(table):
         """The sums of a chunk's documents over all groups."""
@@ -482,8 +735,10 @@ def scored(docs: DataFrame) -> DataFrame:
         })
 
     asked = rows.select("doc_id", "text", F.col("held_out").alias("train")).mapInArrow(ask, _ASKED)
-    parts_of = F.when(F.col("group") < HOT_GROUP, F.ceil(F.col("tokens") / (2 * GROUP_TOKENS))).otherwise(1)
-    known = dishes.where(F.col("group") < HOT_GROUP).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts_of - 1)))
+    known = dishes.drop("tokens").withColumns({"home": F.lit(None).cast("long"), "tables": F.lit(None).cast("binary"), "sweep": F.lit(None).cast("int")})
+    known = known.unionByName(replies, allowMissingColumns=True)
+    parts_of = F.coalesce(F.create_map(*[F.lit(x).cast("long") for pair in large.items() for x in pair])[F.col("group")], F.lit(1)) if large else F.lit(1)
+    known = known.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts_of.cast("long") - 1)))
     sums = asked.groupBy("group", "part").cogroup(known.groupBy("group", "part")).applyInArrow(answer, _ANSWERED)
     whole = sums.groupBy("chunk").applyInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return whole.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(shape.tokens).cast("long").alias("train_tokens"), "base_score", "score")

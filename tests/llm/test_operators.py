@@ -430,6 +430,60 @@ def test_predictive_probabilities_add_up_to_one():
         assert abs(total - 1) < 1e-6
 
 
+@pytest.mark.parametrize("hot", [1 / 20, pitman_yor.HOT])
+def test_every_previous_word_is_a_context_of_its_own(spark, monkeypatch, hot):
+    """Of two contexts that fall into one of 4,096 bins, neither lends its words to the other."""
+    monkeypatch.setattr(pitman_yor, "HOT", hot)  # with the first, words are in groups; with the other, all are known to all
+    ids = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 10][:600]
+    bins = {}
+    for i in ids:
+        bins.setdefault(xxhash.xxh3_64_intdigest(b"c%d" % i) * 0x9E3779B97F4A7C15 % (1 << 64) >> 52, []).append(i)
+    a, b = next(x[:2] for x in bins.values() if len(x) > 1)
+    asked = [f"c{a} w{a}", f"c{a} w{b}", f"c{a} nowhere", f"unseen w{a}", f"unseen w{b}", "unseen nowhere"]
+    learnt = [(i, f"c{i} w{i}") for i in ids]
+    number = [i for i in range(1000, 2000) if not zlib.crc32(str(i).encode()) % 10]  # held out
+    docs = spark.createDataFrame([*learnt, *zip(number, asked)], "doc_id long, text string")
+    by_id = {r.doc_id: r.score for r in pitman_yor.scored(docs).where("held_out").collect()}
+    own, other, neither, own_p, other_p, neither_p = (by_id[i] for i in number[:len(asked)])
+    gain = lambda x, p: (x - neither) - (p - neither_p)  # noqa: E731  (over the word's probability without context)
+    assert abs(gain(other, other_p)) < 1e-9
+    assert gain(own, own_p) > 1
+
+
+def test_probabilities_in_other_contexts_add_up_to_one():
+    rng = np.random.default_rng(3)
+    h = np.sort(rng.choice(np.arange(1 << 40, 1 << 50, 1 << 20, dtype=np.uint64), 40, replace=False))
+    said = np.append(np.arange(40), np.minimum(rng.geometric(0.1, 3000) - 1, 39))  # each word is followed by the next, the last by the first
+    follows = np.roll(said, -1)
+    order = pitman_yor.sorted_by(h[follows], pitman_yor.context_of(h[said]))
+    d = pitman_yor.Dishes.counted(h[follows][order], pitman_yor.context_of(h[said])[order], np.ones(len(order), np.uint32))
+    contexts, all_contexts = pitman_yor.Seats.among(d).contexts, pitman_yor.asked_of(d)
+    tables_of = lambda t: np.bincount(np.searchsorted(all_contexts, d.context), weights=t)
+    shape, none = pitman_yor.Shape(len(said), 40, 0.7, 0.6), np.zeros(pitman_yor.CONTEXTS)
+    totals, cold, after = [pitman_yor.Totals(none, none, 40.0, float(len(d.n)))], [], [tables_of(np.ones(len(d.n)))]
+    for _ in range(pitman_yor.SWEEPS):
+        cold.append(after[-1][np.searchsorted(all_contexts, contexts)])
+        for t, c, r in d.sweeps(shape, totals, 1, cold):
+            pass
+        totals.append(pitman_yor.Totals(none, none, float(r.sum()), float(c.sum())))
+        after.append(tables_of(t))
+    mean = sum(after[pitman_yor.BURN + 1:]) / (pitman_yor.SWEEPS - pitman_yor.BURN)
+    scorer = pitman_yor.Scorer.of(d, shape, totals, 1, cold, mean)
+    for k in range(40):
+        asked = np.append(h, np.uint64(5))
+        of_entry = scorer.score(asked, np.full(41, pitman_yor.context_of(h[k:k + 1])[0]))[1]
+        assert abs((10 ** (of_entry + scorer.after[k])).sum() - 1) < 1e-6
+
+
+def test_language_model_is_the_same_with_few_frequent_words(docs, monkeypatch):
+    known_to_all = {(r.doc_id, r.n_tokens): r for r in pitman_yor.scored(docs).collect()}
+    monkeypatch.setattr(pitman_yor, "HOT", 1 / 20)
+    for r in pitman_yor.scored(docs).collect():
+        other = known_to_all[r.doc_id, r.n_tokens]
+        assert r.n_known == other.n_known and abs(r.base_score - other.base_score) < 1e-6
+        assert abs(r.score - other.score) < 0.05 * abs(r.score) + 0.5
+
+
 # ------------------------------------------------------------- near-duplicates
 
 
