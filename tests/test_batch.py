@@ -88,6 +88,30 @@ def test_word_counts_add_up(recordings):
     assert total == W.words_of(grouped, "id").count() == 4 * 45
 
 
+def test_only_few_words_of_a_group_are_sorted(spark):
+    """Ties of counts on both sides, batches smaller than a group; rows that others beat are left out before the ranking."""
+    words = spark.range(60_000, numPartitions=3).select(
+        F.concat(F.lit("g"), (F.col("id") % 3).cast("string")).alias("group"),
+        F.concat(F.lit("w"), F.hex(F.hash("id")), F.col("id").cast("string")).alias("word"),
+        F.when(F.col("id") % 7 == 0, F.pmod(F.hash("id"), F.lit(50))).otherwise(F.lit(1)).cast("long").alias("cnt"),
+    )
+    totals = spark.createDataFrame([(f"g{k}", "", 1) for k in range(4)], "group string, word string, cnt long")
+    counts = words.unionByName(totals).localCheckpoint()
+    expected = set()
+    by_group = {}
+    for r in counts.collect():
+        by_group.setdefault(r.group, []).append(r)
+    for group, rows in by_group.items():
+        order = sorted((r for r in rows if r.word), key=lambda r: (-r.cnt, r.word))
+        expected |= {(group, "most", r.word, k + 1) for k, r in enumerate(order[:5])}
+        expected |= {(group, "least", r.word, k + 1) for k, r in enumerate(order[::-1][:5])}
+        expected.add((group, "all", "", 1))
+    got = W.ranked(counts, by=["group"]).collect()
+    assert {(r.group, r.side, r.word, r["rank"]) for r in got} == expected and len(got) == len(expected)
+    left = W.hopefuls(counts, 5, "group")
+    assert left.count() < 6_000 and left.where("word = ''").count() == 4
+
+
 def test_ranking_matches_brute_force(spark, data):
     from collections import Counter, defaultdict
 
