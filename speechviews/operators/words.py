@@ -65,65 +65,6 @@ def counts_without_stop_words(pieces: DataFrame, stop_words, *aggregates: Column
     return counts if listed is None else counts.join(listed, "word", "left_anti")
 
 
-class _Best:
-    """The ``n`` most and least common words of every group seen so far, and the bounds that a further one must reach."""
-
-    def __init__(self, n: int):
-        self.n, self.codes, self.lists = n, {}, []
-        self.most_cnt, self.least_cnt = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.most_word, self.least_word = [], []
-
-    def code(self, group) -> int:
-        if group not in self.codes:
-            self.codes[group] = len(self.codes)
-            self.lists.append(([], []))
-            self.most_word.append("")
-            self.least_word.append("")
-        return self.codes[group]
-
-    def wanted(self, batch, by: str) -> np.ndarray:
-        """Rows that may be among the first or last of their group, given the rows before; totals always are."""
-        groups = batch.column(by).dictionary_encode()
-        codes = np.array([*map(self.code, groups.dictionary.to_pylist()), self.code(None) if groups.indices.null_count else 0], np.int64)
-        more = len(self.codes) - len(self.most_cnt)  # until n are known, all are wanted
-        self.most_cnt = np.append(self.most_cnt, np.full(more, np.iinfo(np.int64).min))
-        self.least_cnt = np.append(self.least_cnt, np.full(more, np.iinfo(np.int64).max))
-        code = codes[pc.fill_null(groups.indices, len(groups.dictionary)).to_numpy(zero_copy_only=False)]
-        cnt, word = batch.column("cnt").to_numpy(zero_copy_only=False), batch.column("word")
-        total = pc.equal(word, "").to_numpy(zero_copy_only=False)
-        wanted = self.reaching(code, cnt, word)
-        new = np.nonzero(wanted & ~total)[0]
-        changed = set()
-        for k, c, w in zip(code[new].tolist(), cnt[new].tolist(), word.take(pa.array(new)).to_pylist()):
-            for best in self.lists[k]:
-                best.append((c, w))
-            changed.add(k)
-            if len(self.lists[k][0]) >= 8 * self.n:
-                self.cut(k)
-        for k in changed:
-            self.cut(k)
-        if 8 * len(new) > len(cnt):  # the first batches: the bounds have just been found
-            wanted = self.reaching(code, cnt, word)
-        return wanted | total
-
-    def reaching(self, code, cnt, word) -> np.ndarray:
-        wanted = (cnt > self.most_cnt[code]) | (cnt < self.least_cnt[code])
-        for of_group, words, reaches in ((self.most_cnt, self.most_word, pc.less_equal), (self.least_cnt, self.least_word, pc.greater_equal)):
-            tie = np.nonzero(~wanted & (cnt == of_group[code]))[0]
-            bound = pa.array(words, pa.string()).take(pa.array(code[tie]))
-            wanted[tie] = reaches(word.take(pa.array(tie)), bound).to_numpy(zero_copy_only=False)
-        return wanted
-
-    def cut(self, k: int):
-        most, least = self.lists[k]
-        most.sort(key=lambda e: (-e[0], e[1]))
-        least.sort(key=lambda e: e[1], reverse=True)
-        least.sort(key=lambda e: e[0])
-        del most[self.n:], least[self.n:]
-        if len(most) == self.n:
-            (self.most_cnt[k], self.most_word[k]), (self.least_cnt[k], self.least_word[k]) = most[-1], least[-1]
-
-
 def hopefuls(counts: DataFrame, n: int, by: str) -> DataFrame:
     """Rows that can be among the ``n`` most or least common words of their group, and all totals.
 
@@ -131,10 +72,58 @@ def hopefuls(counts: DataFrame, n: int, by: str) -> DataFrame:
     each task are sorted and ranked afterwards.
     """
 
-    def run(batches):
-        best = _Best(n)
+    def run(batches):  # by value in whole: workers need not have this package
+        codes, best = {}, []  # a group's number; its n first and n last words so far
+        most_cnt, least_cnt = np.zeros(0, np.int64), np.zeros(0, np.int64)  # what a further word must reach
+        most_word, least_word = [], []
+
+        def code_of(group):
+            if group not in codes:
+                codes[group] = len(codes)
+                best.append(([], []))
+                most_word.append("")
+                least_word.append("")
+            return codes[group]
+
+        def reaching(code, cnt, word):
+            wanted = (cnt > most_cnt[code]) | (cnt < least_cnt[code])
+            for of_group, words, reaches in ((most_cnt, most_word, pc.less_equal), (least_cnt, least_word, pc.greater_equal)):
+                tie = np.nonzero(~wanted & (cnt == of_group[code]))[0]
+                bound = pa.array(words, pa.string()).take(pa.array(code[tie]))
+                wanted[tie] = reaches(word.take(pa.array(tie)), bound).to_numpy(zero_copy_only=False)
+            return wanted
+
+        def cut(k):
+            most, least = best[k]
+            most.sort(key=lambda e: (-e[0], e[1]))
+            least.sort(key=lambda e: e[1], reverse=True)
+            least.sort(key=lambda e: e[0])
+            del most[n:], least[n:]
+            if len(most) == n:
+                (most_cnt[k], most_word[k]), (least_cnt[k], least_word[k]) = most[-1], least[-1]
+
         for batch in batches:
-            yield batch.filter(pa.array(best.wanted(batch, by)))
+            groups = batch.column(by).dictionary_encode()
+            numbers = np.array([*map(code_of, groups.dictionary.to_pylist()), code_of(None) if groups.indices.null_count else 0], np.int64)
+            more = len(codes) - len(most_cnt)  # until n are known, all are wanted
+            most_cnt = np.append(most_cnt, np.full(more, np.iinfo(np.int64).min))
+            least_cnt = np.append(least_cnt, np.full(more, np.iinfo(np.int64).max))
+            code = numbers[pc.fill_null(groups.indices, len(groups.dictionary)).to_numpy(zero_copy_only=False)]
+            cnt, word = batch.column("cnt").to_numpy(zero_copy_only=False), batch.column("word")
+            total = pc.equal(word, "").to_numpy(zero_copy_only=False)
+            wanted = reaching(code, cnt, word)
+            new, changed = np.nonzero(wanted & ~total)[0], set()
+            for k, c, w in zip(code[new].tolist(), cnt[new].tolist(), word.take(pa.array(new)).to_pylist()):
+                for kept in best[k]:
+                    kept.append((c, w))
+                changed.add(k)
+                if len(best[k][0]) >= 8 * n:
+                    cut(k)
+            for k in changed:
+                cut(k)
+            if 8 * len(new) > len(cnt):  # the first batches: the bounds have just been found
+                wanted = reaching(code, cnt, word)
+            yield batch.filter(pa.array(wanted | total))
 
     return counts.mapInArrow(run, counts.schema)
 
