@@ -16,6 +16,9 @@ item has.
 Items of fewer than ``WINDOW`` tokens are one window of their own length; those under ``SHORTEST`` tokens are found in
 documents that have no other tokens. Null or empty texts match nothing; null ids and repeated rows are judged by their
 text. An empty table gives no rows, an empty benchmark no leaks. The benchmark is broadcast only when it is proven small.
+
+Texts are searched in blocks of ``BLOCK`` starts of windows, and a window that met one of an item goes on with its own tokens alone:
+memory does not grow with the number of passages in a text.
 """
 
 from functools import reduce
@@ -29,6 +32,7 @@ WINDOW = 8
 NEEDED = 3
 MOST_SLOTS = 4
 SHORTEST = 4
+BLOCK = 512
 NAME, OPENING, NUMBER, UNIT = "\x01", "\x02", "\x03", "\x04"  # so that marked texts are ASCII or Latin-1 where texts are
 MARKS = NAME + OPENING + NUMBER + UNIT
 PRIVATE = "\ue000\ue001\ue002\ue003"  # marks while a text that has the others itself is worked on, and in SQL; dropped from texts
@@ -142,18 +146,35 @@ def long_windows(texts: DataFrame, longest=None) -> DataFrame:
         *columns, "pos", (F.col("last") - F.col("pos")).alias("length"))
 
 
+def blocks(texts: DataFrame, longest) -> DataFrame:
+    """``n, start`` beside the columns of ``texts``, whose ``w`` is cut into the windows of ``longest`` tokens at most that begin at ``BLOCK`` places.
+
+    A compiled stage holds all rows that it makes of one row; what it makes of a block is bounded, what it makes of a text is not.
+    """
+    columns = [c for c in texts.columns if c != "w"]
+    n = F.size("w.literal")
+    found = texts.select(*columns, "w", n.alias("n"), F.explode(F.sequence(F.lit(0), n - 1, F.lit(BLOCK))).alias("start"))
+    parts = [_part(F.col(f"w.{form}"), F.col("start"), BLOCK + longest - 1).alias(form) for form in FORMS]
+    return found.select(*columns, "n", "start", F.struct(*parts).alias("w"))
+
+
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """``key, h, item_id, item_pos, length, is_long, is_template, slots, needed, needed_templates``, a row for each form of each window.
 
     ``slots`` holds the places and values of a window's slots.
     """
-    items = stored(forms(benchmark, "item_id").distinct(), "benchmark-tokens").withColumn("n", F.size("w.literal"))
-    size = F.least(F.lit(WINDOW), F.col("n"))
-    short = items.select("item_id", "w", F.explode(F.sequence(F.lit(0), F.col("n") - size)).alias("pos"), size.alias("length"), F.lit(False).alias("is_long"))
-    longer = long_windows(items.select("item_id", "w")).withColumn("is_long", F.lit(True))
-    every = short.unionByName(longer).withColumn("item_key", F.xxhash64("w"))
-    for form in FORMS:
-        every = every.withColumn(form, _part(_form(form), F.col("pos"), F.col("length")))
+    items = stored(forms(benchmark, "item_id").distinct().withColumn("item_key", F.xxhash64("w")), "benchmark-tokens")
+    columns, n = ["item_id", "item_key"], F.size("w.literal")
+    size = F.least(F.lit(WINDOW), n)
+
+    def cut(rows, is_long):
+        # An exploded value, as in `_met`: else a compiled stage holds the whole item with each of its windows.
+        parts = F.struct(*[_part(_form(form), F.col("pos"), F.col("length")).alias(form) for form in FORMS])
+        rows = rows.select(*columns, "pos", "length", F.lit(is_long).alias("is_long"), F.explode(F.array(parts)).alias("window"))
+        return rows.select(*columns, "pos", "length", "is_long", "window.*")
+
+    short = cut(items.select(*columns, "w", size.alias("length"), F.explode(F.sequence(F.lit(0), n - size)).alias("pos")), False)
+    every = short.unionByName(cut(long_windows(items), True))
     few = {form: _slots(F.col(form)) <= MOST_SLOTS for form in FORMS[1:]}
     is_template = F.col("is_long") | few["named"]
     every = every.withColumn("is_template", is_template)
@@ -174,10 +195,12 @@ def _met(found: DataFrame, own: DataFrame, small: bool) -> DataFrame:
     ids = ["doc_id", "text_key"]
 
     def cut(rows):
-        # An exploded value: as a plain one, its comparison would become a key of the join, and a string be made of every window.
-        window = [_part(F.col(c), F.col("pos"), F.col("size")) for c in ("tokens", "literal")]
-        return rows.select(*ids, "pos", "doc_h", F.explode(F.array(F.array_join(window[0], " "))).alias("doc_key"), window[1].alias("doc_tokens"),
-                           *[c for c in own.columns if c in rows.columns])
+        # Exploded values: as a plain one, the key's comparison would become a key of the join, and a string be made of every window;
+        # plain tokens would be cut later, and each hit hold the whole block.
+        key, tokens = (_part(F.col(c), F.col("at"), F.col("size")) for c in ("tokens", "literal"))
+        window = F.explode(F.array(F.struct(F.array_join(key, " ").alias("doc_key"), tokens.alias("doc_tokens")))).alias("window")
+        own_columns = [c for c in own.columns if c in rows.columns]
+        return rows.select(*ids, "pos", "doc_h", window, *own_columns).select(*ids, "pos", "doc_h", "window.*", *own_columns)
 
     same = F.col("doc_h") == F.col("h")
     return cut(found.join(own, same)) if small else cut(found).join(own, same)
@@ -186,27 +209,27 @@ def _met(found: DataFrame, own: DataFrame, small: bool) -> DataFrame:
 def _short_windows(texts: DataFrame, lengths: list) -> DataFrame:
     """Windows of the texts by their lengths; hashes are of tokens' hashes, so no window is a string.
 
-    A form is left out where it equals the one before. Hashes of a window are few expressions, each evaluated once: the stage stays compiled.
+    A form is left out in a block where it equals the one before. Hashes of a window are few expressions, each evaluated once: the stage stays compiled.
+    ``at`` is a window's place in its block, ``pos`` that in the text.
     """
-    ids = ["doc_id", "text_key"]
+    columns = ["doc_id", "text_key", "n", "start", "literal", "tokens"]
     literal, named, opened = (F.col(f"w.{form}") for form in FORMS)
-    tokens = F.array_compact(F.array(literal, named, F.when(named.isNull() | (opened != named), opened)))
-    found = texts.select(*ids, literal.alias("literal"), F.explode(tokens).alias("tokens"))
-    found = found.select(*ids, "literal", "tokens", F.explode(F.array(_hashes("tokens"))).alias("hashes"))
+    tokens = F.array_compact(F.array(literal, F.when(named != literal, named), F.when(opened != _form("named"), opened)))
+    found = blocks(texts, lengths[-1]).select(*columns[:4], literal.alias("literal"), F.explode(tokens).alias("tokens"))
+    found = found.select(*columns, F.explode(F.array(_hashes("tokens"))).alias("hashes"))
+    n, pos = F.size("hashes"), (F.col("start") + F.col("at")).alias("pos")
 
     def windows(length):
-        n = F.size("hashes")
-        rows = found.where(n >= length if length >= SHORTEST else n == length)
-        rows = rows.select(*ids, "literal", "tokens", "hashes", F.explode(F.sequence(F.lit(0), n - length)).alias("pos"))
-        h = F.xxhash64(F.lit(length), *[F.get("hashes", F.col("pos") + i) for i in range(length)])  # like an array of them
-        return rows.select(*ids, "literal", "tokens", "pos", F.lit(length).alias("size"), h.alias("doc_h"))
+        rows = found.where(n >= length if length >= SHORTEST else F.col("n") == length)
+        rows = rows.select(*columns, "hashes", F.explode(F.sequence(F.lit(0), F.least(n - length, F.lit(BLOCK - 1)))).alias("at"))
+        h = F.xxhash64(F.lit(length), *[F.get("hashes", F.col("at") + i) for i in range(length)])  # like an array of them
+        return rows.select(*columns, "at", pos, F.lit(length).alias("size"), h.alias("doc_h"))
 
     def sized():
-        n = F.size("hashes")
-        rows = found.select(*ids, "literal", "tokens", "hashes", F.explode(F.array(*map(F.lit, lengths))).alias("size"))
-        rows = rows.where((n >= F.col("size")) & ((F.col("size") >= SHORTEST) | (n == F.col("size"))))
-        rows = rows.select(*ids, "literal", "tokens", "hashes", "size", F.explode(F.sequence(F.lit(0), n - F.col("size"))).alias("pos"))
-        return rows.select(*ids, "literal", "tokens", "pos", "size", F.xxhash64("size", F.slice("hashes", F.col("pos") + 1, F.col("size"))).alias("doc_h"))
+        rows = found.select(*columns, "hashes", F.explode(F.array(*map(F.lit, lengths))).alias("size"))
+        rows = rows.where((n >= F.col("size")) & ((F.col("size") >= SHORTEST) | (F.col("n") == F.col("size"))))
+        rows = rows.select(*columns, "hashes", "size", F.explode(F.sequence(F.lit(0), F.least(n - F.col("size"), F.lit(BLOCK - 1)))).alias("at"))
+        return rows.select(*columns, "at", pos, "size", F.xxhash64("size", F.slice("hashes", F.col("at") + 1, F.col("size"))).alias("doc_h"))
 
     return windows(lengths[0]) if len(lengths) == 1 else sized()
 
@@ -222,9 +245,10 @@ def passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = forms(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), "doc_id", "text_key")
     hits = _met(_short_windows(texts, sizes[False]), own.where("not is_long"), small)
     if True in sizes:
-        found = long_windows(texts, sizes[True][-1])
-        found = found.select("doc_id", "text_key", "pos", F.col("length").alias("size"), F.col("w.literal").alias("literal"), _form("named").alias("tokens"))
-        found = found.withColumn("doc_h", F.xxhash64("size", _hashes(_part(F.col("tokens"), F.col("pos"), F.col("size")))))
+        found = long_windows(blocks(texts, sizes[True][-1]), sizes[True][-1]).where(F.col("pos") < BLOCK)
+        found = found.select("doc_id", "text_key", F.col("pos").alias("at"), (F.col("start") + F.col("pos")).alias("pos"), F.col("length").alias("size"),
+                             F.col("w.literal").alias("literal"), _form("named").alias("tokens"))
+        found = found.withColumn("doc_h", F.xxhash64("size", _hashes(_part(F.col("tokens"), F.col("at"), F.col("size")))))
         hits = hits.unionByName(_met(found, own.where("is_long"), small))
     pairs = F.transform("slots", lambda s: F.struct(s["value"].alias("ours"), F.get("doc_tokens", s["at"]).alias("theirs")))
     hits = hits.where("doc_key = key").withColumn("pairs", pairs)

@@ -836,6 +836,41 @@ def test_templates_equal_the_sql_on_random_questions(spark):
     assert shuffled == got
 
 
+def test_a_text_full_of_passages_needs_no_more_memory_than_its_tokens(spark):
+    """Each hit held all tokens of its text, 21 GB for this one, and each window of an item all tokens of the item."""
+    item, book = " ".join(f"word{chr(97 + k)}" for k in range(24)), " ".join(f"w{k}x" for k in range(25_000))
+    benchmark = spark.createDataFrame([(k, item) for k in range(3)], "item_id long, text string")
+    df = spark.createDataFrame([(1, " ".join([item] * 850)), (2, "nothing of it"), (3, "so " + book)], "doc_id long, text string")
+    got = {r.doc_id: (r["items"], r.n_windows) for r in templates.flagged(df, benchmark).collect()}
+    assert got == {1: ([0, 1, 2], 51), 2: ([], 0), 3: ([], 0)}
+    more = benchmark.unionByName(spark.createDataFrame([(3, book)], "item_id long, text string"))
+    got = {r.doc_id: (r["items"], r.n_windows) for r in templates.flagged(df, more).collect()}
+    assert got == {1: ([0, 1, 2], 51), 2: ([], 0), 3: ([3], 24_993)}
+
+
+def test_passages_across_blocks_are_those_of_the_sql(spark):
+    rng = np.random.default_rng(9)
+    kinds = [["the", "is", "to", "and"], ["Ann", "Bob", "Eve"], ["3", "4", "two", "Five", "12,5"], ["km", "Hours", "(Rome)", "O'Neil", "so."]]
+
+    def text(n, shares):
+        return " ".join(kinds[k][rng.integers(len(kinds[k]))] for k in rng.choice(4, n, p=shares))
+
+    plain, dense = [0.5, 0.15, 0.25, 0.1], [0.15, 0.1, 0.7, 0.05]
+    items = [text(int(rng.integers(1, 30)), dense if k % 2 else plain) for k in range(24)] + ["Say it", "So"]
+    documents = [" ".join([text(int(rng.integers(0, 40)), plain), items[k % 26], text(3, dense), items[(5 * k) % 26].lower(), items[(7 * k) % 26]]) for k in range(60)]
+    df = spark.createDataFrame(list(enumerate([*documents, "say it", "so", "SAY it so"])), "doc_id long, text string")
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    expected = in_sql(df, benchmark)
+    longer = templates.benchmark_windows(benchmark).where("is_long").count()
+    for block, small in ((3, True), (16, True), (16, False)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(templates, "BLOCK", block)
+            if not small:
+                patch.setattr(templates, "broadcast_if_small", lambda frame, **_: (frame, False))
+            got = {r.doc_id: (",".join(map(str, r["items"])), r.n_windows) for r in templates.flagged(df, benchmark).collect()}
+        assert got == expected and longer > 20 and sum(n for _, n in expected.values()) > 500
+
+
 def test_leaks_are_those_of_plain_windows_where_there_are_no_slots(spark, docs, rows):
     benchmark = spark.createDataFrame([(k, " ".join(words(rows[3 * k][1])[5 + k:20 + k][i].decode() for i in range(15))) for k in range(8)], "item_id long, text string")
     items = {r.item_id: r.text.replace(".", "").split() for r in benchmark.collect()}
